@@ -1,0 +1,25 @@
+"""Broadcast only behind a size check.
+
+``bounded_broadcast`` runs one cheap job (``limit(max_rows + 1).count()``) and
+marks the side for broadcast only when it has at most ``max_rows`` rows;
+otherwise the join falls back to a shuffle join that AQE may still convert.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """Join ``big`` with a side that is usually small (centre sets, filtered vertices)."""
+    return big.join(bounded_broadcast(small, max_rows), on, how)
