@@ -69,7 +69,7 @@ def text_to_bigint(text, mode: str = "permissive") -> Column:
     """Text to BIGINT. permissive: null when it is not a whole number
     (surrounding blanks allowed); strict: raise on such text."""
     t = _col(text)
-    value = F.try_cast(F.trim(t), "bigint")
+    value = F.trim(t).try_cast("bigint")
     if mode == "strict":
         return F.when(t.isNotNull() & value.isNull(),
                       F.raise_error(F.concat(F.lit("CAST_INVALID_INPUT: not a BIGINT: "), t))

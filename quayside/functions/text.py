@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EPOCH_NTZ = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+def epoch_ntz() -> Column:
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
 def _col(c) -> Column:
@@ -29,7 +30,7 @@ def framed(message, framing: str = "line") -> Column:
 
 
 def epoch_micros(ts) -> Column:
-    return F.timestamp_diff("MICROSECOND", EPOCH_NTZ, _col(ts))
+    return F.timestamp_diff("MICROSECOND", epoch_ntz(), _col(ts))
 
 
 def epoch_millis(ts) -> Column:
@@ -41,7 +42,7 @@ def epoch_seconds(ts) -> Column:
 
 
 def from_epoch_micros(us) -> Column:
-    return F.timestamp_add("MICROSECOND", _col(us), EPOCH_NTZ)
+    return F.timestamp_add("MICROSECOND", _col(us), epoch_ntz())
 
 
 def truncate_to_millis(ts) -> Column:
