@@ -1,9 +1,15 @@
 """JSON rules for raw messages.
 
 All rules are built-in expressions, so they stay inside whole-stage codegen.
-The message is parsed once as the one-element array ``[m]``: that single parse
-decides validity (trailing junk or a second value make it fail or give length
-!= 1) and yields the value whose path we read.
+Validity: ``try_parse_json`` accepts trailing text after a complete value, so
+the message is parsed twice, as ``[m]`` and as ``{"x": m}``; junk after a
+closing bracket breaks one of the two. The object form also yields the value
+whose path we read.
+
+The column functions (``is_json``, ``json_scalar``) are one nested expression;
+Catalyst does not share a parse between branches of ``CASE``/``AND``, so a
+row may be parsed several times. The ``with_*`` DataFrame functions parse once
+into a projected column and read from it: use those on large inputs.
 """
 
 from __future__ import annotations
@@ -80,3 +86,55 @@ def text_to_bigint(text, mode: str = "permissive") -> Column:
 def json_bigint(message, path: str = "$.timestamp", mode: str = "permissive") -> Column:
     """``CAST(JSON_VALUE(message, path) AS BIGINT)``."""
     return text_to_bigint(json_scalar(message, path, "strict"), mode)
+
+
+# --- parse-once DataFrame forms -------------------------------------------------------
+
+_OBJ = "_qs_jobj"
+_ARR_OK = "_qs_jarr_ok"
+_NODE = "_qs_jnode"
+_KIND = "_qs_jkind"
+
+
+def _obj_path(path: str) -> str:
+    if not path.startswith("$"):
+        raise ValueError(f"JSON path must start with '$': {path!r}")
+    return "$.x" + path[1:]
+
+
+def with_parsed(df, message: str) -> "DataFrame":
+    """Add the object-wrapped variant and the array-form validity flag, each parsed once."""
+    m = F.col(message)
+    return df.select("*",
+                     F.try_parse_json(F.concat(F.lit('{"x":'), m, F.lit("}"))).alias(_OBJ),
+                     F.try_parse_json(_as_array(m)).isNotNull().alias(_ARR_OK))
+
+
+def _valid_expr(message: str) -> Column:
+    return F.when(F.col(message).isNotNull(),
+                  F.col(_ARR_OK) & F.col(_OBJ).isNotNull()
+                  & F.try_variant_get(F.col(_OBJ), "$.x", "variant").isNotNull())
+
+
+def with_is_json(df, message: str, out: str = "is_json") -> "DataFrame":
+    parsed = with_parsed(df, message)
+    return parsed.select(*df.columns, _valid_expr(message).alias(out))
+
+
+def with_json_scalar(df, message: str, path: str, out: str = "json_value",
+                     bigint_out: str | None = None, mode: str = "permissive",
+                     valid_out: str | None = None) -> "DataFrame":
+    """Add ``out`` = JSON_VALUE(message, path), optionally ``bigint_out`` = its
+    BIGINT cast and ``valid_out`` = is_json, with one parse per rule."""
+    parsed = with_parsed(df, message)
+    noded = parsed.select("*", F.try_variant_get(F.col(_OBJ), _obj_path(path), "variant").alias(_NODE))
+    kinded = noded.select("*", F.schema_of_variant(F.col(_NODE)).alias(_KIND))
+    kind = F.col(_KIND)
+    scalar = (F.col(_NODE).isNotNull() & ~kind.startswith("OBJECT") & ~kind.startswith("ARRAY")
+              & (kind != F.lit("VOID")))
+    value = F.when(_valid_expr(message) & scalar, F.try_variant_get(F.col(_NODE), "$", "string"))
+    extra = [_valid_expr(message).alias(valid_out)] if valid_out else []
+    out_df = kinded.select(*df.columns, value.alias(out), *extra)
+    if bigint_out:
+        out_df = out_df.select("*", text_to_bigint(F.col(out), mode).alias(bigint_out))
+    return out_df

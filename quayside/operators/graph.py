@@ -24,9 +24,30 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 class PropertyGraph:
-    def __init__(self, vertices: dict[str, DataFrame], edges: dict[str, DataFrame]):
+    """``vertices``/``edges``: one table per label. ``labelled_edges``: optionally
+    one table with a ``label`` column holding further edge labels (a
+    label-partitioned table), so a multi-label hop is one scan with ``label IN (...)``."""
+
+    def __init__(self, vertices: dict[str, DataFrame], edges: dict[str, DataFrame],
+                 labelled_edges: DataFrame | None = None, labelled_names: Sequence[str] = ()):
         self.vertices = dict(vertices)
         self.edges = dict(edges)
+        self.labelled_edges = labelled_edges
+        self.labelled_names = list(labelled_names)
+
+    def _with(self, vertices=None, edges=None, labelled_edges=None) -> "PropertyGraph":
+        return PropertyGraph(self.vertices if vertices is None else vertices,
+                             self.edges if edges is None else edges,
+                             self.labelled_edges if labelled_edges is None else labelled_edges,
+                             self.labelled_names)
+
+    def edge_labels(self) -> list[str]:
+        return list(self.edges) + [l for l in self.labelled_names if l not in self.edges]
+
+    def edge_table(self, label: str) -> DataFrame:
+        if label in self.edges:
+            return self.edges[label]
+        return self.labelled_edges.where(F.col("label") == label).drop("label")
 
     # --- scans (S8, G1, G2) -----------------------------------------------------
     def V(self, labels: Iterable[str] | None = None) -> DataFrame:
@@ -34,8 +55,12 @@ class PropertyGraph:
         return _union([self.vertices[l].withColumn("label", F.lit(l)) for l in labels if l in self.vertices])
 
     def E(self, labels: Iterable[str] | None = None) -> DataFrame:
-        labels = list(labels) if labels is not None else list(self.edges)
-        return _union([self.edges[l].withColumn("label", F.lit(l)) for l in labels if l in self.edges])
+        labels = list(labels) if labels is not None else self.edge_labels()
+        frames = [self.edges[l].withColumn("label", F.lit(l)) for l in labels if l in self.edges]
+        rest = [l for l in labels if l not in self.edges and l in self.labelled_names]
+        if rest:
+            frames.append(self.labelled_edges.where(F.col("label").isin(rest)))
+        return _union(frames)
 
     def vertex_count(self) -> DataFrame:
         """G1: one count per label table, summed (each count is a partial aggregate)."""
@@ -43,14 +68,19 @@ class PropertyGraph:
             .agg(F.sum("n").cast("bigint").alias("n_vertices"))
 
     def edge_count(self) -> DataFrame:
-        return _union([e.agg(F.count(F.lit(1)).alias("n")) for e in self.edges.values()]) \
-            .agg(F.sum("n").cast("bigint").alias("n_edges"))
+        parts = [e.agg(F.count(F.lit(1)).alias("n")) for e in self.edges.values()]
+        if self.labelled_edges is not None:
+            parts.append(self.labelled_edges.agg(F.count(F.lit(1)).alias("n")))
+        return _union(parts).agg(F.sum("n").cast("bigint").alias("n_edges"))
 
     def counts_by_label(self) -> DataFrame:
         parts = [v.agg(F.count(F.lit(1)).alias("n")).select(F.lit("vertex").alias("kind"), F.lit(l).alias("label"), "n")
                  for l, v in self.vertices.items()]
         parts += [e.agg(F.count(F.lit(1)).alias("n")).select(F.lit("edge").alias("kind"), F.lit(l).alias("label"), "n")
                   for l, e in self.edges.items()]
+        if self.labelled_edges is not None:
+            parts.append(self.labelled_edges.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+                         .select(F.lit("edge").alias("kind"), "label", "n"))
         return _union(parts)
 
     # --- predicates (P11-P14) ------------------------------------------------------
@@ -135,7 +165,7 @@ class PropertyGraph:
         # Reduce the (possibly huge) where-edge table to edges leaving found
         # neighbours first; the candidate set is broadcast only when its size is bounded.
         cands = bounded_broadcast(found.select(F.col("neighbour_id").alias("src")).distinct())
-        edges = self.edges[where_label].select("src", "dst").join(cands, "src", "left_semi")
+        edges = self.edge_table(where_label).select("src", "dst").join(cands, "src", "left_semi")
         good = self._vertices_with(where_key).where(F.col(where_key) >= F.lit(where_bound)).select(F.col("id").alias("dst"))
         ok = edges.join(good, "dst", "left_semi").select(F.col("src").alias("neighbour_id")).distinct()
         return found.join(ok, "neighbour_id", "left_semi")
@@ -158,14 +188,14 @@ class PropertyGraph:
     def edges_where_source(self, label: str, key: str, values: Sequence) -> DataFrame:
         """``E().hasLabel(label).where(outV().has(key, within(values)))``."""
         sources = self.has_within(key, values).select(F.col("id").alias("src"))
-        return self.edges[label].join(bounded_broadcast(sources), "src", "left_semi")
+        return self.edge_table(label).join(bounded_broadcast(sources), "src", "left_semi")
 
     # --- writes (G11-G14, J3) -----------------------------------------------------------
     def add_vertices(self, label: str, rows: DataFrame) -> "PropertyGraph":
         """Append rows (no uniqueness check; a rerun appends again)."""
         new = dict(self.vertices)
         new[label] = new[label].unionByName(rows, allowMissingColumns=True) if label in new else rows
-        return PropertyGraph(new, self.edges)
+        return self._with(vertices=new)
 
     def add_edges(self, label: str, sources: DataFrame, target: DataFrame, properties: dict | None = None) -> "PropertyGraph":
         """An edge from every source vertex to the *first* target vertex
@@ -176,8 +206,9 @@ class PropertyGraph:
         edges = (sources.select(F.col("id").alias("src"), first.alias("dst"))
                  .where(F.col("dst").isNotNull()).select("src", "dst", *props))
         new = dict(self.edges)
-        new[label] = new[label].unionByName(edges, allowMissingColumns=True) if label in new else edges
-        return PropertyGraph(self.vertices, new)
+        base = new.get(label) if label in new else (self.edge_table(label) if label in self.labelled_names else None)
+        new[label] = base.unionByName(edges, allowMissingColumns=True) if base is not None else edges
+        return self._with(edges=new)
 
     def new_edges(self, sources: DataFrame, target: DataFrame, properties: dict | None = None) -> DataFrame:
         return self.add_edges("__new__", sources, target, properties).edges["__new__"]
@@ -185,15 +216,21 @@ class PropertyGraph:
     def drop_edges_where_source(self, key: str, values: Sequence, labels: Sequence[str] | None = None) -> "PropertyGraph":
         """``E().where(outV().has(key, within(values))).drop()``."""
         gone = bounded_broadcast(self.has_within(key, values).select(F.col("id").alias("src")))
-        labels = set(labels) if labels is not None else set(self.edges)
+        labels = set(labels) if labels is not None else set(self.edge_labels())
         new = {l: (e.join(gone, "src", "left_anti") if l in labels else e) for l, e in self.edges.items()}
-        return PropertyGraph(self.vertices, new)
+        labelled = self.labelled_edges
+        if labelled is not None:
+            labelled = (labelled.join(gone, "src", "left_anti").unionByName(
+                labelled.where(~F.col("label").isin(list(labels)))) if not labels.issuperset(self.labelled_names)
+                else labelled.join(gone, "src", "left_anti"))
+        return self._with(edges=new, labelled_edges=labelled)
 
     def drop_vertices(self, key: str, values: Sequence) -> "PropertyGraph":
         """Drop matching vertices and every edge incident to them."""
         gone = bounded_broadcast(self.has_within(key, values).select("id"))
         verts = {l: v.join(gone, "id", "left_anti") for l, v in self.vertices.items()}
-        edges = {l: (e.join(gone.withColumnRenamed("id", "src"), "src", "left_anti")
-                      .join(gone.withColumnRenamed("id", "dst"), "dst", "left_anti"))
-                 for l, e in self.edges.items()}
-        return PropertyGraph(verts, edges)
+        cut = lambda e: (e.join(gone.withColumnRenamed("id", "src"), "src", "left_anti")
+                         .join(gone.withColumnRenamed("id", "dst"), "dst", "left_anti"))
+        edges = {l: cut(e) for l, e in self.edges.items()}
+        labelled = cut(self.labelled_edges) if self.labelled_edges is not None else None
+        return self._with(vertices=verts, edges=edges, labelled_edges=labelled)

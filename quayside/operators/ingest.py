@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.functions import (
-    date_text, epoch_micros, framed, from_epoch_micros, is_json, json_bigint, json_scalar,
-    truncate_to_millis,
+    date_text, epoch_micros, framed, from_epoch_micros, truncate_to_millis, with_is_json, with_json_scalar,
 )
 from quayside.plans import running_sum
 
@@ -43,9 +42,10 @@ def lake_rows(messages: DataFrame, path: str = "$.timestamp", mode: str = "permi
     """M4 rows: payload, ts = CAST(JSON_VALUE(payload, path) AS BIGINT),
     processing_timestamp (milliseconds), partition_date."""
     proc = truncate_to_millis(arrival_col)
-    return messages.select(
+    rows = with_json_scalar(messages.select("value", arrival_col), "value", path, "_text", "ts", mode)
+    return rows.select(
         F.col("value").alias("payload"),
-        json_bigint("value", path, mode).alias("ts"),
+        F.col("ts"),
         proc.alias("processing_timestamp"),
         date_text(proc).alias("partition_date"),
     )
@@ -53,36 +53,40 @@ def lake_rows(messages: DataFrame, path: str = "$.timestamp", mode: str = "permi
 
 def json_values(messages: DataFrame, path: str = "$.timestamp", id_cols=("source", "id")) -> DataFrame:
     """The scalar text at ``path`` (null for objects, arrays, missing, bad JSON)."""
-    return messages.select(*id_cols, json_scalar("value", path).alias("json_value"))
+    return with_json_scalar(messages, "value", path, "json_value").select(*id_cols, "json_value")
 
 
 def json_timestamps(messages: DataFrame, path: str = "$.timestamp", id_cols=("source", "id")) -> DataFrame:
     """P4 permissive: BIGINT or null."""
-    return messages.select(*id_cols, json_bigint("value", path, "permissive").alias("ts"))
+    return with_json_scalar(messages, "value", path, "_text", "ts").select(*id_cols, "ts")
 
 
 def json_rejects(messages: DataFrame, path: str = "$.timestamp", id_cols=("source", "id")) -> DataFrame:
-    """Bad-row side output of P4: a scalar is present but is not a whole number."""
-    text = json_scalar("value", path)
-    return (messages.select(*id_cols, "value", text.alias("json_value"))
-            .where(F.col("json_value").isNotNull()
-                   & json_bigint("value", path, "permissive").isNull())
-            .select(*id_cols, "json_value"))
+    """Bad-row side output of P4: a scalar is present but is not a whole number.
+
+    The two columns are emitted through a one-row ``inline`` (a Generate): a
+    filter on generator output cannot be pushed below it, so Catalyst does not
+    copy the whole JSON chain into a Filter and evaluate it twice per row."""
+    rows = with_json_scalar(messages, "value", path, "json_value", "_ts")
+    once = rows.select(*id_cols, F.inline(F.array(F.struct(F.col("json_value").alias("_jv"),
+                                                            F.col("_ts").alias("_jts")))))
+    return (once.where(F.col("_jv").isNotNull() & F.col("_jts").isNull())
+            .select(*id_cols, F.col("_jv").alias("json_value")))
 
 
 def json_validity(messages: DataFrame, id_cols=("source", "id")) -> DataFrame:
     """P10: is the whole text one JSON value."""
-    return messages.select(*id_cols, is_json("value").alias("is_json"))
+    return with_is_json(messages, "value", "is_json").select(*id_cols, "is_json")
 
 
 def peek_first_records(messages: DataFrame, n: int = 10) -> DataFrame:
     """From the oldest record of the first shard, the first ``n``
     records with the JSON check. Plans as TakeOrderedAndProject (top-n per task)."""
     first_shard = messages.select(F.min("partition")).scalar()
-    return (messages.where(F.col("partition") == first_shard)
-            .orderBy("offset").limit(n)
-            .select("partition", "offset", "arrival_ts", "partition_key",
-                    F.col("value").alias("data"), is_json("value").alias("is_json")))
+    top = (messages.where(F.col("partition") == first_shard)
+           .orderBy("offset").limit(n)
+           .select("partition", "offset", "arrival_ts", "partition_key", F.col("value").alias("data")))
+    return with_is_json(top, "data", "is_json")
 
 
 def start_counts(messages: DataFrame) -> DataFrame:

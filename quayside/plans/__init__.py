@@ -2,5 +2,6 @@
 
 from quayside.plans.broadcast import bounded_broadcast, join_small
 from quayside.plans.ordered import running_sum
+from quayside.plans.parallel import spread
 
-__all__ = ["bounded_broadcast", "join_small", "running_sum"]
+__all__ = ["bounded_broadcast", "join_small", "running_sum", "spread"]

@@ -24,7 +24,7 @@ THREADS = 20
 
 
 def message_stream(spark: SparkSession, base: str) -> DataFrame:
-    ev = table(spark, base, "events")
+    ev = table(spark, base, "events", ["event_id", "ts", "user_id", "props"], spread_cpu=True)
     return ev.select(
         (F.col("user_id") % SHARDS).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
@@ -36,12 +36,12 @@ def message_stream(spark: SparkSession, base: str) -> DataFrame:
 
 def mixed_messages(spark: SparkSession, base: str) -> DataFrame:
     """JSON messages plus free text and HTML (most of which is not JSON)."""
-    ev = table(spark, base, "events").select(
+    ev = table(spark, base, "events", ["event_id", "props"], spread_cpu=True).select(
         F.lit("events").alias("source"), F.col("event_id").alias("id"), F.col("props").alias("value"))
-    conv = table(spark, base, "conversations").select(
+    conv = table(spark, base, "conversations", ["conv_id", "turn", "text"], spread_cpu=True).select(
         F.lit("conversations").alias("source"),
         (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("text").alias("value"))
-    pages = table(spark, base, "pages").select(
+    pages = table(spark, base, "pages", ["page_id", "html"], spread_cpu=True).select(
         F.lit("pages").alias("source"), F.col("page_id").alias("id"), F.col("html").alias("value"))
     return ev.unionByName(conv).unionByName(pages)
 

@@ -8,7 +8,16 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def table(spark: SparkSession, base: str, name: str) -> DataFrame:
+def table(spark: SparkSession, base: str, name: str, columns=None, spread_cpu: bool = False) -> DataFrame:
+    """Read one table. ``columns`` prunes the scan; ``spread_cpu`` adds a
+    round-robin split when the scan has fewer tasks than cores (for per-row
+    JSON work on single-row-group files)."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    if columns:
+        df = df.select(*columns)
+    if spread_cpu:
+        from quayside.plans.parallel import spread
+        df = spread(df)
+    return df
