@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.functions import (
-    date_text, epoch_micros, framed, from_epoch_micros, truncate_to_millis, with_is_json, with_json_scalar,
+    date_text, epoch_micros, framed, from_epoch_micros, is_json, truncate_to_millis, with_is_json,
+    with_json_scalar,
 )
 from quayside.plans import running_sum
 
@@ -81,12 +82,16 @@ def json_validity(messages: DataFrame, id_cols=("source", "id")) -> DataFrame:
 
 def peek_first_records(messages: DataFrame, n: int = 10) -> DataFrame:
     """From the oldest record of the first shard, the first ``n``
-    records with the JSON check. Plans as TakeOrderedAndProject (top-n per task)."""
+    records with the JSON check. Plans as TakeOrderedAndProject (top-n per task).
+
+    The JSON check is one expression in the final projection, so the planner
+    folds it into TakeOrderedAndProject and evaluates it on the ``n`` kept rows only.
+    """
     first_shard = messages.select(F.min("partition")).scalar()
-    top = (messages.where(F.col("partition") == first_shard)
-           .orderBy("offset").limit(n)
-           .select("partition", "offset", "arrival_ts", "partition_key", F.col("value").alias("data")))
-    return with_is_json(top, "data", "is_json")
+    return (messages.where(F.col("partition") == first_shard)
+            .orderBy("offset").limit(n)
+            .select("partition", "offset", "arrival_ts", "partition_key", F.col("value").alias("data"),
+                    is_json("value").alias("is_json")))
 
 
 def start_counts(messages: DataFrame) -> DataFrame:

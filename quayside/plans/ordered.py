@@ -31,6 +31,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,8 +64,10 @@ def _local_sums(group_cols: list[str], value_cols: list[str], floats: list[bool]
             head = seg < 0
             out = batch
             for j, (c, f) in enumerate(zip(value_cols, floats)):
-                vals = batch.column(c).to_numpy(zero_copy_only=False)
-                vals = np.nan_to_num(vals.astype(np.float64 if f else np.int64, copy=False))
+                col = batch.column(c)
+                if col.null_count:
+                    col = pc.fill_null(col, 0)
+                vals = col.to_numpy(zero_copy_only=False).astype(np.float64 if f else np.int64, copy=False)
                 total = np.cumsum(vals)
                 if len(first_idx):
                     base = np.where(first_idx > 0, total[np.maximum(first_idx - 1, 0)], 0)
