@@ -117,7 +117,9 @@ def bulk_batches(docs: DataFrame, partition_col: str, order_cols: Sequence[str],
     order_col = order_cols[0]
     rows = docs.select(partition_col, *order_cols, F.lit(1).cast("bigint").alias("one"),
                        F.octet_length(doc_col).cast("bigint").alias("bytes"))
-    ranked = running_sum(rows, [partition_col], order_cols, ["one", "bytes"], ["rank", "running"])
+    # the documents are costly to build: checkpoint the narrow rows once instead of building them twice
+    ranked = running_sum(rows, [partition_col], order_cols, ["one", "bytes"], ["rank", "running"],
+                         materialize_input=True)
     batch = F.greatest(F.floor((F.col("rank") - 1) / max_actions),
                        F.floor((F.col("running") - F.col("bytes")) / max_bytes)).cast("bigint")
     return (ranked.withColumn("batch_no", batch)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.plans import bounded_broadcast
+from quayside.session import checkpoint_dir
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -123,37 +124,57 @@ class PropertyGraph:
         return self.V().orderBy("id").limit(n)
 
     # --- traversals (G5-G10, J1, J2, U1) ------------------------------------------------
-    def out(self, start: DataFrame, labels: Sequence[str], start_col: str = "id") -> DataFrame:
-        """Rows ``(start id, edge label, neighbour vertex ...)``: one per edge (bag semantics)."""
-        starts = bounded_broadcast(start.select(F.col(start_col).alias("_start")).distinct())
-        hop = (self.E(labels).select("src", "dst", F.col("label").alias("edge_label"))
-               .join(starts, F.col("src") == F.col("_start")))
-        return (hop.join(self.V(), F.col("dst") == F.col("id"))
-                .drop("src", "dst")
-                .withColumnRenamed("_start", "start_id"))
-
-    def out_values(self, start: DataFrame, label: str, keys: Sequence[str]) -> DataFrame:
+    def _centre_filter(self, edges: DataFrame, centres, centre_col: str) -> DataFrame:
+        """Restrict edges to those leaving the centres. A literal id list becomes
+        ``src IN (...)``, which Parquet can use to skip row groups; a DataFrame is
+        joined, broadcast when its size is bounded."""
+        if isinstance(centres, (list, tuple)):
+            return edges.where(F.col("src").isin(list(centres))).withColumn("center_id", F.col("src"))
+        ids = bounded_broadcast(centres.select(F.col(centre_col).alias("center_id")).distinct())
+        return edges.join(ids, F.col("src") == F.col("center_id"))
+
+    def _reached(self, vertices: DataFrame, hop: DataFrame) -> DataFrame:
+        """Vertices cut to the ids a hop reached, before joining back. With a
+        bounded set of reached ids this is a broadcast semi join, so the vertex
+        table is scanned once and never shuffled."""
+        ids = bounded_broadcast(hop.select(F.col("dst").alias("id")).distinct())
+        return vertices.join(ids, "id", "left_semi")
+
+    def out(self, start, labels: Sequence[str], start_col: str = "id",
+            to_labels: Sequence[str] | None = None) -> DataFrame:
+        """Rows ``(start id, edge label, neighbour vertex ...)``: one per edge (bag
+        semantics). ``to_labels`` limits the vertex tables searched for the far end."""
+        hop = self._centre_filter(self.E(labels).select("src", "dst", F.col("label").alias("edge_label")),
+                                  start, start_col)
+        targets = self._reached(self.V(to_labels), hop)
+        return (hop.join(targets, F.col("dst") == F.col("id"))
+                .drop("src", "dst").withColumnRenamed("center_id", "start_id"))
+
+    def out_values(self, start, label: str, keys: Sequence[str], to_labels: Sequence[str] | None = None) -> DataFrame:
         """``out(label).values(k1, k2)``: one row per value."""
-        reached = self.out(start, [label])
+        reached = self.out(start, [label], to_labels=to_labels)
         return self.value_map_long(reached, keys).select(F.col("key").alias("prop_key"),
                                                          F.col("value").alias("prop_value"))
 
-    def neighbours(self, centres: DataFrame, labels: Sequence[str], bound_key: str, bound,
+    def neighbours(self, centres, labels: Sequence[str], bound_key: str, bound,
                    where_label: str | None = None, where_key: str | None = None, where_bound=None,
                    centre_col: str = "id") -> DataFrame:
         """G6-G8 in single-join form: ``out(l1..lk).has(bound_key, gte(bound))``
         for all labels in one edge scan (the labels are disjoint and share the
         bound, so this equals the union), then optionally keep neighbours that
         have an ``out(where_label)`` vertex with ``where_key >= where_bound``
-        (left semi join on the neighbour). Duplicates from multi-edges stay."""
-        centre_ids = bounded_broadcast(centres.select(F.col(centre_col).alias("center_id")).distinct())
-        hop = (self.E(labels).select("src", "dst")
-               .join(centre_ids, F.col("src") == F.col("center_id")))
-        targets = self._vertices_with(bound_key).where(F.col(bound_key) >= F.lit(bound)).select(F.col("id").alias("dst"))
-        found = hop.join(targets, "dst").select("center_id", F.col("dst").alias("neighbour_id"))
+        (left semi join on the neighbour). Duplicates from multi-edges stay.
+        ``centres`` is a list of ids or a DataFrame with column ``centre_col``."""
+        hop = self._centre_filter(self.E(labels).select("src", "dst"), centres, centre_col)
+        targets = self._reached(self._vertices_with(bound_key).where(F.col(bound_key) >= F.lit(bound)), hop)
+        found = (hop.join(targets.select(F.col("id").alias("dst")), "dst")
+                 .select("center_id", F.col("dst").alias("neighbour_id")))
         if where_label is None:
             return found
-        return self._semi(found, where_label, where_key, where_bound)
+        # ``found`` feeds a size check, the candidate set and the final semi join:
+        # write it once to the checkpoint folder instead of recomputing its joins three times
+        checkpoint_dir(found.sparkSession)
+        return self._semi(found.checkpoint(eager=True), where_label, where_key, where_bound)
 
     def _vertices_with(self, key: str) -> DataFrame:
         labels = [l for l, v in self.vertices.items() if key in v.columns]
@@ -162,15 +183,16 @@ class PropertyGraph:
         return self.V(labels).select("id", key)
 
     def _semi(self, found: DataFrame, where_label: str, where_key: str, where_bound) -> DataFrame:
-        # Reduce the (possibly huge) where-edge table to edges leaving found
+        # Cut the (possibly huge) where-edge table to edges leaving found
         # neighbours first; the candidate set is broadcast only when its size is bounded.
         cands = bounded_broadcast(found.select(F.col("neighbour_id").alias("src")).distinct())
         edges = self.edge_table(where_label).select("src", "dst").join(cands, "src", "left_semi")
-        good = self._vertices_with(where_key).where(F.col(where_key) >= F.lit(where_bound)).select(F.col("id").alias("dst"))
-        ok = edges.join(good, "dst", "left_semi").select(F.col("src").alias("neighbour_id")).distinct()
+        good = self._reached(self._vertices_with(where_key).where(F.col(where_key) >= F.lit(where_bound)), edges)
+        ok = edges.join(good.select(F.col("id").alias("dst")), "dst", "left_semi") \
+            .select(F.col("src").alias("neighbour_id")).distinct()
         return found.join(ok, "neighbour_id", "left_semi")
 
-    def neighbours_union(self, centres: DataFrame, labels: Sequence[str], bound_key: str, bound,
+    def neighbours_union(self, centres, labels: Sequence[str], bound_key: str, bound,
                          centre_col: str = "id") -> DataFrame:
         """The literal form, one branch per label, bag union."""
         branches = [self.neighbours(centres, [l], bound_key, bound, centre_col=centre_col) for l in labels]

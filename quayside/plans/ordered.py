@@ -38,6 +38,13 @@ from pyspark.sql import types as T
 
 from quayside.session import checkpoint_dir
 
+try:  # ship this module's functions by value, so workers need not import the package
+    from pyspark import cloudpickle as _cloudpickle
+    import sys as _sys
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001  (older cloudpickle: workers then import the package)
+    pass
+
 _PID = "_qs_pid"
 _LOCAL = "_qs_local"
 
@@ -88,10 +95,15 @@ def _local_names(value_cols):
 
 
 def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                value_cols, out_cols, num_partitions: int | None = None) -> DataFrame:
+                value_cols, out_cols, num_partitions: int | None = None,
+                materialize_input: bool = False) -> DataFrame:
     """Add ``out_cols`` = inclusive running sums of ``value_cols`` within
     ``group_cols`` ordered by ``order_cols`` (ascending, nulls first). Null values
-    count as 0. Integer values give BIGINT, fractional values DOUBLE."""
+    count as 0. Integer values give BIGINT, fractional values DOUBLE.
+
+    Range partitioning samples its input before shuffling it, so the input plan
+    runs twice. When that plan is expensive (JSON generation, joins), pass
+    ``materialize_input=True``: the (narrow) input is checkpointed once first."""
     if isinstance(value_cols, str):
         value_cols, out_cols = [value_cols], [out_cols]
     group_cols, order_cols = list(group_cols), list(order_cols)
@@ -103,6 +115,8 @@ def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
     out_types = [T.DoubleType() if f else T.LongType() for f in floats]
     keys = group_cols + order_cols
     checkpoint_dir(spark)
+    if materialize_input:
+        df = df.checkpoint(eager=True)
     ranged = (df.repartitionByRange(n, *keys)
                 .sortWithinPartitions(*keys)
                 .withColumn(_PID, F.spark_partition_id())

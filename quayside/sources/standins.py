@@ -65,9 +65,9 @@ def snapshot(spark: SparkSession, base: str) -> DataFrame:
 
 def typed_rows(spark: SparkSession, base: str) -> DataFrame:
     """Rows of the 14-column asset table (M5), cast to its declared types."""
-    li = table(spark, base, "lineitem").select(
+    li = table(spark, base, "lineitem", [
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-        "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_returnflag", "l_linestatus", "l_shipdate"], spread_cpu=True)
     od = table(spark, base, "orders").select("o_orderkey", "o_custkey")
     j = li.join(od, li.l_orderkey == od.o_orderkey)
     money = lambda c: F.col(c).cast("decimal(15,2)")  # noqa: E731  (values carry two decimals)
