@@ -127,10 +127,11 @@ def roll_on_inactivity(messages: DataFrame, gap_seconds: int = 30, framing: str
 
     Only the first message of a ``gap``-wide time bucket can start a part (any
     later one is closer than ``gap`` to its predecessor in the same bucket), and
-    it does exactly when the previous bucket of the date is empty or ended
-    ``gap`` or more before it. So rows are first aggregated per bucket (partial
-    aggregation, skew-safe), and the ordering work runs over buckets only: at
-    most 86400 / gap of them per date, whatever the row count.
+    it does exactly when the previous non-empty bucket of the date ended ``gap``
+    or more before it (a non-adjacent one always did). So rows are first
+    aggregated per bucket (partial aggregation, skew-safe), and the ordering work
+    is one window over buckets only: at most 86400 / gap of them per date,
+    whatever the row count.
     """
     gap = gap_seconds * 1_000_000
     us = epoch_micros("arrival_ts")
@@ -139,12 +140,11 @@ def roll_on_inactivity(messages: DataFrame, gap_seconds: int = 30, framing: str
                .agg(F.min(us).alias("min_us"), F.max(us).alias("max_us"),
                     F.count(F.lit(1)).alias("n"), F.sum(line_bytes("value", framing)).alias("bytes"),
                     F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset")))
-    prev = buckets.select("date", (F.col("bucket") + 1).alias("bucket"), F.col("max_us").alias("prev_max_us"))
-    flagged = (buckets.join(prev, ["date", "bucket"], "left")
-               .withColumn("starts", (F.col("prev_max_us").isNull()
-                                      | (F.col("min_us") - F.col("prev_max_us") >= gap)).cast("int")))
-    per_date = Window.partitionBy("date").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    parts = flagged.withColumn("part_no", F.sum("starts").over(per_date) - 1)
+    # previous non-empty bucket of the same date; if it is not adjacent, the gap is already > gap
+    by_date = Window.partitionBy("date").orderBy("bucket")
+    flagged = buckets.withColumn("prev_max_us", F.lag("max_us").over(by_date)).withColumn(
+        "starts", (F.col("prev_max_us").isNull() | (F.col("min_us") - F.col("prev_max_us") >= gap)).cast("int"))
+    parts = flagged.withColumn("part_no", F.sum("starts").over(by_date.rowsBetween(Window.unboundedPreceding, 0)) - 1)
     return (parts.groupBy("date", "part_no")
             .agg(F.sum("n").alias("n_messages"), F.sum("bytes").alias("n_bytes"),
                  from_epoch_micros(F.min("min_us")).alias("first_ts"),

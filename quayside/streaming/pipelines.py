@@ -72,10 +72,13 @@ def start_index_upsert(changes: DataFrame, root: str, key: str, order_cols: Sequ
 
 def start_producer(spark: SparkSession, topic: str, sink_format: str, options: dict,
                    checkpoint: str | None = None, rows_per_second: int = 100,
-                   trigger: str | None = "1 second") -> StreamingQuery:
-    """T4: counter source at most 100 per second -> ``Message <i> at <ms>`` with a UUID key."""
+                   trigger: str | None = "1 second", query_name: str | None = None) -> StreamingQuery:
+    """T4: counter source at most 100 per second -> ``Message <i> at <ms>`` with a
+    UUID key. For Kafka pass ``sink_format="kafka"`` and ``sinks.kafka.producer_options(...)``."""
     from quayside.sources.streams import rate_stream
     msgs = producer.outgoing_messages(rate_stream(spark, rows_per_second), topic).drop("idx")
     w = (msgs.writeStream.format(sink_format).options(**options)
          .option("checkpointLocation", _checkpoint(spark, "producer", checkpoint)))
+    if query_name:
+        w = w.queryName(query_name)
     return _trigger(w, trigger).start()

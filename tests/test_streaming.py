@@ -78,3 +78,33 @@ def test_index_upsert_stream_equals_one_shot(spark, scratch):
     # replaying a committed batch id is a no-op
     last = index.pointer()["batch_id"]
     assert index.merge(log.limit(3), last) is False
+
+
+def test_producer_rate_and_format(spark, scratch):
+    import re
+    import time
+
+    q = pipelines.start_producer(spark, "events-out", "memory", {}, f"{scratch}/ck", rows_per_second=100,
+                                 trigger="1 second", query_name="produced")
+    try:  # the rate source never runs dry, so wait for progress instead of processAllAvailable()
+        deadline = time.time() + 60
+        while time.time() < deadline and not [p for p in q.recentProgress if p.get("numInputRows", 0) > 0]:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    rows = spark.sql("select * from produced").collect()
+    assert rows, "no messages produced"
+    assert all(r.topic == "events-out" for r in rows)
+    assert all(re.fullmatch(r"Message \d+ at \d{13}", r.value) for r in rows)
+    assert all(re.fullmatch(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", r.key) for r in rows)
+    assert len({r.key for r in rows}) == len(rows)
+
+
+def test_producer_and_index_options():
+    from quayside.sinks import index, kafka
+    opts = kafka.producer_options({"bootstrap.servers": "b:9092"})
+    assert opts["kafka.acks"] == "all" and opts["kafka.retries"] == "3" and opts["kafka.linger.ms"] == "10"
+    assert opts["kafka.delivery.timeout.ms"] == "10000" and opts["kafka.batch.size"] == "16384"
+    es = index.index_options({"hosts": "h:9200", "index": "assets"}, "f_id")
+    assert es["es.mapping.id"] == "f_id" and es["es.batch.size.entries"] == "1000"
+    assert es["es.batch.write.retry.count"] == "20"
