@@ -232,9 +232,6 @@ class PropertyGraph:
         new[label] = base.unionByName(edges, allowMissingColumns=True) if base is not None else edges
         return self._with(edges=new)
 
-    def new_edges(self, sources: DataFrame, target: DataFrame, properties: dict | None = None) -> DataFrame:
-        return self.add_edges("__new__", sources, target, properties).edges["__new__"]
-
     def drop_edges_where_source(self, key: str, values: Sequence, labels: Sequence[str] | None = None) -> "PropertyGraph":
         """``E().where(outV().has(key, within(values))).drop()``."""
         gone = bounded_broadcast(self.has_within(key, values).select(F.col("id").alias("src")))

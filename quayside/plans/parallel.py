@@ -17,7 +17,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Repartition (round robin) only when ``df`` has fewer partitions than
     ``min_partitions`` (default: ``sparkContext.defaultParallelism``). Call it
     on a plain scan: finding the partition count plans the scan, it runs no job."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no RDD access, e.g. a Connect session): leave the plan alone
+        return df
+    if current < target:
         return df.repartition(target)
     return df

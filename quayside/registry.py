@@ -62,7 +62,6 @@ def _jbigint(m: str, path: str) -> str:
     return f"CASE WHEN regexp_full_match(trim({v}), '[+-]?[0-9]+') THEN TRY_CAST(trim({v}) AS BIGINT) END"
 
 
-_JVALID = ("json_valid({m})")
 MIXED = """(SELECT 'events' AS source, event_id AS id, props AS value FROM events
   UNION ALL SELECT 'conversations', conv_id * 1000 + turn, text FROM conversations
   UNION ALL SELECT 'pages', page_id, html FROM pages)"""

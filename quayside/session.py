@@ -39,11 +39,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     A cluster names it in ``spark.checkpoint.dir``; we read it from the session
     and only create a scratch folder when nothing is set (local tests).
     """
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Connect sessions manage checkpoints on the server)
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
+    current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        # only local runs (tests, bench) get here; a cluster names a shared folder
         configured = tempfile.mkdtemp(prefix="quayside-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
