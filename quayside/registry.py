@@ -90,8 +90,8 @@ TYPED_COLS = ["f_id", "f_order_id", "f_seq_id", "f_user_id", "f_symbol", "f_type
 _DEC = {"f_id", "f_order_id", "f_seq_id", "f_user_id", "f_amount", "f_available", "f_hold", "f_intra_delta",
         "f_fee", "f_version", "f_created_at"}
 TYPED_TEXT = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" if c in _DEC else c for c in TYPED_COLS)
-TYPED_JSON = "to_json({" + ", ".join(f"'{c}': CAST({c} AS VARCHAR)" if c in _DEC else f"'{c}': {c}"
-                                     for c in TYPED_COLS) + "})"
+TYPED_JSON = "CAST(to_json({" + ", ".join(f"'{c}': CAST({c} AS VARCHAR)" if c in _DEC else f"'{c}': {c}"
+                                          for c in TYPED_COLS) + "}) AS VARCHAR)"
 CHANGE_LOG = """(SELECT user_id AS key,
    CASE WHEN event_type = 'signup' THEN 'c' WHEN event_type = 'error' THEN 'd' ELSE 'u' END AS op,
    ts AS change_ts, event_id AS position, value AS amount, props AS note FROM events)"""
@@ -272,7 +272,7 @@ def q_cdc_snapshot_plus_log(spark, base):
 
 @register("cdc_index_state", f"""
 SELECT CAST(key AS VARCHAR) AS doc_id,
-       to_json({{'key': key, 'amount': CAST(CAST(amount AS DECIMAL(15,2)) AS VARCHAR), 'note': note, 'op': op, 'position': position}}) AS document
+       CAST(to_json({{'key': key, 'amount': CAST(CAST(amount AS DECIMAL(15,2)) AS VARCHAR), 'note': note, 'op': op, 'position': position}}) AS VARCHAR) AS document
 FROM {SNAP_LOG}""")
 def q_cdc_index_state(spark, base):
     state = cdc.snapshot_plus_log(standins.snapshot(spark, base),

@@ -62,3 +62,16 @@ def test_entry_smoke(spark):
     df = contract.entry(spark)
     assert df.columns == ["payload", "ts", "processing_timestamp", "partition_date"]
     assert df.count() > 0
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "smallint": "SMALLINT"}
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_query_types_match_oracle(spark, duck, name):
+    df = contract.queries()[name](spark, SMALL)
+    ours = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    cur = duck.execute(f"SELECT * FROM ({contract.oracle_sql()[name]}) LIMIT 0")
+    theirs = {c[0]: str(c[1]) for c in cur.description}
+    assert ours == theirs
