@@ -94,7 +94,7 @@ def test_kafka_options_security_rule():
     base = {"bootstrap.servers": "b:9092", "topic": "t", "group.id": "g"}
     opts = streams.kafka_options(base)
     assert opts["startingOffsets"] == "earliest" and "kafka.security.protocol" not in opts
-    sec = streams.kafka_options({**base, "security.protocol": "SASL_SSL", "sasl.mechanism": "AWS_MSK_IAM",
+    sec = streams.kafka_options({**base, "security.protocol": "SASL_SSL", "sasl.mechanism": "SCRAM-SHA-512",
                                  "sasl.jaas.config": "x"})
     assert sec["kafka.security.protocol"] == "SASL_SSL" and sec["kafka.sasl.jaas.config"] == "x"
 
