@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 MB = 1024 * 1024
@@ -41,13 +42,26 @@ def text_landing_writer(framed_stream: DataFrame, path: str, checkpoint: str,
     return w
 
 
-def lake_append(rows: DataFrame, target: str, fmt: str = "parquet", partition_col: str = "partition_date") -> None:
-    """K6 batch append. ``fmt="iceberg"`` appends to a catalog table when the
-    runtime is on the classpath (``target`` is then ``catalog.db.table``)."""
-    if fmt == "iceberg":
-        rows.writeTo(target).append()
+def lake_append(rows: DataFrame, target: str, fmt: str = "parquet", partition_col: str = "partition_date",
+                as_table: bool | None = None) -> None:
+    """K6 batch append, partitioned by ``partition_col``.
+
+    ``as_table`` (default: on for ``fmt="iceberg"``) treats ``target`` as a
+    catalog table name: the table is created, partitioned, when it does not
+    exist yet (``CREATE TABLE IF NOT EXISTS``), then appended to. Otherwise
+    ``target`` is a path."""
+    as_table = (fmt == "iceberg") if as_table is None else as_table
+    if not as_table:
+        rows.write.mode("append").partitionBy(partition_col).format(fmt).save(target)
         return
-    rows.write.mode("append").partitionBy(partition_col).format(fmt).save(target)
+    if fmt != "iceberg":
+        # session-catalog tables: append creates the table on first use
+        rows.write.mode("append").format(fmt).partitionBy(partition_col).saveAsTable(target)
+        return
+    if rows.sparkSession.catalog.tableExists(target):
+        rows.writeTo(target).append()
+    else:
+        rows.writeTo(target).using(fmt).partitionedBy(F.col(partition_col)).create()
 
 
 def lake_append_writer(rows_stream: DataFrame, target: str, checkpoint: str, fmt: str = "parquet",

@@ -108,3 +108,18 @@ def test_producer_and_index_options():
     es = index.index_options({"hosts": "h:9200", "index": "assets"}, "f_id")
     assert es["es.mapping.id"] == "f_id" and es["es.batch.size.entries"] == "1000"
     assert es["es.batch.write.retry.count"] == "20"
+
+
+def test_lake_table_created_once_then_appended(spark):
+    from quayside.sinks import files
+    rows = ingest.lake_rows(standins.message_stream(spark, SMALL), path="$.k")
+    name = "quayside_lake_rows_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    try:
+        files.lake_append(rows, name, fmt="parquet", as_table=True)
+        files.lake_append(rows, name, fmt="parquet", as_table=True)
+        assert spark.table(name).count() == 2 * rows.count()
+        parts = spark.sql(f"SHOW PARTITIONS {name}").count()
+        assert parts == rows.select("partition_date").distinct().count()
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
