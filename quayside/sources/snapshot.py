@@ -57,11 +57,19 @@ def jdbc_chunk_options(low: int, high: int, chunk_size: int = 2000, fetch_size:
             "fetchsize": str(fetch_size)}
 
 
-def jdbc_chunk_predicates(chunks: DataFrame, key: str) -> list[str]:
-    """WHERE clauses for ``spark.read.jdbc(predicates=...)``; one per chunk. The
-    chunk table has one row per ``chunk_size`` keys, so it is small next to the data."""
-    return [f"{key} >= {r['low']} AND {key} <= {r['high']}"
-            for r in chunks.orderBy("chunk").toLocalIterator()]
+def jdbc_chunk_predicates(chunks: DataFrame, key: str, max_partitions: int = 10_000) -> list[str]:
+    """WHERE clauses for ``spark.read.jdbc(predicates=...)``. Consecutive chunks
+    are merged so that at most ``max_partitions`` ranges reach the driver, and
+    the ranges still cover every key exactly once (a task then reads several
+    chunks, each with the fetch size)."""
+    n_chunks = chunks.agg(F.max("chunk")).first()[0]
+    if n_chunks is None:
+        return []
+    per_task = max(1, math.ceil((n_chunks + 1) / max_partitions))
+    ranges = (chunks.groupBy(F.floor(F.col("chunk") / per_task).alias("task"))
+              .agg(F.min("low").alias("low"), F.max("high").alias("high"))
+              .orderBy("task"))
+    return [f"{key} >= {r['low']} AND {key} <= {r['high']}" for r in ranges.toLocalIterator()]
 
 
 def read_jdbc_snapshot(spark: SparkSession, url: str, table: str, key: str, low: int, high: int,

@@ -75,3 +75,19 @@ def test_bulk_batches_bins(spark):
     assert out == {0: 1000, 1: 1000, 2: 500}
     out = {r.batch_no: r.n_actions for r in cdc.bulk_batches(docs, "p", ["k"], max_actions=10**6, max_bytes=1000).collect()}
     assert out[0] == 10 and len(out) == 250
+
+
+def test_chunk_plans_and_predicates(spark):
+    from quayside.sources import snapshot
+    dense = spark.range(0, 10_000).withColumnRenamed("id", "k")
+    even = snapshot.plan_chunks(dense, "k", 2000).orderBy("chunk").collect()
+    assert [(r.low, r.high, r.n_rows) for r in even] == [(i * 2000, i * 2000 + 1999, 2000) for i in range(5)]
+    sparse = spark.range(0, 10_000).where("id % 3 != 0").withColumnRenamed("id", "k")
+    uneven = snapshot.plan_chunks(sparse, "k", 2000).orderBy("chunk").collect()
+    assert [r.n_rows for r in uneven] == [2000, 2000, 2000, 666]
+    preds = snapshot.jdbc_chunk_predicates(snapshot.plan_chunks(sparse, "k", 500), "k", max_partitions=4)
+    assert len(preds) == 4
+    covered = sparse.where(" OR ".join(f"({p})" for p in preds)).count()
+    assert covered == sparse.count()
+    opts = snapshot.jdbc_chunk_options(0, 9999, 2000)
+    assert opts["numPartitions"] == "5" and opts["fetchsize"] == "2000"
