@@ -35,7 +35,7 @@ EVENT_LABELS = ("signup", "view", "click", "purchase", "error")
 
 def event_graph(spark: SparkSession, base: str) -> PropertyGraph:
     # the stand-in props are trusted {"k": n} texts: the fast path (no validity guard) is enough here
-    ev = (table(spark, base, "events", ["event_id", "user_id", "event_type", "value", "props"])
+    ev = (table(spark, base, "events", ["event_id", "user_id", "event_type", "value", "props"], spread_cpu=True)
           .withColumn("k", json_scalar("props", "$.k", mode="fast").try_cast("bigint")))
     users = (ev.select("user_id").distinct()
              .select(padded_id("user-", F.col("user_id")).alias("id"), F.col("user_id")))
