@@ -194,8 +194,13 @@ class PropertyGraph:
 
     def neighbours_union(self, centres, labels: Sequence[str], bound_key: str, bound,
                          centre_col: str = "id") -> DataFrame:
-        """The literal form, one branch per label, bag union."""
-        branches = [self.neighbours(centres, [l], bound_key, bound, centre_col=centre_col) for l in labels]
+        """The literal form, one branch per label, bag union. The branches
+        share one size-checked set of reached vertices."""
+        hops = [self._centre_filter(self.E([l]).select("src", "dst"), centres, centre_col) for l in labels]
+        every_hop = reduce(lambda a, b: a.unionByName(b), hops)
+        targets = self._reached(self._vertices_with(bound_key).where(F.col(bound_key) >= F.lit(bound)), every_hop)
+        targets = targets.select(F.col("id").alias("dst"))
+        branches = [h.join(targets, "dst").select("center_id", F.col("dst").alias("neighbour_id")) for h in hops]
         return reduce(lambda a, b: a.unionByName(b), branches)
 
     def neighbour_counts(self, centres: DataFrame, labels: Sequence[str], bound_key: str, bound,
