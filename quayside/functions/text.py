@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quayside.constants import DATE_FOLDER_FORMAT, MESSAGE_TEXT_FORMAT
+
 def epoch_ntz() -> Column:
     return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
@@ -52,7 +54,7 @@ def truncate_to_millis(ts) -> Column:
 
 def date_text(ts) -> Column:
     """``yyyy-MM-dd`` bucket text."""
-    return F.date_format(_col(ts), "yyyy-MM-dd")
+    return F.date_format(_col(ts), DATE_FOLDER_FORMAT)
 
 
 def iso_text(ts) -> Column:
@@ -62,7 +64,7 @@ def iso_text(ts) -> Column:
 
 def message_text(index, epoch_ms) -> Column:
     """``Message <i> at <epoch_ms>``."""
-    return F.format_string("Message %d at %d", _col(index), _col(epoch_ms))
+    return F.format_string(MESSAGE_TEXT_FORMAT, _col(index), _col(epoch_ms))
 
 
 def padded_id(prefix: str, n, width: int = 6) -> Column:

@@ -15,10 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside import schemas
+from quayside.constants import BULK_MAX_ACTIONS, BULK_MAX_BYTES, SKIPPED_OPERATIONS
 from quayside.plans import running_sum
 
-MB = 1024 * 1024
-
 
 def conform(df: DataFrame, schema: T.StructType = schemas.ASSET_RECORD, check_nulls: bool = True) -> DataFrame:
     """Identity projection with casts to the declared types; NOT NULL
@@ -32,7 +31,7 @@ def conform(df: DataFrame, schema: T.StructType = schemas.ASSET_RECORD, check_nu
     return df.select(*cols)
 
 
-def skip_operations(log: DataFrame, skipped: Sequence[str] = ("d",), op_col: str = "op") -> DataFrame:
+def skip_operations(log: DataFrame, skipped: Sequence[str] = SKIPPED_OPERATIONS, op_col: str = "op") -> DataFrame:
     """Drop skipped operations (deletes) before collapsing, so a deleted key keeps its last image."""
     return log.where(~F.col(op_col).isin(list(skipped)))
 
@@ -47,7 +46,7 @@ def latest_image(log: DataFrame, key: str | Sequence[str], order_cols: Sequence[
 
 def snapshot_plus_log(snapshot: DataFrame, log: DataFrame, key: str, snapshot_position: int = -1,
                       op_col: str = "op", position_col: str = "position",
-                      skipped: Sequence[str] = ("d",)) -> DataFrame:
+                      skipped: Sequence[str] = SKIPPED_OPERATIONS) -> DataFrame:
     """C4: snapshot rows are ordered as ``(position noted before the snapshot, 0)``,
     log rows as ``(position, 1)``; log rows carry full images, so the overlap
     replays harmlessly. Deletes are skipped, then the newest image wins."""
@@ -107,7 +106,7 @@ def json_documents(df: DataFrame, key: str = schemas.ASSET_KEY, decimals: str =
 
 
 def bulk_batches(docs: DataFrame, partition_col: str, order_cols: Sequence[str], doc_col: str = "document",
-                 max_actions: int = 1000, max_bytes: int = 5 * MB) -> DataFrame:
+                 max_actions: int = BULK_MAX_ACTIONS, max_bytes: int = BULK_MAX_BYTES) -> DataFrame:
     """K8 as a plan: inside each writer partition, in key order, a row goes to
     ``greatest(floor(rank / max_actions), floor(bytes before it / max_bytes))``.
     Running counts use the range-split running sum, so one partition key with

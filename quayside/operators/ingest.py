@@ -15,10 +15,9 @@ from quayside.functions import (
     date_text, epoch_micros, framed, from_epoch_micros, is_json, truncate_to_millis, with_is_json,
     with_json_scalar,
 )
+from quayside.constants import INACTIVITY_SECONDS, MAX_PART_BYTES, ROLL_MINUTES
 from quayside.plans import running_sum
 
-MB = 1024 * 1024
-
 
 def framed_messages(messages: DataFrame, framing: str = "line") -> DataFrame:
     """P1 + K1 layout: the text each message becomes and its ``date=`` folder."""
@@ -108,7 +107,7 @@ def _window_start(arrival_col: str, seconds: int):
     return from_epoch_micros(F.floor(epoch_micros(arrival_col) / width) * width)
 
 
-def roll_by_age(messages: DataFrame, minutes: int = 2, framing: str = "line") -> DataFrame:
+def roll_by_age(messages: DataFrame, minutes: int = ROLL_MINUTES, framing: str = "line") -> DataFrame:
     """One file per ``date`` and aligned ``minutes`` window (a plain group-by,
     partially aggregated before the shuffle)."""
     return (messages
@@ -121,7 +120,7 @@ def roll_by_age(messages: DataFrame, minutes: int = 2, framing: str = "line") ->
 
 # --- K4: roll on inactivity --------------------------------------------------------
 
-def roll_on_inactivity(messages: DataFrame, gap_seconds: int = 30, framing: str = "line") -> DataFrame:
+def roll_on_inactivity(messages: DataFrame, gap_seconds: int = INACTIVITY_SECONDS, framing: str = "line") -> DataFrame:
     """A new part starts in a date when the gap to the previous message is at
     least ``gap_seconds``.
 
@@ -153,7 +152,7 @@ def roll_on_inactivity(messages: DataFrame, gap_seconds: int = 30, framing: str
 
 # --- K5: roll by size ----------------------------------------------------------------
 
-def assign_size_parts(messages: DataFrame, max_bytes: int = 10 * MB, minutes: int = 2,
+def assign_size_parts(messages: DataFrame, max_bytes: int = MAX_PART_BYTES, minutes: int = ROLL_MINUTES,
                       framing: str = "line") -> DataFrame:
     """Per message: ``part_no = floor(bytes before it in its (date, window) / max_bytes)``,
     ordered by (arrival, offset). Fixed bins, parallel and repeatable."""
@@ -166,7 +165,7 @@ def assign_size_parts(messages: DataFrame, max_bytes: int = 10 * MB, minutes: in
     return summed.withColumn("part_no", F.floor((F.col("running") - F.col("bytes")) / F.lit(max_bytes)).cast("bigint"))
 
 
-def roll_by_size(messages: DataFrame, max_bytes: int = 10 * MB, minutes: int = 2,
+def roll_by_size(messages: DataFrame, max_bytes: int = MAX_PART_BYTES, minutes: int = ROLL_MINUTES,
                  framing: str = "line") -> DataFrame:
     parts = assign_size_parts(messages, max_bytes, minutes, framing)
     return (parts.groupBy("date", "window_start", "part_no")

@@ -15,11 +15,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.constants import CSV_COLUMNS, PERCENTILES
+
 from quayside.functions import status_class
 from quayside.plans import running_sum
 
-CSV_COLUMNS = ("client_request_id", "query_type", "user_id", "latency_ms", "result_count",
-               "timestamp", "status", "thread_id")
 
 
 def _pct_name(p: float) -> str:
@@ -50,7 +50,7 @@ def latency_histogram(log: DataFrame, latency_col: str = "latency_ms", status_co
             .agg(F.count(F.lit(1)).alias("cnt")))
 
 
-def latency_summary(log: DataFrame, percentiles: Sequence[float] = (0.5, 0.95, 0.99),
+def latency_summary(log: DataFrame, percentiles: Sequence[float] = PERCENTILES,
                     latency_col: str = "latency_ms", status_col: str = "status") -> DataFrame:
     """n, min, max, mean and index-rule percentiles over successes."""
     hist = latency_histogram(log, latency_col, status_col).where(F.col("latency").isNotNull())

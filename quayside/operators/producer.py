@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions import epoch_micros, epoch_millis, from_epoch_micros, message_text
 
-SPACING_MS = 10  # one message per 10 ms: at most 100 per second
+from quayside.constants import PRODUCER_SPACING_MS as SPACING_MS  # one per 10 ms: at most 100 per second
 
 
 def outgoing_messages(counter: DataFrame, topic: str, idx_col: str = "idx", send_col: str = "send_ts",

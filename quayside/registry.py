@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside import constants as C
 from quayside.operators import cdc, ingest, metrics, producer
 from quayside.sources import graphs, snapshot as snap_src, standins, streams
 from quayside.sources.tables import table
@@ -33,12 +34,12 @@ def register(name: str, sql: str | None = None):
 # --- fixed parameters of the registered queries -----------------------------------
 K_PATH = "$.k"                  # the stand-in messages carry {"k": n}
 START_TS = "2024-01-15T00:00:00"
-ROLL_MINUTES = 2
-GAP_SECONDS = 30
+ROLL_MINUTES = C.ROLL_MINUTES
+GAP_SECONDS = C.INACTIVITY_SECONDS
 SIZE_BYTES = 32                 # small enough that parts split at test scale
-CHUNK = 2000
-DURATION_S = 1200
-PCTS = (0.5, 0.95, 0.99)
+CHUNK = C.SNAPSHOT_CHUNK_ROWS
+DURATION_S = C.LOAD_DURATION_SECONDS
+PCTS = C.PERCENTILES
 FAST_BOUND = graphs.DEVICE_EPOCH + 180000
 ORDER_BOUND = 820454400         # 1996-01-01
 PART_PRICE = 910

@@ -20,14 +20,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside import constants as C
 from quayside.operators.cdc import latest_image, skip_operations
 
-# fixed bulk settings of the reference
 BULK_DEFAULTS = {
-    "es.batch.size.entries": "1000",
-    "es.batch.size.bytes": "5mb",
-    "es.batch.write.retry.count": "20",
-    "es.batch.write.retry.wait": "500ms",
+    "es.batch.size.entries": str(C.BULK_MAX_ACTIONS),
+    "es.batch.size.bytes": f"{C.BULK_MAX_BYTES // C.MB}mb",
+    "es.batch.write.retry.count": str(C.BULK_MAX_RETRIES),
+    "es.batch.write.retry.wait": C.BULK_RETRY_WAIT,
 }
 
 

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from quayside import constants as C
 from quayside.sources.streams import SECURITY_KEYS
 
-# fixed producer settings of the reference
 PRODUCER_DEFAULTS = {
-    "kafka.acks": "all",
-    "kafka.retries": "3",
-    "kafka.batch.size": "16384",
-    "kafka.linger.ms": "10",
-    "kafka.delivery.timeout.ms": "10000",
+    "kafka.acks": C.PRODUCER_ACKS,
+    "kafka.retries": str(C.PRODUCER_RETRIES),
+    "kafka.batch.size": str(C.PRODUCER_BATCH_BYTES),
+    "kafka.linger.ms": str(C.PRODUCER_LINGER_MS),
+    "kafka.delivery.timeout.ms": str(C.PRODUCER_DELIVERY_TIMEOUT_MS),
 }
 
 

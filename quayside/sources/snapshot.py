@@ -13,6 +13,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.constants import SNAPSHOT_CHUNK_ROWS, SNAPSHOT_FETCH_ROWS
 from quayside.plans import running_sum
 
 
@@ -21,13 +22,13 @@ def key_stats(df: DataFrame, key: str) -> tuple:
     return row[0], row[1], row[2]
 
 
-def even_chunks(df: DataFrame, key: str, chunk_size: int = 2000) -> DataFrame:
+def even_chunks(df: DataFrame, key: str, chunk_size: int = SNAPSHOT_CHUNK_ROWS) -> DataFrame:
     low = df.select(F.min(key)).scalar()
     chunk = F.floor((F.col(key) - low) / chunk_size).cast("bigint")
     return _chunk_table(df.select(key, chunk.alias("chunk")), key)
 
 
-def uneven_chunks(df: DataFrame, key: str, chunk_size: int = 2000) -> DataFrame:
+def uneven_chunks(df: DataFrame, key: str, chunk_size: int = SNAPSHOT_CHUNK_ROWS) -> DataFrame:
     ranked = running_sum(df.select(key, F.lit(1).cast("bigint").alias("one")), [], [key], "one", "rank")
     chunk = F.floor((F.col("rank") - 1) / chunk_size).cast("bigint")
     return _chunk_table(ranked.select(key, chunk.alias("chunk")), key)
@@ -38,7 +39,7 @@ def _chunk_table(df: DataFrame, key: str) -> DataFrame:
                                    F.count(F.lit(1)).alias("n_rows"))
 
 
-def plan_chunks(df: DataFrame, key: str, chunk_size: int = 2000,
+def plan_chunks(df: DataFrame, key: str, chunk_size: int = SNAPSHOT_CHUNK_ROWS,
                 factor_bounds: tuple[float, float] = (1.0, 1.0)) -> DataFrame:
     low, high, count = key_stats(df, key)
     if not count:
@@ -49,7 +50,7 @@ def plan_chunks(df: DataFrame, key: str, chunk_size: int = 2000,
     return uneven_chunks(df, key, chunk_size)
 
 
-def jdbc_chunk_options(low: int, high: int, chunk_size: int = 2000, fetch_size: int = 2000,
+def jdbc_chunk_options(low: int, high: int, chunk_size: int = SNAPSHOT_CHUNK_ROWS, fetch_size: int = SNAPSHOT_FETCH_ROWS,
                        max_partitions: int = 10_000) -> dict:
     """Options for an evenly spread key: ``numPartitions = ceil((high-low+1)/chunk)``, capped."""
     parts = max(1, min(max_partitions, math.ceil((high - low + 1) / chunk_size)))
@@ -73,7 +74,7 @@ def jdbc_chunk_predicates(chunks: DataFrame, key: str, max_partitions: int = 10_
 
 
 def read_jdbc_snapshot(spark: SparkSession, url: str, table: str, key: str, low: int, high: int,
-                       props: dict, chunk_size: int = 2000, fetch_size: int = 2000) -> DataFrame:
+                       props: dict, chunk_size: int = SNAPSHOT_CHUNK_ROWS, fetch_size: int = SNAPSHOT_FETCH_ROWS) -> DataFrame:
     opts = jdbc_chunk_options(low, high, chunk_size, fetch_size)
     return (spark.read.format("jdbc").option("url", url).option("dbtable", table)
             .option("partitionColumn", key).options(**opts).options(**props).load())

@@ -13,6 +13,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.constants import DEFAULT_START_POSITION, START_POSITIONS as POSITIONS
+
 SECURITY_KEYS = ("security.protocol", "sasl.mechanism", "sasl.jaas.config")
 
 
@@ -45,14 +47,13 @@ def read_kafka_text(spark: SparkSession, props: dict, starting: str = "earliest"
 
 # --- S4: start position -------------------------------------------------------
 
-POSITIONS = ("AT_TIMESTAMP", "TRIM_HORIZON", "LATEST")
 
 
 def resolve_start_position(props: dict, lenient: bool = False) -> dict:
     """Exact, case-sensitive match; default LATEST. AT_TIMESTAMP needs
     ``start.timestamp`` (ISO-8601 text or epoch seconds). Unknown names raise
     unless ``lenient`` (then LATEST, as the reference silently does)."""
-    pos = props.get("start.position", "LATEST")
+    pos = props.get("start.position", DEFAULT_START_POSITION)
     if pos not in POSITIONS:
         if not lenient:
             raise ValueError(f"unknown start.position {pos!r}; expected one of {POSITIONS}")
