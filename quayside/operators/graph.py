@@ -186,7 +186,8 @@ class PropertyGraph:
         # Cut the (possibly huge) where-edge table to edges leaving found
         # neighbours first; the candidate set is broadcast only when its size is bounded.
         cands = bounded_broadcast(found.select(F.col("neighbour_id").alias("src")).distinct())
-        edges = self.edge_table(where_label).select("src", "dst").join(cands, "src", "left_semi")
+        # used by the size check below and by the final semi join: written once, not scanned twice
+        edges = self.edge_table(where_label).select("src", "dst").join(cands, "src", "left_semi").checkpoint(eager=True)
         good = self._reached(self._vertices_with(where_key).where(F.col(where_key) >= F.lit(where_bound)), edges)
         ok = edges.join(good.select(F.col("id").alias("dst")), "dst", "left_semi") \
             .select(F.col("src").alias("neighbour_id")).distinct()
