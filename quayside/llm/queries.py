@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from quayside.llm import suffix_dedup
+from quayside.llm import byte_bpe, cross_parsing, dart_minhash, decontaminate, html_text, posting_ann, sharding, suffix_dedup, toxicity, warc
 
 QUERIES = {
+    "op1_sharding": sharding.op1,
+    "op2_dart_minhash": dart_minhash.op2,
+    "op3_posting_ann": posting_ann.op3,
+    "op4_warc": warc.op4,
+    "op5_html_text": html_text.op5,
     "op6_suffix_dedup": suffix_dedup.op6,
+    "op7_toxicity": toxicity.op7,
+    "op8_cross_parsing": cross_parsing.op8,
+    "op9_aho_corasick": decontaminate.op9,
+    "op10_byte_bpe": byte_bpe.op10,
 }
 
 ORACLE_SQL: dict[str, str] = {}
