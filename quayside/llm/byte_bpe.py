@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.llm.common import free_name, ship, table
+from quayside.llm.common import free_name, packed, quoted, ship, table, unpacked
 
 #: Fixed value: the published split pattern of byte-level BPE vocabularies (white space spelled out).
 _SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -196,11 +196,10 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, text_col: str = "text")
     spark = ship(docs.sparkSession)
     with open(vocabulary_path, encoding="utf-8") as f:
         source = spark.sparkContext.broadcast(f.read())
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col], F.lit(0).alias("_")).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    row = docs.select(packed(docs, text_col), quoted(text_col).alias("text"))
     schema = T.StructType([*row.schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
     out = row.mapInArrow(_both(source, ["row", "text"]), schema)
-    back = [F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
-    return out.select(*back, F.struct("n_tokens", "ids", "decoded").alias(free_name(docs, "tokens")))
+    return out.select(*unpacked(docs, text_col), F.struct("n_tokens", "ids", "decoded").alias(free_name(docs, "tokens")))
 
 
 def default_vocabulary() -> str:

@@ -64,6 +64,21 @@ def free_name(df: DataFrame, base: str) -> str:
     return name
 
 
+def quoted(name: str):
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def packed(df: DataFrame, besides: str | None = None):
+    """All columns of ``df`` but ``besides`` as one struct column ``row``, so that no name clashes
+    with a helper column (a filler keeps the struct from being empty)."""
+    return F.struct(F.lit(0).alias(free_name(df, "_")), *[quoted(c).alias(c) for c in df.columns if c != besides]).alias("row")
+
+
+def unpacked(df: DataFrame, besides: str | None = None, held: str = "text") -> list:
+    """The columns of ``df`` again, from ``row`` and the column ``held``."""
+    return [F.col(held).alias(c) if c == besides else F.col("row")[c].alias(c) for c in df.columns]
+
+
 def doc_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and the n+1 offsets of an Arrow string column; a null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.llm.common import crc_bucket, doc_bytes, free_name, ship, table
+from quayside.llm.common import crc_bucket, doc_bytes, free_name, packed, quoted, ship, table, unpacked
 
 SEGMENT = 256
 WIDTH = 64
@@ -136,8 +136,8 @@ def phrases(symbols: np.ndarray, offsets: np.ndarray, tables: list[np.ndarray])
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", docs_per_lang: int = 200, chars_per_lang: int = 32768) -> tuple[np.ndarray, list[str], list[np.ndarray], list[int]]:
     """Code points of the alphabet, languages, their parse tables and sample lengths."""
-    known = docs.where(F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{text_col}`").isNotNull())
-    known = known.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(F.col(f"`{id_col}`")).alias("h"))
+    known = docs.where(quoted(lang_col).isNotNull() & quoted(text_col).isNotNull())
+    known = known.select(quoted(lang_col).cast("string").alias("lang"), quoted(text_col).alias("text"), F.xxhash64(quoted(id_col)).alias("h"))
     shares = known.groupBy("lang").count().select(F.col("lang").alias("l"), (F.lit(docs_per_lang) / F.col("count")).alias("share"))
     chosen = known.join(shares, F.col("lang") == F.col("l")).where(F.pmod("h", F.lit(1 << 20)) < F.col("share") * (1 << 20))
     chosen = chosen.select("lang", "h", F.substring("text", 1, chars_per_lang).alias("text")).orderBy("lang", "h", "text")
@@ -194,11 +194,10 @@ def identify(docs: DataFrame, training: DataFrame, text_col: str = "text", lang_
     """``docs`` with a struct column ``language`` (``language_`` if taken): lang_pred and score."""
     spark = ship(docs.sparkSession)
     model = spark.sparkContext.broadcast(learn(training, text_col, lang_col, id_col, **bounds))
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col], F.lit(0).alias("_")).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    row = docs.select(packed(docs, text_col), quoted(text_col).alias("text"))
     schema = T.StructType([*row.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     out = row.mapInArrow(_predict(model, ["row", "text"]), schema)
-    back = [F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
-    return out.select(*back, F.struct("lang_pred", "score").alias(free_name(docs, "language")))
+    return out.select(*unpacked(docs, text_col), F.struct("lang_pred", "score").alias(free_name(docs, "language")))
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import mix64, ship, stored, table
+from quayside.llm.common import mix64, packed, quoted, ship, stored, table, unpacked
 from quayside.llm.shingles import batches_of_words, digests, shingle_sets
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -172,7 +172,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     """One row per row of ``docs``: id (doc_id), th (xxhash64 of the text), class_id, class_rows
     (rows in the class) and name (the class's internal name; null without words)."""
     ship(docs.sparkSession)
-    plain = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("th"), F.col(f"`{text_col}`").alias("text"))
+    plain = docs.select(quoted(id_col).cast("long").alias("id"), F.xxhash64(quoted(text_col)).alias("th"), quoted(text_col).alias("text"))
     signed = stored(plain.mapInArrow(_signed(bands, rows, size), "id long, th long, node binary, bands array<long>"), "darts")
     nodes = signed.where("node is not null").groupBy("node").agg(F.min("id").alias("rep"), F.any_value("bands").alias("bands"))
     entries = nodes.select("node", F.posexplode("bands").alias("band", "h"))
@@ -191,7 +191,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         links = found if links is None else links.unionAll(found)
         roots = connected(links)
     rooted = signed.select("id", "th", "node").join(roots, "node", "left").select("id", "th", F.coalesce("root", "node").alias("name"))
-    least = rooted.where("name is not null").groupBy("name").agg(F.min("id").alias("class_id"), F.count("*").alias("class_rows"))
+    # written first: a join of two exchanges can split a hot class, a join of an aggregate cannot
+    least = stored(rooted.where("name is not null").groupBy("name").agg(F.min("id").alias("class_id"), F.count("*").alias("class_rows")), "class-ids")
     return rooted.join(least, "name", "left").select("id", "th", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("class_rows", F.lit(1)).cast("long").alias("class_rows"), "name")
 
 
@@ -205,10 +206,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     best = best.join(rows, best["id"].eqNullSafe(rows["_i"]) & (best["th"] == rows["_t"])).select("id", "th", "times")
     bare = found.where("name is null").groupBy("id", "th").agg(F.lit(1).cast("long").alias("times"))
     keys = best.unionByName(bare).select(F.col("id").alias("_id"), F.col("th").alias("_th"), F.col("times").alias("_times"))
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("th"))
+    row = docs.select(packed(docs), quoted(id_col).cast("long").alias("id"), F.xxhash64(quoted(text_col)).alias("th"))
     kept = row.join(keys, row["id"].eqNullSafe(keys["_id"]) & (row["th"] == keys["_th"]))
     once = kept.where("_times = 1").select("row").unionAll(kept.where("_times > 1").groupBy("id", "th").agg(F.any_value("row").alias("row")).select("row"))
-    return once.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    return once.select(*unpacked(docs))
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.llm.common import free_name, ship, table
+from quayside.llm.common import free_name, packed, quoted, ship, table, unpacked
 
 _WORD = np.array([c >= 0x80 or chr(c).isalnum() for c in range(256)])
 _CLEAN = bytes((c + 32 if 0x41 <= c <= 0x5A else c) if _WORD[c] else 0x20 for c in range(256))
@@ -119,17 +119,16 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = 10, text
     an occurrence of a window), items (ids whose windows occur, sorted as strings) and spans (byte
     offsets in the original text of the maximal runs of hit words)."""
     spark = ship(docs.sparkSession)
-    wanted = items.select(F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("")).alias("i"), F.col(f"`{item_text}`").alias("t")).where("t is not null")
+    wanted = items.select(F.coalesce(quoted(item_id).cast("string"), F.lit("")).alias("i"), quoted(item_text).alias("t")).where("t is not null")
     total = wanted.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n_blocks = 1 + total // block_bytes
     blocks = []
     for b in range(n_blocks):
         part = [(r["i"], r["t"]) for r in wanted.where(F.pmod(F.xxhash64("i", "t"), F.lit(n_blocks)) == b).toLocalIterator()]
         blocks.append(spark.sparkContext.broadcast((uuid.uuid4().hex, part)))
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col], F.lit(0).alias("_")).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    row = docs.select(packed(docs, text_col), quoted(text_col).alias("text"))
     out = row.mapInArrow(_scan_all(blocks, window), T.StructType([*row.schema.fields, T.StructField("found", _FOUND)]))
-    back = [F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
-    return out.select(*back, F.col("found").alias(free_name(docs, "found")))
+    return out.select(*unpacked(docs, text_col), F.col("found").alias(free_name(docs, "found")))
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import ship, stored, table
+from quayside.llm.common import quoted, ship, stored, table
 
 BALANCE = 2.0
 
@@ -198,8 +198,8 @@ def _best(k: int):
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, v): vectors that take part, one row per id, components as they were."""
-    v = F.col(f"`{vector_col}`")
-    fine = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), v.alias("v")).where("id is not null and v is not null and size(v) > 0")
+    v = quoted(vector_col)
+    fine = vectors.select(quoted(id_col).cast("long").alias("id"), v.alias("v")).where("id is not null and v is not null and size(v) > 0")
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     return fine.where(finite).groupBy("id").agg(F.min("v").alias("v"))
 

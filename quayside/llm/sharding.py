@@ -29,19 +29,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.llm.common import free_name, table
+from quayside.llm.common import free_name, packed, quoted, table, unpacked
 
 
 def _unhashable(kind: T.DataType) -> bool:
     return isinstance(kind, (T.MapType, T.VariantType)) or isinstance(kind, T.ArrayType) and _unhashable(kind.elementType) or isinstance(kind, T.StructType) and any(_unhashable(f.dataType) for f in kind.fields)
 
 
-def _places(rows: DataFrame, group: list[str], order: list, bits: int) -> DataFrame:
-    """(group, part, before): how many rows of the group lie in parts before this one, where a
-    row's part is column ``part`` of ``rows``."""
-    counts = rows.groupBy(*group, "part").count()
-    before = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(*group, "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
+def _before(rows: DataFrame, *group: str) -> DataFrame:
+    """(group, part, before): how many rows of the group lie in parts before this one."""
+    ahead = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.groupBy(*group, "part").count().select(*group, "part", F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("before"))
 
 
 def draw_matrix(blocks: DataFrame, shards: int, parts: int, seed: int) -> DataFrame:
@@ -50,8 +48,7 @@ def draw_matrix(blocks: DataFrame, shards: int, parts: int, seed: int) -> DataFr
     slots = blocks.select("block", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("i")).withColumn("u", F.xxhash64(F.lit(seed), "block", "i"))
     slots = slots.withColumn("part", F.pmod(F.shiftrightunsigned("u", 8), F.lit(parts)))
     # the order is by part, then by u: any fixed order of independent keys is a uniform order
-    before = slots.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    placed = slots.withColumn("r", F.row_number().over(Window.partitionBy("part").orderBy("u", "block", "i")) - 1).join(before, "part")
+    placed = slots.withColumn("r", F.row_number().over(Window.partitionBy("part").orderBy("u", "block", "i")) - 1).join(_before(slots), "part")
     cells = placed.groupBy("block", F.pmod(F.col("r") + F.col("before"), F.lit(shards)).alias("shard")).count()
     each = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: F.coalesce(F.try_element_at("by_shard", s.cast("long")), F.lit(0).cast("long")))
     matrix = cells.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("shard", "count"))).alias("by_shard")).select("block", each.alias("counts"))
@@ -62,17 +59,17 @@ def shuffle_shards(df: DataFrame, shards: int = 16, seed: int = 20240501) -> Dat
     """``df`` with a struct column ``place`` (``place_`` if taken): shard (0 to ``shards`` - 1) and
     slot (0, 1, ... in its shard)."""
     out = free_name(df, "place")
-    keys = [F.col(f"`{f.name}`") for f in df.schema.fields if not _unhashable(f.dataType)]
+    keys = [quoted(f.name) for f in df.schema.fields if not _unhashable(f.dataType)]
     parts = max(1, math.isqrt(df.count()))
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.xxhash64(F.lit(seed + 1), *keys).alias("k1"), F.xxhash64(F.lit(seed + 2), *keys).alias("k2"))
+    rows = df.select(packed(df), F.xxhash64(F.lit(seed + 1), *keys).alias("k1"), F.xxhash64(F.lit(seed + 2), *keys).alias("k2"))
     rows = rows.withColumn("block", F.pmod(F.shiftrightunsigned("k1", 8), F.lit(parts)))
     matrix = draw_matrix(rows.groupBy("block").agg(F.count("*").alias("n")), shards, parts, seed)
     local = rows.withColumn("j", F.row_number().over(Window.partitionBy("block").orderBy("k2", "k1")) - 1).join(matrix, "block")
     sent = local.withColumn("shard", F.size(F.filter("upto", lambda c: c <= F.col("j"))))
     sent = sent.withColumn("v", F.xxhash64(F.lit(seed + 3), "k1", "k2", "j")).withColumn("part", F.pmod(F.shiftrightunsigned("v", 8), F.lit(-(-parts // shards))))
-    before = _places(sent.select("shard", "part"), ["shard"], [], 0)
+    before = _before(sent.select("shard", "part"), "shard")
     placed = sent.select("row", "shard", "part", (F.row_number().over(Window.partitionBy("shard", "part").orderBy("v", "k1", "k2", "j")) - 1).alias("at")).join(before, ["shard", "part"])
-    return placed.select(*[F.col("row")[c].alias(c) for c in df.columns], F.struct("shard", (F.col("at") + F.col("before")).cast("long").alias("slot")).alias(out))
+    return placed.select(*unpacked(df), F.struct("shard", (F.col("at") + F.col("before")).cast("long").alias("slot")).alias(out))
 
 
 def op1(spark, sf_dir: str) -> DataFrame:

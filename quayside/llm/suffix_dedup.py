@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.llm.common import doc_bytes, free_name, mix64, ship, shuffle_partitions, stored, table
+from quayside.llm.common import doc_bytes, free_name, mix64, packed, quoted, ship, shuffle_partitions, stored, table, unpacked
 
 GRAM = 32
 LEVELS = 3
@@ -367,36 +367,43 @@ def _reduce_spots(length: int):
     return run
 
 
-_CUT = T.StructType([T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")]
-                    + [T.StructField("kept", T.BinaryType()), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))])
+_SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut_type(as_text: bool) -> T.StructType:
+    return T.StructType([*(T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept", T.StringType() if as_text else T.BinaryType()), T.StructField("spans", _SPANS)])
+
+
+def _cut(as_text: bool):
     """Merge a document's spans and cut them out of its bytes."""
-    kind = pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
-    for rb in batches:
-        data, offsets = doc_bytes(rb.column("text"))
-        ss, ee = rb.column("ss").to_pylist(), rb.column("ee").to_pylist()
-        out = []
-        for i, (s, e) in enumerate(zip(ss, ee)):
-            text = data[offsets[i]:offsets[i + 1]].tobytes()
-            m = _spans_of(np.zeros(len(s or ()), np.int64), np.zeros(len(s or ()), np.int64), np.array(s or (), np.int64), np.array(e or (), np.int64))
-            starts, ends = m["start"].tolist(), m["end"].tolist()
-            kept = b"".join(text[a:b] for a, b in zip([0, *ends], [*starts, len(text)]))
-            out.append({"n_bytes": len(text), "n_removed": len(text) - len(kept), "n_spans": len(starts), "kept": kept, "spans": [{"start": a, "end": b} for a, b in zip(starts, ends)]})
-        yield pa.RecordBatch.from_arrays([rb.column("row"), rb.column("text"), pa.array(out, kind)], names=["row", "text", "c"])
-
-
-def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    kind = pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.string() if as_text else pa.binary()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            data, offsets = doc_bytes(rb.column("text"))
+            ss, ee = rb.column("ss").to_pylist(), rb.column("ee").to_pylist()
+            out = []
+            for i, (s, e) in enumerate(zip(ss, ee)):
+                text = data[offsets[i]:offsets[i + 1]].tobytes()
+                m = _spans_of(np.zeros(len(s or ()), np.int64), np.zeros(len(s or ()), np.int64), np.array(s or (), np.int64), np.array(e or (), np.int64))
+                starts, ends = m["start"].tolist(), m["end"].tolist()
+                pieces = [text[a:b] for a, b in zip([0, *ends], [*starts, len(text)])]
+                kept = "".join(p.decode("utf-8", "ignore") for p in pieces) if as_text else b"".join(pieces)
+                out.append({"n_bytes": len(text), "n_removed": len(text) - sum(map(len, pieces)), "n_spans": len(starts), "kept": kept, "spans": [{"start": a, "end": b} for a, b in zip(starts, ends)]})
+            yield pa.RecordBatch.from_arrays([rb.column("row"), rb.column("text"), pa.array(out, kind)], names=["row", "text", "c"])
+
+    return run
+
+
+def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False) -> DataFrame:
     """All rows of ``docs`` with a struct column ``cut`` (``cut_`` if taken): n_bytes, n_removed, n_spans (maximal removed
-    runs), kept (the remaining bytes) and spans (byte offsets in the input text). ``length`` must
-    be 68 to 159. See the module text for the method and the edge cases."""
+    runs), kept (the remaining bytes; with ``as_text`` the text they hold, without characters that
+    a span cuts through) and spans (byte offsets in the input text). ``length`` must be 68 to 159. See the module text for the method and the edge cases."""
     if not 68 <= length <= 159:
         raise ValueError("length must be 68 to 159 bytes")
     buckets = 4 * shuffle_partitions(ship(docs.sparkSession))
-    rest = [c for c in docs.columns if c != text_col]
-    keyed = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NULL_ID)).alias("k"), F.crc32(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")).alias("m"),
-                        F.col(f"`{text_col}`").alias("text"), F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in rest]).alias("row"))
+    keyed = docs.select(F.coalesce(quoted(id_col).cast("long"), F.lit(_NULL_ID)).alias("k"), F.crc32(F.coalesce(quoted(text_col), F.lit("")).cast("binary")).alias("m"),
+                        quoted(text_col).alias("text"), packed(docs, text_col))
     sent = keyed.select("k", "m", "text").mapInArrow(_map_runs(length, buckets), _SENT)
     first = stored(sent.groupBy("bucket").applyInArrow(_reduce_runs(length), _FOUND), "suffix-runs")
     # both joins below read one exchange of the documents: the same columns, dealt by the same keys
@@ -405,10 +412,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     second = spots.groupBy("bucket").applyInArrow(_reduce_spots(length), _FOUND)
     spans = _lists(first.where("kind = 1").unionByName(second.where("kind = 1")))
     joined = keyed.join(spans, ["k", "m"], "left")
-    schema = joined.select("row", "text").schema.add("c", _CUT)
-    cut = joined.mapInArrow(_cut, schema)
-    back = [F.col("text").alias(text_col) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
-    return cut.select(*back, F.col("c").alias(free_name(docs, "cut")))
+    cut = joined.mapInArrow(_cut(as_text), joined.select("row", "text").schema.add("c", _cut_type(as_text)))
+    return cut.select(*unpacked(docs, text_col), F.col("c").alias(free_name(docs, "cut")))
 
 
 def _lists(found: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import crc_bucket, ship, stored, table
+from quayside.llm.common import crc_bucket, packed, quoted, ship, stored, table
 
 FEATURES = ["lexicon_density", "stem_density", "lexicon_hits", "mean_odds", "second_person_near", "second_person", "capitals", "capital_words", "punctuation", "punctuation_runs", "obfuscated", "plain_hits", "length"]
 SECOND_PERSON = frozenset("you your yours yourself u ur thou thee tu te toi ton ta tes vous votre vos du dich dir dein deine ihr euch usted ustedes ti vosotros".split())
@@ -111,11 +111,11 @@ def _featured(lexicon):
 def score(docs: DataFrame, labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id", sample_rows: int = 20_000, lexicon_size: int = 2_000, trees: int = 15, depth: int = 3) -> DataFrame:
     """``docs`` without its text, with columns score (0 to 1) and predicted (1 from 0.5 on)."""
     spark = ship(docs.sparkSession)
-    known = labelled.select(F.xxhash64(F.col(f"`{id_col}`"), F.lit(7)).alias("h"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), F.col(f"`{label_col}`").cast("int").alias("toxic"))
-    known = known.where(F.col("toxic").isin(0, 1) & F.col(f"`{id_col}`").isNotNull()) if id_col in known.columns else known.where(F.col("toxic").isin(0, 1))
-    share = min(1.0, sample_rows / max(1, labelled.count()))
+    known = labelled.where(quoted(id_col).isNotNull() & quoted(label_col).cast("int").isin(0, 1))
+    share = min(1.0, sample_rows / max(1, known.count()))
+    known = known.select(F.xxhash64(quoted(id_col), F.lit(7)).alias("h"), F.coalesce(quoted(text_col), F.lit("")).alias("text"), quoted(label_col).cast("int").alias("toxic"))
     sample = stored(known.where(F.pmod("h", F.lit(1 << 20)) < int(share * (1 << 20))).withColumn("turn", F.pmod(F.shiftright("h", 24), F.lit(10))), "toxic-sample")
-    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col], F.lit(0).alias("_")).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    plain = docs.select(packed(docs, text_col), quoted(text_col).alias("text"))
     kept = [F.col("row")[c].alias(c) for c in docs.columns if c != text_col]
     classes = {(r["turn"] < 8, r["toxic"]) for r in sample.groupBy("turn", "toxic").count().collect()}
     if not {(True, 0), (True, 1)} <= classes:

@@ -36,7 +36,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import shared_folder, ship, shuffle_partitions, table
+from quayside.llm.common import quoted, shared_folder, ship, shuffle_partitions, table
 
 HISTOGRAM = 65_536
 DATE = "2024-01-01T00:00:00Z"
@@ -159,7 +159,7 @@ def write_warc(records: DataFrame, target: str, id_col: str = "page_id", url_col
     spark = ship(records.sparkSession)
     fs, folder = pafs.FileSystem.from_uri(target)
     fs.create_dir(folder, recursive=True)
-    plain = records.select(F.col(f"`{id_col}`").cast("long").alias("key"), F.col(f"`{url_col}`").alias("url"), F.col(f"`{payload_col}`").alias("html"))
+    plain = records.select(quoted(id_col).cast("long").alias("key"), quoted(url_col).alias("url"), quoted(payload_col).alias("html"))
     full = with_revisits(plain, "key", "html", revisit_bytes).drop("html")
     dealt = _sharded(full, "key", shard_bytes).select(F.col("shard.base").alias("base"), F.col("shard.piece").alias("piece"), "key", "url", "payload", "digest", "refers_to", "inside", "tie")
     rows = dealt.repartition(shuffle_partitions(spark), "base", "piece").sortWithinPartitions("base", "piece", "key", "tie", "url").drop("inside", "tie")

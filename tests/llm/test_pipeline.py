@@ -1,0 +1,65 @@
+import hashlib
+import random
+
+import corpus_pipeline
+import numpy as np
+import public_tokenizers
+from helpers import DOCS, prose
+from test_dart_minhash import brute_classes
+from test_decontaminate import brute as leaks
+from test_suffix_dedup import brute as repeats
+from tokenizers import Tokenizer
+
+STEMS = {"en": ("lo", "ra", "mi", "ten"), "de": ("zwu", "sch", "ei", "ung")}
+
+
+def _texts():
+    rnd = random.Random(11)
+    bench = [prose(rnd, 14), prose(rnd, 25)]
+    shared = prose(rnd, 60)
+    texts = [prose(rnd, rnd.randint(20, 120), STEMS[x]) for x in ("en", "de") * 30]
+    texts += [texts[0], texts[1] + " more", texts[2].replace(" ", "  "), texts[3]]
+    texts += [prose(rnd, 200) + " " + shared + " " + prose(rnd, 200) for _ in range(6)]
+    texts += [prose(rnd, 30) + " " + bench[0] + " " + prose(rnd, 30), bench[1]]
+    texts += [None, "", "12 !", "x"]
+    return texts, bench
+
+
+def test_stages_against_brute_force(spark, tmp_path):
+    texts, bench = _texts()
+    base = f"{tmp_path}/sf"
+    rows = [(i, t, None if i == 5 else "de" if i < 60 and i % 2 else "en", "s", len(t or ""), 1.5) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, DOCS + ", row double").write.parquet(f"{base}/documents.parquet")
+    spark.createDataFrame(list(enumerate(bench)), "item_id long, text string").write.parquet(f"{base}/benchmark.parquet")
+    docs, seen = spark.read.parquet(f"{base}/documents.parquet"), []
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, base).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        seen.append(docs)
+        if name != "tokenize":
+            assert docs.columns == [c for c in spark.read.parquet(f"{base}/documents.parquet").columns]
+    now = [(i, t) for i, t in enumerate(texts) if any(c.isalpha() for c in t or "")]
+    assert sorted(r.doc_id for r in seen[0].collect()) == [i for i, _ in now]
+    assert {r.doc_id: r.lang for r in seen[0].collect()}[5] == "de"
+    keep = {now[c][0] for c in brute_classes([t for _, t in now])}
+    now = [(i, t) for i, t in now if i in keep]
+    assert sorted((r.doc_id, r.text) for r in seen[1].collect()) == now
+    now = [(i, kept.decode("utf-8", "ignore")) for i, _, _, _, kept in repeats(now)]
+    assert sorted((r.doc_id, r.text) for r in seen[2].collect()) == now
+    assert all(r.n_chars == len(r.text) for r in seen[2].collect())
+    hits = leaks([t for _, t in now], list(enumerate(bench)))
+    now = [x for x, (_, h, _) in zip(now, hits) if not h]
+    assert sorted((r.doc_id, r.text) for r in seen[3].collect()) == now
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = []
+    for i, t in now:
+        ids = tokenizer.encode(t, add_special_tokens=False).ids
+        want.append((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(t.encode()).hexdigest()))
+    assert sorted(tuple(r) for r in seen[4].collect()) == want
+    assert sorted(tuple(r) for r in corpus_pipeline.run(spark, base).collect()) == want
+
+
+def test_empty_table(spark, tmp_path):
+    spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -1,0 +1,61 @@
+import random
+import zlib
+
+from helpers import empty, frame, prose
+
+from quayside.llm import queries, toxicity
+
+BAD = ("grubwort", "snarkel", "flimp", "grubwig")
+
+
+def _labelled(spark, n=400, seed=1):
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        words, toxic = prose(rnd, rnd.randint(20, 60)).split(), i % 4 == 0
+        for _ in range(3 * toxic):
+            words.insert(rnd.randrange(len(words)), "you " + rnd.choice(BAD))
+        rows.append((i, " ".join(words), int(toxic)))
+    return spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+
+
+def test_learned_and_whole(spark):
+    rnd = random.Random(9)
+    texts = [prose(rnd, 40) + " you flimp, you SNARKEL " + prose(rnd, 5) for _ in range(20)] + [prose(rnd, 40) for _ in range(40)] + [None, "", "?!", prose(rnd, 20_000), "grubwort"]
+    docs = frame(spark, texts)
+    out = toxicity.score(docs, _labelled(spark))
+    assert out.columns == [*[c for c in docs.columns if c != "text"], "score", "predicted"]
+    got = {r.doc_id: r for r in out.collect()}
+    assert len(got) == len(texts)
+    assert all(0.0 <= r.score <= 1.0 and r.predicted == int(r.score >= 0.5) for r in got.values())
+    assert all(got[i].predicted == 1 for i in range(20))
+    assert all(got[i].predicted == 0 for i in range(20, 60))
+    assert got[60].score == got[61].score == got[62].score < 0.5
+
+
+def test_one_class_and_empty_tables(spark):
+    docs = frame(spark, ["a", None])
+    schema = "doc_id long, text string, toxic int"
+    for rows, want in (([], 0.0), ([(1, "x", 0)], 0.0), ([(1, "x", 1), (None, "y", 0), (2, "z", None), (3, None, 1)], 1.0)):
+        got = toxicity.score(docs, spark.createDataFrame(rows, schema)).collect()
+        assert [r.score for r in got] == [want, want]
+    assert toxicity.score(empty(spark), _labelled(spark)).count() == 0
+
+
+def test_features():
+    words, stems = {"idiot": 5.0}, {"grub": 4.0}
+    f = dict(zip(toxicity.FEATURES, toxicity.features("You IDIOT! grubwort id1ot the end!!", words, stems)))
+    assert f["lexicon_density"] == f["stem_density"] == f["second_person"] == f["second_person_near"] == f["plain_hits"] == 100 / 6
+    assert f["capitals"] > 0 and f["capital_words"] == 100 / 6 and f["punctuation"] > 0 and f["obfuscated"] == 100 / 6
+    assert toxicity.features("", words, stems) == toxicity.features("!!!", words, stems) == [0.0] * len(toxicity.FEATURES)
+
+
+def test_query_held_out(spark):
+    base = "/root/testdata/sf0.1"
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{base}/labels.parquet").collect()}
+    rows = queries.QUERIES["op7_toxicity"](spark, base).collect()
+    assert len(rows) == 10_000
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    held = [(truth[r.doc_id], r.predicted) for r in rows if r.held_out and r.doc_id in truth]
+    yes, no = [p for t, p in held if t], [p for t, p in held if not t]
+    assert sum(yes) >= 0.9 * len(yes) and sum(no) <= 0.01 * len(no)
