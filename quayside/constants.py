@@ -21,6 +21,12 @@ PRODUCER_RETRIES = 3
 PRODUCER_BATCH_BYTES = 16384
 PRODUCER_LINGER_MS = 10
 PRODUCER_DELIVERY_TIMEOUT_MS = 10000
+PRODUCER_REQUEST_TIMEOUT_MS = 2000
+PRODUCER_MAX_BLOCK_MS = 2000
+PRODUCER_BUFFER_BYTES = 33554432
+PRODUCER_MAX_IDLE_MS = 300000
+PRODUCER_RETRY_BACKOFF_MS = 100
+PRODUCER_CONNECTION_SETUP_MS = 1500
 MESSAGE_TEXT_FORMAT = "Message %d at %d"
 USER_ID_FORMAT = "user-%06d"
 PERCENTILES = (0.5, 0.95, 0.99)

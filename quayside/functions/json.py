@@ -6,6 +6,11 @@ the message is parsed twice, as ``[m]`` and as ``{"x": m}``; junk after a
 closing bracket breaks one of the two. The object form also yields the value
 whose path we read.
 
+The parser behind ``try_parse_json`` refuses nesting beyond 1000 levels, numbers beyond 1000
+characters and values beyond 16 MB, and no Spark setting lifts that. A text that fails to parse and
+could exceed one of these limits is *undecided*: ``is_json`` is null for it and ``json_outcome`` says
+``undecided``; it is never reported as "not JSON".
+
 The column functions (``is_json``, ``json_scalar``) are one nested expression;
 Catalyst does not share a parse between branches of ``CASE``/``AND``, so a
 row may be parsed several times. The ``with_*`` DataFrame functions parse once
@@ -41,7 +46,28 @@ def is_json(message) -> Column:
     ok = (F.try_parse_json(arr).isNotNull()
           & F.try_parse_json(obj).isNotNull()
           & (F.coalesce(F.json_array_length(arr), F.lit(0)) == 1))
-    return F.when(m.isNotNull(), ok)
+    return F.when(m.isNotNull(), F.when(ok, True).when(~_beyond_parser(m), False))
+
+
+# fixed values: limits of the parser
+MAX_DEPTH = 1000
+MAX_NUMBER = 1000
+MAX_BYTES = 16 * 1024 * 1024
+
+
+def _beyond_parser(m: Column) -> Column:
+    """Could the text exceed a limit of the parser? Looked at only where parsing failed. Two
+    brackets and the wrapper's characters are taken off the limits."""
+    opening = F.length(m) - F.length(F.translate(m, "[{", ""))
+    return ((opening > MAX_DEPTH - 3) | (F.octet_length(m) > MAX_BYTES // 2)
+            | F.regexp_like(m, F.lit(f"[-+.0-9eE]{{{MAX_NUMBER - 3},}}")))
+
+
+def json_outcome(message) -> Column:
+    """``json``, ``not_json``, ``undecided`` (beyond the parser's limits); null for a null text."""
+    m = _col(message)
+    ok = is_json(m)
+    return F.when(m.isNull(), None).when(ok, "json").when(ok.isNull(), "undecided").otherwise("not_json")
 
 
 def _variant_path(path: str) -> str:
@@ -111,9 +137,9 @@ def with_parsed(df, message: str) -> "DataFrame":
 
 
 def _valid_expr(message: str) -> Column:
-    return F.when(F.col(message).isNotNull(),
-                  F.col(_ARR_OK) & F.col(_OBJ).isNotNull()
-                  & F.try_variant_get(F.col(_OBJ), "$.x", "variant").isNotNull())
+    ok = (F.col(_ARR_OK) & F.col(_OBJ).isNotNull()
+          & F.try_variant_get(F.col(_OBJ), "$.x", "variant").isNotNull())
+    return F.when(F.col(message).isNotNull(), F.when(ok, True).when(~_beyond_parser(F.col(message)), False))
 
 
 def with_is_json(df, message: str, out: str = "is_json") -> "DataFrame":

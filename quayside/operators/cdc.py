@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from quayside import schemas
 from quayside.constants import BULK_MAX_ACTIONS, BULK_MAX_BYTES, SKIPPED_OPERATIONS
+from quayside.functions import from_epoch_micros
 from quayside.plans import running_sum
 
 
@@ -32,8 +33,31 @@ def conform(df: DataFrame, schema: T.StructType = schemas.ASSET_RECORD, check_nu
 
 
 def skip_operations(log: DataFrame, skipped: Sequence[str] = SKIPPED_OPERATIONS, op_col: str = "op") -> DataFrame:
-    """Drop skipped operations (deletes) before collapsing, so a deleted key keeps its last image."""
-    return log.where(~F.col(op_col).isin(list(skipped)))
+    """Drop skipped operations (deletes) before collapsing, so a deleted key keeps its last image.
+    Only the listed operations go; a row without an operation stays."""
+    return log.where(F.col(op_col).isNull() | ~F.col(op_col).isin(list(skipped)))
+
+
+def decode_envelopes(messages: DataFrame, value_col: str = "value", schema: T.StructType = schemas.ASSET_RECORD) -> DataFrame:
+    """Change envelopes (JSON text with ``op``, ``before``, ``after``, ``ts_ms``, ``position``) to rows
+    ``op, change_ts, position`` + the typed columns. The image is ``after``; a delete has none, so
+    its last image is ``before``. Texts that are no envelope are left to ``envelope_rejects``."""
+    return _enveloped(messages, value_col, schema).where("_e.op IS NOT NULL AND _image IS NOT NULL").select(
+        F.col("_e.op").alias("op"), from_epoch_micros(F.col("_e.ts_ms") * 1000).alias("change_ts"),
+        F.col("_e.position").alias("position"), *[F.col(f"_image.{f.name}").alias(f.name) for f in schema.fields])
+
+
+def envelope_rejects(messages: DataFrame, value_col: str = "value", schema: T.StructType = schemas.ASSET_RECORD) -> DataFrame:
+    """The messages that ``decode_envelopes`` cannot use: no JSON object, no operation, or no image."""
+    return _enveloped(messages, value_col, schema).where("_e.op IS NULL OR _image IS NULL").select(*messages.columns)
+
+
+def _enveloped(messages: DataFrame, value_col: str, schema: T.StructType) -> DataFrame:
+    image = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+    envelope = T.StructType([T.StructField("op", T.StringType()), T.StructField("before", image), T.StructField("after", image),
+                             T.StructField("ts_ms", T.LongType()), T.StructField("position", T.LongType())])
+    parsed = messages.withColumn("_e", F.from_json(value_col, envelope))
+    return parsed.withColumn("_image", F.coalesce("_e.after", "_e.before"))
 
 
 def latest_image(log: DataFrame, key: str | Sequence[str], order_cols: Sequence[str]) -> DataFrame:
@@ -70,11 +94,6 @@ def mod_partition_key(df: DataFrame, key: str = schemas.ASSET_KEY, parallelism:
     return df.select(key, F.expr(f"mod(`{key}`, {int(parallelism)})").cast("bigint").alias("partition_key"))
 
 
-def spread_by_key(df: DataFrame, key: str = schemas.ASSET_KEY, parallelism: int = 4) -> DataFrame:
-    """What the unused MOD column was meant for: spread writers by key."""
-    return df.repartition(parallelism, key)
-
-
 def plain_decimals(df: DataFrame) -> DataFrame:
     """Decimals as plain text: CAST gives ``0.000000000000000000`` where ``to_json``
     of a decimal would print ``0E-18``."""
@@ -116,11 +135,9 @@ def bulk_batches(docs: DataFrame, partition_col: str, order_cols: Sequence[str],
     order_col = order_cols[0]
     rows = docs.select(partition_col, *order_cols, F.lit(1).cast("bigint").alias("one"),
                        F.octet_length(doc_col).cast("bigint").alias("bytes"))
-    # the documents are costly to build: checkpoint the narrow rows once instead of building them twice
-    ranked = running_sum(rows, [partition_col], order_cols, ["one", "bytes"], ["rank", "running"],
-                         materialize_input=True)
-    batch = F.greatest(F.floor((F.col("rank") - 1) / max_actions),
-                       F.floor((F.col("running") - F.col("bytes")) / max_bytes)).cast("bigint")
+    ranked = running_sum(rows, [partition_col], order_cols, ["one", "bytes"], ["rank", "running"])
+    batch = F.greatest(F.call_function("div", F.col("rank") - 1, F.lit(max_actions).cast("bigint")),
+                       F.call_function("div", F.col("running") - F.col("bytes"), F.lit(max_bytes).cast("bigint")))
     return (ranked.withColumn("batch_no", batch)
             .groupBy(partition_col, "batch_no")
             .agg(F.count(F.lit(1)).alias("n_actions"), F.sum("bytes").alias("n_bytes"),

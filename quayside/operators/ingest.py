@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.functions import (
-    date_text, epoch_micros, framed, from_epoch_micros, is_json, truncate_to_millis, with_is_json,
+    date_text, epoch_micros, framed, from_epoch_micros, is_json, json_outcome, truncate_to_millis, with_is_json,
     with_json_scalar,
 )
 from quayside.constants import INACTIVITY_SECONDS, MAX_PART_BYTES, ROLL_MINUTES
@@ -79,6 +79,11 @@ def json_validity(messages: DataFrame, id_cols=("source", "id")) -> DataFrame:
     return with_is_json(messages, "value", "is_json").select(*id_cols, "is_json")
 
 
+def json_outcomes(messages: DataFrame, id_cols=("source", "id")) -> DataFrame:
+    """P10 with the texts that the parser cannot decide kept apart (``undecided``)."""
+    return messages.select(*id_cols, json_outcome("value").alias("outcome"))
+
+
 def peek_first_records(messages: DataFrame, n: int = 10) -> DataFrame:
     """From the oldest record of the first shard, the first ``n``
     records with the JSON check. Plans as TakeOrderedAndProject (top-n per task).
@@ -162,7 +167,7 @@ def assign_size_parts(messages: DataFrame, max_bytes: int = MAX_PART_BYTES, minu
         _window_start("arrival_ts", minutes * 60).alias("window_start"),
         line_bytes("value", framing).cast("bigint").alias("bytes"))
     summed = running_sum(rows, ["date", "window_start"], ["arrival_ts", "offset"], "bytes", "running")
-    return summed.withColumn("part_no", F.floor((F.col("running") - F.col("bytes")) / F.lit(max_bytes)).cast("bigint"))
+    return summed.withColumn("part_no", F.call_function("div", F.col("running") - F.col("bytes"), F.lit(max_bytes).cast("bigint")))
 
 
 def roll_by_size(messages: DataFrame, max_bytes: int = MAX_PART_BYTES, minutes: int = ROLL_MINUTES,

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions import epoch_micros, epoch_millis, from_epoch_micros, message_text
-
 from quayside.constants import PRODUCER_SPACING_MS as SPACING_MS  # one per 10 ms: at most 100 per second
 
 

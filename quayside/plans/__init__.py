@@ -1,7 +1,5 @@
-"""Plan-level building blocks shared by the operators."""
+"""Reusable plan shapes."""
 
-from quayside.plans.broadcast import bounded_broadcast, join_small
-from quayside.plans.ordered import running_sum
-from quayside.plans.parallel import spread
+from quayside.plans.ordered import cut_points, running_sum, with_buckets
 
-__all__ = ["bounded_broadcast", "join_small", "running_sum", "spread"]
+__all__ = ["cut_points", "running_sum", "with_buckets"]

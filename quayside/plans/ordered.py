@@ -2,151 +2,98 @@
 
 A window ``sum(...) OVER (PARTITION BY g ORDER BY o)`` sends every row of a
 group to one task; with one group holding a third of the data that task is the
-job. Here the rows are range-partitioned on ``(g, o)`` instead, so a hot group
-is split over many partitions:
-
-1. ``repartitionByRange(n, g..., o...)`` + ``sortWithinPartitions``; the
-   partition id is kept as ``_pid``.
-2. One Arrow pass (``mapInArrow``) computes the running sum inside each
-   partition; rows travel as Arrow buffers, only key and value columns are
-   looked at.
-3. The range-sorted rows are written once with ``checkpoint()`` to the shared
-   checkpoint folder. Range bounds come from sampling, so two evaluations of
-   the exchange may cut differently; the checkpoint fixes one cut for both uses
-   and also cuts the lineage, so a lost executor does not re-sample. From it a
-   JVM aggregate gives per partition its first group and the total of its last
-   group: exactly ``n`` rows.
-4. The carry into partition ``p`` is the running total of its first group over
-   earlier partitions. A group only continues into ``p`` from ``p-1``, so a
-   window over the ``n``-row summary gives it; that table is bounded by the
-   partition count and is broadcast back.
-
-The ordering columns must make the order unique inside a group (add a
-tie-breaker such as an offset), otherwise ties are cut arbitrarily.
+job. Here each group is cut along its order into buckets first:
+
+1. Cut points on the leading order column: a sample of about ``SAMPLE`` rows,
+   chosen by a hash of the order columns, is sorted and every k-th value taken.
+   The choice is a function of the data, so every evaluation (a retry, a
+   second use in the plan) gives the same cut points.
+2. A row's bucket is the number of cut points at or below its order value, so
+   buckets follow the order inside every group, and a group with a third of
+   all rows spans about a third of the buckets.
+3. Sums per (group, bucket), with partial aggregation, and a window over those
+   few rows give what lies before a bucket; a window inside (group, bucket)
+   gives what lies before a row in it.
+
+Everything is a built-in expression in one lazy plan: no Python, no job while
+the plan is built, nothing written. Decimals stay decimals.
+
+The order columns must make the order unique inside a group (add a tie-breaker
+such as an offset), otherwise ties are cut arbitrarily. The leading order column
+must be a number, a date or a time; rows that share its value share a bucket, so
+collapse such repeats first where they can be many (see ``sources.snapshot``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.session import checkpoint_dir
-
-try:  # ship this module's functions by value, so workers need not import the package
-    from pyspark import cloudpickle as _cloudpickle
-    import sys as _sys
-    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
-except Exception:  # noqa: BLE001  (older cloudpickle: workers then import the package)
-    pass
-
-_PID = "_qs_pid"
-_LOCAL = "_qs_local"
-
-
-def _local_sums(group_cols: list[str], value_cols: list[str], floats: list[bool]):
-    def run(batches):
-        last_key = None
-        carry = [0.0 if f else 0 for f in floats]
-        for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                for name, f in zip(_local_names(value_cols), floats):
-                    batch = batch.append_column(name, pa.array([], pa.float64() if f else pa.int64()))
-                yield batch
-                continue
-            keys = [batch.column(c).to_pylist() for c in group_cols]
-            rows = list(zip(*keys)) if keys else [()] * n
-            starts = np.zeros(n, dtype=bool)
-            starts[0] = rows[0] != last_key
-            if n > 1:
-                starts[1:] = [rows[i] != rows[i - 1] for i in range(1, n)]
-            seg = np.cumsum(starts) - 1          # -1: rows continuing the previous batch's group
-            first_idx = np.flatnonzero(starts)
-            head = seg < 0
-            out = batch
-            for j, (c, f) in enumerate(zip(value_cols, floats)):
-                col = batch.column(c)
-                if col.null_count:
-                    col = pc.fill_null(col, 0)
-                vals = col.to_numpy(zero_copy_only=False).astype(np.float64 if f else np.int64, copy=False)
-                total = np.cumsum(vals)
-                if len(first_idx):
-                    base = np.where(first_idx > 0, total[np.maximum(first_idx - 1, 0)], 0)
-                    local = total - base[np.maximum(seg, 0)]
-                else:
-                    local = total.copy()
-                local = np.where(head, total + carry[j], local)
-                carry[j] = local[-1]
-                out = out.append_column(_local_names(value_cols)[j],
-                                        pa.array(local, pa.float64() if f else pa.int64()))
-            last_key = rows[-1]
-            yield out
-    return run
-
-
-def _local_names(value_cols):
-    return [f"{_LOCAL}{i}" for i in range(len(value_cols))]
+SAMPLE = 10_000
+BUCKETS = 256
+
+_BUCKET, _BEFORE, _CUTS = "_qs_bucket", "_qs_before", "_qs_cuts"
+
+
+def _order_value(df: DataFrame, column: str) -> Column:
+    """The leading order column as a number that keeps its order."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.NumericType):
+        return F.col(column)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col(column))
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column)
+    raise TypeError(f"cannot order by {column}: {kind.simpleString()}")
+
+
+def cut_points(df: DataFrame, order_cols: Sequence[str], buckets: int = BUCKETS) -> Column:
+    """Sorted cut points of the leading order column, as a scalar subquery."""
+    value = _order_value(df, order_cols[0])
+    n = df.agg(F.count(F.lit(1))).scalar()
+    every = F.greatest(F.lit(1).cast("bigint"), F.floor(n / SAMPLE).cast("bigint"))
+    # a bounded sample: about SAMPLE rows, at most 2 * SAMPLE
+    chosen = df.where(F.col(order_cols[0]).isNotNull() & (F.pmod(F.xxhash64(*order_cols), every) == 0))
+    ranked = chosen.agg(F.array_sort(F.collect_list(value)).alias("s"))
+    step = F.greatest(F.lit(1), F.ceil(F.size("s") / buckets).cast("int"))
+    return ranked.select(F.filter("s", lambda _, i: (i > 0) & (i % step == 0))).scalar()
+
+
+def with_buckets(df: DataFrame, order_cols: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    """Add the bucket number of each row (-1 for a null leading value, which sorts first)."""
+    value = _order_value(df, order_cols[0])
+    cut = df.withColumn(_CUTS, cut_points(df, order_cols, buckets))
+    number = F.when(F.col(order_cols[0]).isNull(), F.lit(-1)).otherwise(F.size(F.filter(_CUTS, lambda c: c <= value)))
+    return cut.withColumn(_BUCKET, number).drop(_CUTS)
 
 
 def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                value_cols, out_cols, num_partitions: int | None = None,
-                materialize_input: bool = False) -> DataFrame:
+                value_cols, out_cols, buckets: int = BUCKETS) -> DataFrame:
     """Add ``out_cols`` = inclusive running sums of ``value_cols`` within
     ``group_cols`` ordered by ``order_cols`` (ascending, nulls first). Null values
-    count as 0. Integer values give BIGINT, fractional values DOUBLE.
-
-    Range partitioning samples its input before shuffling it, so the input plan
-    runs twice. When that plan is expensive (JSON generation, joins), pass
-    ``materialize_input=True``: the (narrow) input is checkpointed once first."""
+    count as 0. Integers give BIGINT, decimals DECIMAL, other numbers DOUBLE."""
     if isinstance(value_cols, str):
         value_cols, out_cols = [value_cols], [out_cols]
     group_cols, order_cols = list(group_cols), list(order_cols)
     value_cols, out_cols = list(value_cols), list(out_cols)
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-    floats = [not isinstance(df.schema[c].dataType, integral) for c in value_cols]
-    out_types = [T.DoubleType() if f else T.LongType() for f in floats]
-    keys = group_cols + order_cols
-    checkpoint_dir(spark)
-    if materialize_input:
-        df = df.checkpoint(eager=True)
-    ranged = (df.repartitionByRange(n, *keys)
-                .sortWithinPartitions(*keys)
-                .withColumn(_PID, F.spark_partition_id())
-                .checkpoint(eager=True))
-    locals_ = _local_names(value_cols)
-    local_schema = T.StructType(ranged.schema.fields
-                                + [T.StructField(nm, t) for nm, t in zip(locals_, out_types)])
-    local = ranged.mapInArrow(_local_sums(group_cols, value_cols, floats), local_schema)
-
-    gkey = F.struct(*[F.col(c) for c in group_cols]) if group_cols else F.struct(F.lit(0).alias("g"))
-    per_group = (ranged.groupBy(_PID, gkey.alias("k"))
-                 .agg(*[F.sum(F.coalesce(F.col(c), F.lit(0))).cast(t).alias(f"t{i}")
-                        for i, (c, t) in enumerate(zip(value_cols, out_types))]))
-    summary = (per_group.groupBy(_PID)
-               .agg(F.min("k").alias("first_key"),
-                    F.max(F.struct(F.col("k"), *[F.col(f"t{i}") for i in range(len(value_cols))]))
-                    .alias("last")))
-    by_key = Window.partitionBy(F.col("last.k")).orderBy(_PID)
-    by_pid = Window.orderBy(_PID)
-    carries = summary.withColumn("prev_key", F.lag(F.col("last.k")).over(by_pid))
-    for i in range(len(value_cols)):
-        carries = (carries.withColumn(f"cum{i}", F.sum(F.col(f"last.t{i}")).over(by_key))
-                          .withColumn(f"carry{i}", F.lag(f"cum{i}").over(by_pid)))
-    carries = (carries.where(F.col("prev_key").eqNullSafe(F.col("first_key")))
-                      .select(F.col(_PID), F.col("first_key").alias("_qs_fk"),
-                              *[F.col(f"carry{i}").alias(f"_qs_carry{i}") for i in range(len(value_cols))]))
-    # ``carries`` has at most ``n`` rows (one per partition), so broadcasting it is bounded.
-    joined = local.join(F.broadcast(carries), _PID, "left")
-    same = gkey.eqNullSafe(F.col("_qs_fk"))
-    for i, (name, t) in enumerate(zip(out_cols, out_types)):
-        add = F.when(same, F.col(f"_qs_carry{i}")).otherwise(F.lit(0).cast(t))
-        joined = joined.withColumn(name, (F.col(locals_[i]) + add).cast(t))
-    return joined.drop(_PID, "_qs_fk", *locals_, *[f"_qs_carry{i}" for i in range(len(value_cols))])
+    values = [F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType)) for c in value_cols]
+    cut = with_buckets(df, order_cols, buckets)
+    befores = [f"{_BEFORE}{i}" for i in range(len(value_cols))]
+    sums = cut.groupBy(*group_cols, _BUCKET).agg(*[F.sum(v).alias(b) for v, b in zip(values, befores)])
+    # at most ``buckets`` + 1 rows per group
+    earlier = Window.partitionBy(*group_cols).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*[F.col(c).alias(f"_qs_g{i}") for i, c in enumerate(group_cols)], F.col(_BUCKET).alias("_qs_b"),
+                          *[F.sum(b).over(earlier).alias(b) for b in befores])
+    inside = Window.partitionBy(*group_cols, _BUCKET).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    local = cut.select("*", *[F.sum(v).over(inside).alias(o) for v, o in zip(values, out_cols)])
+    same = F.col(_BUCKET) == F.col("_qs_b")
+    for i, c in enumerate(group_cols):
+        same &= F.col(c).eqNullSafe(F.col(f"_qs_g{i}"))
+    joined = local.join(offsets, same)
+    totals = {o: F.col(o) + F.coalesce(F.col(b), F.lit(0).cast(sums.schema[b].dataType)) for o, b in zip(out_cols, befores)}
+    return joined.select(*df.columns, *[totals[o].alias(o) for o in out_cols])

@@ -8,13 +8,18 @@ text and averages are rounded to 6 places.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside import constants as C
+from quayside import schemas
 from quayside.operators import cdc, ingest, metrics, producer
+from quayside.session import checkpoint_dir
+from quayside.sinks import index
 from quayside.sources import graphs, snapshot as snap_src, standins, streams
 from quayside.sources.tables import table
 
@@ -86,10 +91,8 @@ TYPED_CTE = f"""typed AS (
          CAST(1 AS DECIMAL(20,0)) AS f_version,
          CAST(floor(epoch_us(l_shipdate) / 1000000) AS DECIMAL(20,0)) AS f_created_at
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
-TYPED_COLS = ["f_id", "f_order_id", "f_seq_id", "f_user_id", "f_symbol", "f_type", "f_action", "f_amount",
-              "f_available", "f_hold", "f_intra_delta", "f_fee", "f_version", "f_created_at"]
-_DEC = {"f_id", "f_order_id", "f_seq_id", "f_user_id", "f_amount", "f_available", "f_hold", "f_intra_delta",
-        "f_fee", "f_version", "f_created_at"}
+TYPED_COLS = schemas.ASSET_RECORD.fieldNames()
+_DEC = {f.name for f in schemas.ASSET_RECORD.fields if isinstance(f.dataType, T.DecimalType)}
 TYPED_TEXT = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" if c in _DEC else c for c in TYPED_COLS)
 TYPED_JSON = "CAST(to_json({" + ", ".join(f"'{c}': CAST({c} AS VARCHAR)" if c in _DEC else f"'{c}': {c}"
                                           for c in TYPED_COLS) + "}) AS VARCHAR)"
@@ -169,10 +172,18 @@ def q_json_ts_bigint(spark, base):
 
 @register("json_ts_rejects", f"""
 SELECT source, id, json_value FROM (
-  SELECT source, id, {_jscalar('value', K_PATH)} AS json_value, {_jbigint('value', K_PATH)} AS ts FROM {MIXED})
+  SELECT source, id, {_jscalar('value', K_PATH)} AS json_value, {_jbigint('value', K_PATH)} AS ts
+  FROM (SELECT * FROM {MIXED} UNION ALL SELECT 'values', event_id, '{{"k":"' || CAST(value AS VARCHAR) || '"}}' FROM events))
 WHERE json_value IS NOT NULL AND ts IS NULL""")
 def q_json_ts_rejects(spark, base):
-    return ingest.json_rejects(standins.mixed_messages(spark, base), K_PATH)
+    values = standins.value_messages(spark, base).withColumn("source", F.lit("values"))
+    return ingest.json_rejects(standins.mixed_messages(spark, base).unionByName(values), K_PATH)
+
+
+@register("json_outcomes", f"""
+SELECT source, id, CASE WHEN json_valid(value) THEN 'json' WHEN value IS NOT NULL THEN 'not_json' END AS outcome FROM {MIXED}""")
+def q_json_outcomes(spark, base):
+    return ingest.json_outcomes(standins.mixed_messages(spark, base))
 
 
 @register("json_validity", f"SELECT source, id, json_valid(value) AS is_json FROM {MIXED}")
@@ -276,12 +287,31 @@ SELECT CAST(key AS VARCHAR) AS doc_id,
        CAST(to_json({{'key': key, 'amount': CAST(CAST(amount AS DECIMAL(15,2)) AS VARCHAR), 'note': note, 'op': op, 'position': position}}) AS VARCHAR) AS document
 FROM {SNAP_LOG}""")
 def q_cdc_index_state(spark, base):
-    state = cdc.snapshot_plus_log(standins.snapshot(spark, base),
-                                  standins.change_log(spark, base).drop("change_ts"), "key")
+    """Snapshot and change log written as two batches, the second one twice, then read back."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/index-{uuid.uuid4().hex}"
+    snap = standins.snapshot(spark, base).select("key", "amount", "note", F.lit("r").alias("op"), F.lit(-1).cast("bigint").alias("position"))
+    log = standins.change_log(spark, base).select("key", "amount", "note", "op", "position")
+    for batch_id, rows in ((0, snap), (1, log), (1, log)):
+        index.write_changes(rows, batch_id, root)
+    state = index.index_state(spark, root, "key", ["position"])
     state = state.withColumn("amount", F.col("amount").cast("decimal(15,2)"))
     return cdc.json_documents(state.select("key", "amount", "note", "op", "position"), key="key")
 
 
+@register("cdc_envelope_rows", """
+WITH e AS (SELECT *, CASE WHEN event_type = 'signup' THEN 'c' WHEN event_type = 'error' THEN 'd' ELSE 'u' END AS op,
+                  CAST(CAST(value AS DECIMAL(15,2)) AS DECIMAL(36,18)) AS a, CAST(0 AS DECIMAL(36,18)) AS zero FROM events)
+SELECT op, make_timestamp(epoch_us(ts) // 1000 * 1000) AS change_ts, event_id AS position,
+       CAST(event_id AS VARCHAR) AS f_id, CAST(event_id // 10 AS VARCHAR) AS f_order_id, CAST(event_id % 10 AS VARCHAR) AS f_seq_id,
+       CAST(user_id AS VARCHAR) AS f_user_id, event_type AS f_symbol, CAST(length(event_type) AS SMALLINT) AS f_type,
+       CAST(1 AS SMALLINT) AS f_action, CAST(a AS VARCHAR) AS f_amount, CAST(a AS VARCHAR) AS f_available,
+       CAST(zero AS VARCHAR) AS f_hold, CAST(-a AS VARCHAR) AS f_intra_delta, CAST(zero AS VARCHAR) AS f_fee, '1' AS f_version,
+       CAST(CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS VARCHAR) AS f_created_at
+FROM e""")
+def q_cdc_envelope_rows(spark, base):
+    return cdc.plain_decimals(cdc.decode_envelopes(standins.change_envelopes(spark, base)))
+
+
 @register("cdc_duplicate_keys", f"SELECT key, count(*) AS n_rows FROM {CHANGE_LOG} GROUP BY key HAVING count(*) > 1")
 def q_cdc_duplicate_keys(spark, base):
     return cdc.duplicate_keys(standins.change_log(spark, base), "key")
@@ -323,6 +353,20 @@ def q_snapshot_chunks_even(spark, base):
     return snap_src.even_chunks(table(spark, base, "orders").select("o_orderkey"), "o_orderkey", CHUNK)
 
 
+@register("snapshot_chunks_planned", f"""
+SELECT 'orders' AS source, CAST((o_orderkey - (SELECT min(o_orderkey) FROM orders)) // {CHUNK} AS BIGINT) AS chunk,
+       min(o_orderkey) AS low, max(o_orderkey) AS high, count(*) AS n_rows FROM orders GROUP BY 2
+UNION ALL
+SELECT 'order_dates', CAST((rk - 1) // {CHUNK} AS BIGINT), min(k), max(k), count(*)
+FROM (SELECT epoch_us(o_orderdate) // 1000000 AS k, row_number() OVER (ORDER BY epoch_us(o_orderdate)) AS rk FROM orders) GROUP BY 2""")
+def q_snapshot_chunks_planned(spark, base):
+    """The factor rule chooses: dense order keys get equal widths, repeated dates runs of rows."""
+    orders = table(spark, base, "orders")
+    dates = orders.select(F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("k"))
+    even = snap_src.plan_chunks(orders.select("o_orderkey"), "o_orderkey", CHUNK).select(F.lit("orders").alias("source"), "*")
+    return even.unionByName(snap_src.plan_chunks(dates, "k", CHUNK).select(F.lit("order_dates").alias("source"), "*"))
+
+
 @register("snapshot_chunks_uneven", f"""
 SELECT CAST(floor((rk - 1) / {CHUNK}) AS BIGINT) AS chunk, min(f_id) AS low, max(f_id) AS high, count(*) AS n_rows
 FROM (SELECT l_orderkey * 8 + l_linenumber AS f_id, row_number() OVER (ORDER BY l_orderkey * 8 + l_linenumber) AS rk
@@ -424,6 +468,14 @@ def q_graph_value_map(spark, base):
     return g.value_map_long(g.V(), ["user_id", "k", "gmt_occur"])
 
 
+@register("graph_edge_value_map", f"""
+WITH e AS (SELECT printf('user-%06d', user_id) AS src, 'device-' || {K_OF} AS dst, event_type AS label, event_id, value FROM events WHERE {K_OF} IS NOT NULL)
+SELECT src, dst, label, 'event_id' AS key, CAST(event_id AS VARCHAR) AS value FROM e
+UNION ALL SELECT src, dst, label, 'amount', CAST(value AS VARCHAR) FROM e WHERE value IS NOT NULL""")
+def q_graph_edge_value_map(spark, base):
+    return graphs.event_graph(spark, base).edge_value_map_long(EVENT_LABELS, ["event_id", "amount"])
+
+
 @register("graph_vertex_by_id", f"""
 SELECT id, label FROM {EVENT_VERTICES} WHERE id IN ({_inlist(USER_IDS)})""")
 def q_graph_vertex_by_id(spark, base):
@@ -509,7 +561,7 @@ f AS (SELECT src AS center_id, count(*) AS n FROM {EVENT_EDGES}
 SELECT c.center_id, CAST(coalesce(f.n, 0) AS BIGINT) AS result_count FROM c LEFT JOIN f USING (center_id)""")
 def q_neighbour_counts(spark, base):
     g = graphs.event_graph(spark, base)
-    return g.neighbour_counts(g.vertices["user"], EVENT_LABELS, "gmt_occur", FAST_BOUND)
+    return g.neighbour_counts(g.V(["user"]), EVENT_LABELS, "gmt_occur", FAST_BOUND)
 
 
 # ====================================================================================
@@ -522,12 +574,11 @@ def _markets(spark, base):
 
 
 @register("graph_add_vertices", f"""
-SELECT label, count(*) AS n_vertices FROM (
-  SELECT label FROM {ORDER_VERTICES}
-  UNION ALL SELECT 'market' FROM (SELECT DISTINCT c_mktsegment FROM customer)) GROUP BY label""")
+SELECT id, label, name FROM {ORDER_VERTICES}
+UNION ALL SELECT 'market-' || c_mktsegment, 'market', c_mktsegment FROM (SELECT DISTINCT c_mktsegment FROM customer)""")
 def q_graph_add_vertices(spark, base):
     g = graphs.order_graph(spark, base).add_vertices("market", _markets(spark, base))
-    return g.counts_by_label().where(F.col("kind") == "vertex").select("label", F.col("n").alias("n_vertices"))
+    return g.V().select("id", "label", "name")
 
 
 @register("graph_add_edges", f"""
@@ -539,33 +590,29 @@ def q_graph_add_edges(spark, base):
     g = graphs.order_graph(spark, base)
     src = g.has("mktsegment", "BUILDING", label="customer")
     dst = g.has("name", TARGET_NATION, label="nation")
-    return g.add_edges("prefers", src, dst, {"kind": "preferred"}).edges["prefers"]
+    return g.add_edges("prefers", src, dst, {"kind": "preferred"}).edge_table("prefers")
 
 
 @register("graph_drop_edges", f"""
-SELECT e.label, count(*) AS n_edges FROM {ORDER_EDGES} e
-WHERE e.src NOT IN (SELECT id FROM {ORDER_VERTICES} WHERE mktsegment IN ({_inlist(SEGMENTS)}))
-GROUP BY e.label""")
+SELECT e.src, e.dst, e.label FROM {ORDER_EDGES} e
+WHERE e.src NOT IN (SELECT id FROM {ORDER_VERTICES} WHERE mktsegment IN ({_inlist(SEGMENTS)}))""")
 def q_graph_drop_edges(spark, base):
-    g = graphs.order_graph(spark, base).drop_edges_where_source("mktsegment", SEGMENTS)
-    return g.counts_by_label().where(F.col("kind") == "edge").select("label", F.col("n").alias("n_edges"))
+    return graphs.order_graph(spark, base).drop_edges_where_source("mktsegment", SEGMENTS).E().select("src", "dst", "label")
 
 
 @register("graph_drop_vertices", f"""
-SELECT label, count(*) AS n_vertices FROM {ORDER_VERTICES}
-WHERE name IS NULL OR name NOT IN ({_inlist(NATIONS)}) GROUP BY label""")
+SELECT id, label FROM {ORDER_VERTICES}
+WHERE name IS NULL OR name NOT IN ({_inlist(NATIONS)})""")
 def q_graph_drop_vertices(spark, base):
-    g = graphs.order_graph(spark, base).drop_vertices("name", NATIONS)
-    return g.counts_by_label().where(F.col("kind") == "vertex").select("label", F.col("n").alias("n_vertices"))
+    return graphs.order_graph(spark, base).drop_vertices("name", NATIONS).V().select("id", "label")
 
 
 @register("graph_drop_vertices_edges", f"""
 WITH gone AS (SELECT id FROM {ORDER_VERTICES} WHERE name IN ({_inlist(NATIONS)}))
-SELECT label, count(*) AS n_edges FROM {ORDER_EDGES}
-WHERE src NOT IN (SELECT id FROM gone) AND dst NOT IN (SELECT id FROM gone) GROUP BY label""")
+SELECT src, dst, label FROM {ORDER_EDGES}
+WHERE src NOT IN (SELECT id FROM gone) AND dst NOT IN (SELECT id FROM gone)""")
 def q_graph_drop_vertices_edges(spark, base):
-    g = graphs.order_graph(spark, base).drop_vertices("name", NATIONS)
-    return g.counts_by_label().where(F.col("kind") == "edge").select("label", F.col("n").alias("n_edges"))
+    return graphs.order_graph(spark, base).drop_vertices("name", NATIONS).E().select("src", "dst", "label")
 
 
 # ====================================================================================

@@ -1,35 +1,11 @@
-"""Record shapes (data model M2..M9)."""
+"""The change-data table (M5): key f_id, every column NOT NULL."""
 
 from pyspark.sql import types as T
 
-# M2: message bean (declared but never used by the landing job)
-MESSAGE_BEAN = T.StructType([
-    T.StructField("message", T.StringType()),
-    T.StructField("timestamp", T.LongType()),
-    T.StructField("partitionDate", T.StringType()),
-])
-
-# M1 / M9: raw stream record as the sources hand it to us
-RAW_MESSAGE = T.StructType([
-    T.StructField("partition", T.IntegerType()),
-    T.StructField("offset", T.LongType()),
-    T.StructField("arrival_ts", T.TimestampNTZType()),
-    T.StructField("partition_key", T.StringType()),
-    T.StructField("value", T.StringType()),
-])
-
-# M4: lake table, partitioned by partition_date
-LAKE_ROW = T.StructType([
-    T.StructField("payload", T.StringType()),
-    T.StructField("ts", T.LongType()),
-    T.StructField("processing_timestamp", T.TimestampNTZType()),
-    T.StructField("partition_date", T.StringType()),
-])
-
 ID = T.DecimalType(20, 0)
 AMOUNT = T.DecimalType(36, 18)
 
-# M5: change-data table, key f_id, every column NOT NULL
+# fixed values: column names and types of the table
 ASSET_RECORD = T.StructType([
     T.StructField("f_id", ID, False),
     T.StructField("f_order_id", ID, False),
@@ -47,29 +23,3 @@ ASSET_RECORD = T.StructType([
     T.StructField("f_created_at", ID, False),
 ])
 ASSET_KEY = "f_id"
-
-# M7: query-result log row, in CSV column order
-RESULT_LOG = T.StructType([
-    T.StructField("client_request_id", T.StringType()),
-    T.StructField("query_type", T.StringType()),
-    T.StructField("user_id", T.StringType()),
-    T.StructField("latency_ms", T.DoubleType()),
-    T.StructField("result_count", T.IntegerType()),
-    T.StructField("timestamp", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("thread_id", T.IntegerType()),
-])
-
-# M8: keyed outgoing message
-OUTGOING_MESSAGE = T.StructType([
-    T.StructField("topic", T.StringType()),
-    T.StructField("key", T.StringType()),
-    T.StructField("value", T.StringType()),
-])
-
-# M9: record as the shard-stream service shows it
-SHARD_RECORD = T.StructType([
-    T.StructField("arrival_ts", T.TimestampNTZType()),
-    T.StructField("partition_key", T.StringType()),
-    T.StructField("data", T.BinaryType()),
-])

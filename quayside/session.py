@@ -36,19 +36,19 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``; we read it from the session
-    and only create a scratch folder when nothing is set (local tests).
+    A cluster names it in ``spark.checkpoint.dir``. Only a session whose master
+    is local gets a scratch folder of its own when nothing is set; on any other
+    master a missing setting is an error, as executors would not see the folder.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001  (Connect sessions manage checkpoints on the server)
-        return spark.conf.get("spark.checkpoint.dir", "") or ""
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # only local runs (tests, bench) get here; a cluster names a shared folder
+        master = sc.master or ""
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="quayside-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -1 +1 @@
-"""Writers: date-partitioned text, lake tables, CSV, topics, and the keyed document index."""
+"""Writers: date-partitioned text, lake tables, topics, and the keyed document index."""

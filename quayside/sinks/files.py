@@ -1,27 +1,17 @@
-"""File sinks.
+"""File sinks (K1-K4, K6).
 
 Spark's file sinks commit a batch's files atomically through their commit
 protocol (and, in streaming, the sink log), so a retried task or a restarted
 query never leaves half a file visible. A part file per task and batch replaces
-the reference's open/roll/close cycle; ``max_records_per_file`` bounds size.
+the reference's open/roll/close cycle; ``max_records`` bounds the rows of a file.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-MB = 1024 * 1024
-
-
-def records_per_file(mean_row_bytes: float, max_part_bytes: int = 10 * MB) -> int:
-    """K5 for a writer: ``maxRecordsPerFile`` that keeps files under ``max_part_bytes``."""
-    return max(1, math.floor(max_part_bytes / max(mean_row_bytes, 1.0)))
-
-
 def write_text_by_date(framed: DataFrame, path: str, mode: str = "append",
                        max_records: int | None = None) -> None:
     """K1 batch form: ``date=yyyy-MM-dd`` folders of UTF-8 text, one message per line."""
@@ -72,8 +62,3 @@ def lake_append_writer(rows_stream: DataFrame, target: str, checkpoint: str, fmt
     if fmt != "iceberg":
         w = w.option("path", target)
     return w
-
-
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header line, a directory of part files."""
-    df.write.mode(mode).option("header", True).csv(path)

@@ -1,27 +1,24 @@
-"""Keyed document index with upserts (K7-K9).
-
-With an index connector on the classpath, a batch is written with the options
-of ``index_options`` (document id = key, bulk sizes, retries): writes are
-idempotent by id, so Spark task retries are safe.
-
-Without one, ``BucketedIndex`` keeps the index as Parquet files split into
-``hash(key) % buckets`` folders. A batch rewrites only the buckets it touches
-into a new version folder, then replaces a small pointer file that names the
-current version of every bucket and the last committed batch id. A replayed
-batch id is a no-op, and the merge compares order keys with the stored rows,
-so an older change that arrives late does not win.
+"""Keyed document index with upserts (K7, K9).
+
+With an index connector on the classpath, ``write_documents`` sends a batch with the options of
+``index_options`` (document id = key, bulk sizes, retries): writes are idempotent by id, so task
+retries are safe, and ``version_col`` lets the index itself refuse older changes.
+
+Without one, ``write_changes`` keeps every micro-batch as the partition ``batch_id=<n>`` of a plain
+Parquet table. A replayed batch overwrites its own partition (dynamic partition overwrite), so
+it neither doubles nor loses rows, and ``index_state`` is the newest image per key over all
+batches, whatever the order in which changes arrived.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside import constants as C
-from quayside.operators.cdc import latest_image, skip_operations
+from quayside.operators.cdc import json_documents, latest_image, skip_operations
 
 BULK_DEFAULTS = {
     "es.batch.size.entries": str(C.BULK_MAX_ACTIONS),
@@ -29,97 +26,40 @@ BULK_DEFAULTS = {
     "es.batch.write.retry.count": str(C.BULK_MAX_RETRIES),
     "es.batch.write.retry.wait": C.BULK_RETRY_WAIT,
 }
+CONNECTOR = "org.elasticsearch.spark.sql"
+BATCH = "batch_id"
 
 
-def index_options(props: dict, key: str) -> dict:
+def index_options(props: dict, key: str, version_col: str | None = None) -> dict:
     opts = {"es.nodes": props["hosts"], "es.resource": props["index"], "es.mapping.id": key,
-            "es.write.operation": "upsert", **BULK_DEFAULTS}
+            "es.write.operation": "index" if version_col else "upsert", **BULK_DEFAULTS}
+    if version_col:
+        opts |= {"es.mapping.version": version_col, "es.mapping.version.type": "external_gte"}
     if props.get("username"):
         opts["es.net.http.auth.user"] = props["username"]
         opts["es.net.http.auth.pass"] = props.get("password", "")
     return opts
 
 
-class BucketedIndex:
-    BUCKET = "_bucket"
-
-    def __init__(self, spark: SparkSession, root: str, key: str, order_cols: Sequence[str],
-                 buckets: int = 64, skipped: Sequence[str] = ("d",), op_col: str = "op"):
-        self.spark, self.root, self.key = spark, root.rstrip("/"), key
-        self.order_cols, self.buckets = list(order_cols), buckets
-        self.skipped, self.op_col = list(skipped), op_col
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    # --- pointer -------------------------------------------------------------
-    def _pointer_path(self):
-        return self._Path(f"{self.root}/_pointer.json")
-
-    def pointer(self) -> dict:
-        p = self._pointer_path()
-        if not self._fs.exists(p):
-            return {"batch_id": -1, "buckets": {}}
-        stream = self._fs.open(p)
-        try:
-            reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
-                self.spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            text = reader.readLine()
-        finally:
-            stream.close()
-        return json.loads(text)
-
-    def _write_pointer(self, ptr: dict) -> None:
-        tmp = self._Path(f"{self.root}/_pointer.json.tmp")
-        out = self._fs.create(tmp, True)
-        try:
-            out.write(bytearray(json.dumps(ptr).encode("utf-8")))
-        finally:
-            out.close()
-        final = self._pointer_path()
-        if self._fs.exists(final):
-            self._fs.delete(final, False)
-        self._fs.rename(tmp, final)
-
-    # --- reads -----------------------------------------------------------------
-    def _bucket_paths(self, ptr: dict, buckets=None) -> list[str]:
-        chosen = ptr["buckets"] if buckets is None else {b: ptr["buckets"][b] for b in buckets if b in ptr["buckets"]}
-        return [f"{self.root}/{v}/{self.BUCKET}={b}" for b, v in sorted(chosen.items(), key=lambda x: int(x[0]))]
-
-    def read(self) -> DataFrame | None:
-        paths = self._bucket_paths(self.pointer())
-        if not paths:
-            return None
-        return self.spark.read.option("basePath", self.root).parquet(*paths).drop(self.BUCKET, "v")
-
-    # --- merge -----------------------------------------------------------------
-    def merge(self, changes: DataFrame, batch_id: int) -> bool:
-        """Apply one batch of change rows; returns False for a replayed batch."""
-        ptr = self.pointer()
-        if batch_id <= ptr["batch_id"]:
-            return False
-        bucket = F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets))
-        fresh = latest_image(skip_operations(changes, self.skipped, self.op_col), self.key, self.order_cols)
-        fresh = fresh.withColumn(self.BUCKET, bucket)
-        # at most ``buckets`` values: bounded, safe to bring to the driver
-        touched = sorted(str(r[0]) for r in fresh.select(self.BUCKET).distinct().collect())
-        if not touched:
-            ptr["batch_id"] = batch_id
-            self._write_pointer(ptr)
-            return True
-        old_paths = self._bucket_paths(ptr, touched)
-        if old_paths:
-            old = (self.spark.read.option("basePath", self.root).parquet(*old_paths)
-                   .drop("v").withColumn(self.BUCKET, F.col(self.BUCKET).cast("int")))
-            both = old.unionByName(fresh.withColumn(self.BUCKET, F.col(self.BUCKET).cast("int")))
-            merged = latest_image(both.drop(self.BUCKET), self.key, self.order_cols).withColumn(self.BUCKET, bucket)
-        else:
-            merged = fresh
-        version = f"v={batch_id}"
-        (merged.repartition(self.BUCKET).write.mode("overwrite").partitionBy(self.BUCKET)
-         .parquet(f"{self.root}/{version}"))
-        for b in touched:
-            ptr["buckets"][b] = version
-        ptr["batch_id"] = batch_id
-        self._write_pointer(ptr)
-        return True
+def newest_documents(changes: DataFrame, key: str, order_cols: Sequence[str], skipped: Sequence[str] = C.SKIPPED_OPERATIONS) -> DataFrame:
+    """The batch's newest image per key as ``doc_id, version, document``."""
+    newest = latest_image(skip_operations(changes, skipped), key, order_cols)
+    return json_documents(newest, key, extra=[F.col(order_cols[-1]).alias("version")])
+
+
+def write_documents(batch: DataFrame, props: dict, key: str, order_cols: Sequence[str], fmt: str = CONNECTOR) -> None:
+    """One micro-batch to the index connector; a failed write fails the batch."""
+    documents = newest_documents(batch, key, order_cols)
+    documents.write.format(fmt).options(**index_options(props, "doc_id", "version")).mode("append").save()
+
+
+def write_changes(changes: DataFrame, batch_id: int, root: str) -> None:
+    """Keep one batch of change rows; writing the same batch again replaces it."""
+    (changes.withColumn(BATCH, F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(root))
+
+
+def index_state(spark: SparkSession, root: str, key: str, order_cols: Sequence[str],
+                skipped: Sequence[str] = C.SKIPPED_OPERATIONS) -> DataFrame:
+    """Newest image per key over all batches written to ``root``."""
+    return latest_image(skip_operations(spark.read.parquet(root).drop(BATCH), skipped), key, order_cols)

@@ -13,6 +13,12 @@ PRODUCER_DEFAULTS = {
     "kafka.batch.size": str(C.PRODUCER_BATCH_BYTES),
     "kafka.linger.ms": str(C.PRODUCER_LINGER_MS),
     "kafka.delivery.timeout.ms": str(C.PRODUCER_DELIVERY_TIMEOUT_MS),
+    "kafka.request.timeout.ms": str(C.PRODUCER_REQUEST_TIMEOUT_MS),
+    "kafka.max.block.ms": str(C.PRODUCER_MAX_BLOCK_MS),
+    "kafka.buffer.memory": str(C.PRODUCER_BUFFER_BYTES),
+    "kafka.connections.max.idle.ms": str(C.PRODUCER_MAX_IDLE_MS),
+    "kafka.retry.backoff.ms": str(C.PRODUCER_RETRY_BACKOFF_MS),
+    "kafka.socket.connection.setup.timeout.ms": str(C.PRODUCER_CONNECTION_SETUP_MS),
 }
 
 
@@ -24,6 +30,9 @@ def producer_options(props: dict) -> dict:
     if props.get("security.protocol"):
         for k in SECURITY_KEYS:
             opts[f"kafka.{k}"] = props.get(k, "")
+    limit, least = (int(opts[f"kafka.{k}.ms"]) for k in ("delivery.timeout", "request.timeout"))
+    if limit < least + int(opts["kafka.linger.ms"]):
+        raise ValueError("the client refuses a delivery timeout below linger + request timeout")
     return opts
 
 

@@ -10,6 +10,10 @@ region`` vertices; edges ``placed`` customer->order, ``contains`` order->part
 customer/supplier->nation, ``in_region`` nation->region. ``gmt_occur`` is the
 order date in epoch seconds, ``amount`` is the part's retail price or the
 supplier's account balance.
+
+Vertex ids and edge ends are the tables' own keys; ``IDS`` turns them into the
+public ids. The event graph reads ``k`` with the guarded JSON rule, as the
+oracle does.
 """
 
 from __future__ import annotations
@@ -17,37 +21,30 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions import epoch_seconds, json_scalar, padded_id
-from quayside.operators.graph import PropertyGraph
+from quayside.functions import epoch_seconds, with_json_scalar
+from quayside.operators.graph import EdgePart, IdText, PropertyGraph
 from quayside.sources.tables import table
 
 # fixed values of the stand-in mapping
 DEVICE_EPOCH = 1704067200
 DEVICE_STEP = 3600
-
-
-def _vid(prefix: str, col: str):
-    return F.concat(F.lit(prefix + "-"), F.col(col).cast("string"))
-
-
 EVENT_LABELS = ("signup", "view", "click", "purchase", "error")
+EVENT_IDS = {"user": IdText("user-", 6), "device": IdText("device-")}
+ORDER_IDS = {l: IdText(f"{l}-") for l in ("customer", "order", "part", "supplier", "nation", "region")}
 
 
 def event_graph(spark: SparkSession, base: str) -> PropertyGraph:
-    # the stand-in props are trusted {"k": n} texts: the fast path (no validity guard) is enough here
-    ev = (table(spark, base, "events", ["event_id", "user_id", "event_type", "value", "props"], spread_cpu=True)
-          .withColumn("k", json_scalar("props", "$.k", mode="fast").try_cast("bigint")))
-    users = (ev.select("user_id").distinct()
-             .select(padded_id("user-", F.col("user_id")).alias("id"), F.col("user_id")))
-    devices = (ev.select("k").where(F.col("k").isNotNull()).distinct()
-               .select(_vid("device", "k").alias("id"), F.col("k"),
+    ev = table(spark, base, "events", ["event_id", "user_id", "event_type", "value", "props"])
+    keyed = with_json_scalar(ev, "props", "$.k", "_k", "k").where(F.col("k").isNotNull())
+    users = ev.select(F.col("user_id").alias("id"), "user_id").distinct()
+    devices = (keyed.select("k").distinct()
+               .select(F.col("k").alias("id"), "k",
                        (F.lit(DEVICE_EPOCH) + F.lit(DEVICE_STEP) * F.col("k")).cast("bigint").alias("gmt_occur")))
     # one label-partitioned edge table: a hop over several labels is one scan
-    edges = (ev.where(F.col("k").isNotNull())
-             .select(padded_id("user-", F.col("user_id")).alias("src"), _vid("device", "k").alias("dst"),
-                     F.col("event_type").alias("label"), F.col("event_id"), F.col("value").alias("amount")))
-    return PropertyGraph({"user": users, "device": devices}, {}, labelled_edges=edges,
-                         labelled_names=EVENT_LABELS)
+    edges = keyed.select(F.col("user_id").alias("src"), F.col("k").alias("dst"), F.col("event_type").alias("label"),
+                         "event_id", F.col("value").alias("amount"))
+    return PropertyGraph({"user": users, "device": devices}, ids=EVENT_IDS,
+                         parts=[EdgePart(edges, EVENT_LABELS, True, "user", "device")])
 
 
 def order_graph(spark: SparkSession, base: str) -> PropertyGraph:
@@ -58,26 +55,29 @@ def order_graph(spark: SparkSession, base: str) -> PropertyGraph:
     nation = table(spark, base, "nation")
     region = table(spark, base, "region")
     li = table(spark, base, "lineitem")
+
+    def vertex(df, key, **props):
+        return df.select(F.col(key).alias("id"), *[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in props.items()])
+
+    def edge(label, df, src, dst, src_label, dst_label, **props):
+        ends = df.select(F.col(src).alias("src"), F.col(dst).alias("dst"), *[F.col(c).alias(n) for n, c in props.items()])
+        return EdgePart(ends, (label,), False, src_label, dst_label)
+
     vertices = {
-        "customer": cust.select(_vid("customer", "c_custkey").alias("id"), F.col("c_name").alias("name"),
-                                F.col("c_mktsegment").alias("mktsegment"), F.col("c_acctbal").alias("acctbal")),
-        "order": orders.select(_vid("order", "o_orderkey").alias("id"),
-                               epoch_seconds("o_orderdate").alias("gmt_occur"),
-                               F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("totalprice")),
-        "part": part.select(_vid("part", "p_partkey").alias("id"), F.col("p_name").alias("name"),
-                            F.col("p_brand").alias("brand"), F.col("p_retailprice").alias("amount")),
-        "supplier": supp.select(_vid("supplier", "s_suppkey").alias("id"), F.col("s_name").alias("name"),
-                                F.col("s_acctbal").alias("amount")),
-        "nation": nation.select(_vid("nation", "n_nationkey").alias("id"), F.col("n_name").alias("name")),
-        "region": region.select(_vid("region", "r_regionkey").alias("id"), F.col("r_name").alias("name")),
-    }
-    edges = {
-        "placed": orders.select(_vid("customer", "o_custkey").alias("src"), _vid("order", "o_orderkey").alias("dst")),
-        "contains": li.select(_vid("order", "l_orderkey").alias("src"), _vid("part", "l_partkey").alias("dst"),
-                              F.col("l_quantity").alias("quantity")),
-        "supplied_by": li.select(_vid("order", "l_orderkey").alias("src"), _vid("supplier", "l_suppkey").alias("dst")),
-        "in_nation": cust.select(_vid("customer", "c_custkey").alias("src"), _vid("nation", "c_nationkey").alias("dst"))
-        .unionByName(supp.select(_vid("supplier", "s_suppkey").alias("src"), _vid("nation", "s_nationkey").alias("dst"))),
-        "in_region": nation.select(_vid("nation", "n_nationkey").alias("src"), _vid("region", "n_regionkey").alias("dst")),
+        "customer": vertex(cust, "c_custkey", name="c_name", mktsegment="c_mktsegment", acctbal="c_acctbal"),
+        "order": vertex(orders, "o_orderkey", gmt_occur=epoch_seconds("o_orderdate"), status="o_orderstatus",
+                        totalprice="o_totalprice"),
+        "part": vertex(part, "p_partkey", name="p_name", brand="p_brand", amount="p_retailprice"),
+        "supplier": vertex(supp, "s_suppkey", name="s_name", amount="s_acctbal"),
+        "nation": vertex(nation, "n_nationkey", name="n_name"),
+        "region": vertex(region, "r_regionkey", name="r_name"),
     }
-    return PropertyGraph(vertices, edges)
+    parts = [
+        edge("placed", orders, "o_custkey", "o_orderkey", "customer", "order"),
+        edge("contains", li, "l_orderkey", "l_partkey", "order", "part", quantity="l_quantity"),
+        edge("supplied_by", li, "l_orderkey", "l_suppkey", "order", "supplier"),
+        edge("in_nation", cust, "c_custkey", "c_nationkey", "customer", "nation"),
+        edge("in_nation", supp, "s_suppkey", "s_nationkey", "supplier", "nation"),
+        edge("in_region", nation, "n_nationkey", "n_regionkey", "nation", "region"),
+    ]
+    return PropertyGraph(vertices, parts=parts, ids=ORDER_IDS)

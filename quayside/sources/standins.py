@@ -14,9 +14,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside import schemas
-from quayside.functions import epoch_seconds, iso_text, padded_id
+from quayside.functions import epoch_millis, epoch_seconds, iso_text, padded_id
 from quayside.sources.tables import table
 
 SHARDS = 4
@@ -24,7 +25,7 @@ THREADS = 20
 
 
 def message_stream(spark: SparkSession, base: str) -> DataFrame:
-    ev = table(spark, base, "events", ["event_id", "ts", "user_id", "props"], spread_cpu=True)
+    ev = table(spark, base, "events", ["event_id", "ts", "user_id", "props"])
     return ev.select(
         (F.col("user_id") % SHARDS).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
@@ -36,22 +37,30 @@ def message_stream(spark: SparkSession, base: str) -> DataFrame:
 
 def mixed_messages(spark: SparkSession, base: str) -> DataFrame:
     """JSON messages plus free text and HTML (most of which is not JSON)."""
-    ev = table(spark, base, "events", ["event_id", "props"], spread_cpu=True).select(
+    ev = table(spark, base, "events", ["event_id", "props"]).select(
         F.lit("events").alias("source"), F.col("event_id").alias("id"), F.col("props").alias("value"))
-    conv = table(spark, base, "conversations", ["conv_id", "turn", "text"], spread_cpu=True).select(
+    conv = table(spark, base, "conversations", ["conv_id", "turn", "text"]).select(
         F.lit("conversations").alias("source"),
         (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("text").alias("value"))
-    pages = table(spark, base, "pages", ["page_id", "html"], spread_cpu=True).select(
+    pages = table(spark, base, "pages", ["page_id", "html"]).select(
         F.lit("pages").alias("source"), F.col("page_id").alias("id"), F.col("html").alias("value"))
     return ev.unionByName(conv).unionByName(pages)
 
 
-OP_OF_EVENT = {"signup": "c", "view": "u", "click": "u", "purchase": "u", "error": "d"}
+def value_messages(spark: SparkSession, base: str) -> DataFrame:
+    """Messages ``{"k": "<value>"}``: a scalar that is mostly no whole number."""
+    ev = table(spark, base, "events", ["event_id", "value"])
+    return ev.select(F.lit("events").alias("source"), F.col("event_id").alias("id"),
+                     F.concat(F.lit('{"k":"'), F.col("value").cast("string"), F.lit('"}')).alias("value"))
+
+
+def _operation():
+    return F.when(F.col("event_type") == "signup", "c").when(F.col("event_type") == "error", "d").otherwise("u")
 
 
 def change_log(spark: SparkSession, base: str) -> DataFrame:
     ev = table(spark, base, "events")
-    op = F.when(F.col("event_type") == "signup", "c").when(F.col("event_type") == "error", "d").otherwise("u")
+    op = _operation()
     return ev.select(
         F.col("user_id").alias("key"), op.alias("op"), F.col("ts").alias("change_ts"),
         F.col("event_id").alias("position"), F.col("value").alias("amount"), F.col("props").alias("note"))
@@ -67,7 +76,7 @@ def typed_rows(spark: SparkSession, base: str) -> DataFrame:
     """Rows of the 14-column asset table (M5), cast to its declared types."""
     li = table(spark, base, "lineitem", [
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-        "l_returnflag", "l_linestatus", "l_shipdate"], spread_cpu=True)
+        "l_returnflag", "l_linestatus", "l_shipdate"])
     od = table(spark, base, "orders").select("o_orderkey", "o_custkey")
     j = li.join(od, li.l_orderkey == od.o_orderkey)
     money = lambda c: F.col(c).cast("decimal(15,2)")  # noqa: E731  (values carry two decimals)
@@ -90,6 +99,20 @@ def typed_rows(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def change_envelopes(spark: SparkSession, base: str) -> DataFrame:
+    """One change envelope per event (JSON text ``value``): the 14 columns as images ``before`` and ``after``."""
+    ev = table(spark, base, "events").withColumn("op", _operation())
+    amount = F.col("value").cast("decimal(15,2)").cast(schemas.AMOUNT)
+    values = {"f_id": F.col("event_id"), "f_order_id": F.expr("event_id div 10"), "f_seq_id": F.col("event_id") % 10, "f_user_id": F.col("user_id"),
+              "f_symbol": F.col("event_type"), "f_type": F.length("event_type"), "f_action": F.lit(1), "f_amount": amount, "f_available": amount,
+              "f_hold": F.lit(0), "f_intra_delta": -amount, "f_fee": F.lit(0), "f_version": F.lit(1), "f_created_at": epoch_seconds("ts")}
+    text = lambda f, c: c.cast(f.dataType).cast("string") if isinstance(f.dataType, T.DecimalType) else c
+    image = F.struct(*[text(f, values[f.name]).alias(f.name) for f in schemas.ASSET_RECORD.fields])
+    envelope = F.struct("op", F.when(F.col("op") != "c", image).alias("before"), F.when(F.col("op") != "d", image).alias("after"),
+                        epoch_millis("ts").alias("ts_ms"), F.col("event_id").alias("position"))
+    return ev.select(F.to_json(envelope).alias("value"))
+
+
 def result_log(spark: SparkSession, base: str) -> DataFrame:
     """Query-result log (M7) in CSV column order."""
     ev = table(spark, base, "events")

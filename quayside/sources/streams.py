@@ -18,15 +18,19 @@ from quayside.constants import DEFAULT_START_POSITION, START_POSITIONS as POSITI
 SECURITY_KEYS = ("security.protocol", "sasl.mechanism", "sasl.jaas.config")
 
 
-def kafka_options(props: dict, starting: str = "earliest") -> dict:
-    """One topic, value only, start at ``earliest``; the three security
-    options are passed only when ``security.protocol`` is present, and then together."""
+def kafka_options(props: dict) -> dict:
+    """One topic, value only; the three security options are passed only when
+    ``security.protocol`` is present, and then together. Starts at ``earliest`` unless ``props`` names a
+    start position. Offsets that the broker no longer holds fail the query: nothing is skipped."""
     opts = {
         "kafka.bootstrap.servers": props["bootstrap.servers"],
         "subscribe": props["topic"],
-        "startingOffsets": starting,
-        "failOnDataLoss": "false",
+        "startingOffsets": "earliest",
+        "failOnDataLoss": "true",
     }
+    if "start.position" in props:
+        del opts["startingOffsets"]
+        opts |= kafka_start_options(resolve_start_position(props))
     if props.get("group.id"):
         opts["kafka.group.id"] = props["group.id"]
     if props.get("security.protocol"):
@@ -35,19 +39,23 @@ def kafka_options(props: dict, starting: str = "earliest") -> dict:
     return opts
 
 
-def read_kafka_text(spark: SparkSession, props: dict, starting: str = "earliest") -> DataFrame:
-    """Streaming DataFrame[partition, offset, arrival_ts, partition_key, value]; null values are skipped."""
-    raw = spark.readStream.format("kafka").options(**kafka_options(props, starting)).load()
-    return (raw.where(F.col("value").isNotNull())
-               .select(F.col("partition").cast("int"), F.col("offset"),
-                       F.col("timestamp").cast("timestamp_ntz").alias("arrival_ts"),
-                       F.col("key").cast("string").alias("partition_key"),
-                       F.col("value").cast("string").alias("value")))
+def text_messages(raw: DataFrame) -> DataFrame:
+    """DataFrame[partition, offset, arrival_ts, partition_key, value] of a Kafka frame. Null values are
+    skipped and counted: metric ``null_values`` of the observation ``kafka_text`` in each batch's progress."""
+    counted = raw.observe("kafka_text", F.count_if(F.col("value").isNull()).alias("null_values"))
+    return (counted.where(F.col("value").isNotNull())
+            .select(F.col("partition").cast("int"), F.col("offset"),
+                    F.col("timestamp").cast("timestamp_ntz").alias("arrival_ts"),
+                    F.col("key").cast("string").alias("partition_key"),
+                    F.col("value").cast("string").alias("value")))
 
 
-# --- S4: start position -------------------------------------------------------
+def read_kafka_text(spark: SparkSession, props: dict) -> DataFrame:
+    """The topic of ``props`` as a stream of text messages."""
+    return text_messages(spark.readStream.format("kafka").options(**kafka_options(props)).load())
 
 
+# --- S4: start position -------------------------------------------------------
 
 def resolve_start_position(props: dict, lenient: bool = False) -> dict:
     """Exact, case-sensitive match; default LATEST. AT_TIMESTAMP needs

@@ -1,7 +1,8 @@
 """Start functions: each wraps a pure ``DataFrame -> DataFrame`` operator.
 
 Only these wrappers supply processing time (``localtimestamp()``); the
-operators take the arrival column as an argument, so batch runs repeat. No
+operators take the arrival column as an argument, so batch runs repeat. Every
+start function needs a checkpoint folder of its own, kept across restarts. No
 watermark is set: none of the pipelines keeps event-time state (the reference
 runs without watermarks too).
 """
@@ -15,13 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quayside.operators import ingest, producer
-from quayside.session import checkpoint_dir
-from quayside.sinks import files
-from quayside.sinks.index import BucketedIndex
-
-
-def _checkpoint(spark: SparkSession, name: str, given: str | None) -> str:
-    return given or f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+from quayside.sinks import files, index
+from quayside.sources.streams import rate_stream
 
 
 def _trigger(writer, trigger: str | None):
@@ -30,55 +26,60 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
-def start_text_landing(messages: DataFrame, path: str, checkpoint: str | None = None,
+def start_text_landing(messages: DataFrame, path: str, checkpoint: str,
                        framing: str = "line", trigger: str | None = "2 minutes",
-                       max_records: int | None = None) -> StreamingQuery:
+                       max_records: int | None = None, use_processing_time: bool = True) -> StreamingQuery:
     """T1 (raw landing): message stream -> ``date=`` folders of text. The trigger
-    interval closes files like the reference's roll-by-age (K3)."""
-    spark = messages.sparkSession
-    framed = ingest.framed_messages(messages, framing)
-    w = files.text_landing_writer(framed, path, _checkpoint(spark, "text_landing", checkpoint), max_records)
-    return _trigger(w, trigger).start()
+    interval closes files like the reference's roll-by-age (K3). The folder is the
+    date of processing, or with ``use_processing_time=False`` of arrival."""
+    src = messages.withColumn("arrival_ts", F.localtimestamp()) if use_processing_time else messages
+    framed = ingest.framed_messages(src, framing)
+    return _trigger(files.text_landing_writer(framed, path, checkpoint, max_records), trigger).start()
 
 
-def start_lake_append(messages: DataFrame, target: str, checkpoint: str | None = None,
+def start_lake_append(messages: DataFrame, target: str, checkpoint: str,
                       path: str = "$.timestamp", mode: str = "permissive", fmt: str = "parquet",
                       trigger: str | None = "5 seconds", use_processing_time: bool = True) -> StreamingQuery:
     """T1 (stream to lake): JSON field, processing time in milliseconds,
-    partition date; appended to a partitioned table."""
-    spark = messages.sparkSession
+    partition date; appended to a partitioned table. See ``start_lake_rejects`` for the
+    messages whose field is no whole number."""
     src = messages.withColumn("arrival_ts", F.localtimestamp()) if use_processing_time else messages
-    rows = ingest.lake_rows(src, path, mode)
-    w = files.lake_append_writer(rows, target, _checkpoint(spark, "lake_append", checkpoint), fmt)
-    w = _trigger(w, trigger)
+    w = _trigger(files.lake_append_writer(ingest.lake_rows(src, path, mode), target, checkpoint, fmt), trigger)
     return w.toTable(target) if fmt == "iceberg" else w.start()
 
 
-def start_index_upsert(changes: DataFrame, root: str, key: str, order_cols: Sequence[str],
-                       checkpoint: str | None = None, buckets: int = 64, trigger: str | None = "5 seconds",
-                       skipped: Sequence[str] = ("d",)) -> StreamingQuery:
-    """Change stream -> keyed index. Each micro-batch is merged into the
-    bucketed index by ``foreachBatch``; a replayed batch id is skipped."""
-    spark = changes.sparkSession
-    index = BucketedIndex(spark, root, key, order_cols, buckets, skipped)
+def start_lake_rejects(messages: DataFrame, target: str, checkpoint: str, path: str = "$.timestamp",
+                       trigger: str | None = "5 seconds") -> StreamingQuery:
+    """P4's side output as a second query over the same source: messages that carry a scalar at
+    ``path`` which is no whole number (``partition, offset, json_value``), appended to a Parquet folder.
+    It needs a checkpoint of its own."""
+    rejects = ingest.json_rejects(messages, path, id_cols=("partition", "offset"))
+    w = rejects.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
+    return _trigger(w.outputMode("append"), trigger).start()
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        index.merge(batch, batch_id)
 
-    w = changes.writeStream.foreachBatch(merge).option("checkpointLocation",
-                                                       _checkpoint(spark, "index_upsert", checkpoint))
-    return _trigger(w, trigger).start()
+def start_index_upsert(changes: DataFrame, root: str, checkpoint: str, trigger: str | None = "5 seconds") -> StreamingQuery:
+    """Change stream -> keyed index kept as one partition per micro-batch; read it with
+    ``sinks.index.index_state``. A replayed batch replaces itself."""
+    w = changes.writeStream.foreachBatch(lambda batch, batch_id: index.write_changes(batch, batch_id, root))
+    return _trigger(w.option("checkpointLocation", checkpoint), trigger).start()
+
+
+def start_connector_upsert(changes: DataFrame, props: dict, key: str, order_cols: Sequence[str], checkpoint: str,
+                           trigger: str | None = "5 seconds", fmt: str = index.CONNECTOR) -> StreamingQuery:
+    """T2 through the index connector: each micro-batch's newest documents, by key."""
+    w = changes.writeStream.foreachBatch(lambda batch, _: index.write_documents(batch, props, key, order_cols, fmt))
+    return _trigger(w.option("checkpointLocation", checkpoint), trigger).start()
 
 
 def start_producer(spark: SparkSession, topic: str, sink_format: str, options: dict,
-                   checkpoint: str | None = None, rows_per_second: int = 100,
+                   checkpoint: str, rows_per_second: int = 100,
                    trigger: str | None = "1 second", query_name: str | None = None) -> StreamingQuery:
     """T4: counter source at most 100 per second -> ``Message <i> at <ms>`` with a
     UUID key. For Kafka pass ``sink_format="kafka"`` and ``sinks.kafka.producer_options(...)``."""
-    from quayside.sources.streams import rate_stream
     msgs = producer.outgoing_messages(rate_stream(spark, rows_per_second), topic).drop("idx")
     w = (msgs.writeStream.format(sink_format).options(**options)
-         .option("checkpointLocation", _checkpoint(spark, "producer", checkpoint)))
+         .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)
     return _trigger(w, trigger).start()

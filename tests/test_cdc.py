@@ -1,6 +1,7 @@
 """Change-data cases of FIXTURES.md section 4."""
 
 import datetime as dt
+import json
 from decimal import Decimal
 
 import pytest
@@ -33,6 +34,29 @@ def test_upsert_cases(spark):
     assert _state(latest) == {1: ("c", 10.0), 2: ("u", 21.0), 3: ("c", 30.0), 4: ("c", 41.0), 5: ("c", 50.0)}
 
 
+def test_only_listed_operations_go(spark):
+    rows = [(1, None, T, 1, 1.0), (2, "d", T, 2, 2.0), (3, "x", T, 3, 3.0)]
+    assert sorted(r.key for r in cdc.skip_operations(_log(spark, rows)).collect()) == [1, 3]
+
+
+def _envelope(**fields):
+    return json.dumps(fields)
+
+
+def test_change_envelopes(spark):
+    image = {f.name: "1" for f in schemas.ASSET_RECORD.fields} | {"f_type": 3, "f_action": 4, "f_id": 18446744073709551615, "f_fee": "0.000000000000000001", "f_symbol": "BTC"}
+    texts = [_envelope(op="c", before=None, after=image, ts_ms=1700000000123, position=7), _envelope(op="d", before=image | {"f_symbol": "old"}, after=None, ts_ms=1, position=8),
+             _envelope(op="u", before=image, after=image | {"f_symbol": "new"}, ts_ms=2, position=9), "not json", None, "{}", _envelope(op="u", before=None, after=None), _envelope(after=image)]
+    messages = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "offset long, value string")
+    rows = sorted(cdc.decode_envelopes(messages).collect(), key=lambda r: r.position)
+    assert [(r.op, r.f_symbol) for r in rows] == [("c", "BTC"), ("d", "old"), ("u", "new")]
+    assert rows[0].f_id == Decimal("18446744073709551615") and rows[0].f_fee == Decimal("0.000000000000000001")
+    assert rows[0].change_ts == dt.datetime(2023, 11, 14, 22, 13, 20, 123000)
+    assert [f.dataType for f in cdc.decode_envelopes(messages).schema.fields[3:]] == [f.dataType for f in schemas.ASSET_RECORD.fields]
+    assert sorted(r.offset for r in cdc.envelope_rejects(messages).collect()) == [3, 4, 5, 6, 7]
+    assert [r.position for r in cdc.skip_operations(cdc.decode_envelopes(messages)).orderBy("position").collect()] == [7, 9]
+
+
 def test_snapshot_then_log_no_gap_no_double(spark):
     snap = spark.createDataFrame([(1, 1.0, "s"), (2, 2.0, "s")], "key long, amount double, note string")
     log = spark.createDataFrame([(2, "u", 0, 2.5, "l"), (2, "u", 0, 2.5, "l"), (3, "c", 1, 3.0, "l"), (1, "d", 2, 0.0, "l")],
@@ -89,5 +113,53 @@ def test_chunk_plans_and_predicates(spark):
     assert len(preds) == 4
     covered = sparse.where(" OR ".join(f"({p})" for p in preds)).count()
     assert covered == sparse.count()
-    opts = snapshot.jdbc_chunk_options(0, 9999, 2000)
+    opts = snapshot.jdbc_chunk_options(0, 9999, 10, 2000)
     assert opts["numPartitions"] == "5" and opts["fetchsize"] == "2000"
+    with pytest.raises(ValueError):
+        snapshot.jdbc_chunk_options(0, 9999, 4, 2000)
+
+
+def _reads(df, predicates):
+    return [df.where(p).count() for p in predicates]
+
+
+def test_chunk_predicates_read_every_row_once(spark):
+    from quayside.sources import snapshot
+    rows = [(k,) for k in [1] * 10 + [2] * 12 + list(range(3, 11))] + [(None,)] * 3
+    df = spark.createDataFrame(rows, "k long")
+    for chunk, most in ((5, 100), (5, 3), (1, 100), (50, 100)):
+        predicates = snapshot.jdbc_chunk_predicates(snapshot.plan_chunks(df, "k", chunk), "k", max_partitions=most)
+        assert len(predicates) <= most and sum(_reads(df, predicates)) == 33
+        late = spark.createDataFrame([(-7,), (4,), (99,), (None,)], "k long")  # inserted after planning
+        assert sum(_reads(late, predicates)) == 4
+    sparse = spark.createDataFrame([(10 * i,) for i in range(40)], "k long")
+    predicates = snapshot.jdbc_chunk_predicates(snapshot.plan_chunks(sparse, "k", 5), "k", max_partitions=100)
+    assert _reads(spark.range(-5, 500).withColumnRenamed("id", "k"), predicates) == [55, 50, 50, 50, 50, 50, 50, 150]
+
+
+def test_text_keys_are_quoted(spark):
+    from quayside.sources import snapshot
+    df = spark.createDataFrame([("a'b",), ("c",), ("d",), ("d",)], "k string")
+    chunks = df.groupBy("k").count().selectExpr("ascii(k) - 97L as chunk", "k as low", "k as high", "count as n_rows")
+    predicates = snapshot.jdbc_chunk_predicates(chunks, "k", max_partitions=10)
+    assert sum(_reads(df, predicates)) == 4 and len(predicates) == 3
+
+
+def test_factor_is_exact(spark):
+    from quayside.sources import snapshot
+    low = 10 ** 19
+    assert snapshot.is_even(low, low + 1999, 2000) and not snapshot.is_even(low, low + 2000, 2000)
+    keys = spark.createDataFrame([(Decimal(low + i),) for i in range(2000)], "k decimal(20,0)")
+    chunks = snapshot.plan_chunks(keys, "k", 500).orderBy("chunk").collect()
+    assert [(int(r.low) - low, int(r.high) - low, r.n_rows) for r in chunks] == [(500 * i, 500 * i + 499, 500) for i in range(4)]
+    wide = spark.createDataFrame([(-2 ** 63,), (2 ** 63 - 1,)], "k long")
+    assert snapshot.plan_chunks(wide, "k", 2000).count() == 1
+    assert snapshot.even_chunks(wide, "k", 2 ** 62).orderBy("chunk").collect()[-1].chunk == 3
+
+
+def test_hot_key_spans_chunks(spark):
+    from quayside.sources import snapshot
+    df = spark.createDataFrame([(7,)] * 1000 + [(i,) for i in range(2000)], "k long")
+    chunks = snapshot.uneven_chunks(df, "k", 300).orderBy("chunk").collect()
+    assert [r.n_rows for r in chunks] == [300] * 10
+    assert [(r.low, r.high) for r in chunks[:4]] == [(0, 7), (7, 7), (7, 7), (7, 199)]

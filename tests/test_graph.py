@@ -1,9 +1,12 @@
 """Graph scenario of the smoke app and the load-test query shapes (FIXTURES.md section 5)."""
 
-from quayside.operators.graph import PropertyGraph
+from pyspark.sql import functions as F
+
+from quayside.operators.graph import EdgePart, IdText, PropertyGraph
 
 
 def _airports(spark):
+    # fixed values: codes and names of the scenario
     empty_route = spark.createDataFrame([], "src string, dst string, distance long, airline string")
     empty_serves = spark.createDataFrame([], "src string, dst string, service_type string")
     g = PropertyGraph({"airport": spark.createDataFrame([], "id string, code string, name string, city string, country string"),
@@ -92,9 +95,66 @@ def test_value_map_leaves_out_absent(spark):
     assert m == {"p": ["a"]}
 
 
-def test_centres_are_broadcast(spark):
-    from quayside.sources import graphs
-    g = graphs.event_graph(spark, "/root/testdata/sf0.001")
-    centres = spark.createDataFrame([("user-000001",)], "id string")
-    plan = g.neighbours(centres, ["view"], "gmt_occur", 0)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+def test_edge_value_map_has_single_values(spark):
+    e = PropertyGraph({}, {"l": spark.createDataFrame([("a", "b", 1, None), ("a", "c", None, "z")], "src string, dst string, p int, q string")})
+    rows = {r.dst: r.properties for r in e.edge_value_map(["l"]).collect()}
+    assert rows == {"b": {"p": "1"}, "c": {"q": "z"}}
+    assert sorted((r.dst, r.key, r.value) for r in e.edge_value_map_long(["l"]).collect()) == [("b", "p", "1"), ("c", "q", "z")]
+
+
+def _labelled(spark):
+    """Four edges of three labels in one labelled part, native whole-number keys."""
+    people = spark.createDataFrame([(1, "x"), (2, "y"), (3, "x")], "id long, kind string")
+    edges = spark.createDataFrame([(1, 2, "L1"), (2, 1, "L1"), (1, 3, "L2"), (2, 3, "L3")], "src long, dst long, label string")
+    return PropertyGraph({"p": people}, parts=[EdgePart(edges, ("L1", "L2", "L3"), True, "p", "p")], ids={"p": IdText("p-")})
+
+
+def _edges(g):
+    return sorted((r.label, r.src, r.dst) for r in g.E().collect())
+
+
+def test_drop_edges_of_some_labels(spark):
+    g = _labelled(spark)
+    assert _edges(g.drop_edges_where_source("kind", ["x"], ["L1"])) == [("L1", "p-2", "p-1"), ("L2", "p-1", "p-3"), ("L3", "p-2", "p-3")]
+    assert _edges(g.drop_edges_where_source("kind", ["x"])) == [("L1", "p-2", "p-1"), ("L3", "p-2", "p-3")]
+    assert _edges(g.drop_edges_where_source("kind", ["x"], ["L3"])) == _edges(g)
+
+
+def test_add_to_a_label_of_a_labelled_part(spark):
+    g = _labelled(spark)
+    more = g.add_edges("L1", g.has("kind", "y"), g.has("kind", "x"))
+    assert more.edge_count().first().n_edges == 5
+    assert {r.label: r.n for r in more.counts_by_label().where("kind = 'edge'").collect()} == {"L1": 3, "L2": 1, "L3": 1}
+    assert ("L1", "p-2", "p-1") in _edges(more) and len(_edges(more)) == 5
+    assert sorted(r.label for r in more.out(["p-2"], ["L1"]).collect()) == ["p", "p"]
+
+
+def test_drop_vertices_with_native_keys(spark):
+    g = _labelled(spark).drop_vertices("kind", ["y"])
+    assert sorted(r.id for r in g.V().collect()) == ["p-1", "p-3"] and _edges(g) == [("L2", "p-1", "p-3")]
+    none = PropertyGraph({"p": spark.createDataFrame([("a", None), ("b", "x")], "id string, kind string")}).drop_vertices("kind", ["x"])
+    assert [r.id for r in none.V().collect()] == ["a"]
+
+
+def test_public_ids(spark):
+    padded, plain = IdText("user-", 6), IdText("device-")
+    assert [padded.key(t) for t in ("user-000001", "user-1", "user-1234567", "device-1", "user-", "user-00000x")] == [1, None, 1234567, None, None, None]
+    assert [plain.key(t) for t in ("device-0", "device-17", "device-017", "device--3")] == [0, 17, None, -3]
+    texts = spark.createDataFrame([("user-000001",), ("user-1",), ("device-17",), ("user-x",), (None,)], "t string")
+    assert [r[0] for r in texts.select(padded.key_column(F.col("t"))).collect()] == [1, None, None, None, None]
+    g = _labelled(spark)
+    assert [r.id for r in g.vertex_by_id(["p-1", "q-2", "p-x"]).collect()] == ["p-1"]
+    assert [r.id for r in g.vertex_by_id(spark.createDataFrame([("p-2",), ("p-2",), ("zz",)], "t string")).collect()] == ["p-2"]
+    assert g.vertex_by_id(["zz"]).count() == 0
+
+
+def test_hub_and_skewed_centres(spark):
+    """A third of all edges leave one centre and meet in one hub."""
+    n = 3000
+    edges = spark.range(n).selectExpr("if(id % 3 = 0, 1, id % 50) as src", "if(id % 3 = 1, 1, id % 70) as dst", "'L' as label")
+    people = spark.range(100).selectExpr("id", "id as gmt_occur", "cast(id as double) as amount")
+    g = PropertyGraph({"p": people}, parts=[EdgePart(edges, ("L",), True, "p", "p")], ids={"p": IdText("p-")})
+    got = g.neighbour_counts(g.V(["p"]), ["L"], "gmt_occur", 1)
+    rows = [(1 if i % 3 == 0 else i % 50, 1 if i % 3 == 1 else i % 70) for i in range(n)]
+    want = {f"p-{c}": sum(s == c and d >= 1 for s, d in rows) for c in range(100)}
+    assert {r.center_id: r.result_count for r in got.collect()} == want

@@ -94,11 +94,26 @@ def test_kafka_options_security_rule():
     base = {"bootstrap.servers": "b:9092", "topic": "t", "group.id": "g"}
     opts = streams.kafka_options(base)
     assert opts["startingOffsets"] == "earliest" and "kafka.security.protocol" not in opts
+    assert opts["failOnDataLoss"] == "true"
+    at = streams.kafka_options({**base, "start.position": "AT_TIMESTAMP", "start.timestamp": "2024-01-15T00:00:00Z"})
+    assert at["startingTimestamp"] == "1705276800000" and "startingOffsets" not in at
+    assert streams.kafka_options({**base, "start.position": "LATEST"})["startingOffsets"] == "latest"
     sec = streams.kafka_options({**base, "security.protocol": "SASL_SSL", "sasl.mechanism": "SCRAM-SHA-512",
                                  "sasl.jaas.config": "x"})
     assert sec["kafka.security.protocol"] == "SASL_SSL" and sec["kafka.sasl.jaas.config"] == "x"
 
 
+def test_null_values_are_counted(spark):
+    from pyspark.sql import Observation
+    raw = spark.createDataFrame([(0, 1, T0, bytearray(b"k"), bytearray(b"v")), (0, 2, T0, None, None), (1, 3, T0, None, None)],
+                                "partition int, offset long, timestamp timestamp, key binary, value binary")
+    assert [(r.offset, r.value) for r in streams.text_messages(raw).collect()] == [(1, "v")]
+    seen = Observation("nulls")
+    raw.observe(seen, F.count_if(F.col("value").isNull()).alias("null_values")).collect()
+    assert seen.get == {"null_values": 2}
+    assert "null_values" in streams.text_messages(raw)._jdf.queryExecution().toString()
+
+
 def test_lake_rows_ms_truncation(spark):
     rows = [(0, 0, dt.datetime(2024, 1, 1, 23, 59, 59, 999999), "k", '{"timestamp":"17"}')]
     r = ingest.lake_rows(_msgs(spark, rows)).collect()[0]

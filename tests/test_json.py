@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.functions import is_json, json_bigint, json_scalar, with_is_json, with_json_scalar
+from quayside.functions import is_json, json_bigint, json_outcome, json_scalar, with_is_json, with_json_scalar
 
 # (message, expected BIGINT in permissive mode, strict raises)
 CASES = [
@@ -68,6 +68,18 @@ def test_object_or_array_at_path_is_null(messages):
     assert vals[5] is None and vals[6] is None and vals[1] == "17" and vals[3] == "12.5"
 
 
+def test_texts_beyond_the_parser_are_undecided(spark):
+    deep, long_number = "[" * 1200 + "]" * 1200, "1" * 1200
+    texts = [deep, long_number, '{"a":' + deep + "}", "[" * 500 + "]" * 500, "1" * 900, "[" * 1200, "x" * 3000, "not json", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, m string")
+    want = ["undecided", "undecided", "undecided", "json", "json", "undecided", "not_json", "not_json", None]
+    got = {r.id: r.o for r in df.select("id", json_outcome("m").alias("o")).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+    flag = {"json": True, "not_json": False, "undecided": None, None: None}
+    once = {r.id: r.ok for r in with_is_json(df, "m", "ok").collect()}
+    assert [once[i] for i in range(len(texts))] == [flag[w] for w in want]
+
+
 def test_validity_matches_python_and_duckdb(spark):
     texts = ['{"a":1}', "3", '"x"', "null", "[1,2]", " {\"a\":1} ", '{"a":1} x', "3 4", "1 /*c*/",
              "", "not json", '{"a":1}]', "1],[2", "{'a':1}", "1e5", "[", "01"]

@@ -1,12 +1,13 @@
 """The range-split running sum against a brute-force pandas computation."""
 
 import random
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from quayside.plans import running_sum
+from quayside.plans import running_sum, with_buckets
 
 
 def _brute(pdf, group, order, value):
@@ -22,7 +23,7 @@ def test_hot_group_split_over_partitions(spark):
         g = "hot" if rnd.random() < 0.6 else rnd.choice(["a", "b", "c", "d"])
         rows.append((i, g, rnd.randint(0, 50), rnd.random()))
     df = spark.createDataFrame(rows, "id long, g string, b long, x double")
-    out = running_sum(df, ["g"], ["id"], ["b", "x"], ["rb", "rx"], num_partitions=9).toPandas()
+    out = running_sum(df, ["g"], ["id"], ["b", "x"], ["rb", "rx"], buckets=9).toPandas()
     exp = _brute(pd.DataFrame(rows, columns=["id", "g", "b", "x"]), ["g"], ["id"], "b")
     expx = _brute(pd.DataFrame(rows, columns=["id", "g", "b", "x"]), ["g"], ["id"], "x")
     m = out.merge(exp[["id", "expect"]], on="id").merge(expx[["id", "expect"]].rename(columns={"expect": "ex"}), on="id")
@@ -34,11 +35,34 @@ def test_hot_group_split_over_partitions(spark):
 def test_global_running_count_and_nulls(spark):
     rows = [(i, None if i % 7 == 0 else i % 5) for i in range(500)]
     df = spark.createDataFrame(rows, "id long, v long")
-    out = running_sum(df, [], ["id"], "v", "r", num_partitions=6).orderBy("id").toPandas()
+    out = running_sum(df, [], ["id"], "v", "r", buckets=6).orderBy("id").toPandas()
     exp = pd.Series([r[1] or 0 for r in rows]).cumsum()
     assert list(out.r) == list(exp)
 
 
+def test_decimals_stay_exact(spark):
+    df = spark.createDataFrame([(i, Decimal("0.1")) for i in range(1000)], "id long, v decimal(20,1)")
+    last = running_sum(df, [], ["id"], "v", "r", buckets=7).orderBy(F.desc("id")).first()
+    assert last.r == Decimal("100.0")
+
+
+def test_null_groups_and_null_order_values(spark):
+    rows = [("a", None, 1), (None, 3, 5), (None, 1, 7), ("a", 2, 2), (None, None, 11)]
+    df = spark.createDataFrame(rows, "g string, o long, v long")
+    got = {(r.g, r.o): r.s for r in running_sum(df, ["g"], ["o"], "v", "s", buckets=3).collect()}
+    assert got == {("a", None): 1, ("a", 2): 3, (None, None): 11, (None, 1): 18, (None, 3): 23}
+
+
+def test_empty(spark):
+    assert running_sum(spark.createDataFrame([], "id long, v long"), [], ["id"], "v", "r").count() == 0
+
+
+def test_buckets_split_a_hot_group(spark):
+    df = spark.range(50_000).selectExpr("id", "if(id % 3 = 0, 'hot', cast(id as string)) as g")
+    sizes = [r["count"] for r in with_buckets(df, ["id"], 64).where("g = 'hot'").groupBy("_qs_bucket").count().collect()]
+    assert len(sizes) > 50 and max(sizes) < 5 * sum(sizes) / len(sizes)
+
+
 def test_equals_window_on_real_table(spark):
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     a = running_sum(ev, ["event_type"], ["ts", "event_id"], "user_id", "r")

@@ -1,11 +1,14 @@
 """Streaming wrappers over file sources: restart, no duplicates, batch == stream."""
 
+import datetime as dt
+import inspect
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from quayside.operators import cdc, ingest
-from quayside.sinks.index import BucketedIndex
+from quayside.sinks import index
 from quayside.sources import standins
 from quayside.streaming import pipelines
 
@@ -67,17 +70,73 @@ def test_index_upsert_stream_equals_one_shot(spark, scratch):
         log.where(F.to_date("change_ts") == F.lit(d)).coalesce(1).write.parquet(f"{scratch}/log/{i:03d}")
     src = (spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1)
            .option("recursiveFileLookup", "true").parquet(f"{scratch}/log"))
-    q = pipelines.start_index_upsert(src, f"{scratch}/index", "key", ["change_ts", "position"],
-                                     f"{scratch}/ck", buckets=8, trigger="availableNow")
-    q.awaitTermination()
-    index = BucketedIndex(spark, f"{scratch}/index", "key", ["change_ts", "position"], buckets=8)
-    got = index.read()
+    root, ck = f"{scratch}/index", f"{scratch}/ck"
     want = cdc.latest_image(cdc.skip_operations(log), "key", ["change_ts", "position"])
-    assert got.count() == want.count()
-    assert got.select(*want.columns).exceptAll(want).count() == 0
-    # replaying a committed batch id is a no-op
-    last = index.pointer()["batch_id"]
-    assert index.merge(log.limit(3), last) is False
+
+    def state():
+        return index.index_state(spark, root, "key", ["change_ts", "position"]).select(*want.columns)
+
+    pipelines.start_index_upsert(src, root, ck, trigger="availableNow").awaitTermination()
+    assert state().count() == want.count() and state().exceptAll(want).count() == 0
+    # a replayed batch replaces its own partition, a restart adds nothing
+    rows = spark.read.parquet(root).count()
+    index.write_changes(spark.read.parquet(f"{root}/batch_id=0"), 0, root)
+    pipelines.start_index_upsert(src, root, ck, trigger="availableNow").awaitTermination()
+    assert spark.read.parquet(root).count() == rows and state().exceptAll(want).count() == 0
+    # a later file with an older and a newer change
+    first = want.orderBy("key").first()
+    older = [(first.key, "u", dt.datetime(2000, 1, 1), -1, 0.0, "older")]
+    newer = [(first.key, "u", dt.datetime(2100, 1, 1), 10 ** 9, 1.0, "newer")]
+    spark.createDataFrame(older, log.schema).coalesce(1).write.parquet(f"{scratch}/log/998")
+    pipelines.start_index_upsert(src, root, ck, trigger="availableNow").awaitTermination()
+    assert state().exceptAll(want).count() == 0
+    spark.createDataFrame(newer, log.schema).coalesce(1).write.parquet(f"{scratch}/log/999")
+    pipelines.start_index_upsert(src, root, ck, trigger="availableNow").awaitTermination()
+    assert {r.key: r.note for r in state().collect()}[first.key] == "newer"
+
+
+def test_lake_rejects_and_restart(spark, scratch):
+    rows = [(0, i, dt.datetime(2024, 1, 1), "k", v) for i, v in enumerate(['{"k":1}', '{"k":"x"}', '{"k":1.5}', "bad", '{"o":1}'])]
+    spark.createDataFrame(rows, MSG_SCHEMA).coalesce(1).write.parquet(f"{scratch}/in/f0")
+    for _ in range(2):
+        src = _stream(spark, scratch, "in")
+        pipelines.start_lake_rejects(src, f"{scratch}/rejects", f"{scratch}/ck", path="$.k", trigger="availableNow").awaitTermination()
+        assert sorted((r.offset, r.json_value) for r in spark.read.parquet(f"{scratch}/rejects").collect()) == [(1, "x"), (2, "1.5")]
+
+
+def test_text_landing_restart_and_dates(spark, scratch):
+    _land_inputs(spark, scratch, 1)
+    n = standins.message_stream(spark, SMALL).count()
+    for _ in range(2):
+        pipelines.start_text_landing(_stream(spark, scratch, "in"), f"{scratch}/now", f"{scratch}/ck1", trigger="availableNow").awaitTermination()
+        assert spark.read.text(f"{scratch}/now").count() == n
+    assert len([d for d in os.listdir(f"{scratch}/now") if d.startswith("date=")]) <= 2  # the day of processing
+    pipelines.start_text_landing(_stream(spark, scratch, "in"), f"{scratch}/then", f"{scratch}/ck2", trigger="availableNow", use_processing_time=False).awaitTermination()
+    assert len([d for d in os.listdir(f"{scratch}/then") if d.startswith("date=")]) > 20
+
+
+def test_checkpoints_are_required(spark):
+    for start in (pipelines.start_text_landing, pipelines.start_lake_append, pipelines.start_lake_rejects, pipelines.start_index_upsert, pipelines.start_connector_upsert):
+        assert inspect.signature(start).parameters["checkpoint"].default is inspect.Parameter.empty
+
+
+def test_connector_batch(spark, scratch):
+    rows = [(1, "c", dt.datetime(2024, 1, 1), 1, 1.0, "a"), (1, "u", dt.datetime(2024, 1, 1), 2, 2.0, "b"), (2, "d", dt.datetime(2024, 1, 1), 3, 3.0, "c")]
+    batch = spark.createDataFrame(rows, "key long, op string, change_ts timestamp_ntz, position long, amount double, note string")
+    docs = index.newest_documents(batch, "key", ["change_ts", "position"]).collect()
+    assert [(r.doc_id, r.version) for r in docs] == [("1", 2)] and '"note":"b"' in docs[0].document
+    options = index.index_options({"hosts": "h", "index": "i"}, "doc_id", "version")
+    assert options["es.mapping.version.type"] == "external_gte" and options["es.write.operation"] == "index"
+
+
+def test_shared_folder_is_required_beyond_local_masters():
+    from types import SimpleNamespace
+
+    from quayside.session import checkpoint_dir
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077", getConf=lambda: SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None)))
 
 
 def test_producer_rate_and_format(spark, scratch):
@@ -101,9 +160,12 @@ def test_producer_rate_and_format(spark, scratch):
 
 
 def test_producer_and_index_options():
-    from quayside.sinks import index, kafka
+    from quayside.sinks import kafka
     opts = kafka.producer_options({"bootstrap.servers": "b:9092"})
     assert opts["kafka.acks"] == "all" and opts["kafka.retries"] == "3" and opts["kafka.linger.ms"] == "10"
+    assert opts["kafka.request.timeout.ms"] == "2000" and opts["kafka.max.block.ms"] == "2000"
+    with pytest.raises(ValueError):
+        kafka.producer_options({"bootstrap.servers": "b:9092", "kafka.request.timeout.ms": 30000})
     assert opts["kafka.delivery.timeout.ms"] == "10000" and opts["kafka.batch.size"] == "16384"
     es = index.index_options({"hosts": "h:9200", "index": "assets"}, "f_id")
     assert es["es.mapping.id"] == "f_id" and es["es.batch.size.entries"] == "1000"
