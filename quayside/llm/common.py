@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import uuid
 import zipfile
 
@@ -16,21 +16,33 @@ from quayside.session import checkpoint_dir
 
 
 _SHIPPED: set[str] = set()
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def as_uri(path: str) -> str:
+    """``path`` with a scheme: a plain path lies in the file system of this machine."""
+    return path if "://" in path or path.startswith("file:") else f"file://{path}"
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors' Python workers, once per application."""
+    """Send this package to the executors' Python workers, once per application, through the
+    shared folder."""
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        out = os.path.join(tempfile.mkdtemp(prefix="quayside-code-"), "quayside_code.zip")
-        with zipfile.ZipFile(out, "w") as z:
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w") as z:
             for folder, _, files in os.walk(package):
                 for f in sorted(files):
                     if f.endswith(".py"):
                         full = os.path.join(folder, f)
                         z.write(full, os.path.relpath(full, os.path.dirname(package)))
-        context.addPyFile(out)
+        target = f"{shared_folder(spark, 'code')}/quayside_code.zip"
+        fs, path = _hadoop(spark, target)
+        out = fs.create(path)
+        out.write(bytearray(held.getvalue()))
+        out.close()
+        context.addPyFile(str(path.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()))
         _SHIPPED.add(context.applicationId)
     return spark
 
@@ -46,7 +58,27 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which all executors and the driver share."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete what this application's operators have written to the shared folder (intermediate
+    tables, archives of ``op4``, stages of the pipeline); call it when results are written elsewhere.
+    Returns how many folders went."""
+    gone = 0
+    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+        fs, folder = _hadoop(spark, path)
+        gone += bool(fs.delete(folder, True))
+    return gone
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The file system, as Spark knows it, and the path in it."""
+    context = spark.sparkContext
+    held = context._jvm.org.apache.hadoop.fs.Path(path)
+    return held.getFileSystem(context._jsc.hadoopConfiguration()), held
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

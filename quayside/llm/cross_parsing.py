@@ -205,4 +205,4 @@ def op8(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     fold = crc_bucket("doc_id", 4)
     found = identify(docs.select("doc_id", "text"), docs.where(fold != 2))
-    return found.select("doc_id", (fold == 2).alias("held_out"), "language.lang_pred", "language.score")
+    return found.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "language.lang_pred", "language.score")

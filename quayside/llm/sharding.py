@@ -76,5 +76,5 @@ def op1(spark, sf_dir: str) -> DataFrame:
     """Registered query: every document's shard and slot; shard sizes differ by one row at most."""
     text = F.col("text")
     return shuffle_shards(table(spark, sf_dir, "documents"), 16).select(
-        "doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        "doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
         F.lit("rows").alias("law"), "place.shard", "place.slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -143,4 +143,4 @@ def op7(spark, sf_dir: str) -> DataFrame:
     fold = crc_bucket("doc_id", 5)
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold != 0)
     found = score(docs, docs.join(labels, "doc_id"))
-    return found.select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
+    return found.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", "predicted")

@@ -36,7 +36,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import quoted, shared_folder, ship, shuffle_partitions, table
+from quayside.llm.common import as_uri, quoted, shared_folder, ship, shuffle_partitions, table
 
 HISTOGRAM = 65_536
 DATE = "2024-01-01T00:00:00Z"
@@ -234,8 +234,6 @@ def read_warc(spark, target: str) -> DataFrame:
 
 def op4(spark, sf_dir: str) -> DataFrame:
     """Registered query: write every page to archives in the shared folder and read them back."""
-    target = shared_folder(spark, "warc")
-    if "://" not in target and not target.startswith("file:"):
-        target = f"file://{target}"
+    target = as_uri(shared_folder(spark, "warc"))
     write_warc(table(spark, sf_dir, "pages"), target)
     return read_warc(spark, target).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")

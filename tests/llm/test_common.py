@@ -1,0 +1,21 @@
+import os
+
+from helpers import DOCS
+
+from quayside.llm import common
+
+
+def test_clear_deletes_what_was_written(spark):
+    kept = common.stored(spark.createDataFrame([(1, "a", None, None, 0)], DOCS), "kept")
+    path = common._WRITTEN[spark.sparkContext.applicationId][-1].removeprefix("file:")
+    assert kept.count() == 1 and os.path.isdir(path)
+    assert common.clear(spark) >= 1 and not os.path.exists(path)
+    assert common.clear(spark) == 0
+
+
+def test_names_that_do_not_clash(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "a int, `row` int, `x.y` int")
+    out = df.select(common.packed(df, "a"), common.quoted("a").alias("text"))
+    assert df.columns == out.select(*common.unpacked(df, "a")).columns
+    assert common.free_name(df, "ROW") == "ROW_"
+    assert tuple(out.select(*common.unpacked(df, "a")).first()) == (1, 2, 3)
