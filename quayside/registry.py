@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from quayside import constants as C
 from quayside import schemas
+from quayside.functions import epoch_seconds
 from quayside.operators import cdc, ingest, metrics, producer
 from quayside.session import checkpoint_dir
 from quayside.sinks import index
@@ -358,11 +359,11 @@ SELECT 'orders' AS source, CAST((o_orderkey - (SELECT min(o_orderkey) FROM order
        min(o_orderkey) AS low, max(o_orderkey) AS high, count(*) AS n_rows FROM orders GROUP BY 2
 UNION ALL
 SELECT 'order_dates', CAST((rk - 1) // {CHUNK} AS BIGINT), min(k), max(k), count(*)
-FROM (SELECT epoch_us(o_orderdate) // 1000000 AS k, row_number() OVER (ORDER BY epoch_us(o_orderdate)) AS rk FROM orders) GROUP BY 2""")
+FROM (SELECT CAST(floor(epoch_us(o_orderdate) / 1000000) AS BIGINT) AS k, row_number() OVER (ORDER BY epoch_us(o_orderdate)) AS rk FROM orders) GROUP BY 2""")
 def q_snapshot_chunks_planned(spark, base):
     """The factor rule chooses: dense order keys get equal widths, repeated dates runs of rows."""
     orders = table(spark, base, "orders")
-    dates = orders.select(F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("k"))
+    dates = orders.select(epoch_seconds("o_orderdate").alias("k"))
     even = snap_src.plan_chunks(orders.select("o_orderkey"), "o_orderkey", CHUNK).select(F.lit("orders").alias("source"), "*")
     return even.unionByName(snap_src.plan_chunks(dates, "k", CHUNK).select(F.lit("order_dates").alias("source"), "*"))
 
