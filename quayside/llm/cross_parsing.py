@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from quayside.llm.common import crc_bucket, doc_bytes, free_name, packed, quoted, ship, table, unpacked
 
 SEGMENT = 256
+BESIDE = 16_384
 WIDTH = 64
 PAD, SEPARATOR, RARE = 63, 0, 62
 LETTERS = 61
@@ -119,18 +120,21 @@ def phrases(symbols: np.ndarray, offsets: np.ndarray, tables: list[np.ndarray])
     place = (np.arange(len(doc)) - np.repeat(np.cumsum(per) - per, per)) * SEGMENT
     start = offsets[doc] + place
     left = np.minimum(sizes[doc] - place, SEGMENT)
-    at = start[None, :] + np.arange(SEGMENT)[:, None]
-    grid = np.where(np.arange(SEGMENT)[:, None] < left[None, :], symbols[np.minimum(at, max(len(symbols) - 1, 0))] if len(symbols) else PAD, PAD).astype(np.int32)
     out = np.zeros((n, len(tables)), np.int64)
-    for k, entries in enumerate(tables):
-        v, cost = np.zeros(len(doc), np.int32), np.ones(len(doc), np.int32)
-        for row in grid:
-            v &= -4
-            v <<= 4
-            v += row
-            v = entries.take(v)
-            cost += v & 3
-        out[:, k] = np.bincount(doc, weights=cost, minlength=n)
+    step = np.arange(SEGMENT)[:, None]
+    for b in range(0, len(doc), BESIDE):  # so many segments side by side: bounded memory for long texts
+        own, length = doc[b:b + BESIDE], left[None, b:b + BESIDE]
+        at = np.minimum(start[None, b:b + BESIDE] + step, len(symbols) - 1)
+        grid = np.where(step < length, symbols[at], PAD).astype(np.int32)
+        for k, entries in enumerate(tables):
+            v, cost = np.zeros(len(own), np.int32), np.ones(len(own), np.int32)
+            for row in grid:
+                v &= -4
+                v <<= 4
+                v += row
+                v = entries.take(v)
+                cost += v & 3
+            out[:, k] += np.bincount(own, weights=cost, minlength=n).astype(np.int64)
     return out
 
 
@@ -138,8 +142,13 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     """Code points of the alphabet, languages, their parse tables and sample lengths."""
     known = docs.where(quoted(lang_col).isNotNull() & quoted(text_col).isNotNull())
     known = known.select(quoted(lang_col).cast("string").alias("lang"), quoted(text_col).alias("text"), F.xxhash64(quoted(id_col)).alias("h"))
-    shares = known.groupBy("lang").count().select(F.col("lang").alias("l"), (F.lit(docs_per_lang) / F.col("count")).alias("share"))
-    chosen = known.join(shares, F.col("lang") == F.col("l")).where(F.pmod("h", F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    # one row per language, and each language gets a table of the model; the shares become a literal,
+    # so texts outside the sample are never shuffled
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    if not counts:
+        return np.zeros(0, np.uint32), [], [], []
+    shares = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1.0, docs_per_lang / n) * (1 << 20)))])
+    chosen = known.where(F.pmod("h", F.lit(1 << 20)) < F.element_at(shares, F.col("lang")))
     chosen = chosen.select("lang", "h", F.substring("text", 1, chars_per_lang).alias("text")).orderBy("lang", "h", "text")
     samples: dict[str, list[np.ndarray]] = {}
     for r in chosen.toLocalIterator():

@@ -23,6 +23,9 @@ Hot strings: each map batch sends one record per (name, context) and settles its
 itself, so a string found in a third of all rows costs one record per batch, not per row.
 Names are 64-bit hashes taken in pairs (name and context, or 96 bits in step 3).
 
+Memory: a bucket holds about one byte per text byte divided by 4 x ``spark.sql.shuffle.partitions``;
+set that so that a partition gets at most a few hundred MB of text, as for any shuffle.
+
 Defined results: null and empty texts, and texts shorter than ``length``, lose nothing. A null
 doc_id sorts after all others. Rows that repeat both doc_id and text get the same result: none
 of them is earlier than another. Rows sharing a doc_id with different texts are ordered by start

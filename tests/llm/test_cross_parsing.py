@@ -26,10 +26,11 @@ def _phrases(text, sample):
     return n
 
 
-def test_phrases_against_substring_search():
+def test_phrases_against_substring_search(monkeypatch):
+    monkeypatch.setattr(cross_parsing, "BESIDE", 7)
     rnd = random.Random(3)
     sample = "".join(rnd.choice("abcd ") for _ in range(400))
-    texts = ["".join(rnd.choice("abcd e") for _ in range(n)) for n in (0, 1, 5, 255, 256, 257, 700)]
+    texts = ["".join(rnd.choice("abcd e") for _ in range(n)) for n in (0, 1, 5, 255, 256, 257, 700, 9000)]
     code = {c: i for i, c in enumerate(" abcde")}
     table = cross_parsing.parse_table([code[c] for c in sample])
     symbols = np.array([code[c] for t in texts for c in t], np.uint8)
