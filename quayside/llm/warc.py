@@ -11,7 +11,8 @@ file) is a Parquet table that Spark commits last, and readers read only files th
 
 Of records with equal payloads of at least ``revisit_bytes`` bytes, that with the largest id is
 the response and the others are revisits that refer to it; copies are counted by an aggregate with
-partial aggregation, and the join back to the records can be split where a payload is hot.
+partial aggregation, and the join back to the ids can be split where a payload is hot. Payloads
+themselves are shuffled once, and the decisions on them travel in the same sort.
 
 Files go through the file system of the target's URI (local or shared folders, HDFS or object
 stores known to pyarrow.fs) and are read back through Spark's binaryFile source.
@@ -36,36 +37,38 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import as_uri, quoted, shared_folder, ship, shuffle_partitions, table
+from quayside.llm.common import as_uri, quoted, shared_folder, ship, shuffle_partitions, stored, table
 
-HISTOGRAM = 65_536
+HISTOGRAM = 4_096
 DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value
 _SPACE = uuid.UUID("6f1c6c1e-5d0a-4b53-9c7e-3c9b1f0a7d11")
 
 
-def with_revisits(records: DataFrame, id_col: str, payload_col: str, revisit_bytes: int = 1000) -> DataFrame:
-    """``records`` with payload (binary), digest (hex SHA-1), refers_to (null for responses)."""
-    full = records.withColumn("payload", F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))).withColumn("digest", F.sha1("payload"))
-    copies = full.where(F.octet_length("payload") >= revisit_bytes).groupBy("digest").agg(F.max(id_col).alias("first"), F.count("*").alias("n")).where("n > 1").select(F.col("digest").alias("d"), "first")
-    joined = full.join(copies, (full["digest"] == copies["d"]) & (F.octet_length(full["payload"]) >= revisit_bytes), "left")
-    return joined.withColumn("refers_to", F.when(F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col(id_col)), F.col("first"))).drop("d", "first")
-
-
-def _sharded(records: DataFrame, id_col: str, shard_bytes: int) -> DataFrame:
-    """``records`` with shard and the sort keys; ids are placed by exact decimal arithmetic."""
-    spread = records.agg(F.min(id_col).cast("decimal(20,0)").alias("low"), F.max(id_col).cast("decimal(20,0)").alias("high")).first()
-    low, high = int(spread["low"] or 0), int(spread["high"] or 0)
-    width = (high - low) // HISTOGRAM + 1
-    offset = F.col(id_col).cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")
-    unit = F.pmod(F.xxhash64("digest", "url"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    placed = records.withColumn("bin", F.coalesce(F.floor(offset / F.lit(width).cast("decimal(20,0)")).cast("int"), F.lit(-1)))
-    placed = placed.withColumn("tie", unit).withColumn("inside", F.when(F.col("bin") < 0, F.col("tie")).otherwise(((offset % width).cast("double") + F.col("tie")) / width))
-    bins = placed.groupBy("bin").agg(F.sum(F.octet_length("payload") + 600).alias("bytes"))
+def _placed(records: DataFrame, low: int, width: int) -> DataFrame:
+    """``records`` (key, url, payload, digest) with bin (id range), tie (hash) and inside (place in the bin,
+    0 to 1, by id and then by hash); ids are placed by exact decimal arithmetic."""
+    offset = F.col("key").cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")
+    placed = records.withColumn("tie", F.pmod(F.xxhash64("digest", "url"), F.lit(1 << 30)) / F.lit(float(1 << 30)))
+    placed = placed.withColumn("bin", F.coalesce(F.floor(offset / F.lit(width).cast("decimal(20,0)")).cast("int"), F.lit(-1)))
+    return placed.withColumn("inside", F.when(F.col("bin") < 0, F.col("tie")).otherwise(((offset % width).cast("double") + F.col("tie")) / width))
+
+
+def _bins(placed: DataFrame, shard_bytes: int) -> DataFrame:
+    """Per bin the shard that it begins in and the pieces that it is cut into; at most HISTOGRAM + 2
+    rows of three numbers."""
+    sizes = placed.groupBy("bin").agg(F.sum(F.octet_length("payload") + 600).alias("bytes"))
     upto = F.sum("bytes").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
-    bins = bins.select(F.col("bin").alias("b"), F.floor(F.coalesce(upto, F.lit(0)) / shard_bytes).alias("base"), F.ceil(F.col("bytes") / shard_bytes).alias("pieces"))
-    # at most HISTOGRAM + 2 rows of three numbers
-    return placed.join(F.broadcast(bins), placed["bin"] == bins["b"]).withColumn("shard", F.struct("base", F.when(F.col("pieces") > 1, F.concat(F.col("bin"), F.lit("_"), F.floor(F.col("inside") * F.col("pieces")))).otherwise(F.lit("")).alias("piece")))
+    return sizes.select(F.col("bin").alias("b"), F.floor(F.coalesce(upto, F.lit(0)) / shard_bytes).alias("base"), F.ceil(F.col("bytes") / shard_bytes).alias("pieces"))
+
+
+def _revisits(placed: DataFrame, revisit_bytes: int) -> DataFrame:
+    """The records that repeat a payload and the response they refer to, without payloads."""
+    narrow = placed.where(F.octet_length("payload") >= revisit_bytes).select("key", "digest", "tie", "bin", "inside")
+    copies = narrow.groupBy("digest").agg(F.max("key").alias("refers_to"), F.count("*").alias("n")).where("n > 1 AND refers_to IS NOT NULL")
+    # written first: a join of two exchanges can split a hot payload, a join of an aggregate cannot
+    copies = stored(copies.select("digest", "refers_to"), "warc-copies")
+    return narrow.join(copies, "digest").where(~F.col("refers_to").eqNullSafe(F.col("key")))
 
 
 def _header(fields: list[tuple[str, str]]) -> bytes:
@@ -128,20 +131,25 @@ class _Roll:
 
 
 def _writer(target: str, roll_bytes: int):
+    """Rows arrive sorted by shard and id; a revisit's decision comes right before its record."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, folder = pafs.FileSystem.from_uri(target)
-        roll = None
+        roll, decision = None, (None, None, None)
         for rb in batches:
             rows: list[tuple] = []
             # row by row: a batch's payloads are turned into Python values one at a time
             for i in range(rb.num_rows):
-                base, piece, key, url, payload, digest, refers = (rb.column(c)[i].as_py() for c in ("base", "piece", "key", "url", "payload", "digest", "refers_to"))
+                base, piece, key, digest, refers, kind, url, payload = (rb.column(c)[i].as_py() for c in ("base", "piece", "key", "digest", "refers_to", "kind", "url", "payload"))
+                if kind == 0:
+                    decision = key, digest, refers
+                    continue
                 shard = f"part-{base:08d}{'-' if piece else ''}{piece}"
                 if roll is None or roll.shard != shard:
                     if roll is not None:
                         rows += roll.close()
                     roll = _Roll(fs, folder, shard, roll_bytes)
-                rows += roll.add(_gzip(record(key, url, payload, digest, refers)))
+                rows += roll.add(_gzip(record(key, url, payload, digest, decision[2] if decision[:2] == (key, digest) else None)))
             if rows:
                 yield _manifest(rows)
         if roll is not None and (rows := list(roll.close())):
@@ -154,15 +162,23 @@ def _manifest(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.int64(), pa.string()))], names=["file", "records", "bytes", "sha256"])
 
 
-def write_warc(records: DataFrame, target: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", revisit_bytes: int = 1000, shard_bytes: int = 64 << 20, roll_bytes: int = 16 << 20) -> str:
+def write_warc(records: DataFrame, target: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", revisit_bytes: int = 1000, shard_bytes: int = 16 << 20, roll_bytes: int = 8 << 20) -> str:
     """Write ``records`` as gzipped WARC files below ``target`` (a URI); returns the manifest's path."""
     spark = ship(records.sparkSession)
     fs, folder = pafs.FileSystem.from_uri(target)
     fs.create_dir(folder, recursive=True)
     plain = records.select(quoted(id_col).cast("long").alias("key"), quoted(url_col).alias("url"), quoted(payload_col).alias("html"))
-    full = with_revisits(plain, "key", "html", revisit_bytes).drop("html")
-    dealt = _sharded(full, "key", shard_bytes).select(F.col("shard.base").alias("base"), F.col("shard.piece").alias("piece"), "key", "url", "payload", "digest", "refers_to", "inside", "tie")
-    rows = dealt.repartition(shuffle_partitions(spark), "base", "piece").sortWithinPartitions("base", "piece", "key", "tie", "url").drop("inside", "tie")
+    full = plain.withColumn("payload", F.coalesce(F.col("html").cast("binary"), F.lit(b""))).withColumn("digest", F.sha1("payload")).drop("html")
+    spread = plain.agg(F.min("key"), F.max("key")).first()
+    low, high = spread[0] or 0, spread[1] or 0
+    placed = _placed(full, low, (high - low) // HISTOGRAM + 1)
+    wide = placed.withColumn("kind", F.lit(1)).withColumn("refers_to", F.lit(None).cast("long"))
+    told = _revisits(placed, revisit_bytes).withColumn("kind", F.lit(0)).withColumn("url", F.lit(None).cast("string")).withColumn("payload", F.lit(None).cast("binary"))
+    # payloads are shuffled once, together with the decisions on them
+    rows = wide.unionByName(told).join(F.broadcast(_bins(placed, shard_bytes)), F.col("bin") == F.col("b"))
+    piece = F.when(F.col("pieces") > 1, F.concat(F.col("bin"), F.lit("_"), F.lpad(F.floor(F.col("inside") * F.col("pieces")).cast("string"), 9, "0"))).otherwise(F.lit(""))
+    rows = rows.select("base", piece.alias("piece"), "key", "tie", "digest", "kind", "url", "payload", "refers_to")
+    rows = rows.repartition(shuffle_partitions(spark), "base", "piece").sortWithinPartitions("base", "piece", "key", "tie", "digest", "kind", "url")
     manifest = f"{target}/manifest"
     rows.mapInArrow(_writer(target, roll_bytes), "file string, records long, bytes long, sha256 string").write.parquet(manifest)
     return manifest
