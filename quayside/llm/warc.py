@@ -125,7 +125,11 @@ class _Roll:
     def close(self) -> Iterator[tuple]:
         if self.out is not None:
             self.out.close()
-            self.fs.move(self.temporary, f"{self.folder}/{self.name}")
+            final = f"{self.folder}/{self.name}"
+            if self.fs.get_file_info(final).type == pafs.FileType.NotFound:
+                self.fs.move(self.temporary, final)
+            else:  # an earlier attempt at this task has written the same bytes
+                self.fs.delete_file(self.temporary)
             self.out, self.part = None, self.part + 1
             yield self.name, self.records, self.size, self.digest.hexdigest()
 

@@ -88,6 +88,16 @@ def test_unlisted_files_are_not_read(spark, tmp_path):
     assert warc.read_warc(spark, target).count() == 1
 
 
+def test_a_task_tried_again_leaves_one_file(tmp_path):
+    import pyarrow.fs as pafs
+
+    fs, folder = pafs.FileSystem.from_uri(f"file://{tmp_path}")
+    for _ in range(2):
+        roll = warc._Roll(fs, folder, "part-0", 10)
+        assert [m[0] for m in [*roll.add(b"x" * 20), *roll.close()]] == ["part-0-00000.warc.gz"]
+    assert os.listdir(tmp_path) == ["part-0-00000.warc.gz"]
+
+
 def test_damage_is_found():
     good = warc._gzip(warc.record(1, "u", b"payload", hashlib.sha1(b"payload").hexdigest(), None))
     assert len(list(warc.parse_records(good + good))) == 2
