@@ -146,7 +146,8 @@ def _pairs(entries: DataFrame, turn: int) -> DataFrame:
     this turn, where they are not in one class yet; each pair once."""
     order = F.xxhash64("node", "band", F.lit(turn))
     centres = entries.groupBy("band", "h").agg(*[F.struct(f("node", order).alias("node"), f("root", order).alias("root")).alias(n) for n, f in (("low", F.min_by), ("high", F.max_by))])
-    met = entries.join(centres, ["band", "h"]).select("node", "root", F.explode(F.array("low", "high")).alias("c")).where("root <> c.root")
+    # written first: a join of two exchanges can split a hot bucket, a join of an aggregate cannot
+    met = entries.join(stored(centres, "centres"), ["band", "h"]).select("node", "root", F.explode(F.array("low", "high")).alias("c")).where("root <> c.root")
     return met.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
 
 
@@ -176,7 +177,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     signed = stored(plain.mapInArrow(_signed(bands, rows, size), "id long, th long, node binary, bands array<long>"), "darts")
     nodes = signed.where("node is not null").groupBy("node").agg(F.min("id").alias("rep"), F.any_value("bands").alias("bands"))
     entries = nodes.select("node", F.posexplode("bands").alias("band", "h"))
-    shared = stored(entries.join(entries.groupBy("band", "h").count().where("count > 1"), ["band", "h"]).select("band", "h", "node"), "buckets")
+    full = stored(entries.groupBy("band", "h").count().where("count > 1").select("band", "h"), "full-buckets")
+    shared = stored(entries.join(full, ["band", "h"]).select("band", "h", "node"), "buckets")
     wanted = nodes.select("node", "rep").join(shared.select("node").distinct(), "node")
     texts = plain.join(wanted, plain["id"].eqNullSafe(wanted["rep"])).select("node", "text")
     sets = stored(texts.mapInArrow(_shingled(size), "node binary, shingles binary").dropDuplicates(["node"]), "shingles")
@@ -185,7 +187,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         active = shared.withColumn("root", F.col("node"))
         if turn:
             active = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            active = active.join(active.groupBy("band", "h").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y"), ["band", "h"], "left_semi")
+            mixed = active.groupBy("band", "h").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band", "h")
+            active = active.join(stored(mixed, "mixed-buckets"), ["band", "h"])
         met = _pairs(active, turn).join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
         found = stored(met.mapInArrow(_checked(threshold), "a binary, b binary"), "links")
         links = found if links is None else links.unionAll(found)

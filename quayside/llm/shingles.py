@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 from quayside.llm.common import doc_bytes, mix64
 
-SLICE = 4 << 20
+SLICE = 2 << 20
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
 _WORD = np.array([c >= 0x80 or chr(c).isalnum() for c in range(256)])
