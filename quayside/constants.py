@@ -28,7 +28,6 @@ PRODUCER_MAX_IDLE_MS = 300000
 PRODUCER_RETRY_BACKOFF_MS = 100
 PRODUCER_CONNECTION_SETUP_MS = 1500
 MESSAGE_TEXT_FORMAT = "Message %d at %d"
-USER_ID_FORMAT = "user-%06d"
 PERCENTILES = (0.5, 0.95, 0.99)
 LOAD_DURATION_SECONDS = 1200
 CSV_COLUMNS = ("client_request_id", "query_type", "user_id", "latency_ms", "result_count",
