@@ -42,6 +42,8 @@ _BUCKET, _BEFORE, _CUTS = "_qs_bucket", "_qs_before", "_qs_cuts"
 def _order_value(df: DataFrame, column: str) -> Column:
     """The leading order column as a number that keeps its order."""
     kind = df.schema[column].dataType
+    if isinstance(kind, T.DecimalType):  # keeps the order; equal doubles only share a bucket
+        return F.col(column).cast("double")
     if isinstance(kind, T.NumericType):
         return F.col(column)
     if isinstance(kind, T.TimestampNTZType):
