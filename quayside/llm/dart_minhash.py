@@ -11,13 +11,19 @@ their weighted Jaccard similarity. Where t leaves a coordinate empty, t is doubl
 Signatures are cut into bands. Documents with equal word sequences are one node. In each bucket
 of a band every node is paired with two centres of the bucket (two aggregates with partial
 aggregation, joined back, so a hot bucket splits), never with all others. Pairs are checked
-exactly (weighted Jaccard of the shingle counts >= threshold). Nodes that fail against both
-centres are paired anew among themselves, for ``rounds`` rounds. Verified links are closed to
-classes by alternating stars.
+exactly (weighted Jaccard of the shingle counts >= threshold). Buckets that then hold more than
+one class get new centres, for ``rounds`` turns in all; these turns only make classes large early.
+
+All nodes of the buckets that are still mixed go through an exact prefix-filter join: a node's
+shingles are put in one global order, rare ones first (counts in ``CELLS`` hashed cells, so the
+order needs no shuffle), and a pair at the threshold must share one of each one's first
+size - threshold * size + 1. The first common shingle also bounds the overlap by what follows it
+in either node; pairs below the bound are dropped in the join, the rest is checked exactly. So
+every pair that shares a bucket is either in one class, ruled out or checked. Verified links are
+closed to classes by alternating stars.
 
 With 24 bands of 5, a pair of similarity 0.8 shares no band with probability 7e-5, and of 0.9
-with 5e-10. A pair that shares bands shares about 8 of 24 at 0.8, so centres chosen by
-independent hashes per band join it unless it fails in each.
+with 5e-10.
 
 Defined results: null texts and texts without a word are classes of their own (class_id =
 doc_id). A class's id is its smallest doc_id (null only if all are null). Rows repeated as a
@@ -37,6 +43,7 @@ from quayside.llm.common import mix64, packed, quoted, ship, stored, table, unpa
 from quayside.llm.shingles import batches_of_words, digests, shingle_sets
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
+CELLS = 1 << 18
 
 
 def _unit(h: np.ndarray) -> np.ndarray:
@@ -151,6 +158,73 @@ def _pairs(entries: DataFrame, turn: int) -> DataFrame:
     return met.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
 
 
+def _elements(shingles) -> np.ndarray:
+    """A sorted multiset written with repetition as distinct elements."""
+    a = np.frombuffer(shingles.as_buffer(), np.uint64)
+    again = (np.arange(len(a)) - np.searchsorted(a, a)).astype(np.uint64)
+    return np.where(again > 0, mix64(a ^ again * _GOLD), a)
+
+
+def _cell(elements: np.ndarray) -> np.ndarray:
+    return (mix64(elements) % np.uint64(CELLS)).astype(np.int64)
+
+
+def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen = np.zeros(CELLS, np.int64)
+    for rb in batches:
+        for x in rb.column("shingles"):
+            np.add.at(seen, _cell(_elements(x)), 1)
+    cell = np.flatnonzero(seen)
+    yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(seen[cell])], names=["cell", "n"])
+
+
+def _prefixes(tally, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = tally.value
+        for rb in batches:
+            for b in range(0, rb.num_rows, 256):
+                part = rb.slice(b, 256)
+                row, found, rest, sizes = [], [], [], []
+                for i, x in enumerate(part.column("shingles")):
+                    e = _elements(x)
+                    n = len(e) - int(np.ceil(threshold * len(e) - 1e-6)) + 1
+                    e = e[np.lexsort([e, counts[_cell(e)]])]
+                    n = max(0, min(n, len(e)))
+                    row.append(np.full(n, i))
+                    found.append(e[:n])
+                    rest.append(len(e) - np.arange(n))
+                    sizes.append(np.full(n, len(e)))
+                take = pa.array(np.concatenate(row))
+                columns = [pa.array(np.concatenate(c).astype(np.int64)) for c in (found, rest, sizes)]
+                yield pa.RecordBatch.from_arrays([part.column("node").take(take), part.column("root").take(take), *columns], names=["node", "root", "e", "rest", "size"])
+
+    return run
+
+
+def _rest(open_: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of the nodes (node, root) that are not in one class and that the prefix filter
+    cannot rule out."""
+    held = stored(sets.join(open_, "node"), "open-nodes")
+    tally = np.zeros(CELLS, np.int64)
+    for r in held.mapInArrow(_tallied, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # at most one row per cell
+        tally[r["cell"]] = r["n"]
+    order = held.sparkSession.sparkContext.broadcast(tally)
+    prefixes = stored(held.mapInArrow(_prefixes(order, threshold), "node binary, root binary, e long, rest long, size long"), "prefixes")
+
+    def within(rest, size, other):
+        """The overlap left from here on can be enough for the other's size."""
+        return rest * (1.0 + threshold) >= threshold * (size + other) - 1e-6
+
+    # elements of one class, and rows that no other row of the element is small enough for, go first
+    by = prefixes.groupBy("e").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.min("size").alias("small")).where("x <> y").select("e", "small")
+    live = stored(prefixes.join(stored(by, "open-elements"), "e").where(within(F.col("rest"), F.col("size"), F.col("small"))).drop("small"), "live-prefixes")
+    a = live.select("e", *[F.col(c).alias(f"a_{c}") for c in ("node", "root", "rest", "size")])
+    b = live.select("e", *[F.col(c).alias(f"b_{c}") for c in ("node", "root", "rest", "size")])
+    can = within(F.col("a_rest"), F.col("a_size"), F.col("b_size")) & within(F.col("b_rest"), F.col("b_size"), F.col("a_size"))
+    met = a.join(b, (a["e"] == b["e"]) & (F.col("a_node") < F.col("b_node")) & (F.col("a_root") != F.col("b_root")) & can)
+    return met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): alternating large and small stars until
     nothing changes; every round is written to the shared folder."""
@@ -183,13 +257,20 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     texts = plain.join(wanted, plain["id"].eqNullSafe(wanted["rep"])).select("node", "text")
     sets = stored(texts.mapInArrow(_shingled(size), "node binary, shingles binary").dropDuplicates(["node"]), "shingles")
     links, roots = None, None
-    for turn in range(rounds):
+    for turn in range(rounds + 1):
         active = shared.withColumn("root", F.col("node"))
         if turn:
             active = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
             mixed = active.groupBy("band", "h").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band", "h")
             active = active.join(stored(mixed, "mixed-buckets"), ["band", "h"])
-        met = _pairs(active, turn).join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
+        if turn < rounds:
+            pairs = _pairs(active, turn)
+        else:
+            open_ = stored(active.select("node", "root").distinct(), "open")
+            if open_.isEmpty():
+                break
+            pairs = _rest(open_, sets, threshold)
+        met = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
         found = stored(met.mapInArrow(_checked(threshold), "a binary, b binary"), "links")
         links = found if links is None else links.unionAll(found)
         roots = connected(links)

@@ -57,6 +57,36 @@ def test_classes_against_brute_force(spark):
     assert [got[i] for i in range(len(texts))] == brute_classes(texts)
 
 
+def _family(rnd, pairs):
+    """Documents of one template: mates are similar, most others are not, but share their buckets."""
+    template = prose(rnd, 160).split()
+    texts = []
+    for i in range(pairs):
+        own = [f"own{i}x{j}" for j in range(rnd.randint(22, 30))]
+        for side in "ab":
+            words = template + own
+            for j in range(3 if side == "b" else 0):
+                words[rnd.randrange(40 * j, 40 * j + 40)] = f"mark{i}{side}{j}"
+            texts.append(" ".join(words))
+    return texts
+
+
+def test_templated_family_against_brute_force(spark):
+    texts = _family(random.Random(17), 150)
+    want = brute_classes(texts)
+    assert len(set(want)) > 100 and len(set(want)) < 200
+    got = {r.id: r.class_id for r in dart_minhash.classes(frame(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_dissimilar_crowd_needs_no_checks(spark):
+    rnd = random.Random(18)
+    texts = _family(rnd, 200)[::2]
+    want = brute_classes(texts)
+    got = {r.id: r.class_id for r in dart_minhash.classes(frame(spark, texts), rounds=1).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def test_large_group_of_copies_is_one_class(spark):
     rnd = random.Random(5)
     words = prose(rnd, 150).split()
