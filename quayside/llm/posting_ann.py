@@ -9,7 +9,8 @@ as a boundary vector, to up to ``replicas`` - 1 others whose centroid is nearly
 (``closure``) and not nearer to a list chosen before. A query finds its lists by a best-first walk
 through a neighbour graph of the centroids, held in memory, and keeps those whose centroid's
 distance is within ``ratio`` of the nearest one's, and at least so many that ``least`` x k vectors
-are searched. Long lists are cut into blocks of ``block`` vectors, and a query visits every block,
+are searched. The walk begins with ``breadth`` centroids and is widened until one that it found
+lies outside the ratio, or all are found. Long lists are cut into blocks of ``block`` vectors, and a query visits every block,
 so a list that draws a third of all rows is spread over tasks. Scores are inner products of the
 original vectors in double precision, summed in the order of the components.
 
@@ -159,7 +160,8 @@ def _probes(model, sizes, dimension: int, breadth: int, ratio: float, least: int
                             break
                         chosen.append(j)
                         inside += held.get(j, 0)
-                    if inside >= least or wide >= len(c):
+                    # all that were found are kept: there may be more within the ratio
+                    if len(chosen) < len(found) or wide >= len(c):
                         break
                     wide *= 4
                 row += [i] * len(chosen)

@@ -45,6 +45,15 @@ def test_edge_vectors_and_ties(spark):
         assert got[q] == sorted(got[q], key=lambda p: (-p[1], p[0]))
 
 
+def test_every_list_within_the_ratio_is_searched(spark):
+    x = np.random.default_rng(6).normal(size=(800, 16)).astype(np.float32)
+    data = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], KIND)
+    asked = range(0, 800, 40)
+    got = _got(posting_ann.search(data, data.where("vec_id % 40 = 0"), k=20, per_list=2, replicas=1, ratio=100.0))
+    want = brute(list(range(800)), x.astype(float), asked, 20)
+    assert {q: [v for v, _ in got[q]] for q in got} == {q: [v for v, _ in want[q]] for q in want}
+
+
 def test_fewer_candidates_than_k(spark):
     data = spark.createDataFrame([(i, [float(i), 1.0], 0) for i in range(7)], KIND)
     got = _got(posting_ann.search(data, data, k=20, per_list=2))
