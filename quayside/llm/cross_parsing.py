@@ -5,16 +5,18 @@ parsed against each automaton into phrases: from the root, follow the text until
 exists (the longest match), then begin the next phrase there. A language's cost is its number of
 phrases times log2 of the length of its sample (the bits that name a phrase); fewest bits win.
 
-Text is lower-cased; letters of the alphabet learned from the samples are symbols, other letters
-are one symbol that no sample holds, and each run of other characters is one separator. Parsing
-is a table walk: a missing transition is replaced by the root's, with the phrase counted in the
-low bits of the entry. Texts are cut into segments of ``SEGMENT`` symbols that are parsed side by
+Text is lower-cased; each letter of the samples is a symbol of its own, all other letters are one
+symbol that no sample holds, and each run of other characters is one separator. Parsing is a
+table walk: a missing transition is replaced by the root's, with the phrase counted in the low
+bits of the entry. The ``LETTERS`` most frequent letters of all samples have dense columns;
+transitions by the others (most of a CJK alphabet) are sorted (state, symbol) keys that are
+searched where such a symbol occurs, so the alphabet is not bounded. Texts are cut into segments of ``SEGMENT`` symbols that are parsed side by
 side, one numpy step for the i-th symbol of every segment; a cut ends a phrase in every language
 alike, so whole texts count.
 
 The sample is bounded by two parameters: about ``docs_per_lang`` documents per language, chosen
 by a hash of the doc_id, and ``chars_per_lang`` symbols, the same share of each document. Memory:
-below 16 MB for a language's table at the default bound.
+below 16 MB for a language's dense table at the default bound, and below 2 MB for its keys.
 
 Defined results: ``und`` with score 0.0 for null texts, empty texts and texts without a letter.
 Equal costs go to the language first in sorted order. Rows with null lang or null text are never
@@ -38,7 +40,7 @@ from quayside.llm.common import crc_bucket, doc_bytes, free_name, packed, quoted
 SEGMENT = 256
 BESIDE = 16_384
 WIDTH = 64
-PAD, SEPARATOR, RARE = 63, 0, 62
+PAD, SEPARATOR, RARE = 63, 0, 62  # symbols from WIDTH on have no column
 LETTERS = 61
 SLICE = 2 << 20
 
@@ -99,20 +101,39 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return nxt
 
 
-def parse_table(symbols: list[int]) -> np.ndarray:
-    """Entry [state * WIDTH + symbol]: 4 * next state + phrases that end here."""
+def parse_table(symbols: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entry [state * WIDTH + symbol]: 4 * next state + phrases that end here; for symbols without
+    a column the sorted keys state << 32 | symbol and their entries (a state's, or else the root's
+    at state -1)."""
     states = suffix_automaton(symbols)
     out = np.full((len(states), WIDTH), 2, np.int32)  # a symbol the sample lacks: ends a phrase and is one
+    wide = {-1 << 32 | c: 4 * s + 1 for c, s in states[0].items() if c >= WIDTH}
     for c, s in states[0].items():
-        out[:, c] = 4 * s + 1
+        if c < WIDTH:
+            out[:, c] = 4 * s + 1
     for i, row in enumerate(states):
         for c, s in row.items():
-            out[i, c] = 4 * s
+            if c < WIDTH:
+                out[i, c] = 4 * s
+            else:
+                wide[i << 32 | c] = 4 * s
     out[:, PAD] = 0
-    return out.ravel()
+    keys = sorted(wide)
+    return out.ravel(), np.array(keys, np.int64), np.array([wide[k] for k in keys], np.int32)
+
+
+def _searched(state: np.ndarray, symbol: np.ndarray, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Entries for symbols without a column."""
+    out = np.full(len(state), 2, np.int32)
+    if len(keys):
+        for at in (np.full(len(state), -1, np.int64), state.astype(np.int64)):
+            key = at << 32 | symbol
+            place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            out = np.where(keys[place] == key, values[place], out)
+    return out
 
 
-def phrases(symbols: np.ndarray, offsets: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
+def phrases(symbols: np.ndarray, offsets: np.ndarray, tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
     """Phrases of each text (rows) by each table (columns)."""
     n, sizes = len(offsets) - 1, np.diff(offsets)
     per = -(-sizes // SEGMENT)
@@ -126,19 +147,24 @@ def phrases(symbols: np.ndarray, offsets: np.ndarray, tables: list[np.ndarray])
         own, length = doc[b:b + BESIDE], left[None, b:b + BESIDE]
         at = np.minimum(start[None, b:b + BESIDE] + step, len(symbols) - 1)
         grid = np.where(step < length, symbols[at], PAD).astype(np.int32)
-        for k, entries in enumerate(tables):
+        wide = [(w, row[w].astype(np.int64)) for row in grid for w in [np.flatnonzero(row >= WIDTH)]]
+        grid[grid >= WIDTH] = RARE
+        for k, (entries, keys, values) in enumerate(tables):
             v, cost = np.zeros(len(own), np.int32), np.ones(len(own), np.int32)
-            for row in grid:
+            for row, (w, symbol) in zip(grid, wide):
+                found = _searched(v[w] >> 2, symbol, keys, values) if len(w) else None
                 v &= -4
                 v <<= 4
                 v += row
                 v = entries.take(v)
+                if found is not None:
+                    v[w] = found
                 cost += v & 3
             out[:, k] += np.bincount(own, weights=cost, minlength=n).astype(np.int64)
     return out
 
 
-def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", docs_per_lang: int = 200, chars_per_lang: int = 32768) -> tuple[np.ndarray, list[str], list[np.ndarray], list[int]]:
+def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", docs_per_lang: int = 200, chars_per_lang: int = 32768) -> tuple[np.ndarray, list[str], list[tuple[np.ndarray, np.ndarray, np.ndarray]], list[int]]:
     """Code points of the alphabet, languages, their parse tables and sample lengths."""
     known = docs.where(quoted(lang_col).isNotNull() & quoted(text_col).isNotNull())
     known = known.select(quoted(lang_col).cast("string").alias("lang"), quoted(text_col).alias("text"), F.xxhash64(quoted(id_col)).alias("h"))
@@ -162,14 +188,15 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     streams = {k: streams[k] for k in sorted(streams) if (streams[k] > 0).any()}
     values, counts = np.unique(np.concatenate([*streams.values(), np.zeros(0, np.uint32)]), return_counts=True)
     counts, values = counts[values > 0], values[values > 0]
-    alphabet = values[np.lexsort([values, -counts])][:LETTERS]
+    alphabet = values[np.lexsort([values, -counts])]
     index = _index(alphabet)
     return alphabet, list(streams), [parse_table(index[s].tolist()) for s in streams.values()], [len(s) for s in streams.values()]
 
 
 def _index(alphabet: np.ndarray) -> np.ndarray:
-    out = np.full(0x110000, RARE, np.uint8)
-    out[alphabet] = np.arange(1, len(alphabet) + 1)
+    out = np.full(0x110000, RARE, np.int32)
+    out[alphabet[:LETTERS]] = np.arange(1, min(len(alphabet), LETTERS) + 1)
+    out[alphabet[LETTERS:]] = np.arange(WIDTH, WIDTH + max(0, len(alphabet) - LETTERS))
     out[0] = SEPARATOR
     return out
 

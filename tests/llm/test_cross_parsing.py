@@ -78,6 +78,27 @@ def test_held_out_texts(spark):
     assert got[15].lang_pred in STEMS and 0 < got[15].score <= 1
 
 
+def test_many_scripts_and_a_pair_of_large_alphabets(spark):
+    rnd = random.Random(9)
+    alphabets = {"la": "abcdefghijklmnopqrstuvwxyzàâçéèêëîïôùûüÿœæ", "cy": "абвгдежзийклмнопрстуфхцчшщъыьэюяіїєґ", "gr": "αβγδεζηθικλμνξοπρστυφχψωάέήίόύώ", "gs": "αβγδεζηθικλμνξοπρστυφχψωάέήίόύώ"}
+    alphabets |= {x: "".join(chr(0x4E00 + 7 * i) for i in range(600)) for x in ("zh", "zi")}
+    stems = {lang: ["".join(rnd.choice(letters) for _ in range(2)) for _ in range(400)] for lang, letters in alphabets.items()}
+    training = spark.createDataFrame([(i, prose(rnd, 60, stems[lang]), lang, "s", 0) for i, lang in enumerate([*stems] * 40)], DOCS)
+    want = [lang for lang in stems for _ in range(8)]
+    docs = frame(spark, [prose(rnd, 40, stems[lang]) for lang in want])
+    got = {r.doc_id: r.language.lang_pred for r in cross_parsing.identify(docs, training).collect()}
+    assert [got[i] for i in range(len(want))] == want
+
+
+def test_symbols_without_a_column_parse_as_others():
+    rnd = random.Random(10)
+    sample, text = [rnd.randint(0, 9) for _ in range(300)], np.array([rnd.randint(0, 10) for _ in range(3000)])
+    wide = lambda x: x + 95 * (x > 4)
+    cuts = np.array([0, 3, 3, 900, 3000])
+    plain = cross_parsing.phrases(text, cuts, [cross_parsing.parse_table(sample)])
+    assert plain.tolist() == cross_parsing.phrases(wide(text), cuts, [cross_parsing.parse_table([wide(x) for x in sample])]).tolist()
+
+
 def test_nothing_learned_and_empty_tables(spark):
     docs = frame(spark, ["abc", None])
     none = spark.createDataFrame([(1, "abc", None, "s", 3), (2, None, "en", "s", 0)], DOCS)
