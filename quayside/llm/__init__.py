@@ -1 +1 @@
-"""Training-data operators: ten dealt operators, one module each, and their registered queries."""
+"""Training-data operators: dealt operators, one module each, and their registered queries."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quayside.llm import byte_bpe, cross_parsing, dart_minhash, decontaminate, html_text, posting_ann, sharding, suffix_dedup, toxicity, warc
+from quayside.llm import byte_bpe, cross_parsing, dart_minhash, decontaminate, html_text, periodic_runs, posting_ann, sharding, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_sharding": sharding.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_cross_parsing": cross_parsing.op8,
     "op9_aho_corasick": decontaminate.op9,
     "op10_byte_bpe": byte_bpe.op10,
+    "op13_periodic_runs": periodic_runs.op13,
 }
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
