@@ -74,6 +74,15 @@ def clear(spark: SparkSession) -> int:
     return gone
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ``shared_folder`` that no plan reads any more."""
+    fs, folder = _hadoop(spark, path)
+    fs.delete(folder, True)
+    held = _WRITTEN.get(spark.sparkContext.applicationId, [])
+    if path in held:
+        held.remove(path)
+
+
 def _hadoop(spark: SparkSession, path: str):
     """The file system, as Spark knows it, and the path in it."""
     context = spark.sparkContext

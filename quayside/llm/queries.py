@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quayside.llm import byte_bpe, cross_parsing, dart_minhash, decontaminate, html_text, periodic_runs, posting_ann, sharding, suffix_dedup, toxicity, warc
+from quayside.llm import byte_bpe, cross_parsing, dart_minhash, decontaminate, html_text, periodic_runs, posting_ann, shallot, sharding, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_sharding": sharding.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_cross_parsing": cross_parsing.op8,
     "op9_aho_corasick": decontaminate.op9,
     "op10_byte_bpe": byte_bpe.op10,
+    "op11_shallot": shallot.op11,
     "op13_periodic_runs": periodic_runs.op13,
 }
 
@@ -42,4 +43,5 @@ WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_shallot": shallot.oracle(),
 }

@@ -1,0 +1,84 @@
+"""Shallot search against a plain scan of all centroids."""
+
+import hashlib
+
+import numpy as np
+import pytest
+
+from quayside.llm import shallot
+
+ROWS = "vec_id long, v array<int>, row string, own int, components int, distance string, nearest string"
+
+
+def plain(x, initial, rounds):
+    c = np.array(initial, dtype=object)
+    x = np.array(x, dtype=object)
+    for turn in range(rounds + 1):
+        d = [[sum((a - b) ** 2 for a, b in zip(p, q)) for q in c] for p in x]
+        own = [min(range(len(c)), key=lambda j: (row[j], j)) for row in d]
+        if turn == rounds:
+            return own, [row[j] for row, j in zip(d, own)], c.tolist()
+        for j in range(len(c)):
+            mine = [p for p, o in zip(x, own) if o == j]
+            if mine:
+                c[j] = [sum(col) // len(mine) for col in zip(*mine)]
+
+
+def run(spark, x, initial, rounds):
+    df = spark.createDataFrame([(i, v, "r", 1, 2, "d", "n") for i, v in enumerate(x)], ROWS)
+    rows = sorted(shallot.cluster(df, "v", len(initial[0]) if initial else 2, initial, rounds).collect(), key=lambda r: r.vec_id)
+    assert all((r.row, r.own, r.components, r.distance, r.nearest, r.v) == ("r", 1, 2, "d", "n", x[r.vec_id]) for r in rows)
+    return [r.nearest_.cluster for r in rows], [r.nearest_.distance for r in rows], {r.nearest_.cluster: r.nearest_.centroid for r in rows}
+
+
+@pytest.mark.parametrize("n,dim,k,spread,rounds", [(300, 3, 12, 4, 6), (500, 8, 25, 40, 5), (60, 2, 40, 3, 3), (40, 4, 1, 9, 2), (30, 2, 2, 1, 4), (200, 2, 9, 1 << 26, 5)])
+def test_equals_plain_scan(spark, n, dim, k, spread, rounds):
+    rnd = np.random.default_rng(n + k)
+    x = rnd.integers(-spread, spread + 1, (n, dim)).tolist()  # small spreads: many ties and repeated vectors
+    initial = x[:k]
+    own, distance, centroids = plain(x, initial, rounds)
+    got = run(spark, x, initial, rounds)
+    assert got[0] == own and got[1] == distance
+    assert all(list(map(int, centroids[c])) == v for c, v in got[2].items())
+
+
+def test_one_vector_fills_a_third(spark):
+    rnd = np.random.default_rng(1)
+    x = rnd.integers(-50, 50, (300, 4)).tolist() + [[1, 2, 3, 4]] * 150
+    own, distance, _ = plain(x, x[:10], 4)
+    got = run(spark, x, x[:10], 4)
+    assert got[0] == own and got[1] == distance
+
+
+def test_bounds_spare_work():
+    rnd = np.random.default_rng(5)
+    middle = rnd.integers(-500, 500, (30, 16))
+    x = (middle[rnd.integers(0, 30, 6000)] + rnd.integers(-20, 21, (6000, 16))).astype(np.int64)
+    own, second, upper, lower = np.zeros(6000, np.int32), np.ones(6000, np.int32), np.full(6000, np.inf), np.zeros(6000)
+    now, before, work = x[:30].copy(), None, []
+    for _ in range(6):
+        c = shallot.Centroids(now, before)
+        work.append(c.search(x, own, second, upper, lower))
+        d = ((x[:, None, :] - now[None]) ** 2).sum(axis=2)
+        assert (own == d.argmin(axis=1)).all()
+        assert (upper ** 2 >= d.min(axis=1)).all() and (np.sort(d, axis=1)[:, 1] >= np.maximum(lower, 0) ** 2).all()
+        before, now = now, np.array([x[own == j].sum(axis=0) // max(1, (own == j).sum()) if (own == j).any() else now[j] for j in range(30)])
+    assert work[-1] < 6000 * 30 / 5
+
+
+def test_empty_and_too_large(spark):
+    empty = spark.createDataFrame([], ROWS)
+    assert shallot.cluster(empty, "v", 2, [], 3).collect() == []
+    df = spark.createDataFrame([(1, [1 << 27, 0], "r", 1, 2, "d", "n")], ROWS)
+    with pytest.raises(Exception, match="component"):
+        shallot.cluster(df, "v", 2, [[0, 0]], 1).collect()
+
+
+def test_which_vectors_are_kept(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, -0.001]), (1, None), (2, [1.0]), (3, [1.0, None]), (4, [nan, 1.0]), (5, [1.0, -inf]), (None, [0.5, 0.999]), (0, [1.0, -0.001])]
+    df = shallot.integer_vectors(spark.createDataFrame(rows, "vec_id long, v array<float>"), "v", 2, 256)
+    assert sorted(r.v for r in df.collect()) == [[128, 255], [256, -1], [256, -1]]
+    first = shallot.first_by_hash(df, "v", "vec_id", "2:", 2)
+    by = sorted([(hashlib.sha256(b"2:").hexdigest(), [128, 255]), (hashlib.sha256(b"2:0").hexdigest(), [256, -1]), (hashlib.sha256(b"2:0").hexdigest(), [256, -1])])
+    assert first == [v for _, v in by[:2]]
