@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quayside.llm import byte_bpe, cross_parsing, dart_minhash, decontaminate, html_text, periodic_runs, posting_ann, shallot, sharding, suffix_dedup, toxicity, warc
+from quayside.llm import byte_bpe, chat_windows, cross_parsing, dart_minhash, decontaminate, html_text, periodic_runs, posting_ann, shallot, sharding, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_sharding": sharding.op1,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_aho_corasick": decontaminate.op9,
     "op10_byte_bpe": byte_bpe.op10,
     "op11_shallot": shallot.op11,
+    "op12_chat_windows": chat_windows.op12,
     "op13_periodic_runs": periodic_runs.op13,
 }
 
