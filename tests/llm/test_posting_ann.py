@@ -71,7 +71,7 @@ def test_hot_list_is_cut_into_blocks(spark):
     rnd = np.random.default_rng(3)
     rows = [(i, [1.0, 0.0, 0.0], 0) for i in range(400)] + [(400 + i, rnd.normal(size=3).tolist(), 0) for i in range(400)]
     data = spark.createDataFrame(rows, KIND)
-    got = _got(posting_ann.search(data, data.where("vec_id % 100 = 0"), k=10, per_list=16, block=50))
+    got = _got(posting_ann.search(data, data.where("vec_id % 100 = 0"), k=10, per_list=16, shard=50))
     assert set(got) == set(range(0, 800, 100)) and all(len(v) == 10 for v in got.values())
     assert [v for v, _ in got[100]][:1] and all(s >= 1.0 for _, s in got[100])
 
@@ -85,3 +85,46 @@ def test_recall_and_scores_of_the_query(spark):
     assert set(got) == set(want)
     assert all(len(v) == 20 for v in got.values())
     assert np.mean([len({v for v, _ in got[q]} & {v for v, _ in want[q]}) / 20 for q in want]) >= 0.95
+
+
+def test_recall_at_many_lists(spark):
+    """Vectors without any structure, the hardest case: some 500 lists, of which the fitted ratio leaves out most."""
+    rnd = np.random.default_rng(9)
+    x = rnd.normal(size=(16000, 24)).astype(np.float32)
+    data = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], KIND)
+    asked = list(range(0, 16000, 200))
+    got = _got(posting_ann.search(data, data.where("vec_id % 200 = 0"), k=20, per_list=32))
+    y = x.astype(float)
+    hits = []
+    for q in asked:
+        s = y @ y[q]
+        s[q] = -np.inf
+        hits.append(len({v for v, _ in got[q]} & set(np.argsort(-s)[:20].tolist())) / 20)
+    assert np.mean(hits) >= 0.9
+
+
+def test_fitted_ratio_prunes():
+    rnd = np.random.default_rng(4)
+    middle = rnd.normal(size=(40, 16)) * 4
+    x = middle[rnd.integers(0, 40, 8000)] + rnd.normal(size=(8000, 16)) * 0.3
+    longest = float((x * x).sum(1).max())
+    c = posting_ann.fit_centroids(posting_ann._lifted(x, longest), 100)
+    ratio = posting_ann.fit_ratio(x, longest, c, 10, 0.95, 3, 1.15, 0.5)
+    d = np.sqrt(posting_ann._distances(np.concatenate([x[:500], np.zeros((500, 1))], axis=1), c))
+    assert (d <= ratio * d.min(1)[:, None]).mean() < 0.25
+
+
+def test_results_are_written_out_in_portions(spark, monkeypatch):
+    best = posting_ann.Best(2)
+    at = best.rows(np.array([7, 9]))
+    best.merge(at[[0, 0, 0, 1]], np.array([1, 2, 3, 1]), np.array([0.5, 0.7, 0.7, 0.1]))
+    best.merge(at[[0, 1, 1]], np.array([3, 1, 4]), np.array([0.7, 0.1, 0.1]))
+    rows = [tuple(r.values()) for rb in best.take() for r in rb.to_pylist()]
+    assert rows == [(7, 2, 0.7), (7, 3, 0.7), (9, 1, 0.1), (9, 4, 0.1)] and not best.row
+
+
+def test_regions_hold_every_list():
+    c = np.random.default_rng(1).normal(size=(300, 5))
+    w = np.arange(300)
+    groups = posting_ann.regions(c, w, 2000)
+    assert sorted(np.concatenate(groups).tolist()) == list(range(300)) and all(w[g].sum() <= 2000 for g in groups)
