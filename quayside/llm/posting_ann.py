@@ -9,7 +9,8 @@ nearest centroid and, as a boundary vector, to up to ``replicas`` - 1 others who
 as close (``closure``) and not close to a list chosen before (``apart``).
 
 A query finds its lists by a best-first walk through a neighbour graph of the centroids, held in
-memory, and keeps those whose centroid's distance is within ``ratio`` of the nearest one's, and at
+memory, and keeps those whose centroid's distance is within ``ratio`` of the nearest one's (or of the
+sample's median such distance, if that is larger: a query on a centroid reads its surroundings too), and at
 least so many that ``least`` x k vectors are searched. The walk begins with ``breadth`` centroids and is
 widened until one that it found lies outside the ratio, or all are found. Unless it is given, the
 ratio is fitted: vectors of the sample are asked for their neighbours inside the sample, and the
@@ -46,6 +47,7 @@ from quayside.llm.common import discard, quoted, shared_folder, ship, shuffle_pa
 
 BALANCE = 2.0
 HELD = 1 << 15
+ENTRIES = 32
 
 
 def _distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -88,26 +90,26 @@ def fit_centroids(x: np.ndarray, lists: int, seed: int = 5) -> np.ndarray:
     return np.unique(c, axis=0)
 
 
-def neighbour_graph(c: np.ndarray, degree: int = 24, seed: int = 5) -> np.ndarray:
-    """For each centroid its nearest others and a few random ones, which keep the graph connected."""
+def neighbour_graph(c: np.ndarray, degree: int = 24, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Links of each centroid, as offsets and targets: its nearest others, all that count it among
+    theirs (so that a centroid apart from the rest is found), and a few random ones."""
     rng = np.random.default_rng(seed)
     n = len(c)
     near = np.concatenate([np.argsort(_distances(c[i:i + 1024], c), axis=1, kind="stable")[:, 1:degree + 1] for i in range(0, n, 1024)])
     ring = np.stack([(np.arange(n) + 1) % n, (np.arange(n) - 1) % n], 1)
-    return np.concatenate([near, ring, rng.integers(0, n, (n, 4))], axis=1)
+    out = np.concatenate([near, ring, rng.integers(0, n, (n, 4))], axis=1)
+    a, b = np.repeat(np.arange(n), out.shape[1]), out.ravel()
+    links = np.unique(np.concatenate([a * n + b, b * n + a]))
+    return np.searchsorted(links // n, np.arange(n + 1)), links % n
 
 
-def walk(q: np.ndarray, c: np.ndarray, graph: np.ndarray, breadth: int) -> tuple[list[int], list[float]]:
-    """Best-first walk from centroid 0: the ``breadth`` nearest centroids found, nearest first."""
+def walk(q: np.ndarray, c: np.ndarray, graph: tuple[np.ndarray, np.ndarray], breadth: int) -> tuple[list[int], list[float]]:
+    """Best-first walk from some centroids all over: the ``breadth`` nearest ones found, nearest first."""
+    cuts, links = graph
     seen = np.zeros(len(c), bool)
-    seen[0] = True
-    d = float(((q - c[0]) ** 2).sum())
-    todo, best = [(d, 0)], [(-d, 0)]
-    while todo:
-        d, at = heapq.heappop(todo)
-        if len(best) >= breadth and d > -best[0][0]:
-            break
-        new = np.unique(graph[at][~seen[graph[at]]])
+    new = np.unique(np.linspace(0, len(c) - 1, ENTRIES).astype(int))
+    todo, best = [], []
+    while True:
         seen[new] = True
         for e, i in zip(((q - c[new]) ** 2).sum(1).tolist(), new.tolist()):
             if len(best) < breadth or e < -best[0][0]:
@@ -115,6 +117,11 @@ def walk(q: np.ndarray, c: np.ndarray, graph: np.ndarray, breadth: int) -> tuple
                 heapq.heappush(best, (-e, i))
                 if len(best) > breadth:
                     heapq.heappop(best)
+        d, at = heapq.heappop(todo) if todo else (np.inf, 0)
+        if not np.isfinite(d) or (len(best) >= breadth and d > -best[0][0]):
+            break
+        new = links[cuts[at]:cuts[at + 1]]
+        new = new[~seen[new]]
     order = sorted((-e, i) for e, i in best)
     return [i for _, i in order], [e for e, _ in order]
 
@@ -144,20 +151,22 @@ def _between(c: np.ndarray) -> np.ndarray | None:
     return _distances(c, c) if len(c) <= 4096 else None
 
 
-def fit_ratio(x: np.ndarray, longest: float, c: np.ndarray, k: int, recall: float, replicas: int, closure: float, apart: float, asked: int = 256) -> float:
+def fit_ratio(x: np.ndarray, longest: float, c: np.ndarray, k: int, recall: float, replicas: int, closure: float, apart: float, asked: int = 256) -> tuple[float, float]:
     """The smallest distance ratio with which ``recall`` of the k nearest inside the sample ``x`` are in
-    a list that is read."""
+    a list that is read, and the median distance to the nearest centroid, below which no query's
+    distance counts."""
     q = x[np.linspace(0, len(x) - 1, min(asked, len(x))).astype(int)]
     wide = _lifted(x, longest)
     between, need = _between(c), []
-    for row in q:
+    to = np.concatenate([_distances(np.append(row, 0.0)[None, :], c) for row in q]) if len(q) else np.zeros((0, len(c)))
+    usual = float(np.median(to.min(1))) if len(q) else 0.0
+    for row, d in zip(q, to):
         score = x @ row
         n = min(k + 1, len(x))
         near = np.argpartition(-score, n - 1)[:n]
-        d = _distances(np.append(row, 0.0)[None, :], c)[0]
         lists = choose_lists(wide[near], c, between, replicas, closure, apart)
-        need += [d[held].min() / max(d.min(), 1e-300) for i, held in zip(near, lists) if not np.array_equal(x[i], row)]
-    return float(np.sqrt(np.quantile(need, recall))) * (1 + 1e-9) if need else np.inf
+        need += [d[held].min() / max(d.min(), usual, 1e-300) for i, held in zip(near, lists) if not np.array_equal(x[i], row)]
+    return (float(np.sqrt(np.quantile(need, recall))) * (1 + 1e-9) if need else np.inf), usual
 
 
 def _lifted(x: np.ndarray, longest: float) -> np.ndarray:
@@ -195,7 +204,7 @@ def _assigned(model, dimension: int, replicas: int, closure: float, apart: float
     return run
 
 
-def _probes(model, places, dimension: int, breadth: int, ratio: float, least: int):
+def _probes(model, places, dimension: int, breadth: int, ratio: float, usual: float, least: int):
     """One row per query and shard, with the lists of that shard the query reads."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +219,7 @@ def _probes(model, places, dimension: int, breadth: int, ratio: float, least: in
                     found, d = walk(q[i], c, graph, wide)
                     inside, chosen = 0, []
                     for j, e in zip(found, d):
-                        if inside >= least and e > ratio * ratio * d[0]:
+                        if inside >= least and e > ratio * ratio * max(d[0], usual):
                             break
                         chosen.append(j)
                         inside += held[j]
@@ -369,8 +378,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
     sample = base.where(F.pmod(F.xxhash64("id"), F.lit(1 << 40)) < int(share * (1 << 40)) + 1).orderBy("id").select("v").toArrow()["v"].combine_chunks()
     x = _matrix(sample, dimension)
     c = fit_centroids(_lifted(x, longest), lists) if len(x) else np.zeros((1, dimension + 1))
+    usual = 0.0
     if ratio is None:
-        ratio = fit_ratio(x, longest, c, k, recall, replicas, closure, apart)
+        ratio, usual = fit_ratio(x, longest, c, k, recall, replicas, closure, apart)
     model = spark.sparkContext.broadcast((c, neighbour_graph(c), longest))
     kind = base.schema["v"].dataType.simpleString()
     postings = stored(base.mapInArrow(_assigned(model, dimension, replicas, closure, apart), f"id long, v {kind}, lists array<int>"), "postings")
@@ -389,9 +399,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
     data = postings.select("id", "v", F.explode("lists").alias("list")).join(F.broadcast(places), "list").select(
         (F.col("first") + F.pmod(F.xxhash64("id"), F.col("shards"))).cast("int").alias("shard"), F.lit(0).alias("kind"), "id", "v", F.array("list").alias("lists"))
     width = shuffle_partitions(spark)
-    asked = usable(queries, id_col, vector_col).where(F.size("v") == dimension).repartition(width, "id")  # walks are dear: spread them
+    asked = usable(queries, id_col, vector_col).where(F.size("v") == dimension).repartition(width, F.xxhash64("id"))  # walks are dear: spread them
     table_ = spark.sparkContext.broadcast((first.tolist(), shards.tolist(), own.tolist()))
-    probes = asked.mapInArrow(_probes(model, table_, dimension, breadth, ratio, least * (k + 1)), f"shard int, id long, v {kind}, lists array<int>")
+    probes = asked.mapInArrow(_probes(model, table_, dimension, breadth, ratio, usual, least * (k + 1)), f"shard int, id long, v {kind}, lists array<int>")
     both = data.unionByName(probes.select("shard", F.lit(1).alias("kind"), "id", "v", "lists")).repartition(width, "shard").sortWithinPartitions("shard", "kind")
     found = both.mapInArrow(_searched(k, dimension), "query_id long, vec_id long, score double")
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

@@ -109,9 +109,9 @@ def test_fitted_ratio_prunes():
     x = middle[rnd.integers(0, 40, 8000)] + rnd.normal(size=(8000, 16)) * 0.3
     longest = float((x * x).sum(1).max())
     c = posting_ann.fit_centroids(posting_ann._lifted(x, longest), 100)
-    ratio = posting_ann.fit_ratio(x, longest, c, 10, 0.95, 3, 1.15, 0.5)
+    ratio, usual = posting_ann.fit_ratio(x, longest, c, 10, 0.95, 3, 1.15, 0.5)
     d = np.sqrt(posting_ann._distances(np.concatenate([x[:500], np.zeros((500, 1))], axis=1), c))
-    assert (d <= ratio * d.min(1)[:, None]).mean() < 0.25
+    assert (d <= ratio * np.maximum(d.min(1), np.sqrt(usual))[:, None]).mean() < 0.25
 
 
 def test_results_are_written_out_in_portions(spark, monkeypatch):
