@@ -1,66 +1,83 @@
 """JSON rules for raw messages.
 
-All rules are built-in expressions, so they stay inside whole-stage codegen.
-Validity: ``try_parse_json`` accepts trailing text after a complete value, so
-the message is parsed twice, as ``[m]`` and as ``{"x": m}``; junk after a
-closing bracket breaks one of the two. The object form also yields the value
-whose path we read.
-
-The parser behind ``try_parse_json`` refuses nesting beyond 1000 levels, numbers beyond 1000
-characters and values beyond 16 MB, and no Spark setting lifts that. A text that fails to parse and
-could exceed one of these limits is *undecided*: ``is_json`` is null for it and ``json_outcome`` says
-``undecided``; it is never reported as "not JSON".
-
-The column functions (``is_json``, ``json_scalar``) are one nested expression;
-Catalyst does not share a parse between branches of ``CASE``/``AND``, so a
-row may be parsed several times. The ``with_*`` DataFrame functions parse once
-into a projected column and read from it: use those on large inputs.
+All rules are built-in expressions, so they stay inside the JVM.
+
+**Validity.** ``from_json`` reads one value and ignores what follows, so a text is parsed twice, as
+``[m]`` and as ``{"x":m}``: whatever ends the value early breaks one of the two. Strict grammar: no
+single quotes, no NaN, no leading zeros, no raw control characters. Repeated keys are valid JSON.
+Binary messages are checked to be UTF-8 before they count as text.
+
+**Scalars keep the message's own text.** Parsers turn ``1.0``, ``1.10`` or ``1e400`` into numbers and
+print these anew. Here numbers, booleans and strings are rewritten, outside of and at the quotes
+respectively, to strings that begin with a mark, before the one parse that walks the path; so a
+scalar is a marked string, anything else an object, an array or null. Of repeated keys the last
+one counts. A surrogate escape without its partner stands for no character and becomes U+FFFD.
+
+**Limits of the parser.** Nesting beyond 1000 levels, numbers beyond ``MAX_NUMBER`` digits, field names
+beyond 50,000 characters: a text that fails to parse and could exceed one of these is
+*undecided*: ``is_json`` is null for it and ``json_outcome`` says ``undecided``; it is never reported as
+"not JSON".
+
+The column functions (``is_json``, ``json_scalar``) are one nested expression; Catalyst does not share
+a parse between the branches of a ``CASE``, so a row may be parsed several times. The ``with_*``
+DataFrame functions parse once into a projected column and read from it: use those on large inputs.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MODES = ("strict", "permissive", "fast")
+# fixed values: limits of the parser
+MAX_DEPTH = 1000
+MAX_NUMBER = 100_000
+MAX_NAME = 50_000
+
+#: strict grammar, and the parser's limits lifted as far as they can be
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "maxNumLen": str(MAX_NUMBER), "maxStringLen": str(2**31 - 1)}
+MARK = "\u0001"
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _as_array(m: Column) -> Column:
-    return F.concat(F.lit("["), m, F.lit("]"))
+def utf8_text(message) -> Column:
+    """A binary message as text; null when it is not UTF-8."""
+    return F.try_validate_utf8(_col(message).cast("string"))
 
 
-def is_json(message) -> Column:
-    """True when the whole text is exactly one JSON value (scalars count).
+def _as_object(m: Column) -> Column:
+    """The text's value as text, from the object form; null for a JSON null and for a broken text."""
+    return F.from_json(F.concat(F.lit('{"x":'), m, F.lit("}")), "x string", STRICT)["x"]
 
-    ``try_parse_json`` alone accepts trailing text, so the text must also parse
-    as the single element of an array and as the value of an object member.
-    Null in, null out.
-    """
-    m = _col(message)
-    arr = _as_array(m)
-    obj = F.concat(F.lit('{"x":'), m, F.lit("}"))
-    ok = (F.try_parse_json(arr).isNotNull()
-          & F.try_parse_json(obj).isNotNull()
-          & (F.coalesce(F.json_array_length(arr), F.lit(0)) == 1))
+
+def _one_element(m: Column) -> Column:
+    """Is the text one element of an array?"""
+    return F.coalesce(F.size(F.from_json(F.concat(F.lit("["), m, F.lit("]")), "array<string>", STRICT)), F.lit(0)) == 1
+
+
+def _valid(m: Column, has_value: Column, one: Column) -> Column:
+    ok = one & (has_value | (F.trim(m, F.lit(" \t\r\n")) == "null"))
     return F.when(m.isNotNull(), F.when(ok, True).when(~_beyond_parser(m), False))
 
 
-# fixed values: limits of the parser
-MAX_DEPTH = 1000
-MAX_NUMBER = 1000
-MAX_BYTES = 16 * 1024 * 1024
+def is_json(message) -> Column:
+    """True when the whole text is exactly one JSON value (scalars count, repeated keys are allowed).
+    Null in, null out; null also for texts beyond the parser."""
+    m = _col(message)
+    return _valid(m, _as_object(m).isNotNull(), _one_element(m))
 
 
 def _beyond_parser(m: Column) -> Column:
     """Could the text exceed a limit of the parser? Looked at only where parsing failed. Two
     brackets and the wrapper's characters are taken off the limits."""
     opening = F.length(m) - F.length(F.translate(m, "[{", ""))
-    return ((opening > MAX_DEPTH - 3) | (F.octet_length(m) > MAX_BYTES // 2)
-            | F.regexp_like(m, F.lit(f"[-+.0-9eE]{{{MAX_NUMBER - 3},}}")))
+    # class repeats are bounded by the limit and never backtrack into one another
+    return ((opening > MAX_DEPTH - 3) | ((F.length(m) > MAX_NUMBER - 3) & F.regexp_like(m, F.lit(f"[-+.0-9eE]{{{MAX_NUMBER - 3},}}")))
+            | ((F.length(m) > MAX_NAME - 3) & F.regexp_like(m, F.lit(f'"[^"]{{{MAX_NAME - 3},}}'))))
 
 
 def json_outcome(message) -> Column:
@@ -70,36 +87,76 @@ def json_outcome(message) -> Column:
     return F.when(m.isNull(), None).when(ok, "json").when(ok.isNull(), "undecided").otherwise("not_json")
 
 
-def _variant_path(path: str) -> str:
-    if not path.startswith("$"):
-        raise ValueError(f"JSON path must start with '$': {path!r}")
-    return "$[0]" + path[1:]
-
-
-def json_scalar(message, path: str = "$.timestamp", mode: str = "strict") -> Column:
-    """Scalar at ``path`` as text, like SQL ``JSON_VALUE``.
-
-    strict / permissive: null for invalid JSON, a missing path, JSON null, and
-    an object or array at the path. fast: ``get_json_object`` without the
-    guard (returns object text and accepts trailing junk; trusted input only).
-    """
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}")
+def bytes_outcome(message) -> Column:
+    """``not_utf8`` for a binary message that is no UTF-8 text, else ``json_outcome`` of the text; null for a
+    null message."""
+    b = _col(message)
+    return F.when(b.isNotNull(), F.coalesce(json_outcome(utf8_text(b)), F.lit("not_utf8")))
+
+
+_STEP = re.compile(r"""\.([^.\[\]]+)|\[(\d+)\]|\['([^']*)'\]|\["([^"]*)"\]""")
+
+
+def path_steps(path: str) -> list[str | int]:
+    """Names and array places of a path like ``$.a[0]['b c']``."""
+    steps, at = [], 1
+    while path.startswith("$") and at < len(path):
+        step = _STEP.match(path, at)
+        if not step:
+            break
+        steps.append(int(step[2]) if step[2] is not None else next(g for g in (step[1], step[3], step[4]) if g is not None))
+        at = step.end()
+    if not path.startswith("$") or at != len(path):
+        raise ValueError(f"not a JSON path: {path!r}")
+    return steps
+
+
+def marked(m: Column) -> Column:
+    """The same JSON text with every scalar but null as a string that begins with ``MARK``; names
+    begin with it too. Valid JSON in, valid JSON out."""
+    # escaped backslashes first, then escaped quotes: the quotes that remain delimit strings
+    plain = F.regexp_replace(F.regexp_replace(m, F.lit(r"\\\\"), F.lit(r"\\u005c")), F.lit(r'\\"'), F.lit(r"\\u0022"))
+    high, low = r"\\u[dD][89abAB][0-9a-fA-F]{2}", r"\\u[dD][c-fC-F][0-9a-fA-F]{2}"
+    paired = F.regexp_replace(F.regexp_replace(plain, F.lit(f"{high}(?!{low})"), F.lit(r"\\ufffd")), F.lit(f"(?<!{high}){low}"), F.lit(r"\\ufffd"))
+    # strings of JSON in a JSON string: the mark is written as an escape
+    escape = "\\u0001"
+    scalars = F.lit("(-?[0-9][-+.0-9eE]*|true|false)")
+    parts = F.transform(F.split(F.when(F.contains(plain, F.lit("\\u")), paired).otherwise(plain), '"', -1),
+                        lambda part, i: F.when(i % 2 == 0, F.regexp_replace(part, scalars, F.lit(f'"\\{escape}$1"'))).otherwise(F.concat(F.lit(escape), part)))
+    return F.array_join(parts, '"')
+
+
+def _node(m: Column, steps: list[str | int]) -> Column:
+    """What lies at the path of a valid text: a marked scalar, the text of an object or array, or null.
+    Each step reads texts only, so what else an object or array holds does not matter."""
+    at = marked(m)
+    for s in steps or [None]:
+        kind = "string" if s is None else "array<string>" if isinstance(s, int) else f"struct<`{(MARK + s).replace('`', '``')}`: string>"
+        # a scalar is no JSON text, so a step into one gives null
+        at = F.from_json(F.concat(F.lit('{"x":'), at, F.lit("}")), f"x {kind}", STRICT)["x"]
+        if s is not None:
+            at = F.get(at, F.lit(s)) if isinstance(s, int) else at.getField(MARK + s)
+    return at
+
+
+def _scalar(node: Column) -> Column:
+    """The text of a marked scalar; evaluates ``node`` once."""
+    one = F.transform(F.array(node), lambda v: F.when(v.startswith(MARK), F.substring(v, 2, 2**31 - 1)))
+    return F.get(one, F.lit(0))
+
+
+def json_scalar(message, path: str = "$.timestamp") -> Column:
+    """Scalar at ``path`` as the message writes it, like SQL ``JSON_VALUE``: null for invalid JSON, a
+    missing path, JSON null, and an object or array at the path."""
     m = _col(message)
-    if mode == "fast":
-        return F.get_json_object(m, path)
-    vpath = _variant_path(path)
-    parsed = F.try_parse_json(_as_array(m))
-    node = F.try_variant_get(parsed, vpath, "variant")
-    kind = F.schema_of_variant(node)
-    scalar = (node.isNotNull() & ~kind.startswith("OBJECT") & ~kind.startswith("ARRAY")
-              & (kind != F.lit("VOID")))
-    return F.when(is_json(m) & scalar, F.try_variant_get(parsed, vpath, "string"))
+    return F.when(is_json(m), _scalar(_node(m, path_steps(path))))
 
 
 def text_to_bigint(text, mode: str = "permissive") -> Column:
     """Text to BIGINT. permissive: null when it is not a whole number
     (surrounding blanks allowed); strict: raise on such text."""
+    if mode not in ("strict", "permissive"):
+        raise ValueError("mode must be strict or permissive")
     t = _col(text)
     value = F.trim(t).try_cast("bigint")
     if mode == "strict":
@@ -111,40 +168,21 @@ def text_to_bigint(text, mode: str = "permissive") -> Column:
 
 def json_bigint(message, path: str = "$.timestamp", mode: str = "permissive") -> Column:
     """``CAST(JSON_VALUE(message, path) AS BIGINT)``."""
-    return text_to_bigint(json_scalar(message, path, "strict"), mode)
+    return text_to_bigint(json_scalar(message, path), mode)
 
 
 # --- parse-once DataFrame forms -------------------------------------------------------
 
 _OBJ = "_qs_jobj"
-_ARR_OK = "_qs_jarr_ok"
-_NODE = "_qs_jnode"
-_KIND = "_qs_jkind"
-
-
-def _obj_path(path: str) -> str:
-    if not path.startswith("$"):
-        raise ValueError(f"JSON path must start with '$': {path!r}")
-    return "$.x" + path[1:]
-
-
-def with_parsed(df, message: str) -> "DataFrame":
-    """Add the object-wrapped variant and the array-form validity flag, each parsed once."""
-    m = F.col(message)
-    return df.select("*",
-                     F.try_parse_json(F.concat(F.lit('{"x":'), m, F.lit("}"))).alias(_OBJ),
-                     F.try_parse_json(_as_array(m)).isNotNull().alias(_ARR_OK))
-
-
-def _valid_expr(message: str) -> Column:
-    ok = (F.col(_ARR_OK) & F.col(_OBJ).isNotNull()
-          & F.try_variant_get(F.col(_OBJ), "$.x", "variant").isNotNull())
-    return F.when(F.col(message).isNotNull(), F.when(ok, True).when(~_beyond_parser(F.col(message)), False))
+_ONE = "_qs_jone"
+_OK = "_qs_jok"
 
 
 def with_is_json(df, message: str, out: str = "is_json") -> "DataFrame":
-    parsed = with_parsed(df, message)
-    return parsed.select(*df.columns, _valid_expr(message).alias(out))
+    """Add ``out`` = is_json, with one parse per form."""
+    m = F.col(message)
+    parsed = df.select("*", _as_object(m).isNotNull().alias(_OBJ), _one_element(m).alias(_ONE))
+    return parsed.select(*df.columns, _valid(m, F.col(_OBJ), F.col(_ONE)).alias(out))
 
 
 def with_json_scalar(df, message: str, path: str, out: str = "json_value",
@@ -152,15 +190,10 @@ def with_json_scalar(df, message: str, path: str, out: str = "json_value",
                      valid_out: str | None = None) -> "DataFrame":
     """Add ``out`` = JSON_VALUE(message, path), optionally ``bigint_out`` = its
     BIGINT cast and ``valid_out`` = is_json, with one parse per rule."""
-    parsed = with_parsed(df, message)
-    noded = parsed.select("*", F.try_variant_get(F.col(_OBJ), _obj_path(path), "variant").alias(_NODE))
-    kinded = noded.select("*", F.schema_of_variant(F.col(_NODE)).alias(_KIND))
-    kind = F.col(_KIND)
-    scalar = (F.col(_NODE).isNotNull() & ~kind.startswith("OBJECT") & ~kind.startswith("ARRAY")
-              & (kind != F.lit("VOID")))
-    value = F.when(_valid_expr(message) & scalar, F.try_variant_get(F.col(_NODE), "$", "string"))
-    extra = [_valid_expr(message).alias(valid_out)] if valid_out else []
-    out_df = kinded.select(*df.columns, value.alias(out), *extra)
+    checked = with_is_json(df, message, _OK)
+    value = F.when(F.col(_OK), _scalar(_node(F.col(message), path_steps(path))))
+    extra = [F.col(_OK).alias(valid_out)] if valid_out else []
+    out_df = checked.select(*df.columns, value.alias(out), *extra)
     if bigint_out:
         out_df = out_df.select("*", text_to_bigint(F.col(out), mode).alias(bigint_out))
     return out_df

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.functions import (
-    date_text, epoch_micros, framed, from_epoch_micros, is_json, json_outcome, truncate_to_millis, with_is_json,
+    bytes_outcome, date_text, epoch_micros, framed, from_epoch_micros, is_json, json_outcome, truncate_to_millis, with_is_json,
     with_json_scalar,
 )
 from quayside.constants import INACTIVITY_SECONDS, MAX_PART_BYTES, ROLL_MINUTES
@@ -84,6 +84,16 @@ def json_outcomes(messages: DataFrame, id_cols=("source", "id")) -> DataFrame:
     return messages.select(*id_cols, json_outcome("value").alias("outcome"))
 
 
+def json_exact(messages: DataFrame, path: str = "$.timestamp", id_cols=("id",)) -> DataFrame:
+    """P3, P4 and P10 of one text side by side: the scalar as written, its BIGINT, validity."""
+    return with_json_scalar(messages, "value", path, "json_value", "ts", valid_out="is_json").select(*id_cols, "json_value", "ts", "is_json")
+
+
+def byte_outcomes(messages: DataFrame, id_cols=("source", "id")) -> DataFrame:
+    """P10 from the bytes on: ``not_utf8``, ``json``, ``not_json`` or ``undecided``."""
+    return messages.select(*id_cols, bytes_outcome("value").alias("outcome"))
+
+
 def peek_first_records(messages: DataFrame, n: int = 10) -> DataFrame:
     """From the oldest record of the first shard, the first ``n``
     records with the JSON check. Plans as TakeOrderedAndProject (top-n per task).

@@ -192,6 +192,28 @@ def q_json_validity(spark, base):
     return ingest.json_validity(standins.mixed_messages(spark, base))
 
 
+_HARD_SCALAR = """CASE n % 16 WHEN 0 THEN n || '.0' WHEN 1 THEN n || 'e400' WHEN 2 THEN CAST(n AS VARCHAR) WHEN 3 THEN 'a' || chr(65533) || 'b'
+  WHEN 4 THEN chr(128512) WHEN 5 THEN '{' || n || '}' WHEN 7 THEN '-0' WHEN 8 THEN n || '.' || n || '0E-07' WHEN 9 THEN chr(92) WHEN 12 THEN 'true'
+  WHEN 14 THEN ' ' || n || ' ' END"""
+
+
+@register("json_exact", f"""
+SELECT id, json_value, CASE WHEN regexp_full_match(trim(json_value), '[+-]?[0-9]+') THEN TRY_CAST(trim(json_value) AS BIGINT) END AS ts, is_json
+FROM (SELECT n AS id, {_HARD_SCALAR} AS json_value, n % 16 NOT IN (11, 13) AS is_json FROM (SELECT event_id AS n FROM events))""")
+def q_json_exact(spark, base):
+    """Texts that parsers change: what counts is what the message writes, so the oracle spells it out."""
+    return ingest.json_exact(standins.hard_messages(spark, base), K_PATH)
+
+
+@register("byte_outcomes", f"""
+SELECT source, id, CASE WHEN value IS NULL THEN NULL WHEN id % 7 >= 2 THEN 'not_utf8' WHEN id % 7 = 1 THEN 'not_json'
+       WHEN valid THEN 'json' ELSE 'not_json' END AS outcome
+FROM (SELECT source, id, value, json_valid(value) AS valid FROM {MIXED}
+      UNION ALL SELECT 'hard', n, 'hard', n % 16 NOT IN (11, 13) FROM (SELECT event_id AS n FROM events))""")
+def q_byte_outcomes(spark, base):
+    return ingest.byte_outcomes(standins.byte_messages(spark, base))
+
+
 @register("peek_first_records", """
 SELECT CAST(user_id % 4 AS INTEGER) AS partition, event_id AS "offset", ts AS arrival_ts,
        CAST(user_id AS VARCHAR) AS partition_key, props AS data, json_valid(props) AS is_json

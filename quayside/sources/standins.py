@@ -54,6 +54,41 @@ def value_messages(spark: SparkSession, base: str) -> DataFrame:
                      F.concat(F.lit('{"k":"'), F.col("value").cast("string"), F.lit('"}')).alias("value"))
 
 
+#: SQL for JSON texts that parsers like to change or refuse, from the number ``n`` of an event
+HARD_JSON = """CASE n % 16
+  WHEN 0 THEN '{"k":' || n || '.0}'
+  WHEN 1 THEN '{"k":' || n || 'e400}'
+  WHEN 2 THEN '{"k":1,"k":' || n || '}'
+  WHEN 3 THEN '{"k":"a' || chr(92) || 'ud800b"}'
+  WHEN 4 THEN '{"k":"' || chr(92) || 'uD83D' || chr(92) || 'uDE00"}'
+  WHEN 5 THEN '{"k":"{' || n || '}"}'
+  WHEN 6 THEN '{"k":{"k":' || n || '}}'
+  WHEN 7 THEN '{"j":"k' || chr(92) || '":1,","k":-0}'
+  WHEN 8 THEN ' { "k" : ' || n || '.' || n || '0E-07 } '
+  WHEN 9 THEN '{"' || chr(92) || 'u006b":"' || chr(92) || chr(92) || '"}'
+  WHEN 10 THEN '{"k":[' || n || ']}'
+  WHEN 11 THEN '{"k":' || n || '} ' || n
+  WHEN 12 THEN '{"k":true}'
+  WHEN 13 THEN '{"k":0' || n || '}'
+  WHEN 14 THEN '{"k":" ' || n || ' "}'
+  ELSE '{"k":null}' END"""
+
+#: SQL for bytes put after a message: none, then sequences that are or are not UTF-8
+TAILS = ["", "F09F9880", "FF", "C3", "C080", "EDA080", "F4908080"]
+
+
+def hard_messages(spark: SparkSession, base: str) -> DataFrame:
+    """``id, value``: a JSON text of ``HARD_JSON`` per event."""
+    return table(spark, base, "events").select(F.col("event_id").alias("n")).select(F.col("n").alias("id"), F.expr(HARD_JSON).alias("value"))
+
+
+def byte_messages(spark: SparkSession, base: str) -> DataFrame:
+    """``source, id, value``: the mixed messages and the hard ones as bytes, with a tail of ``TAILS`` by id."""
+    hard = hard_messages(spark, base).select(F.lit("hard").alias("source"), "id", "value")
+    tail = F.element_at(F.array(*[F.unhex(F.lit(t)) for t in TAILS]), (F.col("id") % len(TAILS) + 1).cast("int"))
+    return mixed_messages(spark, base).unionByName(hard).select("source", "id", F.concat(F.encode("value", "UTF-8"), tail).alias("value"))
+
+
 def _operation():
     return F.when(F.col("event_type") == "signup", "c").when(F.col("event_type") == "error", "d").otherwise("u")
 
