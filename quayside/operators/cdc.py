@@ -8,6 +8,8 @@ sorted in one task (which a ``row_number()`` window would do).
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -17,6 +19,7 @@ from pyspark.sql import types as T
 from quayside import schemas
 from quayside.constants import BULK_MAX_ACTIONS, BULK_MAX_BYTES, SKIPPED_OPERATIONS
 from quayside.functions import from_epoch_micros
+from quayside.functions.json import STRICT
 from quayside.plans import running_sum
 
 
@@ -38,26 +41,58 @@ def skip_operations(log: DataFrame, skipped: Sequence[str] = SKIPPED_OPERATIONS,
     return log.where(F.col(op_col).isNull() | ~F.col(op_col).isin(list(skipped)))
 
 
-def decode_envelopes(messages: DataFrame, value_col: str = "value", schema: T.StructType = schemas.ASSET_RECORD) -> DataFrame:
-    """Change envelopes (JSON text with ``op``, ``before``, ``after``, ``ts_ms``, ``position``) to rows
-    ``op, change_ts, position`` + the typed columns. The image is ``after``; a delete has none, so
-    its last image is ``before``. Texts that are no envelope are left to ``envelope_rejects``."""
-    return _enveloped(messages, value_col, schema).where("_e.op IS NOT NULL AND _image IS NOT NULL").select(
-        F.col("_e.op").alias("op"), from_epoch_micros(F.col("_e.ts_ms") * 1000).alias("change_ts"),
-        F.col("_e.position").alias("position"), *[F.col(f"_image.{f.name}").alias(f.name) for f in schema.fields])
+#: why a message is no usable change, in the order in which the rules are tried
+REJECTS = ("not_an_envelope", "bad_value", "bad_operation", "no_image", "null_column", "no_position", "no_time")
+OPERATIONS = ("c", "r", "u", "d")
+_WRAP, _END, _BAD = "_qs_envelopes", "_qs_end", "_qs_bad"
 
 
-def envelope_rejects(messages: DataFrame, value_col: str = "value", schema: T.StructType = schemas.ASSET_RECORD) -> DataFrame:
-    """The messages that ``decode_envelopes`` cannot use: no JSON object, no operation, or no image."""
-    return _enveloped(messages, value_col, schema).where("_e.op IS NULL OR _image IS NULL").select(*messages.columns)
+def checked_envelopes(messages: DataFrame, value_col: str = "value", schema: T.StructType = schemas.ASSET_RECORD) -> DataFrame:
+    """``messages`` with a struct column ``_e``: ``reason`` (null for a usable change, else one of
+    ``REJECTS``), ``op``, ``ts_ms``, ``position`` and ``image``.
 
+    * ``not_an_envelope``: null, no JSON, no object, or text beside the object;
+    * ``bad_value``: some value does not fit its column's type (also in the image that is not used);
+    * ``bad_operation``: not one of ``OPERATIONS``;
+    * ``no_image``: the operation's image is missing: ``before`` for a delete, else ``after``;
+    * ``null_column``: a NOT NULL column of that image is null or missing;
+    * ``no_position``, ``no_time``: without these the newest image is not defined.
 
-def _enveloped(messages: DataFrame, value_col: str, schema: T.StructType) -> DataFrame:
+    The text is parsed once, as an element of an array that ends with a known envelope, so text before
+    or behind the object shows in the array; the parser's own column says whether a value was
+    dropped. A generator carries the parsed struct, so filters on it do not repeat the parse."""
     image = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
     envelope = T.StructType([T.StructField("op", T.StringType()), T.StructField("before", image), T.StructField("after", image),
                              T.StructField("ts_ms", T.LongType()), T.StructField("position", T.LongType())])
-    parsed = messages.withColumn("_e", F.from_json(value_col, envelope))
-    return parsed.withColumn("_image", F.coalesce("_e.after", "_e.before"))
+    whole = T.StructType([T.StructField(_WRAP, T.ArrayType(envelope)), T.StructField(_BAD, T.StringType())])
+    # a text that spells out the wrapper's name could end it early
+    text = F.when(~F.contains(value_col, F.lit(_WRAP)), F.concat(F.lit(f'{{"{_WRAP}":['), value_col, F.lit(f',{{"op":"{_END}"}}]}}')))
+    parsed = F.from_json(text, whole, STRICT | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
+    rows = messages.select("*", F.explode(F.array(parsed)).alias("_p"))
+    held, one = F.col(f"_p.{_WRAP}"), F.get(F.col(f"_p.{_WRAP}"), F.lit(0))
+    rows = rows.select("*", ((F.size(held) == 2) & (F.get(held, F.lit(1))["op"] == _END)).alias("_whole"), one.alias("_one"))
+    rows = rows.withColumn("_img", F.when(F.col("_one.op") == "d", F.col("_one.before")).otherwise(F.col("_one.after")))
+    missing = [F.col(f"_img.{f.name}").isNull() for f in schema.fields if not f.nullable]
+    rules = [~F.coalesce("_whole", F.lit(False)) | F.col("_one").isNull(), F.col(f"_p.{_BAD}").isNotNull(),
+             ~F.coalesce(F.col("_one.op").isin(*OPERATIONS), F.lit(False)), F.col("_img").isNull(),
+             functools.reduce(operator.or_, missing, F.lit(False)), F.col("_one.position").isNull(), F.col("_one.ts_ms").isNull()]
+    reason = functools.reduce(lambda held_, pair: held_.when(pair[0], pair[1]), list(zip(rules, REJECTS))[1:], F.when(rules[0], REJECTS[0]))
+    return rows.select(*messages.columns, F.struct(reason.alias("reason"), F.col("_one.op").alias("op"), F.col("_one.ts_ms").alias("ts_ms"),
+                                                   F.col("_one.position").alias("position"), F.col("_img").alias("image")).alias("_e"))
+
+
+def decode_envelopes(messages: DataFrame, value_col: str = "value", schema: T.StructType = schemas.ASSET_RECORD) -> DataFrame:
+    """Change envelopes (JSON text with ``op``, ``before``, ``after``, ``ts_ms``, ``position``) to rows
+    ``op, change_ts, position`` + the typed columns. The image is ``after``, for a delete ``before``.
+    What ``checked_envelopes`` finds fault with is left to ``envelope_rejects``."""
+    return checked_envelopes(messages, value_col, schema).where("_e.reason IS NULL").select(
+        F.col("_e.op").alias("op"), from_epoch_micros(F.col("_e.ts_ms") * 1000).alias("change_ts"),
+        F.col("_e.position").alias("position"), *[F.col(f"_e.image.{f.name}").alias(f.name) for f in schema.fields])
+
+
+def envelope_rejects(messages: DataFrame, value_col: str = "value", schema: T.StructType = schemas.ASSET_RECORD) -> DataFrame:
+    """The messages that ``decode_envelopes`` leaves out, with the ``reason``."""
+    return checked_envelopes(messages, value_col, schema).where("_e.reason IS NOT NULL").select(*messages.columns, F.col("_e.reason").alias("reason"))
 
 
 def latest_image(log: DataFrame, key: str | Sequence[str], order_cols: Sequence[str]) -> DataFrame:

@@ -335,6 +335,14 @@ def q_cdc_envelope_rows(spark, base):
     return cdc.plain_decimals(cdc.decode_envelopes(standins.change_envelopes(spark, base)))
 
 
+@register("cdc_envelope_rejects", """
+SELECT event_id AS id, CASE event_id % 11 WHEN 1 THEN 'bad_value' WHEN 2 THEN 'bad_operation' WHEN 3 THEN 'no_image' WHEN 4 THEN 'null_column'
+       WHEN 5 THEN 'no_position' WHEN 6 THEN 'no_time' WHEN 7 THEN 'no_image' ELSE 'not_an_envelope' END AS reason
+FROM events WHERE event_id % 11 < 10 AND NOT (event_id % 11 = 7 AND event_type = 'error')""")
+def q_cdc_envelope_rejects(spark, base):
+    return cdc.envelope_rejects(standins.damaged_envelopes(spark, base)).select("id", "reason")
+
+
 @register("cdc_duplicate_keys", f"SELECT key, count(*) AS n_rows FROM {CHANGE_LOG} GROUP BY key HAVING count(*) > 1")
 def q_cdc_duplicate_keys(spark, base):
     return cdc.duplicate_keys(standins.change_log(spark, base), "key")

@@ -134,8 +134,9 @@ def typed_rows(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def change_envelopes(spark: SparkSession, base: str) -> DataFrame:
-    """One change envelope per event (JSON text ``value``): the 14 columns as images ``before`` and ``after``."""
+def change_envelopes(spark: SparkSession, base: str, *besides: str) -> DataFrame:
+    """One change envelope per event (JSON text ``value``): the 14 columns as images ``before`` and ``after``;
+    ``besides`` are columns of the event to keep."""
     ev = table(spark, base, "events").withColumn("op", _operation())
     amount = F.col("value").cast("decimal(15,2)").cast(schemas.AMOUNT)
     values = {"f_id": F.col("event_id"), "f_order_id": F.expr("event_id div 10"), "f_seq_id": F.col("event_id") % 10, "f_user_id": F.col("user_id"),
@@ -145,7 +146,18 @@ def change_envelopes(spark: SparkSession, base: str) -> DataFrame:
     image = F.struct(*[text(f, values[f.name]).alias(f.name) for f in schemas.ASSET_RECORD.fields])
     envelope = F.struct("op", F.when(F.col("op") != "c", image).alias("before"), F.when(F.col("op") != "d", image).alias("after"),
                         epoch_millis("ts").alias("ts_ms"), F.col("event_id").alias("position"))
-    return ev.select(F.to_json(envelope).alias("value"))
+    return ev.select(*besides, F.to_json(envelope).alias("value"))
+
+
+def damaged_envelopes(spark: SparkSession, base: str) -> DataFrame:
+    """``id, value``: the change envelopes, ten of eleven with one damage each, by the event's id."""
+    v = F.col("value")
+    damage = [F.concat(v, F.lit(" x")), F.regexp_replace(v, '"f_type":[0-9]+', '"f_type":"abc"'), F.replace(v, F.lit('"op":"'), F.lit('"op":"x')),
+              F.replace(F.replace(v, F.lit('"before":'), F.lit('"was":')), F.lit('"after":'), F.lit('"is":')), F.regexp_replace(v, '"f_user_id":"[0-9]+",', ""),
+              F.replace(v, F.lit('"position":'), F.lit('"pos":')), F.replace(v, F.lit('"ts_ms":'), F.lit('"ts":')), F.replace(v, F.lit('"after":'), F.lit('"is":')),
+              F.concat(v, F.lit(","), v), F.concat(F.lit("["), v, F.lit("]")), v]
+    rows = change_envelopes(spark, base, "event_id").withColumnRenamed("event_id", "id")
+    return rows.select("id", F.element_at(F.array(*damage), (F.col("id") % len(damage) + 1).cast("int")).alias("value"))
 
 
 def result_log(spark: SparkSession, base: str) -> DataFrame:

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types
 
 from quayside import schemas
 from quayside.operators import cdc
@@ -119,6 +120,25 @@ def test_chunk_plans_and_predicates(spark):
         snapshot.jdbc_chunk_options(0, 9999, 4, 2000)
 
 
+def test_damaged_envelopes(spark):
+    image = {f.name: "1" if isinstance(f.dataType, types.DecimalType) else 1 if isinstance(f.dataType, types.ShortType) else "s" for f in schemas.ASSET_RECORD.fields}
+    good = dict(op="u", before=image, after=image, ts_ms=1, position=5)
+    cases = [(json.dumps(good), None), (json.dumps(good) + "}", "not_an_envelope"), (json.dumps(good) + ',"x":1', "not_an_envelope"), (json.dumps(good) + "],[" + json.dumps(good), "not_an_envelope"),
+             (json.dumps(good) + '],"_qs_envelopes":[' + json.dumps(good), "not_an_envelope"), ("", "not_an_envelope"), ("null", "not_an_envelope"), ("3", "not_an_envelope"), ("[]", "not_an_envelope"),
+             ("  " + json.dumps(good) + "\n", None), (json.dumps(good | {"after": image | {"f_type": "abc"}}), "bad_value"), (json.dumps(good | {"after": image | {"f_type": 70000}}), "bad_value"),
+             (json.dumps(good | {"position": "x"}), "bad_value"), (json.dumps(good | {"before": 7}), "bad_value"), (json.dumps(good | {"after": image | {"f_id": "1" * 30}}), "bad_value"),
+             (json.dumps(good | {"after": None}), "no_image"), (json.dumps(good | {"op": "d", "before": None}), "no_image"), (json.dumps(good | {"op": "d", "after": None}), None),
+             (json.dumps(good | {"op": "t"}), "bad_operation"), (json.dumps(good | {"op": None}), "bad_operation"), (json.dumps(good | {"after": {k: v for k, v in image.items() if k != "f_fee"}}), "null_column"),
+             (json.dumps({k: v for k, v in good.items() if k != "position"}), "no_position"), (json.dumps(good | {"ts_ms": None}), "no_time"), ("{}", "bad_operation"), (json.dumps(good | {"more": {"f_id": 1}}), None)]
+    df = spark.createDataFrame([(i, t, "kept") for i, (t, _) in enumerate(cases)], "id int, value string, reason string").withColumnRenamed("reason", "note")
+    bad = {r.id: r.reason for r in cdc.envelope_rejects(df).collect()}
+    for i, (text, want) in enumerate(cases):
+        assert bad.get(i) == want, text
+    assert cdc.decode_envelopes(df).count() == sum(w is None for _, w in cases)
+    for plan in (cdc.decode_envelopes(df), cdc.envelope_rejects(df)):
+        assert plan._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
+
+
 def _reads(df, predicates):
     return [df.where(p).count() for p in predicates]
 
