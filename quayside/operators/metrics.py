@@ -1,22 +1,20 @@
 """Load-run summaries over a query-result log.
 
 Percentiles follow the index rule ``sorted[(int)(n * p)]`` (zero-based) over
-successful queries. A histogram ``groupBy(latency).count()`` collapses repeats
-with partial aggregation; percentiles are found in the one bucket of the
-histogram that holds each, so no step puts all rows, or all distinct values,
-into one task.
+successful queries. They are selected by counting, so no step puts all rows, or
+all distinct values, into one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.constants import CSV_COLUMNS, PERCENTILES
 from quayside.functions import status_class
-from quayside.plans import with_buckets
+from quayside.plans import index_percentiles
 
 
 def _pct_name(p: float) -> str:
@@ -49,30 +47,14 @@ def latency_histogram(log: DataFrame, latency_col: str = "latency_ms", status_co
 
 def latency_summary(log: DataFrame, percentiles: Sequence[float] = PERCENTILES,
                     latency_col: str = "latency_ms", status_col: str = "status") -> DataFrame:
-    """n, min, max, mean and index-rule percentiles over successes.
-
-    The histogram is cut into buckets along the latency; the counts per bucket (a few hundred rows)
-    say which bucket holds each percentile, and only those buckets' rows are ordered."""
-    hist = latency_histogram(log, latency_col, status_col).where(F.col("latency").isNotNull())
-    cut = with_buckets(hist, ["latency"])
-    bucket = cut.columns[-1]
-    counts = cut.groupBy(F.col(bucket).alias("_qs_b")).agg(F.sum("cnt").alias("_in"))
-    earlier = Window.orderBy("_qs_b").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per bucket: bounded by the number of buckets
-    placed = counts.select("_qs_b", "_in", F.coalesce(F.sum("_in").over(earlier), F.lit(0)).alias("_before"),
-                           F.sum("_in").over(Window.partitionBy()).alias("_n"))
-    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.floor(F.col("_n") * F.lit(float(p))).alias("at"))
-                                 for i, p in enumerate(percentiles)]))
-    hits = placed.withColumn("_p", wanted).where("_before <= _p.at AND _p.at < _before + _in")
-    inside = Window.partitionBy("_p.i").orderBy("latency").rowsBetween(Window.unboundedPreceding, 0)
-    upto = cut.join(hits, F.col(bucket) == F.col("_qs_b")).select("latency", "_p", (F.col("_before") + F.sum("cnt").over(inside)).alias("_upto"))
-    found = upto.where("_upto > _p.at").agg(F.struct(*[
-        F.min(F.when(F.col("_p.i") == i, F.col("latency"))).alias(_pct_name(p)) for i, p in enumerate(percentiles)])).scalar()
-    return hist.agg(
-        F.sum("cnt").cast("bigint").alias("n"),
-        F.min("latency").alias("min_ms"), F.max("latency").alias("max_ms"),
-        (F.sum(F.col("latency") * F.col("cnt")) / F.sum("cnt")).alias("avg_ms"),
-    ).select("*", *[found[_pct_name(p)].alias(_pct_name(p)) for p in percentiles])
+    """n, min, max, mean and index-rule percentiles over successes; the percentiles by rounds of
+    counts over the bits of the value (``plans.selection``)."""
+    rows = log.where(F.col(status_col) == "success").select(F.col(latency_col).alias("latency")).where("latency IS NOT NULL")
+    _, found = index_percentiles(rows, "latency", percentiles)
+    kind = rows.schema["latency"].dataType
+    return rows.agg(
+        F.count("latency").alias("n"), F.min("latency").alias("min_ms"), F.max("latency").alias("max_ms"), F.avg("latency").alias("avg_ms"),
+    ).select("*", *[F.lit(v).cast(kind).alias(_pct_name(p)) for v, p in zip(found, percentiles)])
 
 
 def status_counts(log: DataFrame, status_col: str = "status") -> DataFrame:

@@ -1,5 +1,6 @@
 """Reusable plan shapes."""
 
-from quayside.plans.ordered import cut_points, running_sum, with_buckets
+from quayside.plans.ordered import bucketed, clear, n_buckets, running_sum, written
+from quayside.plans.selection import index_percentiles
 
-__all__ = ["cut_points", "running_sum", "with_buckets"]
+__all__ = ["bucketed", "clear", "index_percentiles", "n_buckets", "running_sum", "written"]

@@ -1,86 +1,77 @@
 """Exact running sums without funnelling a group into one task.
 
-A window ``sum(...) OVER (PARTITION BY g ORDER BY o)`` sends every row of a
-group to one task; with one group holding a third of the data that task is the
-job. Here each group is cut along its order into buckets first:
-
-1. Cut points on the leading order column: a sample of about ``SAMPLE`` rows,
-   chosen by a hash of the order columns, is sorted and every k-th value taken.
-   The choice is a function of the data, so every evaluation (a retry, a
-   second use in the plan) gives the same cut points.
-2. A row's bucket is the number of cut points at or below its order value, so
-   buckets follow the order inside every group, and a group with a third of
-   all rows spans about a third of the buckets.
-3. Sums per (group, bucket), with partial aggregation, and a window over those
-   few rows give what lies before a bucket; a window inside (group, bucket)
-   gives what lies before a row in it.
-
-Everything is a built-in expression in one lazy plan: no Python, no job while
-the plan is built, nothing written. Decimals stay decimals.
-
-The order columns must make the order unique inside a group (add a tie-breaker
-such as an offset), otherwise ties are cut arbitrarily. The leading order column
-must be a number, a date or a time; rows that share its value share a bucket, so
-collapse such repeats first where they can be many (see ``sources.snapshot``).
+A window ``sum(...) OVER (PARTITION BY g ORDER BY o)`` sends every row of a group to one task; with
+one group holding a third of the data that task is the job. Here rows are dealt by range over
+(group, order) first:
+
+1. The rows (groups, order and value columns: keep them narrow) are range-partitioned with Spark's own
+   sampled cut points and written once, each with its bucket's number. There is a bucket per
+   ``ROWS_PER_BUCKET`` rows, so buckets stay of one size when the table grows, and a group with a third of
+   the rows spans a third of the buckets. Cut points can be chosen over any orderable types.
+   Writing fixes the buckets: sampling again, in a retry or for a second use, could choose others.
+2. Sums per (bucket, group), with partial aggregation. A group that continues into a bucket does so
+   in one bucket after the other, so what lies before it there is a window over at most one row per
+   bucket and group; at most one group continues into a bucket, so the table of offsets has at most
+   as many rows as there are buckets.
+3. A window inside (bucket, group) gives what lies before a row in its bucket.
+
+Built-in expressions only; decimals stay decimals. The order columns must make the order unique inside
+a group (add a tie-breaker such as an offset), otherwise ties are cut arbitrarily. Rows that agree in
+all of them share a bucket, so collapse such repeats first where they can be many (see
+``sources.snapshot``). Building the frame runs two jobs, a count and the write.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-SAMPLE = 10_000
-BUCKETS = 64
-STEP = 8
-
-_BUCKET, _BEFORE, _CUTS = "_qs_bucket", "_qs_before", "_qs_cuts"
-
-
-def _order_value(df: DataFrame, column: str) -> Column:
-    """The leading order column as a number that keeps its order."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.DecimalType):  # keeps the order; equal doubles only share a bucket
-        return F.col(column).cast("double")
-    if isinstance(kind, T.NumericType):
-        return F.col(column)
-    if isinstance(kind, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col(column))
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(column)
-    if isinstance(kind, T.DateType):
-        return F.unix_date(column)
-    raise TypeError(f"cannot order by {column}: {kind.simpleString()}")
-
-
-def cut_points(df: DataFrame, order_cols: Sequence[str], buckets: int = BUCKETS) -> Column:
-    """Sorted cut points of the leading order column (``fine``) and every STEP-th of them (``coarse``),
-    as a scalar subquery."""
-    value = _order_value(df, order_cols[0])
-    n = df.agg(F.count(F.lit(1))).scalar()
-    every = F.greatest(F.lit(1).cast("bigint"), F.floor(n / SAMPLE).cast("bigint"))
-    # a bounded sample: about SAMPLE rows, at most 2 * SAMPLE
-    chosen = df.where(F.col(order_cols[0]).isNotNull() & (F.pmod(F.xxhash64(*order_cols), every) == 0))
-    ranked = chosen.agg(F.array_sort(F.collect_list(value)).alias("s"))
-    step = F.greatest(F.lit(1), F.ceil(F.size("s") / buckets).cast("int"))
-    fine = ranked.select(F.filter("s", lambda _, i: (i > 0) & (i % step == 0)).alias("fine"))
-    return fine.select(F.struct("fine", F.filter("fine", lambda _, i: i % STEP == STEP - 1).alias("coarse"))).scalar()
-
-
-def with_buckets(df: DataFrame, order_cols: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
-    """Add the bucket number of each row (-1 for a null leading value, which sorts first)."""
-    value = _order_value(df, order_cols[0])
-    cut = df.withColumn(_CUTS, cut_points(df, order_cols, buckets))
-    # two short searches instead of one long one: every STEP-th cut point, then the STEP before the next
-    first = F.size(F.filter(F.col(_CUTS)["coarse"], lambda c: c <= value)) * STEP
-    number = first + F.size(F.filter(F.slice(F.col(_CUTS)["fine"], first + 1, F.lit(STEP)), lambda c: c <= value))
-    return cut.withColumn(_BUCKET, F.when(F.col(order_cols[0]).isNull(), F.lit(-1)).otherwise(number)).drop(_CUTS)
+
+from quayside.session import checkpoint_dir
+
+ROWS_PER_BUCKET = 1_000_000
+#: tables with fewer rows are cut finer, as long as there are cores to use
+LEAST_PER_BUCKET = 4_096
+
+_BUCKET, _BEFORE = "_qs_bucket", "_qs_before"
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete what this application has put into the shared folder through ``written``; frames built on
+    it cannot be read any more. Returns how many folders went."""
+    context, gone = spark.sparkContext, 0
+    for path in _WRITTEN.pop(context.applicationId, []):
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True))
+    return gone
+
+
+def n_buckets(rows: int, width: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Buckets for ``rows`` rows where ``width`` tasks can run side by side."""
+    return max(1, -(-rows // rows_per_bucket), min(width, -(-rows // LEAST_PER_BUCKET)))
+
+
+def bucketed(df: DataFrame, keys: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """``df``, written once, with the number of the range of ``keys`` that each row lies in."""
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = n_buckets(df.count(), width, rows_per_bucket)
+    return written(df.repartitionByRange(n, *keys).withColumn(_BUCKET, F.spark_partition_id()), "ordered")
 
 
 def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                value_cols, out_cols, buckets: int = BUCKETS) -> DataFrame:
+                value_cols, out_cols, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add ``out_cols`` = inclusive running sums of ``value_cols`` within
     ``group_cols`` ordered by ``order_cols`` (ascending, nulls first). Null values
     count as 0. Integers give BIGINT, decimals DECIMAL, other numbers DOUBLE."""
@@ -88,19 +79,21 @@ def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
         value_cols, out_cols = [value_cols], [out_cols]
     group_cols, order_cols = list(group_cols), list(order_cols)
     value_cols, out_cols = list(value_cols), list(out_cols)
+    cut = bucketed(df, [*group_cols, *order_cols], rows_per_bucket)
     values = [F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType)) for c in value_cols]
-    cut = with_buckets(df, order_cols, buckets)
     befores = [f"{_BEFORE}{i}" for i in range(len(value_cols))]
     sums = cut.groupBy(*group_cols, _BUCKET).agg(*[F.sum(v).alias(b) for v, b in zip(values, befores)])
-    # at most ``buckets`` + 1 rows per group
-    earlier = Window.partitionBy(*group_cols).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    # at most one row per bucket in each group
+    earlier = Window.partitionBy(*group_cols).orderBy(_BUCKET)
+    before = earlier.rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*[F.col(c).alias(f"_qs_g{i}") for i, c in enumerate(group_cols)], F.col(_BUCKET).alias("_qs_b"),
-                          *[F.sum(b).over(earlier).alias(b) for b in befores])
-    inside = Window.partitionBy(*group_cols, _BUCKET).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+                          *[F.sum(b).over(before).alias(b) for b in befores], F.row_number().over(earlier).alias("_qs_nth"))
+    offsets = offsets.where("_qs_nth > 1").drop("_qs_nth")
+    inside = Window.partitionBy(_BUCKET, *group_cols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     local = cut.select("*", *[F.sum(v).over(inside).alias(o) for v, o in zip(values, out_cols)])
     same = F.col(_BUCKET) == F.col("_qs_b")
     for i, c in enumerate(group_cols):
         same &= F.col(c).eqNullSafe(F.col(f"_qs_g{i}"))
-    joined = local.join(offsets, same)
+    joined = local.join(offsets, same, "left")
     totals = {o: F.col(o) + F.coalesce(F.col(b), F.lit(0).cast(sums.schema[b].dataType)) for o, b in zip(out_cols, befores)}
     return joined.select(*df.columns, *[totals[o].alias(o) for o in out_cols])

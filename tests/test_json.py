@@ -109,7 +109,7 @@ EXACT = [
     ('{"k":"null"}', "null"), ('{"k":""}', ""), ('{"k":{}}', None), ('{"k":[]}', None), ('{"j":1}', None), ('[{"k":1}]', None), ("1.0", None),
     (f'{{"k":"{BS}{BS}"}}', BS), (f'{{"k":"{BS}""}}', '"'), ('{"k":"""}', None), (f'{{"k":"a{BS}"1.0{BS}"b"}}', 'a"1.0"b'), (f'{{"a{BS}"k":1,"k":2.50}}', "2.50"), (f'{{"k":"{BS}{BS}{BS}"-1"}}', BS + '"-1'),
     (f'{{"{BS}u006b":1.50}}', "1.50"), (f'{{"k":"{BS}u0001x"}}', "\u0001x"), (f'{{"k":"{BS}ud800"}}', "\ufffd"), (f'{{"k":"{BS}uDC00{BS}ud83d{BS}ude00{BS}uD83D"}}', "\ufffd\U0001f600\ufffd"),
-    (f'{{"k":"{BS}{BS}ud800"}}', BS + "ud800"), ('{"k":"é😀"}', "é😀"), ('{"x":{"k":1},"k":7}', "7"), ('{"k":"a\\nb"}', "a\nb"), ('{"k":1.0} x', None), ('{"k":NaN}', None), ("", None), (None, None),
+    (f'{{"k":"{BS}{BS}ud800"}}', BS + "ud800"), ('{"k":"é😀"}', "é😀"), ('{"x":{"k":1},"k":7}', "7"), ('{"k":"a\\nb"}', "a\nb"), ('{"k":1.0} x', None), ('{"k":NaN}', None), ("", None), (None, None), (f'{{"k":"{BS}u0000null"}}', "\0null"), ('{"k":"{\\u0041"}', "{A"), ('{"k":" [x"}', " [x"), ('{"j":1.5,"k":"7"}', "7"),
 ]
 
 

@@ -46,3 +46,26 @@ def test_csv_export(spark, scratch):
     metrics.write_csv(log, scratch + "/csv")
     back = spark.read.option("header", True).csv(scratch + "/csv")
     assert back.columns == list(metrics.CSV_COLUMNS) and back.count() == log.count()
+
+
+def test_selection_by_bits_equals_sorting(spark):
+    import datetime as dt
+    import random
+    from decimal import Decimal
+
+    from quayside.plans import index_percentiles
+    rnd = random.Random(4)
+    cases = {"double": [rnd.choice([rnd.uniform(-1, 1), rnd.uniform(-1e300, 1e300), 0.0, -0.0, 5e-324, -5e-324, float("inf"), float("-inf"), 7.25]) for _ in range(900)],
+             "float": [1.5, -2.25, 0.0, 3.0] * 5, "long": [rnd.choice([2**63 - 1, -2**63, 0, -1, rnd.randint(-10**18, 10**18)]) for _ in range(300)],
+             "decimal(18,2)": [Decimal(rnd.randint(-10**9, 10**9)) / 100 for _ in range(200)], "date": [dt.date(1960, 1, 1) + dt.timedelta(days=rnd.randint(0, 30000)) for _ in range(99)],
+             "timestamp_ntz": [dt.datetime(1969, 12, 31) + dt.timedelta(microseconds=rnd.randint(0, 10**12)) for _ in range(50)]}
+    ps = [0.0, 0.25, 0.5, 0.95, 0.99, 1.0]
+    for kind, values in cases.items():
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], f"v {kind}")
+        n, got = index_percentiles(df, "v", ps)
+        held = sorted(values)
+        assert n == len(held)
+        assert got == [held[int(len(held) * p)] if int(len(held) * p) < len(held) else None for p in ps], kind
+    _, nan = index_percentiles(spark.createDataFrame([(float("nan"),), (1.0,)], "v double"), "v", [0.0, 0.5])
+    assert nan[0] == 1.0 and nan[1] != nan[1]
+    assert index_percentiles(spark.createDataFrame([], "v double"), "v", [0.5]) == (0, [None])

@@ -5,8 +5,9 @@ import pytest
 from quayside import registry
 
 SMALL = "/root/testdata/sf0.001"
-# these run jobs while they are built: they write batches, or plan chunks from key statistics
-EAGER = {"cdc_index_state", "snapshot_chunks_planned"}
+# these run jobs while they are built: they write batches or the narrow rows of a running sum, count
+# the bits of percentiles, or plan chunks from key statistics
+EAGER = {"cdc_index_state", "snapshot_chunks_planned", "snapshot_chunks_uneven", "bulk_batches", "roll_by_size", "latency_summary"}
 
 
 @pytest.fixture(scope="module")
@@ -78,3 +79,12 @@ def test_no_unpartitioned_window_over_rows(plans):
         for spec in re.findall(r"windowspecdefinition\(([^,]*)", plan):
             if " ASC" in spec or " DESC" in spec:      # first argument is an ordering: no partition keys
                 assert spec.startswith(("_qs_bucket", "_qs_b")), (name, spec)
+
+
+def test_percentiles_need_no_order(plans):
+    assert "Window" not in plans["latency_summary"] and "Sort" not in plans["latency_summary"]
+
+
+def test_running_sums_read_their_input_once(plans):
+    for name, table in (("bulk_batches", "lineitem"), ("roll_by_size", "events"), ("snapshot_chunks_uneven", "lineitem")):
+        assert f"{table}.parquet" not in plans[name], name  # only the narrow rows that were written
