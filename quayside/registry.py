@@ -305,6 +305,38 @@ def q_cdc_snapshot_plus_log(spark, base):
                                  standins.change_log(spark, base).drop("change_ts"), "key")
 
 
+_READ_LOW = f"(key // {standins.READ_CHUNK} * {standins.READ_STEP})"
+_READ_ROWS = f"""(SELECT o.key, CASE WHEN c.key IS NULL THEN o.amount ELSE c.amount END AS amount, CASE WHEN c.key IS NULL THEN o.note ELSE c.note END AS note
+   FROM (SELECT o_orderkey AS key, o_totalprice AS amount, o_orderstatus AS note FROM orders) o LEFT JOIN
+        (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY position DESC) AS rn FROM {CHANGE_LOG}
+                        WHERE position <= {_READ_LOW} + {standins.READ_SPAN // 2}) WHERE rn = 1) c USING (key)
+   WHERE c.op IS NULL OR c.op <> 'd')"""
+_MAX_LOW = f"(SELECT max(o_orderkey) // {standins.READ_CHUNK} * {standins.READ_STEP} FROM orders)"
+
+
+@register("cdc_incremental_snapshot", f"""
+SELECT key, amount, note, op, position FROM (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY tier DESC, position DESC) AS rn FROM (
+    SELECT key, amount, note, 'r' AS op, CAST(NULL AS BIGINT) AS position, 0 AS tier FROM {_READ_ROWS}
+    UNION ALL SELECT key, amount, note, op, position, 1 FROM {CHANGE_LOG}
+    WHERE op <> 'd' AND position > least({_READ_LOW}, {_MAX_LOW}))) WHERE rn = 1""")
+def q_cdc_incremental_snapshot(spark, base):
+    """Every chunk is read at its own time, while the log goes on."""
+    log = standins.change_log(spark, base).drop("change_ts")
+    return cdc.incremental_snapshot(standins.read_rows(spark, base), log, standins.read_chunks(spark, base), "key")
+
+
+@register("cdc_chunk_rows", f"""
+SELECT key, amount, note, op, position FROM (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY tier DESC, position DESC) AS rn FROM (
+    SELECT key, amount, note, 'r' AS op, CAST(NULL AS BIGINT) AS position, 0 AS tier FROM {_READ_ROWS}
+    UNION ALL SELECT key, amount, note, op, position, 1 FROM {CHANGE_LOG}
+    WHERE op <> 'd' AND position > least({_READ_LOW}, {_MAX_LOW}) AND position <= least({_READ_LOW}, {_MAX_LOW}) + {standins.READ_SPAN})) WHERE rn = 1""")
+def q_cdc_chunk_rows(spark, base):
+    log = standins.change_log(spark, base).drop("change_ts")
+    return cdc.chunk_rows(standins.read_rows(spark, base), log, standins.read_chunks(spark, base), "key")
+
+
 @register("cdc_index_state", f"""
 SELECT CAST(key AS VARCHAR) AS doc_id,
        CAST(to_json({{'key': key, 'amount': CAST(CAST(amount AS DECIMAL(15,2)) AS VARCHAR), 'note': note, 'op': op, 'position': position}}) AS VARCHAR) AS document

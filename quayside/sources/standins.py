@@ -107,6 +107,28 @@ def snapshot(spark: SparkSession, base: str) -> DataFrame:
         F.col("o_orderstatus").alias("note"))
 
 
+READ_CHUNK = 100      # keys per chunk of the incremental snapshot
+READ_STEP = 40         # log positions from one chunk's start to the next one's
+READ_SPAN = 60         # log positions that go by while a chunk is read
+
+
+def read_chunks(spark: SparkSession, base: str) -> DataFrame:
+    """Chunks of ``snapshot`` with the log positions before and after each was read."""
+    chunk = F.expr(f"key div {READ_CHUNK}")
+    return snapshot(spark, base).groupBy(chunk.alias("chunk")).agg(F.min("key").alias("low")).select(
+        "chunk", "low", (F.col("chunk") * READ_STEP).alias("low_position"), (F.col("chunk") * READ_STEP + READ_SPAN).alias("high_position"))
+
+
+def read_rows(spark: SparkSession, base: str) -> DataFrame:
+    """What a chunk-wise read of ``snapshot`` sees while ``change_log`` goes on: each chunk in the state halfway
+    through its read, rows deleted by then left out."""
+    at = F.expr(f"key div {READ_CHUNK}") * READ_STEP + READ_SPAN // 2
+    seen = change_log(spark, base).where(F.col("position") <= at).groupBy("key").agg(F.max_by(F.struct("op", "amount", "note"), "position").alias("c"))
+    rows = snapshot(spark, base).join(seen, "key", "left").where("c IS NULL OR c.op <> 'd'")
+    return rows.select("key", F.when(F.col("c").isNull(), F.col("amount")).otherwise(F.col("c.amount")).alias("amount"),
+                       F.when(F.col("c").isNull(), F.col("note")).otherwise(F.col("c.note")).alias("note"))
+
+
 def typed_rows(spark: SparkSession, base: str) -> DataFrame:
     """Rows of the 14-column asset table (M5), cast to its declared types."""
     li = table(spark, base, "lineitem", [

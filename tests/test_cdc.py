@@ -120,6 +120,70 @@ def test_chunk_plans_and_predicates(spark):
         snapshot.jdbc_chunk_options(0, 9999, 4, 2000)
 
 
+def test_incremental_snapshot_by_chunk(spark):
+    """Five chunks, each read at its own time, while a log runs: against a simulated table."""
+    import random
+    rnd = random.Random(8)
+    table = {k: (float(k), "start") for k in range(50) if k % 7}
+    log, states = [], [dict(table)]
+    for position in range(1, 301):
+        key = 33 if position % 3 == 0 else rnd.randint(-3, 55)  # one key holds a third of the log, some lie outside all chunks
+        op = "d" if rnd.random() < 0.2 and key in table else "u" if key in table else "c"
+        image = (position * 1.0, f"p{position}")
+        log.append((key, op, position, *image))
+        if op == "d":
+            del table[key]
+        else:
+            table[key] = image
+        states.append(dict(table))
+    chunks = [(i, 10 * i, 20 + 50 * i, 60 + 50 * i) for i in range(5)]  # chunk 2 of 0..4 is read while positions 120 to 160 pass
+    chunk_of = lambda k: min(max(k // 10, 0), 4)
+    read = []
+    for i, _, low, high in chunks:
+        for k, image in states[rnd.randint(low, high)].items():
+            if chunk_of(k) == i:
+                read.append((k, *image))
+    r = spark.createDataFrame(read, "key long, amount double, note string")
+    g = spark.createDataFrame(log, "key long, op string, position long, amount double, note string")
+    c = spark.createDataFrame(chunks, "chunk int, low long, low_position long, high_position long")
+    # deletes are skipped: a key that was read, or changed since, keeps its last image
+    want, at_high = {}, {}
+    for i, _, low, high in chunks:
+        rows = {k: (a, n) for k, a, n in read if chunk_of(k) == i}
+        for key, op, position, *image in log:
+            if chunk_of(key) == i and op != "d" and position > low:
+                rows[key] = tuple(image)
+            if position == high:
+                at_high |= rows
+        want |= rows
+    first = {x.key: (x.amount, x.note) for x in cdc.chunk_rows(r, g, c, "key").collect()}
+    assert first == at_high
+    after = cdc.chunk_changes(g, c, "key").orderBy("position").collect()
+    assert all(x.position > 60 + 50 * chunk_of(x.key) and x.op != "d" for x in after)
+    for x in after:
+        first[x.key] = (x.amount, x.note)
+    assert first == want == {x.key: (x.amount, x.note) for x in cdc.incremental_snapshot(r, g, c, "key").collect()}
+
+
+def test_locate(spark):
+    from quayside.plans import locate
+    starts = spark.createDataFrame([(None, "a"), ("d", "b"), ("m", "c"), ("x", "e")], "s string, name string")
+    rows = spark.createDataFrame([(w, 1) for w in ["", "a", "d", "da", "lzz", "m", "w", "x", "zz"]] + [(None, 1)], "k string, s int")
+    got = {r.k: r.at.name for r in locate(rows, "k", starts, "s", "at", rows_per_bucket=2).collect()}
+    assert got == {None: "a", "": "a", "a": "a", "d": "b", "da": "b", "lzz": "b", "m": "c", "w": "c", "x": "e", "zz": "e"}
+
+
+@pytest.mark.parametrize("kind,make", [("string", lambda i: f"key'{i:04d}"), ("decimal(20,2)", lambda i: Decimal(i) / 4 + 10**15), ("date", lambda i: dt.date(2001, 1, 1) + dt.timedelta(days=3 * i)),
+                                       ("timestamp_ntz", lambda i: dt.datetime(2001, 1, 1) + dt.timedelta(seconds=7 * i))])
+def test_chunks_of_any_key_type(spark, kind, make):
+    from quayside.sources import snapshot
+    df = spark.createDataFrame([(make(i),) for i in range(1000)] + [(make(5),)] * 30, f"k {kind}")
+    chunks = snapshot.plan_chunks(df, "k", 200).orderBy("chunk").collect()
+    assert [r.n_rows for r in chunks] == [200] * 5 + [30] and chunks[0].low == make(0) and chunks[-1].high == make(999)
+    predicates = snapshot.jdbc_chunk_predicates(snapshot.plan_chunks(df, "k", 200), "k", max_partitions=50)
+    assert len(predicates) == 6 and _reads(df, predicates) == [r.n_rows for r in chunks]
+
+
 def test_damaged_envelopes(spark):
     image = {f.name: "1" if isinstance(f.dataType, types.DecimalType) else 1 if isinstance(f.dataType, types.ShortType) else "s" for f in schemas.ASSET_RECORD.fields}
     good = dict(op="u", before=image, after=image, ts_ms=1, position=5)
