@@ -23,6 +23,7 @@ from quayside.session import checkpoint_dir
 from quayside.sinks import index
 from quayside.sources import graphs, snapshot as snap_src, standins, streams
 from quayside.sources.tables import table
+from quayside.streaming import pipelines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -130,6 +131,11 @@ ORDER_EDGES = """(SELECT 'customer-' || o_custkey AS src, 'order-' || o_orderkey
    UNION ALL SELECT 'nation-' || n_nationkey, 'region-' || n_regionkey, 'in_region' FROM nation)"""
 
 
+def _folder(spark, name: str) -> str:
+    """A new folder below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def _inlist(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
@@ -305,6 +311,35 @@ def q_cdc_snapshot_plus_log(spark, base):
                                  standins.change_log(spark, base).drop("change_ts"), "key")
 
 
+@register("cdc_index_compacted", f"SELECT key, amount, note, op, position FROM {SNAP_LOG}")
+def q_cdc_index_compacted(spark, base):
+    """Snapshot and three batches of changes; a base after the second, an old batch again and late changes
+    after it: the state comes from the base and what follows."""
+    root = _folder(spark, "index")
+    snap = standins.snapshot(spark, base).select("key", "amount", "note", F.lit("r").alias("op"), F.lit(-1).cast("bigint").alias("position"))
+    log = standins.change_log(spark, base).select("key", "amount", "note", "op", "position")
+    part = F.col("position") % 3  # each batch has changes older than those of the one before
+    index.write_changes(snap, 0, root)
+    for batch_id in (1, 2):
+        index.write_changes(log.where(part == batch_id), batch_id, root)
+    index.compact_index(spark, root, "key", ["position"])
+    index.write_changes(log.where(part == 2), 2, root)
+    index.write_changes(log.where(part == 0), 3, root)
+    return index.index_state(spark, root, "key", ["position"]).select("key", "amount", "note", "op", "position")
+
+
+@register("cdc_keyed_stream", f"""
+SELECT key, op, change_ts, position, amount, note FROM (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY change_ts DESC, position DESC) AS rn
+  FROM {CHANGE_LOG} WHERE op <> 'd') WHERE rn = 1""")
+def q_cdc_keyed_stream(spark, base):
+    """The change log as a stream through keyed state into the index, read back."""
+    root = _folder(spark, "index")
+    pipelines.start_keyed_upsert(standins.change_stream(spark, base), "key", ["change_ts", "position"], _folder(spark, "stream"),
+                                 lambda rows, batch_id: index.write_changes(rows, batch_id, root), trigger="availableNow").awaitTermination()
+    return index.index_state(spark, root, "key", ["change_ts", "position"]).select("key", "op", "change_ts", "position", "amount", "note")
+
+
 _READ_LOW = f"(key // {standins.READ_CHUNK} * {standins.READ_STEP})"
 _READ_ROWS = f"""(SELECT o.key, CASE WHEN c.key IS NULL THEN o.amount ELSE c.amount END AS amount, CASE WHEN c.key IS NULL THEN o.note ELSE c.note END AS note
    FROM (SELECT o_orderkey AS key, o_totalprice AS amount, o_orderstatus AS note FROM orders) o LEFT JOIN
@@ -343,7 +378,7 @@ SELECT CAST(key AS VARCHAR) AS doc_id,
 FROM {SNAP_LOG}""")
 def q_cdc_index_state(spark, base):
     """Snapshot and change log written as two batches, the second one twice, then read back."""
-    root = f"{checkpoint_dir(spark).rstrip('/')}/index-{uuid.uuid4().hex}"
+    root = _folder(spark, "index")
     snap = standins.snapshot(spark, base).select("key", "amount", "note", F.lit("r").alias("op"), F.lit(-1).cast("bigint").alias("position"))
     log = standins.change_log(spark, base).select("key", "amount", "note", "op", "position")
     for batch_id, rows in ((0, snap), (1, log), (1, log)):

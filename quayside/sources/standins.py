@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from quayside import schemas
 from quayside.functions import epoch_millis, epoch_seconds, iso_text, padded_id
-from quayside.sources.tables import table
+from quayside.sources.tables import SCHEMAS, table
 
 SHARDS = 4
 THREADS = 20
@@ -94,7 +94,15 @@ def _operation():
 
 
 def change_log(spark: SparkSession, base: str) -> DataFrame:
-    ev = table(spark, base, "events")
+    return change_log_of(table(spark, base, "events"))
+
+
+def change_stream(spark: SparkSession, base: str) -> DataFrame:
+    """The change log as a stream over the events table (a pattern, as the table may be one file)."""
+    return change_log_of(spark.readStream.schema(SCHEMAS["events"]).parquet(f"{base.rstrip('/')}/event[s].parquet"))
+
+
+def change_log_of(ev: DataFrame) -> DataFrame:
     op = _operation()
     return ev.select(
         F.col("user_id").alias("key"), op.alias("op"), F.col("ts").alias("change_ts"),

@@ -9,14 +9,16 @@ runs without watermarks too).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quayside.operators import ingest, producer
+from quayside.constants import SKIPPED_OPERATIONS
+from quayside.operators import cdc, ingest, producer
 from quayside.sinks import files, index
+from quayside.sinks.retry import with_backoff
 from quayside.sources.streams import rate_stream
 
 
@@ -65,11 +67,40 @@ def start_index_upsert(changes: DataFrame, root: str, checkpoint: str, trigger:
     return _trigger(w.option("checkpointLocation", checkpoint), trigger).start()
 
 
+#: keyed state lives in RocksDB on the executors' disks, with changes uploaded per batch
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+               "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+
+
+def start_keyed_upsert(changes: DataFrame, key: str, order_cols: Sequence[str], checkpoint: str, write: Callable[[DataFrame, int], None],
+                       trigger: str | None = "5 seconds", skipped: Sequence[str] = SKIPPED_OPERATIONS, **retry) -> StreamingQuery:
+    """T2 with keyed state: the newest image per key is kept in the state store, and ``write(rows, batch_id)``
+    gets, per micro-batch, the current images of the keys that the batch touched, one row each.
+
+    A change that arrives late does not replace a newer image: its key comes out again with the image it
+    had. Deletes are skipped. State is one image per key, never history; it is held in RocksDB and
+    recovered from the checkpoint, so a restart goes on where the query stopped; a batch that is replayed
+    after a failure gives the same rows with the same number. ``write`` is retried with exponential
+    backoff (``retry``: arguments of ``sinks.retry.with_backoff``)."""
+    newest = cdc.latest_image(cdc.skip_operations(changes, skipped), key, order_cols)
+    w = newest.writeStream.outputMode("update").foreachBatch(with_backoff(write, **retry))
+    spark = changes.sparkSession
+    before = {k: spark.conf.get(k, None) for k in STATE_STORE}
+    for k, v in STATE_STORE.items():
+        spark.conf.set(k, v)
+    try:  # a query takes its settings from the session when it starts
+        return _trigger(w.option("checkpointLocation", checkpoint), trigger).start()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def start_connector_upsert(changes: DataFrame, props: dict, key: str, order_cols: Sequence[str], checkpoint: str,
-                           trigger: str | None = "5 seconds", fmt: str = index.CONNECTOR) -> StreamingQuery:
-    """T2 through the index connector: each micro-batch's newest documents, by key."""
-    w = changes.writeStream.foreachBatch(lambda batch, _: index.write_documents(batch, props, key, order_cols, fmt))
-    return _trigger(w.option("checkpointLocation", checkpoint), trigger).start()
+                           trigger: str | None = "5 seconds", fmt: str = index.CONNECTOR, **retry) -> StreamingQuery:
+    """T2 through the index connector: each micro-batch's newest documents, by key; a failed write is tried
+    again with exponential backoff (``retry``: arguments of ``sinks.retry.with_backoff``)."""
+    write = with_backoff(lambda batch, _: index.write_documents(batch, props, key, order_cols, fmt), **retry)
+    return _trigger(changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), trigger).start()
 
 
 def start_producer(spark: SparkSession, topic: str, sink_format: str, options: dict,

@@ -8,7 +8,7 @@ SMALL = "/root/testdata/sf0.001"
 # these run jobs while they are built: they write batches or the narrow rows of a running sum, count
 # the bits of percentiles, or plan chunks from key statistics
 EAGER = {"cdc_index_state", "snapshot_chunks_planned", "snapshot_chunks_uneven", "bulk_batches", "roll_by_size", "latency_summary",
-         "cdc_incremental_snapshot", "cdc_chunk_rows"}
+         "cdc_incremental_snapshot", "cdc_chunk_rows", "cdc_index_compacted", "cdc_keyed_stream"}
 
 
 @pytest.fixture(scope="module")

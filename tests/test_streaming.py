@@ -185,3 +185,93 @@ def test_lake_table_created_once_then_appended(spark):
         assert parts == rows.select("partition_date").distinct().count()
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+LOG = "key long, op string, change_ts timestamp_ntz, position long, amount double, note string"
+T0 = dt.datetime(2024, 1, 1)
+
+
+def test_keyed_state_restart_late_and_failed_writes(spark, scratch):
+    """Only touched keys come out, late changes lose, a failed batch is replayed with its number."""
+    seen, fail, slept = [], [], []
+
+    def write(rows, batch_id):
+        if fail:
+            raise fail.pop()
+        seen.append((batch_id, sorted((r.key, r.note) for r in rows.collect())))
+
+    def land(name, *rows):
+        spark.createDataFrame([(k, op, T0, p, 1.0, note) for k, op, p, note in rows], LOG).coalesce(1).write.parquet(f"{scratch}/log/{name}")
+
+    def go(**retry):
+        src = spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{scratch}/log")
+        q = pipelines.start_keyed_upsert(src, "key", ["change_ts", "position"], f"{scratch}/ck", write, "availableNow", sleep=slept.append, **retry)
+        q.awaitTermination()
+
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    land("a", (1, "c", 1, "one"), (2, "c", 2, "two"), (2, "u", 5, "two b"), (3, "d", 6, "gone"))
+    go()
+    assert seen == [(0, [(1, "one"), (2, "two b")])]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == provider
+    land("b", (2, "u", 3, "late"), (4, "c", 7, "four"))  # restart: key 2 keeps its newer image, key 1 does not come again
+    go()
+    assert seen[1:] == [(1, [(2, "two b"), (4, "four")])]
+    land("c", (1, "u", 8, "one b"))
+    fail += [OSError("busy")] * 3
+    go()
+    assert slept == [0.5, 1.0, 2.0] and seen[2:] == [(2, [(1, "one b")])]
+    land("d", (4, "u", 9, "four b"))
+    fail += [OSError("down")] * 3
+    with pytest.raises(Exception, match="down"):
+        go(retries=2)
+    assert len(seen) == 3
+    fail.clear()
+    go()  # the same batch again
+    assert seen[3:] == [(3, [(4, "four b")])]
+    progress = os.listdir(f"{scratch}/ck/state/0/0")
+    assert any(n.endswith((".changelog", ".zip")) for n in progress)
+
+
+def test_backoff_doubles_then_fails():
+    from quayside.sinks.retry import seconds, waits, with_backoff
+    slept, calls = [], []
+
+    def write(n):
+        calls.append(n)
+        if len(calls) <= n:
+            raise OSError(len(calls))
+        return "done"
+
+    assert with_backoff(write, sleep=slept.append)(4) == "done" and slept == [0.5, 1.0, 2.0, 4.0] and len(calls) == 5
+    calls.clear(), slept.clear()
+    with pytest.raises(OSError) as e:
+        with_backoff(write, sleep=slept.append)(99)
+    assert len(calls) == 21 and e.value.args == (21,) and slept == waits() == [0.5 * 2**i for i in range(20)]
+    calls.clear(), slept.clear()
+    with pytest.raises(OSError):
+        with_backoff(write, fatal=(OSError,), sleep=slept.append)(5)
+    assert len(calls) == 1 and not slept
+    assert waits(5, 1.0, longest=3.0) == [1.0, 2.0, 3.0, 3.0, 3.0] and seconds("500ms") == 0.5 and seconds("2min") == 120.0 and seconds("1s") == 1.0
+
+
+def test_compacted_index_reads_base_and_later_batches(spark, scratch):
+    root = f"{scratch}/index"
+    rows = lambda *r: spark.createDataFrame([(k, op, T0, p, 1.0, note) for k, op, p, note in r], LOG)
+    state = lambda: {r.key: r.note for r in index.index_state(spark, root, "key", ["position"]).collect()}
+    index.write_changes(rows((1, "c", 1, "a"), (2, "c", 2, "b")), 0, root)
+    index.write_changes(rows((1, "u", 5, "c"), (2, "d", 6, "x")), 1, root)
+    assert index.compact_index(spark, root, "key", ["position"]) == 1 and state() == {1: "c", 2: "b"}
+    assert index.compact_index(spark, root, "key", ["position"]) == 1  # nothing new
+    index.write_changes(rows((1, "u", 4, "late"), (3, "c", 7, "d")), 2, root)
+    assert state() == {1: "c", 2: "b", 3: "d"}
+    plan = index.index_state(spark, root, "key", ["position"])._jdf.queryExecution().executedPlan().toString()
+    filters = [part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:]]
+    assert any("batch_id" in f and "> 1)" in f for f in filters) and "through=1" in plan
+    # a base that was not finished does not count
+    os.makedirs(f"{root}-base/through=2")
+    assert index.base_through(spark, root) == 1 and index.compact_index(spark, root, "key", ["position"]) == 2
+    index.write_changes(rows((1, "u", 4, "late"), (3, "c", 7, "d")), 2, root)  # replay of a batch the base holds
+    assert state() == {1: "c", 2: "b", 3: "d"}
+    assert index.expire(spark, root) == 3 and state() == {1: "c", 2: "b", 3: "d"}
+    index.write_changes(rows((1, "u", 9, "e")), 3, root)
+    assert state() == {1: "e", 2: "b", 3: "d"}
