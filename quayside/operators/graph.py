@@ -5,7 +5,9 @@ and edge parts (``src``, ``dst`` + typed property columns). Inside, ids are the
 tables' native keys beside their vertex label; the public id text (such as
 ``customer-17``) is made by the label's ``IdText`` rule only in results. A
 literal public id is translated once into a native key, so ``src IN (...)`` and
-``id IN (...)`` reach the Parquet scan. Labels without a rule hold public ids.
+``id IN (...)`` reach the Parquet scan. Labels without a rule hold public ids. Vertices added later
+with ids that their label's rule does not make (a UUID, say) lie in a second table of the label, which
+holds public ids; edges between native keys cannot reach it, all others can.
 
 Traversals become joins: ``out(label)`` is edge-join-vertex, ``where`` is a left
 semi join, ``drop`` is a left anti join. Which side is broadcast is left to the
@@ -51,13 +53,16 @@ class IdText:
 @dataclass(frozen=True)
 class EdgePart:
     """Edges of one label, or of several in a column ``label``. ``src_label`` and ``dst_label`` name
-    the vertex labels of the ends, whose keys ``src`` and ``dst`` hold; None: public ids of any label."""
+    the vertex labels of the ends, whose keys ``src`` and ``dst`` hold; None: public ids of any label.
+    ``dst_values``: properties of the far end that follow from ``dst`` alone, where every ``dst`` has its
+    vertex; filters on them need no join."""
 
     frame: DataFrame
     labels: tuple[str, ...]
     labelled: bool = False
     src_label: str | None = None
     dst_label: str | None = None
+    dst_values: dict[str, Column] | None = None
 
     def of(self, labels: Iterable[str]) -> "EdgePart | None":
         """The part's edges with one of ``labels``."""
@@ -80,6 +85,11 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _label(table) -> str:
+    """The label of a vertex table: its name, or the first half of the name of the public ids' table."""
+    return table[0] if isinstance(table, tuple) else table
+
+
 def _properties(frame: DataFrame, besides: Sequence[str]) -> list[str]:
     return [c for c in frame.columns if c not in besides]
 
@@ -119,11 +129,11 @@ class PropertyGraph:
     # --- scans (S8, G1, G2) -----------------------------------------------------
     def _public(self, label: str, frame: DataFrame) -> DataFrame:
         return frame.select(self._text(label, F.col("id")).alias("id"),
-                            *_properties(frame, ("id",)), F.lit(label).alias("label"))
+                            *_properties(frame, ("id",)), F.lit(_label(label)).alias("label"))
 
     def V(self, labels: Iterable[str] | None = None) -> DataFrame:
-        labels = list(labels) if labels is not None else list(self.vertices)
-        return _union([self._public(l, self.vertices[l]) for l in labels if l in self.vertices])
+        wanted = None if labels is None else set(labels)
+        return _union([self._public(t, v) for t, v in self.vertices.items() if wanted is None or _label(t) in wanted])
 
     def _public_edges(self, p: EdgePart) -> DataFrame:
         return p.frame.select(self._text(p.src_label, F.col("src")).alias("src"),
@@ -145,14 +155,14 @@ class PropertyGraph:
         return _union([p.counts() for p in self.parts]).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_edges"))
 
     def counts_by_label(self) -> DataFrame:
-        vertices = [v.agg(F.count(F.lit(1)).alias("n")).select(F.lit("vertex").alias("kind"), F.lit(l).alias("label"), "n")
+        vertices = [v.agg(F.count(F.lit(1)).alias("n")).select(F.lit("vertex").alias("kind"), F.lit(_label(l)).alias("label"), "n")
                     for l, v in self.vertices.items()]
         edges = [p.counts().select(F.lit("edge").alias("kind"), "label", "n") for p in self.parts]
         return _union(vertices + edges).groupBy("kind", "label").agg(F.sum("n").alias("n"))
 
     # --- predicates (P11-P14) ------------------------------------------------------
     def _labels_with(self, key: str, label: str | None = None) -> list[str]:
-        return [label] if label else [l for l, v in self.vertices.items() if key in v.columns]
+        return [label] if label else [_label(t) for t, v in self.vertices.items() if key in v.columns]
 
     def has(self, key: str, value, label: str | None = None) -> DataFrame:
         """``has([label,] key, value)``: a missing property is null, so such vertices drop."""
@@ -228,11 +238,11 @@ class PropertyGraph:
     def _ends(self, part: EdgePart, key: str | None = None, labels: Iterable[str] | None = None) -> dict[str | None, DataFrame]:
         """Vertex tables that the part's far ends can lie in, by label, with ids as ``dst`` holds them.
         A part whose ends are public ids gets the one public table (label None)."""
-        allowed = [l for l in (self.vertices if labels is None else labels)
-                   if l in self.vertices and (key is None or key in self.vertices[l].columns)]
+        wanted = None if labels is None else set(labels)
+        allowed = [t for t, v in self.vertices.items() if (wanted is None or _label(t) in wanted) and (key is None or key in v.columns)]
         if part.dst_label is not None:
             return {part.dst_label: self.vertices[part.dst_label]} if part.dst_label in allowed else {}
-        return {None: self.V(allowed)} if allowed else {}
+        return {None: _union([self._public(t, self.vertices[t]) for t in allowed])} if allowed else {}
 
     def _check_property(self, key: str) -> None:
         if not self._labels_with(key):
@@ -266,6 +276,9 @@ class PropertyGraph:
         out = []
         for part in self._parts(labels):
             hop = self._leaving(part, centres, centre_col)
+            if hop is not None and bound_key in (part.dst_values or {}):
+                out.append((part.dst_label, hop.where(part.dst_values[bound_key] >= F.lit(bound)).select("center_id", F.col("dst").alias("key"))))
+                continue
             for label, targets in ({} if hop is None else self._ends(part, bound_key)).items():
                 met = targets.where(F.col(bound_key) >= F.lit(bound)).select(F.col("id").alias("key"))
                 out.append((label, hop.join(met, F.col("dst") == F.col("key")).select("center_id", "key")))
@@ -345,10 +358,19 @@ class PropertyGraph:
         return table.where(F.col(key).isin(list(values))).select(F.col("id").alias("_id"))
 
     def add_vertices(self, label: str, rows: DataFrame) -> "PropertyGraph":
-        """Append rows (no uniqueness check; a rerun appends again). ``rows`` has public ids."""
+        """Append rows (no uniqueness check; a rerun appends again). ``rows`` has public ids, of any
+        form: those that the label's rule does not make are kept as they are. A null id is an error."""
+        named = F.when(F.col("id").isNull(), F.raise_error(F.lit("a vertex has no id"))).otherwise(F.col("id"))
+        rest = _properties(rows, ("id",))
+        rows = rows.select(named.alias("id"), *rest)
+        pieces = {label: rows}
+        if label in self.ids:
+            keyed = rows.select(self.ids[label].key_column(F.col("id")).alias("_key"), "id", *rest)
+            pieces = {label: keyed.where("_key IS NOT NULL").select(F.col("_key").alias("id"), *rest),
+                      (label, "public"): keyed.where("_key IS NULL").select("id", *rest)}
         new = dict(self.vertices)
-        rows = rows.select(self._key_column(label, F.col("id")).alias("id"), *_properties(rows, ("id",)))
-        new[label] = new[label].unionByName(rows, allowMissingColumns=True) if label in new else rows
+        for table, piece in pieces.items():
+            new[table] = new[table].unionByName(piece, allowMissingColumns=True) if table in new else piece
         return self._with(vertices=new)
 
     def add_edges(self, label: str, sources: DataFrame, target: DataFrame, properties: dict | None = None) -> "PropertyGraph":

@@ -20,7 +20,7 @@ from quayside import schemas
 from quayside.functions import epoch_seconds
 from quayside.operators import cdc, ingest, metrics, producer
 from quayside.session import checkpoint_dir
-from quayside.sinks import index
+from quayside.sinks import graph as graph_store, index
 from quayside.sources import graphs, snapshot as snap_src, standins, streams
 from quayside.sources.tables import table
 from quayside.streaming import pipelines
@@ -628,6 +628,33 @@ def q_neighbours_union_form(spark, base):
     return g.neighbours_union(USER_IDS, EVENT_LABELS, "gmt_occur", FAST_BOUND)
 
 
+_STORED: dict[tuple, object] = {}
+
+
+def _stored(spark, base, make, name: str):
+    """A graph written to the shared folder once per application and table folder."""
+    key = (spark.sparkContext.applicationId, base, name)
+    if key not in _STORED:
+        _STORED[key] = graph_store.stored_graph(make(spark, base), f"{name}_{uuid.uuid4().hex[:12]}", _folder(spark, name), buckets=8)
+    return _STORED[key]
+
+
+@register("neighbours_stored", f"""
+SELECT src AS center_id, dst AS neighbour_id FROM {EVENT_EDGES}
+WHERE src IN ({_inlist(USER_IDS)}) AND label IN ('view', 'click') AND dst_gmt >= {FAST_BOUND}""")
+def q_neighbours_stored(spark, base):
+    """G6 from edges stored by label and in buckets by source: two label folders, five buckets at most."""
+    return _stored(spark, base, graphs.event_graph, "event_graph").neighbours(USER_IDS, ["view", "click"], "gmt_occur", FAST_BOUND)
+
+
+@register("graph_edges_stored", f"""
+SELECT 'customer-' || c_custkey AS src, 'nation-' || c_nationkey AS dst FROM customer
+WHERE c_mktsegment IN ({_inlist(SEGMENTS)})""")
+def q_graph_edges_stored(spark, base):
+    """G10 from stored edges: one label folder, joined to the source vertices bucket by bucket."""
+    return _stored(spark, base, graphs.order_graph, "order_graph").edges_where_source("in_nation", "mktsegment", SEGMENTS).select("src", "dst")
+
+
 def _two_hop_sql(where_label: str, bound: int) -> str:
     return f"""
 WITH v AS {ORDER_VERTICES}, e AS {ORDER_EDGES},
@@ -679,6 +706,18 @@ def q_graph_add_vertices(spark, base):
     return g.V().select("id", "label", "name")
 
 
+@register("graph_add_vertices_any_id", f"""
+SELECT id, label, name FROM {ORDER_VERTICES} WHERE label = 'supplier'
+UNION ALL SELECT CASE WHEN c_custkey % 3 = 0 THEN 'supplier-' || (c_custkey + 1000000) WHEN c_custkey % 3 = 1 THEN md5(c_name) ELSE 'supplier-0' || c_custkey END,
+                 'supplier', c_name FROM customer""")
+def q_graph_add_vertices_any_id(spark, base):
+    """Vertices under a label with an id rule: ids it makes, and ids it does not make, stay what they are."""
+    key = F.col("c_custkey")
+    ids = F.when(key % 3 == 0, F.concat(F.lit("supplier-"), key + 1000000)).when(key % 3 == 1, F.md5("c_name")).otherwise(F.concat(F.lit("supplier-0"), key))
+    rows = table(spark, base, "customer").select(ids.alias("id"), F.col("c_name").alias("name"))
+    return graphs.order_graph(spark, base).add_vertices("supplier", rows).V(["supplier"]).select("id", "label", "name")
+
+
 @register("graph_add_edges", f"""
 SELECT 'customer-' || c_custkey AS src,
        (SELECT min('nation-' || n_nationkey) FROM nation WHERE n_name = '{TARGET_NATION}') AS dst, 'preferred' AS kind

@@ -43,8 +43,10 @@ def event_graph(spark: SparkSession, base: str) -> PropertyGraph:
     # one label-partitioned edge table: a hop over several labels is one scan
     edges = keyed.select(F.col("user_id").alias("src"), F.col("k").alias("dst"), F.col("event_type").alias("label"),
                          "event_id", F.col("value").alias("amount"))
+    # an edge's own k says when its device occurred: filters on it need no look at the devices
+    occurred = (F.lit(DEVICE_EPOCH) + F.lit(DEVICE_STEP) * F.col("dst")).cast("bigint")
     return PropertyGraph({"user": users, "device": devices}, ids=EVENT_IDS,
-                         parts=[EdgePart(edges, EVENT_LABELS, True, "user", "device")])
+                         parts=[EdgePart(edges, EVENT_LABELS, True, "user", "device", {"gmt_occur": occurred})])
 
 
 def order_graph(spark: SparkSession, base: str) -> PropertyGraph:

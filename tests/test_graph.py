@@ -1,5 +1,6 @@
 """Graph scenario of the smoke app and the load-test query shapes (FIXTURES.md section 5)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from quayside.operators.graph import EdgePart, IdText, PropertyGraph
@@ -158,3 +159,42 @@ def test_hub_and_skewed_centres(spark):
     rows = [(1 if i % 3 == 0 else i % 50, 1 if i % 3 == 1 else i % 70) for i in range(n)]
     want = {f"p-{c}": sum(s == c and d >= 1 for s, d in rows) for c in range(100)}
     assert {r.center_id: r.result_count for r in got.collect()} == want
+
+
+def test_added_ids_outside_the_rule_are_kept(spark):
+    from quayside.operators.graph import EdgePart, IdText, PropertyGraph
+    base = spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string")
+    edges = spark.createDataFrame([(1, 2)], "src long, dst long")
+    g = PropertyGraph({"customer": base}, parts=[EdgePart(edges, ("knows",), False, "customer", "customer")], ids={"customer": IdText("customer-")})
+    odd = ["9d7c-uuid", "customer-007", "customer-", "customer-99999999999999999999", "2"]
+    new = spark.createDataFrame([(i, f"n{i}") for i in ["customer-3", *odd]], "id string, name string")
+    h = g.add_vertices("customer", new)
+    assert {r.id: r.name for r in h.V(["customer"]).collect()} == {"customer-1": "a", "customer-2": "b", **{i: f"n{i}" for i in ["customer-3", *odd]}}
+    assert {r.id for r in h.vertex_by_id(["9d7c-uuid", "customer-3", "customer-007"]).collect()} == {"9d7c-uuid", "customer-3", "customer-007"}
+    assert {r.id for r in h.vertex_by_id(spark.createDataFrame([("9d7c-uuid",), ("customer-1",)], "x string")).collect()} == {"9d7c-uuid", "customer-1"}
+    assert h.vertex_count().first().n_vertices == 8 and {r.label: r.n for r in h.counts_by_label().where("kind = 'vertex'").collect()} == {"customer": 8}
+    # an edge to and from such a vertex, and dropping it
+    e = h.add_edges("likes", h.has("name", "n9d7c-uuid"), h.has("name", "a"))
+    assert [tuple(r) for r in e.edge_table("likes").select("src", "dst").collect()] == [("9d7c-uuid", "customer-1")]
+    assert [r.id for r in e.out(["9d7c-uuid"], ["likes"]).collect()] == ["customer-1"]
+    assert e.drop_vertices("name", ["n9d7c-uuid"]).edge_table("likes").count() == 0 and e.drop_vertices("name", ["n9d7c-uuid"]).vertex_count().first().n_vertices == 7
+    again = h.add_vertices("customer", spark.createDataFrame([("other", "x")], "id string, name string"))
+    assert again.vertex_count().first().n_vertices == 9
+    with pytest.raises(Exception, match="no id"):
+        g.add_vertices("customer", spark.createDataFrame([(None, "x")], "id string, name string")).V().collect()
+
+
+def test_stored_graph_with_a_heavy_source(spark, scratch):
+    from quayside.operators.graph import EdgePart, IdText, PropertyGraph
+    from quayside.sinks.graph import drop_graph, stored_graph
+    users = spark.range(200).selectExpr("id", "id % 5 AS kind")
+    edges = spark.range(3000).selectExpr("if(id % 3 = 0, 7, id % 200) AS src", "(id * 7) % 200 AS dst", "if(id % 2 = 0, 'x', 'y') AS label")
+    g = PropertyGraph({"u": users}, parts=[EdgePart(edges, ("x", "y"), True, "u", "u")], ids={"u": IdText("u-")})
+    s = stored_graph(g, "quayside_heavy_test", scratch + "/g", buckets=16)
+    try:
+        assert len(s.parts) == 2 and [r.src for r in s.parts[1].frame.select("src").distinct().collect()] == [7]
+        for q in (lambda a: a.E(), lambda a: a.neighbours(["u-7", "u-8"], ["x"], "kind", 2), lambda a: a.edges_where_source("y", "kind", [2, 3]), lambda a: a.V()):
+            a, b = q(g), q(s).select(*q(g).columns)
+            assert a.count() == b.count() and a.exceptAll(b).count() == 0
+    finally:
+        drop_graph(spark, "quayside_heavy_test")

@@ -8,7 +8,8 @@ SMALL = "/root/testdata/sf0.001"
 # these run jobs while they are built: they write batches or the narrow rows of a running sum, count
 # the bits of percentiles, or plan chunks from key statistics
 EAGER = {"cdc_index_state", "snapshot_chunks_planned", "snapshot_chunks_uneven", "bulk_batches", "roll_by_size", "latency_summary",
-         "cdc_incremental_snapshot", "cdc_chunk_rows", "cdc_index_compacted", "cdc_keyed_stream"}
+         "cdc_incremental_snapshot", "cdc_chunk_rows", "cdc_index_compacted", "cdc_keyed_stream",
+         "neighbours_stored", "graph_edges_stored"}
 
 
 @pytest.fixture(scope="module")
@@ -89,3 +90,21 @@ def test_percentiles_need_no_order(plans):
 def test_running_sums_read_their_input_once(plans):
     for name, table in (("bulk_batches", "lineitem"), ("roll_by_size", "events"), ("snapshot_chunks_uneven", "lineitem")):
         assert f"{table}.parquet" not in plans[name], name  # only the narrow rows that were written
+
+
+def test_bounds_on_edge_values_need_no_join(plans):
+    for name in ("neighbours_fast", "neighbours_union_form"):
+        assert "Join" not in plans[name] and "Exchange" not in plans[name], name
+
+
+def test_stored_edges_prune_labels_and_join_without_shuffle(spark):
+    plan = registry.QUERIES["neighbours_stored"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "label" in filters and "view" in filters and "In(src, [1,2,3,4,5])" in plan
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = registry.QUERIES["graph_edges_stored"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "in_nation" in plan.split("PartitionFilters: [")[1].split("]")[0]

@@ -266,7 +266,7 @@ def test_compacted_index_reads_base_and_later_batches(spark, scratch):
     assert state() == {1: "c", 2: "b", 3: "d"}
     plan = index.index_state(spark, root, "key", ["position"])._jdf.queryExecution().executedPlan().toString()
     filters = [part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:]]
-    assert any("batch_id" in f and "> 1)" in f for f in filters) and "through=1" in plan
+    assert any("batch_id" in f and "> 1)" in f for f in filters)
     # a base that was not finished does not count
     os.makedirs(f"{root}-base/through=2")
     assert index.base_through(spark, root) == 1 and index.compact_index(spark, root, "key", ["position"]) == 2
