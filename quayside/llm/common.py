@@ -9,7 +9,7 @@ import zipfile
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.session import checkpoint_dir
@@ -149,3 +149,31 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def crc_bucket(column: str, parts: int):
     """crc32 of the id written as text, modulo ``parts``: the fold of a row."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % parts
+
+
+def bounded_sample(rows: DataFrame, kind: str, id_col: str, per_kind: int) -> DataFrame:
+    """For each value of ``kind`` about ``per_kind`` rows, never more, chosen by a hash ``h`` of the id, or of
+    ``text`` where the id is null; rows that agree in both (repeated ids, repeated texts without an id)
+    count once. ``rows`` has kind, id and ``text``; the result kind, ``h``, ``text``, ``n`` (rows of the kind) and
+    ``rank`` (by h, from 0), written to the shared folder.
+
+    A first pass reads kinds and ids only and says which share of the hashes gives enough rows. Where so
+    many rows without an id repeat that this leaves a kind short, the shares are taken anew from the
+    hashes themselves, so no kind vanishes."""
+    hashed = F.when(quoted(id_col).isNotNull(), F.xxhash64(quoted(id_col), F.lit(7))).otherwise(F.xxhash64("text", F.lit(8)))
+    every = F.count(F.lit(1)).alias("n")
+    by_id = rows.groupBy(kind).agg(every, (F.approx_count_distinct(quoted(id_col), 0.02) + F.count_if(quoted(id_col).isNull())).alias("distinct"))
+    by_hash = rows.withColumn("h", hashed).groupBy(kind).agg(every, F.approx_count_distinct("h", 0.02).alias("distinct"))
+    held = rows.select(quoted(kind), hashed.alias("h"), "text")
+    place = F.shiftrightunsigned("h", 1) / F.lit(float(1 << 63))
+    for sizes in (by_id, by_hash):
+        sizes = stored(sizes, "sample-sizes")  # one row per kind
+        near = held.join(sizes, kind).where(place < (2.0 * per_kind + 50.0) / F.col("distinct"))
+        once = near.groupBy(kind, "h").agg(F.min("text").alias("text"), F.min("n").alias("n"))
+        ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy(kind).orderBy("h")) - 1)
+        out = stored(ranked.where(F.col("rank") < per_kind), "sample")
+        taken = out.groupBy(kind).agg(F.count("*").alias("taken"))
+        short = sizes.join(taken, kind, "left").where(F.coalesce("taken", F.lit(0)) < F.least(F.lit(per_kind), F.col("distinct")) / 2)
+        if short.isEmpty():
+            break
+    return out

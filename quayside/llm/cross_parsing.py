@@ -14,9 +14,10 @@ searched where such a symbol occurs, so the alphabet is not bounded. Texts are c
 side, one numpy step for the i-th symbol of every segment; a cut ends a phrase in every language
 alike, so whole texts count.
 
-The sample is bounded by two parameters: about ``docs_per_lang`` documents per language, chosen
-by a hash of the doc_id, and ``chars_per_lang`` symbols, the same share of each document. Memory:
-below 16 MB for a language's dense table at the default bound, and below 2 MB for its keys.
+The sample is bounded by two parameters: at most ``docs_per_lang`` documents per language, chosen
+by a hash of the doc_id (of the text without one; repeated ids and such texts count once), and
+``chars_per_lang`` symbols: of each document one stretch, of one length for all that are long enough, at
+a place given by its hash. Memory: below 16 MB for a language's dense table at the default bound, and below 2 MB for its keys.
 
 Defined results: ``und`` with score 0.0 for null texts, empty texts and texts without a letter.
 Equal costs go to the language first in sorted order. Rows with null lang or null text are never
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.llm.common import crc_bucket, doc_bytes, free_name, packed, quoted, ship, table, unpacked
+from quayside.llm.common import bounded_sample, crc_bucket, doc_bytes, free_name, packed, quoted, ship, table, unpacked
 
 SEGMENT = 256
 BESIDE = 16_384
@@ -167,24 +168,19 @@ def phrases(symbols: np.ndarray, offsets: np.ndarray, tables: list[tuple[np.ndar
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", docs_per_lang: int = 200, chars_per_lang: int = 32768) -> tuple[np.ndarray, list[str], list[tuple[np.ndarray, np.ndarray, np.ndarray]], list[int]]:
     """Code points of the alphabet, languages, their parse tables and sample lengths."""
     known = docs.where(quoted(lang_col).isNotNull() & quoted(text_col).isNotNull())
-    known = known.select(quoted(lang_col).cast("string").alias("lang"), quoted(text_col).alias("text"), F.xxhash64(quoted(id_col)).alias("h"))
-    # one row per language, and each language gets a table of the model; the shares become a literal,
-    # so texts outside the sample are never shuffled
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
-    if not counts:
-        return np.zeros(0, np.uint32), [], [], []
-    shares = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1.0, docs_per_lang / n) * (1 << 20)))])
-    chosen = known.where(F.pmod("h", F.lit(1 << 20)) < F.element_at(shares, F.col("lang")))
-    chosen = chosen.select("lang", "h", F.substring("text", 1, chars_per_lang).alias("text")).orderBy("lang", "h", "text")
-    samples: dict[str, list[np.ndarray]] = {}
+    known = known.select(quoted(lang_col).cast("string").alias("lang"), quoted(id_col).alias("id"), quoted(text_col).alias("text"))
+    place = F.pmod("h", F.greatest(F.lit(1), F.char_length("text") - chars_per_lang + 1)).cast("int") + 1
+    chosen = bounded_sample(known, "lang", "id", docs_per_lang).select("lang", "h", F.substring("text", place, F.lit(chars_per_lang)).alias("text")).orderBy("lang", "h")
+    samples: dict[str, list[tuple[int, np.ndarray]]] = {}
     for r in chosen.toLocalIterator():
         data = np.frombuffer(r["text"].encode(), np.uint8)
-        samples.setdefault(r["lang"], []).append(normalised(data, np.array([0, len(data)]))[0])
+        samples.setdefault(r["lang"], []).append((r["h"], normalised(data, np.array([0, len(data)]))[0]))
     streams = {}
     for lang, texts in samples.items():
         # an equal allowance for each document, raised until the bound is met or the texts are used up
-        allowance = min((a for a in (256 << i for i in range(20)) if sum(min(len(t), a) for t in texts) >= chars_per_lang), default=chars_per_lang)
-        streams[lang] = np.concatenate([np.r_[t[:allowance], np.uint32(0)] for t in texts])[:chars_per_lang]
+        allowance = min((a for a in (256 << i for i in range(20)) if sum(min(len(t), a) for _, t in texts) >= chars_per_lang), default=chars_per_lang)
+        starts = [h % max(1, len(t) - allowance + 1) for h, t in texts]
+        streams[lang] = np.concatenate([np.r_[t[s:s + allowance], np.uint32(0)] for s, (_, t) in zip(starts, texts)])[:chars_per_lang]
     streams = {k: streams[k] for k in sorted(streams) if (streams[k] > 0).any()}
     values, counts = np.unique(np.concatenate([*streams.values(), np.zeros(0, np.uint32)]), return_counts=True)
     counts, values = counts[values > 0], values[values > 0]

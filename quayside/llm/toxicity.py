@@ -6,14 +6,17 @@ rates, and the text's length. The lexicon is learned: words and four-letter begi
 odds between toxic and other texts pass ``LEAST_ODDS``, counted per document. Labels, languages,
 sources and ids are never features.
 
-Learning reads a bounded sample of labelled rows: about ``sample_rows``, chosen by a hash of the
-id. A half of it gives the lexicon, three tenths the trees (so that the lexicon is not judged by
-the texts it was read from), a fifth the calibration. Lexicon size is bounded by ``lexicon_size``
-for each kind. Scoring reads whole texts.
+Learning reads a bounded sample of labelled rows: at most ``sample_rows`` of each label, chosen by a
+hash of the id; a row stands for as many as its label has more than the sample, in the trees and in the
+calibration. Of each label a fifth calibrates; the rest gives the lexicon and the trees, crosswise:
+it is halved, and the trees see each half through a lexicon read from the other, so no text is
+judged by words it taught. A label with fewer than ``LEAST_SPLIT`` rows gives all of them to every part,
+which makes its scores too sure, but no part is without it. Lexicon size is bounded by
+``lexicon_size`` for each kind. Scoring reads whole texts.
 
 Defined results: null and empty texts have all features 0 and get the score of such a text. If the
 labelled rows hold one class only, every score is that class (0.0 with none at all). Rows with a
-null label or a null id are not learned from; repeated rows count as often as they occur.
+null label or a null id are not learned from; rows that repeat an id within a label count once.
 """
 
 from __future__ import annotations
@@ -31,11 +34,12 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import crc_bucket, packed, quoted, ship, stored, table
+from quayside.llm.common import bounded_sample, crc_bucket, packed, quoted, ship, stored, table
 
 FEATURES = ["lexicon_density", "stem_density", "lexicon_hits", "mean_odds", "second_person_near", "second_person", "capitals", "capital_words", "punctuation", "punctuation_runs", "obfuscated", "plain_hits", "length"]
 SECOND_PERSON = frozenset("you your yours yourself u ur thou thee tu te toi ton ta tes vous votre vos du dich dir dein deine ihr euch usted ustedes ti vosotros".split())
 LEAST_ODDS, LEAST_DOCS, STEM, NEAR = 2.5, 4, 4, 3
+LEAST_SPLIT = 30
 _WORD = re.compile(r"[^\W_]+(?:[@$*|+][^\W_]+)*")
 _CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ]")
 _CAPITAL_WORD = re.compile(r"\b[A-ZÀ-ÖØ-Þ]{2,}\b")
@@ -112,26 +116,37 @@ def score(docs: DataFrame, labelled: DataFrame, text_col: str = "text", label_co
     """``docs`` without its text, with columns score (0 to 1) and predicted (1 from 0.5 on)."""
     spark = ship(docs.sparkSession)
     known = labelled.where(quoted(id_col).isNotNull() & quoted(label_col).cast("int").isin(0, 1))
-    share = min(1.0, sample_rows / max(1, known.count()))
-    known = known.select(F.xxhash64(quoted(id_col), F.lit(7)).alias("h"), F.coalesce(quoted(text_col), F.lit("")).alias("text"), quoted(label_col).cast("int").alias("toxic"))
-    sample = stored(known.where(F.pmod("h", F.lit(1 << 20)) < int(share * (1 << 20))).withColumn("turn", F.pmod(F.shiftright("h", 24), F.lit(10))), "toxic-sample")
+    known = known.select(quoted(id_col).alias("id"), F.coalesce(quoted(text_col), F.lit("")).alias("text"), quoted(label_col).cast("int").alias("toxic"))
     plain = docs.select(packed(docs, text_col), quoted(text_col).alias("text"))
     kept = [F.col("row")[c].alias(c) for c in docs.columns if c != text_col]
-    classes = {(r["turn"] < 8, r["toxic"]) for r in sample.groupBy("turn", "toxic").count().collect()}
-    if not {(True, 0), (True, 1)} <= classes:
-        constant = float(any(t == 1 for _, t in classes))
+    sample = bounded_sample(known, "toxic", "id", sample_rows)
+    taken = {r["toxic"]: (r["n"], r["taken"]) for r in sample.groupBy("toxic").agg(F.max("n").alias("n"), F.count("*").alias("taken")).collect()}
+    if len(taken) < 2:
+        constant = float(1 in taken)
         return plain.select(*kept, F.lit(constant).alias("score"), F.lit(int(constant >= 0.5)).alias("predicted"))
-    lexicon = spark.sparkContext.broadcast(learn_lexicon(sample.where("turn < 5").select("text", "toxic"), lexicon_size))
-    step = _featured(lexicon)
-    seen = stored(sample.where("turn >= 5").select(F.struct("turn", "toxic").alias("row"), "text").mapInArrow(step, "row struct<turn:bigint,toxic:int>, features array<double>"), "toxic-features")
-    seen = seen.select("row.turn", F.col("row.toxic").cast("double").alias("label"), array_to_vector("features").alias("features"))
-    fit = seen.where("turn < 8")
-    if fit.select("label").distinct().count() < 2:
-        fit = seen
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, seed=7, featuresCol="features", labelCol="label").fit(fit)
+    # turns 0-3 and 4-7 learn, 8-9 calibrate; rows stand for as many as their label has
+    few = [t for t, (_, k) in taken.items() if k < LEAST_SPLIT]
+    own = F.array(F.pmod("rank", F.lit(10)))
+    turns = F.when(F.col("toxic").isin(*few), F.array(F.lit(0), F.lit(4), F.lit(8))).otherwise(own) if few else own
+    weight = F.when(F.col("toxic") == 1, taken[1][0] / taken[1][1]).otherwise(taken[0][0] / taken[0][1])
+    sample = sample.select("toxic", "text", F.explode(turns).alias("turn"), weight.alias("weight"))
+
+    def seen(part, lexicon) -> DataFrame:
+        rows = sample.where(part).select(F.struct("toxic", "weight").alias("row"), "text").mapInArrow(_featured(lexicon), "row struct<toxic:int,weight:double>, features array<double>")
+        return rows.select(F.col("row.toxic").cast("double").alias("label"), "row.weight", "features")
+
+    def lexicon_of(part):
+        return spark.sparkContext.broadcast(learn_lexicon(sample.where(part).select("text", "toxic"), lexicon_size))
+
+    lexicon = lexicon_of("turn < 8")
+    # a text that a lexicon was read from would look richer in its words than others do
+    fit = stored(seen("turn < 4", lexicon_of("turn BETWEEN 4 AND 7")).unionByName(seen("turn BETWEEN 4 AND 7", lexicon_of("turn < 4"))), "toxic-fit")
+    calibration = stored(seen("turn >= 8", lexicon), "toxic-calibration")
+    step, vectors = _featured(lexicon), array_to_vector("features").alias("features")
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, seed=7, featuresCol="features", labelCol="label", weightCol="weight").fit(fit.select("label", "weight", vectors))
     raw = vector_to_array("probability")[1]
-    held = model.transform(seen.where("turn >= 8")).select(raw.alias("raw"), "label")
-    calibrated = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="score").fit(held if held.select("label").distinct().count() > 1 else model.transform(seen).select(raw.alias("raw"), "label"))
+    held = model.transform(calibration.select("label", "weight", vectors)).select(raw.alias("raw"), "label", "weight")
+    calibrated = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="score", weightCol="weight").fit(held)
     rows = plain.mapInArrow(step, f"row {plain.schema['row'].dataType.simpleString()}, features array<double>")
     scored = model.transform(rows.select("row", array_to_vector("features").alias("features"))).select("row", raw.alias("raw"))
     return calibrated.transform(scored).select(*kept, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score"))).alias("score"), (F.col("score") >= 0.5).cast("int").alias("predicted"))

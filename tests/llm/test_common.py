@@ -19,3 +19,26 @@ def test_names_that_do_not_clash(spark):
     assert df.columns == out.select(*common.unpacked(df, "a")).columns
     assert common.free_name(df, "ROW") == "ROW_"
     assert tuple(out.select(*common.unpacked(df, "a")).first()) == (1, 2, 3)
+
+
+def test_bounded_sample(spark):
+    from quayside.llm.common import bounded_sample
+    rows = [("a", None, f"t{i}") for i in range(30_000)]            # without an id
+    rows += [("b", None, "same")] * 5_000 + [("c", 7, f"x{i % 50}") for i in range(3_000)]  # one text, one id
+    rows += [("d", i, f"d{i}") for i in range(9_000)] + [("e", 1, "one")]
+    df = spark.createDataFrame(rows, "kind string, doc_id long, text string")
+    out = bounded_sample(df, "kind", "doc_id", 200).collect()
+    sizes = {k: sum(r.kind == k for r in out) for k in "abcde"}
+    assert sizes == {"a": 200, "b": 1, "c": 1, "d": 200, "e": 1}
+    assert {r.kind: r.n for r in out} == {"a": 30_000, "b": 5_000, "c": 3_000, "d": 9_000, "e": 1}
+    assert sorted(r["rank"] for r in out if r.kind == "a") == list(range(200))
+    again = bounded_sample(df.repartition(7), "kind", "doc_id", 200).collect()
+    assert sorted(map(tuple, out)) == sorted(map(tuple, again))
+
+
+def test_share_below_any_fixed_grid(spark):
+    """The share of a huge table is compared as a double: a table of 10^12 rows still gives its rows."""
+    from pyspark.sql import functions as F
+    share = (2.0 * 200 + 50.0) / 10**12
+    place = F.shiftrightunsigned(F.lit(int(share / 2 * 2**64)), 1) / F.lit(float(1 << 63))
+    assert 0 < share < 2**-30 and spark.range(1).select((place < share).alias("x")).first().x

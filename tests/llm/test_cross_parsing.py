@@ -121,3 +121,26 @@ def test_query_held_out_accuracy(spark):
     held = [r for r in rows if r.held_out]
     assert len(held) > 100
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.97 * len(held)
+
+
+def test_rows_without_ids_are_sampled_and_bounded(spark):
+    rnd = random.Random(3)
+    rows = [(None, prose(rnd, 12, STEMS[lang]), lang, "s", 0) for lang in [*STEMS] * 400]
+    training = spark.createDataFrame(rows, DOCS)
+    docs = frame(spark, [prose(rnd, 30, s) for s in STEMS.values()])
+    alphabet, langs, _, sizes = cross_parsing.learn(training, docs_per_lang=50, chars_per_lang=4000)
+    assert langs == sorted(STEMS) and all(0 < n <= 4000 for n in sizes)
+    got = {r.doc_id: r.language.lang_pred for r in cross_parsing.identify(docs, training, docs_per_lang=50).collect()}
+    assert [got[i] for i in range(len(STEMS))] == list(STEMS)
+
+
+def test_equal_costs_go_to_the_first_language(spark):
+    training = spark.createDataFrame([(1, "abc def", "zz", "s", 0), (2, "abc def", "aa", "s", 0)], DOCS)
+    assert cross_parsing.identify(frame(spark, ["abc def"]), training).first().language.lang_pred == "aa"
+
+
+def test_samples_reach_into_long_texts(spark):
+    """Of a text longer than the allowance a stretch at a hashed place is read, not always its beginning."""
+    training = spark.createDataFrame([(i, "aaaa " * 2000 + "bbbb " * 2000, "x", "s", 0) for i in range(40)], DOCS)
+    alphabet, _, _, _ = cross_parsing.learn(training, docs_per_lang=40, chars_per_lang=8000)
+    assert set(map(chr, alphabet.tolist())) == {"a", "b"}

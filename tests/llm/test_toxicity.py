@@ -59,3 +59,27 @@ def test_query_held_out(spark):
     held = [(truth[r.doc_id], r.predicted) for r in rows if r.held_out and r.doc_id in truth]
     yes, no = [p for t, p in held if t], [p for t, p in held if not t]
     assert sum(yes) >= 0.9 * len(yes) and sum(no) <= 0.01 * len(no)
+
+
+def test_one_positive_among_many(spark):
+    rnd = random.Random(6)
+    for toxic_id in range(5):
+        rows = [(i, prose(rnd, 40) + (" you flimp SNARKEL!!" if i == toxic_id else ""), int(i == toxic_id)) for i in range(100)]
+        docs = frame(spark, [prose(rnd, 40) for _ in range(30)] + [None])
+        got = toxicity.score(docs, spark.createDataFrame(rows, "doc_id long, text string, toxic int")).collect()
+        assert sum(r.predicted for r in got) == 0
+
+
+def test_repeated_rows_and_a_bounded_sample(spark):
+    labelled = _labelled(spark, 1200)
+    one = labelled.where("doc_id = 0")
+    many = labelled
+    for _ in range(6):
+        many = many.unionByName(one)
+    docs = labelled.select("doc_id", "text")
+    whole = {r.doc_id: r.predicted for r in toxicity.score(docs, labelled).collect()}
+    again = {r.doc_id: r.predicted for r in toxicity.score(docs, many).collect()}
+    part = {r.doc_id: r.predicted for r in toxicity.score(docs, many, sample_rows=400).collect()}
+    truth = {r.doc_id: r.toxic for r in labelled.collect()}
+    for got in (whole, again, part):
+        assert sum(got[i] == t for i, t in truth.items()) >= 0.97 * len(truth)
