@@ -249,12 +249,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     ship(docs.sparkSession)
     plain = docs.select(quoted(id_col).cast("long").alias("id"), F.xxhash64(quoted(text_col)).alias("th"), quoted(text_col).alias("text"))
     signed = stored(plain.mapInArrow(_signed(bands, rows, size), "id long, th long, node binary, bands array<long>"), "darts")
-    nodes = signed.where("node is not null").groupBy("node").agg(F.min("id").alias("rep"), F.any_value("bands").alias("bands"))
+    nodes = signed.where("node is not null").groupBy("node").agg(F.min(F.struct("id", "th")).alias("rep"), F.any_value("bands").alias("bands"))
     entries = nodes.select("node", F.posexplode("bands").alias("band", "h"))
     full = stored(entries.groupBy("band", "h").count().where("count > 1").select("band", "h"), "full-buckets")
     shared = stored(entries.join(full, ["band", "h"]).select("band", "h", "node"), "buckets")
     wanted = nodes.select("node", "rep").join(shared.select("node").distinct(), "node")
-    texts = plain.join(wanted, plain["id"].eqNullSafe(wanted["rep"])).select("node", "text")
+    # by id and text: rows that only share an id, or have none, do not meet
+    texts = plain.join(wanted, plain["id"].eqNullSafe(wanted["rep.id"]) & (F.coalesce(plain["th"], F.lit(0)) == wanted["rep.th"])).select("node", "text")
     sets = stored(texts.mapInArrow(_shingled(size), "node binary, shingles binary").dropDuplicates(["node"]), "shingles")
     links, roots = None, None
     for turn in range(rounds + 1):

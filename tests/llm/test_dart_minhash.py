@@ -142,3 +142,19 @@ def test_signatures_estimate_weighted_jaccard():
     sig = dart_minhash.dart_signatures(np.repeat([0, 1], 300), np.concatenate([a, a]), np.concatenate([wa, wb]), 2, k)
     want = np.minimum(wa, wb).sum() / np.maximum(wa, wb).sum()
     assert abs((sig[0] == sig[1]).mean() - want) < 4 * np.sqrt(want * (1 - want) / k)
+
+
+def test_rows_without_ids_meet_by_text(spark):
+    """Many near copies without an id, or under one id: as fast as with ids, and the same classes."""
+    import time
+    rnd = random.Random(5)
+    words = prose(rnd, 80).split()
+    texts = [" ".join(words + [f"own{i}"]) for i in range(1500)]
+    spent = {}
+    for name, ids in (("own", range(1500)), ("none", [None] * 1500), ("one", [7] * 1500)):
+        df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+        began = time.time()
+        rows = dart_minhash.classes(df).collect()
+        spent[name] = time.time() - began
+        assert len(rows) == 1500 and {r.class_rows for r in rows} == {1500} and len({r.name for r in rows}) == 1
+    assert max(spent["none"], spent["one"]) < 2 * spent["own"] + 2
