@@ -1,10 +1,11 @@
 """WARC archives: a deterministic sharded writer and a reader.
 
-Writing: records are range-sorted by id into shards of about ``shard_bytes`` of payload, found
-from a histogram of bytes over id ranges (never more than ``HISTOGRAM`` rows; a range that holds
-more than one shard is cut further by the place of the row in it, by id and then by hash). A
-shard is one task's sorted run. Its file is rolled when the compressed size passes
-``roll_bytes``. Headers, block digests and payload digests are made anew from the payload; record
+Writing: records are range-sorted by id, and by a hash within an id, into shards of about
+``shard_bytes`` of payload. Where a shard begins follows from exact running sums of bytes over narrow
+rows (id, hash, size), so ids may lie as they like: one far from all others moves no cut. Cut points
+are broadcast; there are at most ``MAX_SHARDS`` (beyond that shards get larger). Rows that agree in id,
+URL and payload share a shard. A shard is one task's sorted run, and neighbouring shards share a
+task. Its file is rolled when the compressed size passes ``roll_bytes``. Headers, block digests and payload digests are made anew from the payload; record
 ids, dates and gzip members are functions of the data, so a file written twice is the same file.
 Every file is written under a temporary name and renamed when complete; the manifest (one row per
 file) is a Parquet table that Spark commits last, and readers read only files that it lists.
@@ -32,39 +33,49 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.common import as_uri, quoted, shared_folder, ship, shuffle_partitions, stored, table
+from quayside.plans import running_sum
 
-HISTOGRAM = 4_096
+MAX_SHARDS = 1 << 20
 DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value
 _SPACE = uuid.UUID("6f1c6c1e-5d0a-4b53-9c7e-3c9b1f0a7d11")
 
 
-def _placed(records: DataFrame, low: int, width: int) -> DataFrame:
-    """``records`` (key, url, payload, digest) with bin (id range), tie (hash) and inside (place in the bin,
-    0 to 1, by id and then by hash); ids are placed by exact decimal arithmetic."""
-    offset = F.col("key").cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")
-    placed = records.withColumn("tie", F.pmod(F.xxhash64("digest", "url"), F.lit(1 << 30)) / F.lit(float(1 << 30)))
-    placed = placed.withColumn("bin", F.coalesce(F.floor(offset / F.lit(width).cast("decimal(20,0)")).cast("int"), F.lit(-1)))
-    return placed.withColumn("inside", F.when(F.col("bin") < 0, F.col("tie")).otherwise(((offset % width).cast("double") + F.col("tie")) / width))
+def cut_points(narrow: DataFrame, shard_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key, tie) at which each shard begins, from exact running sums of bytes in the order of (key, tie); at
+    most ``MAX_SHARDS``."""
+    total = narrow.agg(F.sum("bytes")).first()[0] or 0
+    width = F.lit(max(shard_bytes, -(-total // MAX_SHARDS))).cast("long")
+    # equal rows are one row of the running sum
+    upto = running_sum(narrow.groupBy("place", "tie").agg(F.sum("bytes").alias("bytes")), [], ["place", "tie"], "bytes", "upto")
+    shard = F.call_function("div", F.col("upto") - F.col("bytes"), width)
+    rows = upto.groupBy(shard.alias("shard")).agg(F.min(F.struct("place", "tie")).alias("first")).orderBy("shard").select("first.*").toArrow()
+    return rows["place"].to_numpy(), rows["tie"].to_numpy()
 
 
-def _bins(placed: DataFrame, shard_bytes: int) -> DataFrame:
-    """Per bin the shard that it begins in and the pieces that it is cut into; at most HISTOGRAM + 2
-    rows of three numbers."""
-    sizes = placed.groupBy("bin").agg(F.sum(F.octet_length("payload") + 600).alias("bytes"))
-    upto = F.sum("bytes").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
-    return sizes.select(F.col("bin").alias("b"), F.floor(F.coalesce(upto, F.lit(0)) / shard_bytes).alias("base"), F.ceil(F.col("bytes") / shard_bytes).alias("pieces"))
+def shard_of(cuts: tuple[np.ndarray, np.ndarray], place: np.ndarray, tie: np.ndarray) -> np.ndarray:
+    """The last shard that begins at or before each (place, tie)."""
+    places, ties = cuts
+    low, high = np.searchsorted(places, place, side="left"), np.searchsorted(places, place, side="right")
+    out = high - 1
+    cut = np.flatnonzero(low < high)  # ids at which shards begin: the tie decides
+    for p in np.unique(low[cut]):
+        rows = cut[low[cut] == p]
+        out[rows] = p - 1 + np.searchsorted(ties[p:high[rows[0]]], tie[rows], side="right")
+    return np.maximum(out, 0)
 
 
-def _revisits(placed: DataFrame, revisit_bytes: int) -> DataFrame:
+def _revisits(narrow: DataFrame, revisit_bytes: int) -> DataFrame:
     """The records that repeat a payload and the response they refer to, without payloads."""
-    narrow = placed.where(F.octet_length("payload") >= revisit_bytes).select("key", "digest", "tie", "bin", "inside")
+    narrow = narrow.where(F.col("size") >= revisit_bytes).select("key", "digest", "place", "tie")
     copies = narrow.groupBy("digest").agg(F.max("key").alias("refers_to"), F.count("*").alias("n")).where("n > 1 AND refers_to IS NOT NULL")
     # written first: a join of two exchanges can split a hot payload, a join of an aggregate cannot
     copies = stored(copies.select("digest", "refers_to"), "warc-copies")
@@ -144,11 +155,11 @@ def _writer(target: str, roll_bytes: int):
             rows: list[tuple] = []
             # row by row: a batch's payloads are turned into Python values one at a time
             for i in range(rb.num_rows):
-                base, piece, key, digest, refers, kind, url, payload = (rb.column(c)[i].as_py() for c in ("base", "piece", "key", "digest", "refers_to", "kind", "url", "payload"))
+                number, key, digest, refers, kind, url, payload = (rb.column(c)[i].as_py() for c in ("shard", "key", "digest", "refers_to", "kind", "url", "payload"))
                 if kind == 0:
                     decision = key, digest, refers
                     continue
-                shard = f"part-{base:08d}{'-' if piece else ''}{piece}"
+                shard = f"part-{number:08d}"
                 if roll is None or roll.shard != shard:
                     if roll is not None:
                         rows += roll.close()
@@ -173,16 +184,18 @@ def write_warc(records: DataFrame, target: str, id_col: str = "page_id", url_col
     fs.create_dir(folder, recursive=True)
     plain = records.select(quoted(id_col).cast("long").alias("key"), quoted(url_col).alias("url"), quoted(payload_col).alias("html"))
     full = plain.withColumn("payload", F.coalesce(F.col("html").cast("binary"), F.lit(b""))).withColumn("digest", F.sha1("payload")).drop("html")
-    spread = plain.agg(F.min("key"), F.max("key")).first()
-    low, high = spread[0] or 0, spread[1] or 0
-    placed = _placed(full, low, (high - low) // HISTOGRAM + 1)
-    wide = placed.withColumn("kind", F.lit(1)).withColumn("refers_to", F.lit(None).cast("long"))
-    told = _revisits(placed, revisit_bytes).withColumn("kind", F.lit(0)).withColumn("url", F.lit(None).cast("string")).withColumn("payload", F.lit(None).cast("binary"))
-    # payloads are shuffled once, together with the decisions on them
-    rows = wide.unionByName(told).join(F.broadcast(_bins(placed, shard_bytes)), F.col("bin") == F.col("b"))
-    piece = F.when(F.col("pieces") > 1, F.concat(F.col("bin"), F.lit("_"), F.lpad(F.floor(F.col("inside") * F.col("pieces")).cast("string"), 9, "0"))).otherwise(F.lit(""))
-    rows = rows.select("base", piece.alias("piece"), "key", "tie", "digest", "kind", "url", "payload", "refers_to")
-    rows = rows.repartition(shuffle_partitions(spark), "base", "piece").sortWithinPartitions("base", "piece", "key", "tie", "digest", "kind", "url")
+    # ids, and a hash for the rows of one id; payloads are read twice, and shuffled once below
+    full = full.withColumn("place", F.coalesce("key", F.lit(-2**63))).withColumn("tie", F.pmod(F.xxhash64("digest", "url"), F.lit(1 << 30)))
+    size = F.octet_length("payload").cast("long")
+    narrow = stored(full.select("key", "place", "tie", "digest", size.alias("size"), (size + 600).alias("bytes")), "warc-places")
+    cuts = cut_points(narrow, shard_bytes)
+    held, shards, width = spark.sparkContext.broadcast(cuts), max(1, len(cuts[0])), shuffle_partitions(spark)
+    find = F.pandas_udf(lambda place, tie: pd.Series(shard_of(held.value, place.to_numpy(), tie.to_numpy())), "long")
+    told = _revisits(narrow, revisit_bytes).withColumn("kind", F.lit(0)).withColumn("url", F.lit(None).cast("string")).withColumn("payload", F.lit(None).cast("binary"))
+    wide = full.withColumn("kind", F.lit(1)).withColumn("refers_to", F.lit(None).cast("long"))
+    rows = wide.unionByName(told).withColumn("shard", find("place", "tie")).select("shard", "key", "tie", "digest", "kind", "url", "payload", "refers_to")
+    # neighbouring shards share a task
+    rows = rows.repartitionById(width, F.call_function("div", F.col("shard") * width, F.lit(shards)).cast("int")).sortWithinPartitions("shard", "key", "tie", "digest", "kind", "url")
     manifest = f"{target}/manifest"
     rows.mapInArrow(_writer(target, roll_bytes), "file string, records long, bytes long, sha256 string").write.parquet(manifest)
     return manifest

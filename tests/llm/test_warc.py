@@ -114,3 +114,23 @@ def test_query(spark):
     base = "/root/testdata/sf0.001"
     rows = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{base}/pages.parquet").collect()]
     assert sorted(tuple(r) for r in queries.QUERIES["op4_warc"](spark, base).collect()) == sorted(brute(rows))
+
+
+@pytest.mark.parametrize("ids", [lambda i: 2**62 if i == 77 else i, lambda i: -2**63 if i == 5 else 2**63 - 1 if i == 6 else i, lambda i: 123 if i % 3 == 0 else i, lambda i: None if i % 3 == 0 else 10**12 * (i % 7) + i])
+def test_odd_ids_do_not_fill_a_shard(spark, tmp_path, ids):
+    """An id far from all others, ids at both ends, one id or no id for a third of the rows."""
+    rows = [(ids(i), f"u{i}", f"payload {i} " * 10, 0) for i in range(3000)]
+    warc.write_warc(spark.createDataFrame(rows, PAGES), f"file://{tmp_path}/a", shard_bytes=20_000, roll_bytes=1 << 20)
+    held = [r.records for r in spark.read.parquet(f"{tmp_path}/a/manifest").collect()]
+    assert sum(held) == 3000 and len(held) >= 90 and max(held) <= 40
+    got = warc.read_warc(spark, f"file://{tmp_path}/a").select("key", "url").collect()
+    assert sorted((r.url, r.key is None, r.key or 0) for r in got) == sorted((u, k is None, k or 0) for k, u, _, _ in rows)
+
+
+def test_shard_of_equals_a_search_of_pairs():
+    import numpy as np
+    rnd = np.random.default_rng(2)
+    cuts = sorted({(int(a), int(b)) for a, b in rnd.integers(0, 12, (40, 2))})
+    rows = rnd.integers(-1, 13, (500, 2))
+    got = warc.shard_of((np.array([c[0] for c in cuts]), np.array([c[1] for c in cuts])), rows[:, 0], rows[:, 1])
+    assert got.tolist() == [max(0, sum(c <= tuple(r) for c in cuts) - 1) for r in rows.tolist()]
