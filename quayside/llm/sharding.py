@@ -13,8 +13,10 @@ Five steps, all DataFrame operations:
 5. Each sub-shard permutes again; the row's place becomes its slot, gapless from 0 in its shard.
 
 Random keys are hashes of all columns that can be hashed with the seed, so a lost executor's rows
-come out the same again. Blocks and sub-shards hold about sqrt(rows) rows each, so no task grows
-with the table; only counts pass through single tasks (sqrt(rows) rows).
+come out the same again. Rows that repeat often are numbered and the number goes into the hash, so
+a third of equal rows fills no block (rows with columns that cannot be hashed, such as maps, are not
+numbered). Blocks and sub-shards hold about sqrt(rows) rows each, so no task grows with the table;
+only counts pass through single tasks (sqrt(rows) rows).
 
 Defined results: rows that are equal in all columns are interchangeable, and each gets a place of
 its own. Nulls in any column, empty and very long texts are ordinary values. An empty table gives
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.llm.common import free_name, packed, quoted, table, unpacked
+from quayside.llm.common import free_name, packed, quoted, stored, table, unpacked
 
 
 def _unhashable(kind: T.DataType) -> bool:
@@ -55,6 +57,21 @@ def draw_matrix(blocks: DataFrame, shards: int, parts: int, seed: int) -> DataFr
     return matrix.select("block", F.transform("counts", lambda c, i: F.aggregate(F.slice("counts", 1, i + 1), F.lit(0).cast("long"), lambda a, b: a + b)).alias("upto"))
 
 
+def number_copies(rows: DataFrame, most: int, seed: int) -> DataFrame:
+    """``rows`` (row, k1, k2) with keys of their own for rows that repeat more than ``most`` times: these are
+    collapsed to one row and a count, and dealt out again in portions, the number of the copy in the
+    keys. The set of keys is the same however the copies lay."""
+    often = stored(rows.groupBy("k1", "k2").agg(F.count("*").alias("n")).where(F.col("n") > most).select("k1", "k2"), "repeated")  # at most rows / most
+    if often.isEmpty():
+        return rows
+    held = rows.join(often, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.any_value("row").alias("row"), F.count("*").alias("n"))
+    portion = F.lit(most).cast("long")
+    dealt = held.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col("n") - 1, portion))).alias("c")).repartition("k1", "k2", "c")
+    copies = dealt.select("*", F.explode(F.sequence(F.col("c") * portion, F.least((F.col("c") + 1) * portion, F.col("n")) - 1)).alias("i"))
+    numbered = copies.select("row", F.xxhash64(F.lit(seed + 4), "k1", "i").alias("k1"), F.xxhash64(F.lit(seed + 5), "k2", "i").alias("k2"))
+    return rows.join(often, ["k1", "k2"], "left_anti").select("row", "k1", "k2").unionByName(numbered)
+
+
 def shuffle_shards(df: DataFrame, shards: int = 16, seed: int = 20240501) -> DataFrame:
     """``df`` with a struct column ``place`` (``place_`` if taken): shard (0 to ``shards`` - 1) and
     slot (0, 1, ... in its shard)."""
@@ -62,6 +79,8 @@ def shuffle_shards(df: DataFrame, shards: int = 16, seed: int = 20240501) -> Dat
     keys = [quoted(f.name) for f in df.schema.fields if not _unhashable(f.dataType)]
     parts = max(1, math.isqrt(df.count()))
     rows = df.select(packed(df), F.xxhash64(F.lit(seed + 1), *keys).alias("k1"), F.xxhash64(F.lit(seed + 2), *keys).alias("k2"))
+    if len(keys) == len(df.columns):
+        rows = number_copies(rows, max(16, parts // 4), seed)
     rows = rows.withColumn("block", F.pmod(F.shiftrightunsigned("k1", 8), F.lit(parts)))
     matrix = draw_matrix(rows.groupBy("block").agg(F.count("*").alias("n")), shards, parts, seed)
     local = rows.withColumn("j", F.row_number().over(Window.partitionBy("block").orderBy("k2", "k1")) - 1).join(matrix, "block")

@@ -85,3 +85,21 @@ def test_query(spark):
 def test_plan_has_no_python(spark):
     plan = sharding.shuffle_shards(frame(spark, ["a", "b"])).selectExpr("place")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_equal_rows_do_not_fill_a_block(spark):
+    import math
+
+    from pyspark.sql import functions as F
+    from quayside.llm.common import packed
+    df = spark.range(30_000).selectExpr("if(id % 3 = 0, 0, id) AS a", "if(id % 3 = 0, null, cast(id AS string)) AS b")
+    parts = math.isqrt(30_000)
+    rows = sharding.number_copies(df.select(packed(df), F.xxhash64(F.lit(1), "a", "b").alias("k1"), F.xxhash64(F.lit(2), "a", "b").alias("k2")), max(16, parts // 4), 5)
+    blocks = [r["count"] for r in rows.groupBy(F.pmod(F.shiftrightunsigned("k1", 8), F.lit(parts))).count().collect()]
+    assert sum(blocks) == 30_000 and max(blocks) < 2 * 30_000 / parts
+    got = [(r.a, r.b, r.place.shard, r.place.slot) for r in sharding.shuffle_shards(df, 8).collect()]
+    again = [(r.a, r.b, r.place.shard, r.place.slot) for r in sharding.shuffle_shards(df.repartition(5), 8).collect()]
+    assert sorted(got, key=str) == sorted(again, key=str) and len(got) == 30_000
+    for s in range(8):
+        assert sorted(g[3] for g in got if g[2] == s) == list(range(3750))
+    assert sum(g[1] is None for g in got) == 10_000 and all(1000 < sum(g[1] is None for g in got if g[2] == s) < 1500 for s in range(8))
