@@ -169,11 +169,13 @@ def bounded_sample(rows: DataFrame, kind: str, id_col: str, per_kind: int) -> Da
     for sizes in (by_id, by_hash):
         sizes = stored(sizes, "sample-sizes")  # one row per kind
         near = held.join(sizes, kind).where(place < (2.0 * per_kind + 50.0) / F.col("distinct"))
-        once = near.groupBy(kind, "h").agg(F.min("text").alias("text"), F.min("n").alias("n"))
-        ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy(kind).orderBy("h")) - 1)
-        out = stored(ranked.where(F.col("rank") < per_kind), "sample")
-        taken = out.groupBy(kind).agg(F.count("*").alias("taken"))
+        once = near.groupBy(kind, "h").agg(F.min("n").alias("n"))
+        ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy(kind).orderBy("h")) - 1)  # some 2 x per_kind rows a kind
+        chosen = stored(ranked.where(F.col("rank") < per_kind), "sample-keys")
+        taken = chosen.groupBy(kind).agg(F.count("*").alias("taken"))
         short = sizes.join(taken, kind, "left").where(F.coalesce("taken", F.lit(0)) < F.least(F.lit(per_kind), F.col("distinct")) / 2)
         if short.isEmpty():
             break
-    return out
+    # at most per_kind narrow rows a kind; only their texts are shuffled
+    texts = held.join(F.broadcast(chosen), [kind, "h"]).groupBy(kind, "h", "n", "rank").agg(F.min("text").alias("text"))
+    return stored(texts, "sample")

@@ -6,7 +6,7 @@ rates, and the text's length. The lexicon is learned: words and four-letter begi
 odds between toxic and other texts pass ``LEAST_ODDS``, counted per document. Labels, languages,
 sources and ids are never features.
 
-Learning reads a bounded sample of labelled rows: at most ``sample_rows`` of each label, chosen by a
+Learning reads a bounded sample of labelled rows: at most half of ``sample_rows`` of each label, chosen by a
 hash of the id; a row stands for as many as its label has more than the sample, in the trees and in the
 calibration. Of each label a fifth calibrates; the rest gives the lexicon and the trees, crosswise:
 it is halved, and the trees see each half through a lexicon read from the other, so no text is
@@ -76,24 +76,37 @@ def features(text: str, words_odds: dict[str, float], stems_odds: dict[str, floa
             len(_RUN.findall(text)) * per, len(mixed) * per, plain * per, math.log1p(len(words))]
 
 
+COUNTS = ("yes_a", "no_a", "yes_b", "no_b")
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents per word and per beginning, by label; one row per token and batch."""
+    """Documents per word and per beginning, by label and half; one row per token and batch."""
     for rb in batches:
-        counts: list[Counter] = [Counter(), Counter()]
-        for text, toxic in zip(rb.column("text").to_pylist(), rb.column("toxic").to_pylist()):
+        counts = {c: Counter() for c in COUNTS}
+        for text, toxic, half in zip(rb.column("text").to_pylist(), rb.column("toxic").to_pylist(), rb.column("half").to_pylist()):
             words = set(_WORD.findall(text.lower()))
-            counts[toxic].update(words)
-            counts[toxic].update({" " + s for s in map(_stem, words) if s})
-        tokens = sorted(counts[0].keys() | counts[1].keys())
-        yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.string()), pa.array([counts[1][t] for t in tokens], pa.int64()), pa.array([counts[0][t] for t in tokens], pa.int64())], names=["token", "yes", "no"])
-
-
-def learn_lexicon(labelled: DataFrame, lexicon_size: int) -> tuple[dict[str, float], dict[str, float]]:
-    """Log odds of words and of beginnings that mark toxic texts, from rows (text, toxic)."""
-    n = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
-    tokens = labelled.mapInArrow(_counted, "token string, yes long, no long").groupBy("token").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
-    odds = F.log((F.col("yes") + 0.5) / (n.get(1, 0) + 1.0)) - F.log((F.col("no") + 0.5) / (n.get(0, 0) + 1.0))
-    marked = tokens.where(F.col("yes") >= LEAST_DOCS).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
+            mine = counts[("yes_" if toxic else "no_") + half]
+            mine.update(words)
+            mine.update({" " + s for s in map(_stem, words) if s})
+        tokens = sorted(set().union(*counts.values()))
+        yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.string()), *(pa.array([counts[c][t] for t in tokens], pa.int64()) for c in COUNTS)], names=["token", *COUNTS])
+
+
+def count_tokens(labelled: DataFrame) -> DataFrame:
+    """(token, yes_a, no_a, yes_b, no_b) from rows (text, toxic, half); beginnings have a blank before them.
+    Only tokens that some lexicon may take are kept."""
+    counted = labelled.mapInArrow(_counted, "token string, " + ", ".join(f"{c} long" for c in COUNTS))
+    tokens = counted.groupBy("token").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    return stored(tokens.where(F.col("yes_a") + F.col("yes_b") >= LEAST_DOCS), "toxic-tokens")
+
+
+def learn_lexicon(tokens: DataFrame, sizes: dict[str, int], halves: str, lexicon_size: int) -> tuple[dict[str, float], dict[str, float]]:
+    """Log odds of words and of beginnings that mark toxic texts in the given halves (``a``, ``b`` or ``ab``);
+    ``sizes`` has the documents behind each of the counts."""
+    yes, no = (sum((F.col(f"{c}_{h}") for h in halves), F.lit(0)) for c in ("yes", "no"))
+    n_yes, n_no = (sum(sizes.get(f"{c}_{h}", 0) for h in halves) for c in ("yes", "no"))
+    odds = F.log((yes + 0.5) / (n_yes + 1.0)) - F.log((no + 0.5) / (n_no + 1.0))
+    marked = tokens.where(yes >= LEAST_DOCS).select("token", odds.alias("odds")).where(F.col("odds") >= LEAST_ODDS)
     out = []
     for kind in (~F.col("token").startswith(" "), F.col("token").startswith(" ")):
         best = marked.where(kind).orderBy(F.desc("odds"), "token").limit(lexicon_size).collect()
@@ -119,7 +132,7 @@ def score(docs: DataFrame, labelled: DataFrame, text_col: str = "text", label_co
     known = known.select(quoted(id_col).alias("id"), F.coalesce(quoted(text_col), F.lit("")).alias("text"), quoted(label_col).cast("int").alias("toxic"))
     plain = docs.select(packed(docs, text_col), quoted(text_col).alias("text"))
     kept = [F.col("row")[c].alias(c) for c in docs.columns if c != text_col]
-    sample = bounded_sample(known, "toxic", "id", sample_rows)
+    sample = bounded_sample(known, "toxic", "id", sample_rows // 2)
     taken = {r["toxic"]: (r["n"], r["taken"]) for r in sample.groupBy("toxic").agg(F.max("n").alias("n"), F.count("*").alias("taken")).collect()}
     if len(taken) < 2:
         constant = float(1 in taken)
@@ -135,12 +148,12 @@ def score(docs: DataFrame, labelled: DataFrame, text_col: str = "text", label_co
         rows = sample.where(part).select(F.struct("toxic", "weight").alias("row"), "text").mapInArrow(_featured(lexicon), "row struct<toxic:int,weight:double>, features array<double>")
         return rows.select(F.col("row.toxic").cast("double").alias("label"), "row.weight", "features")
 
-    def lexicon_of(part):
-        return spark.sparkContext.broadcast(learn_lexicon(sample.where(part).select("text", "toxic"), lexicon_size))
-
-    lexicon = lexicon_of("turn < 8")
+    halves = sample.where("turn < 8").withColumn("half", F.when(F.col("turn") < 4, "a").otherwise("b"))
+    sizes = {("yes_" if r["toxic"] else "no_") + r["half"]: r["count"] for r in halves.groupBy("toxic", "half").count().collect()}
+    tokens = count_tokens(halves.select("text", "toxic", "half"))
+    lexicon, first, second = (spark.sparkContext.broadcast(learn_lexicon(tokens, sizes, part, lexicon_size)) for part in ("ab", "a", "b"))
     # a text that a lexicon was read from would look richer in its words than others do
-    fit = stored(seen("turn < 4", lexicon_of("turn BETWEEN 4 AND 7")).unionByName(seen("turn BETWEEN 4 AND 7", lexicon_of("turn < 4"))), "toxic-fit")
+    fit = stored(seen("turn < 4", second).unionByName(seen("turn BETWEEN 4 AND 7", first)), "toxic-fit")
     calibration = stored(seen("turn >= 8", lexicon), "toxic-calibration")
     step, vectors = _featured(lexicon), array_to_vector("features").alias("features")
     model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, seed=7, featuresCol="features", labelCol="label", weightCol="weight").fit(fit.select("label", "weight", vectors))
