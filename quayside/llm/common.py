@@ -151,31 +151,31 @@ def crc_bucket(column: str, parts: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % parts
 
 
-def bounded_sample(rows: DataFrame, kind: str, id_col: str, per_kind: int) -> DataFrame:
-    """For each value of ``kind`` about ``per_kind`` rows, never more, chosen by a hash ``h`` of the id, or of
-    ``text`` where the id is null; rows that agree in both (repeated ids, repeated texts without an id)
-    count once. ``rows`` has kind, id and ``text``; the result kind, ``h``, ``text``, ``n`` (rows of the kind) and
-    ``rank`` (by h, from 0), written to the shared folder.
-
-    A first pass reads kinds and ids only and says which share of the hashes gives enough rows. Where so
-    many rows without an id repeat that this leaves a kind short, the shares are taken anew from the
-    hashes themselves, so no kind vanishes."""
-    hashed = F.when(quoted(id_col).isNotNull(), F.xxhash64(quoted(id_col), F.lit(7))).otherwise(F.xxhash64("text", F.lit(8)))
-    every = F.count(F.lit(1)).alias("n")
-    by_id = rows.groupBy(kind).agg(every, (F.approx_count_distinct(quoted(id_col), 0.02) + F.count_if(quoted(id_col).isNull())).alias("distinct"))
-    by_hash = rows.withColumn("h", hashed).groupBy(kind).agg(every, F.approx_count_distinct("h", 0.02).alias("distinct"))
-    held = rows.select(quoted(kind), hashed.alias("h"), "text")
+def bounded_sample(rows: DataFrame, kind: str, id_col: str, per_kind: int, texts: DataFrame | None = None) -> DataFrame:
+    """For each value of ``kind`` about ``per_kind`` rows, never more, chosen by a hash ``h`` of the id; rows of
+    one id count once. Where the rows with ids are too few for a kind, rows without one join in, by a
+    hash of ``text`` (equal texts without an id count once), so no kind vanishes. ``rows`` has kind, id and
+    ``text``; the result kind, ``h``, ``text``, ``n`` (rows of the kind) and ``rank`` (by h, from 0), written to
+    the shared folder.
+
+    Keys are chosen from kinds and ids alone; texts are read, and shuffled, for the chosen rows only. With
+    ``texts`` (id and ``text``), ``rows`` needs no text, and rows without an id are left out."""
+    kind_, id_ = quoted(kind), quoted(id_col)
+    by_id = F.xxhash64(id_, F.lit(7))
+    ways = [(rows.where(id_.isNotNull()), by_id, F.approx_count_distinct(id_, 0.02))]
+    if texts is None:
+        by_text = F.when(id_.isNotNull(), by_id).otherwise(F.xxhash64("text", F.lit(8)))
+        ways.append((rows, by_text, F.approx_count_distinct(by_text, 0.02)))
     place = F.shiftrightunsigned("h", 1) / F.lit(float(1 << 63))
-    for sizes in (by_id, by_hash):
-        sizes = stored(sizes, "sample-sizes")  # one row per kind
-        near = held.join(sizes, kind).where(place < (2.0 * per_kind + 50.0) / F.col("distinct"))
-        once = near.groupBy(kind, "h").agg(F.min("n").alias("n"))
-        ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy(kind).orderBy("h")) - 1)  # some 2 x per_kind rows a kind
-        chosen = stored(ranked.where(F.col("rank") < per_kind), "sample-keys")
+    every = F.count(F.lit(1)).alias("n")
+    for part, hashed, distinct in ways:
+        sizes = stored(rows.groupBy(kind).agg(every, (distinct + (F.count_if(id_.isNull()) if part is not rows else F.lit(0))).alias("distinct")), "sample-sizes")  # one row per kind
+        near = part.select(kind_, hashed.alias("h")).join(sizes, kind).where(place < (2.0 * per_kind + 50.0) / F.col("distinct"))
+        ranked = near.groupBy(kind, "h").agg(F.min("n").alias("n")).withColumn("rank", F.row_number().over(Window.partitionBy(kind).orderBy("h")) - 1)
+        chosen = stored(ranked.where(F.col("rank") < per_kind), "sample-keys")  # per_kind narrow rows a kind at most
         taken = chosen.groupBy(kind).agg(F.count("*").alias("taken"))
-        short = sizes.join(taken, kind, "left").where(F.coalesce("taken", F.lit(0)) < F.least(F.lit(per_kind), F.col("distinct")) / 2)
-        if short.isEmpty():
+        if sizes.join(taken, kind, "left").where(F.coalesce("taken", F.lit(0)) < F.least(F.lit(per_kind), F.col("distinct")) / 2).isEmpty():
             break
-    # at most per_kind narrow rows a kind; only their texts are shuffled
-    texts = held.join(F.broadcast(chosen), [kind, "h"]).groupBy(kind, "h", "n", "rank").agg(F.min("text").alias("text"))
-    return stored(texts, "sample")
+    source, on = (part.select(kind_, hashed.alias("h"), "text"), [kind, "h"]) if texts is None else (texts.select(hashed.alias("h"), "text"), ["h"])
+    found = source.join(F.broadcast(chosen), on).groupBy(kind, "h", "n", "rank").agg(F.min("text").alias("text"))
+    return stored(found, "sample")

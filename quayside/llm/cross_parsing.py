@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from quayside.llm.common import bounded_sample, crc_bucket, doc_bytes, free_name, packed, quoted, ship, table, unpacked
 
 SEGMENT = 256
-BESIDE = 16_384
+BESIDE = 8_192
 WIDTH = 64
 PAD, SEPARATOR, RARE = 63, 0, 62  # symbols from WIDTH on have no column
 LETTERS = 61

@@ -126,13 +126,16 @@ def _featured(lexicon):
 
 
 def score(docs: DataFrame, labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id", sample_rows: int = 20_000, lexicon_size: int = 2_000, trees: int = 15, depth: int = 3) -> DataFrame:
-    """``docs`` without its text, with columns score (0 to 1) and predicted (1 from 0.5 on)."""
+    """``docs`` without its text, with columns score (0 to 1) and predicted (1 from 0.5 on). ``labelled`` has
+    id and label, and text; without a text column, the texts of ``docs`` are meant, by id."""
     spark = ship(docs.sparkSession)
     known = labelled.where(quoted(id_col).isNotNull() & quoted(label_col).cast("int").isin(0, 1))
-    known = known.select(quoted(id_col).alias("id"), F.coalesce(quoted(text_col), F.lit("")).alias("text"), quoted(label_col).cast("int").alias("toxic"))
+    own = text_col in labelled.columns
+    known = known.select(quoted(id_col).alias("id"), *([F.coalesce(quoted(text_col), F.lit("")).alias("text")] if own else []), quoted(label_col).cast("int").alias("toxic"))
+    texts = None if own else docs.select(quoted(id_col).alias("id"), F.coalesce(quoted(text_col), F.lit("")).alias("text"))
     plain = docs.select(packed(docs, text_col), quoted(text_col).alias("text"))
     kept = [F.col("row")[c].alias(c) for c in docs.columns if c != text_col]
-    sample = bounded_sample(known, "toxic", "id", sample_rows // 2)
+    sample = bounded_sample(known, "toxic", "id", sample_rows // 2, texts)
     taken = {r["toxic"]: (r["n"], r["taken"]) for r in sample.groupBy("toxic").agg(F.max("n").alias("n"), F.count("*").alias("taken")).collect()}
     if len(taken) < 2:
         constant = float(1 in taken)
@@ -170,5 +173,5 @@ def op7(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     fold = crc_bucket("doc_id", 5)
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold != 0)
-    found = score(docs, docs.join(labels, "doc_id"))
+    found = score(docs, labels.join(docs.select("doc_id"), "doc_id", "left_semi"))
     return found.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", "predicted")
