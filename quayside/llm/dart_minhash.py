@@ -19,8 +19,8 @@ shingles are put in one global order, rare ones first (counts in ``CELLS`` hashe
 order needs no shuffle), and a pair at the threshold must share one of each one's first
 size - threshold * size + 1. The first common shingle also bounds the overlap by what follows it
 in either node; pairs below the bound are dropped in the join, the rest is checked exactly. So
-every pair that shares a bucket is either in one class, ruled out or checked. Verified links are
-closed to classes by alternating stars.
+every pair that shares a bucket is either in one class, ruled out or checked. After each turn its
+verified links, as links between classes, are closed to larger classes by alternating stars.
 
 With 24 bands of 5, a pair of similarity 0.8 shares no band with probability 7e-5, and of 0.9
 with 5e-10.
@@ -243,6 +243,20 @@ def connected(edges: DataFrame) -> DataFrame:
         seen = mark
 
 
+def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The classes (node, root) after further links (a, b): stars run over the links between
+    classes only, each class being its root."""
+    if roots is None:
+        return stored(connected(links), "roots")
+    ends = links
+    for end in ("a", "b"):
+        root = roots.select(F.col("node").alias(end), F.col("root").alias("up"))
+        ends = ends.join(root, end, "left").withColumn(end, F.coalesce("up", end)).drop("up")
+    moved = stored(connected(ends), "moved-roots")
+    old = roots.join(moved.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return stored(old.unionAll(moved.join(roots.select("node"), "node", "left_anti").select("node", "root")), "roots")
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, bands: int = 24, rows: int = 5, size: int = 5, rounds: int = 2) -> DataFrame:
     """One row per row of ``docs``: id (doc_id), th (xxhash64 of the text), class_id, class_rows
     (rows in the class) and name (the class's internal name; null without words)."""
@@ -257,7 +271,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     # by id and text: rows that only share an id, or have none, do not meet
     texts = plain.join(wanted, plain["id"].eqNullSafe(wanted["rep.id"]) & (F.coalesce(plain["th"], F.lit(0)) == wanted["rep.th"])).select("node", "text")
     sets = stored(texts.mapInArrow(_shingled(size), "node binary, shingles binary").dropDuplicates(["node"]), "shingles")
-    links, roots = None, None
+    roots = None
     for turn in range(rounds + 1):
         active = shared.withColumn("root", F.col("node"))
         if turn:
@@ -273,8 +287,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
             pairs = _rest(open_, sets, threshold)
         met = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
         found = stored(met.mapInArrow(_checked(threshold), "a binary, b binary"), "links")
-        links = found if links is None else links.unionAll(found)
-        roots = connected(links)
+        roots = _merged(roots, found)
     rooted = signed.select("id", "th", "node").join(roots, "node", "left").select("id", "th", F.coalesce("root", "node").alias("name"))
     # written first: a join of two exchanges can split a hot class, a join of an aggregate cannot
     least = stored(rooted.where("name is not null").groupBy("name").agg(F.min("id").alias("class_id"), F.count("*").alias("class_rows")), "class-ids")

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 from quayside.llm.common import doc_bytes, mix64
 
-SLICE = 2 << 20
+SLICE, DOCS = 1 << 20, 1024  # bytes and documents worked on at a time (one whole document at least)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
 _WORD = np.array([c >= 0x80 or chr(c).isalnum() for c in range(256)])
@@ -44,11 +44,12 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def batches_of_words(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Per slice of documents: the first document, the word count of each, and all word hashes."""
-    data, offsets = doc_bytes(pc.utf8_lower(column))
-    first, n = 0, len(offsets) - 1
+    _, sizes = doc_bytes(column)
+    first, n = 0, len(sizes) - 1
     while first < n:
-        end = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE, side="right")) - 1)
-        part, cuts = data[offsets[first]:offsets[end]], offsets[first:end + 1] - offsets[first]
+        end = min(first + DOCS, max(first + 1, int(np.searchsorted(sizes, sizes[first] + SLICE, side="right")) - 1))
+        data, offsets = doc_bytes(pc.utf8_lower(column.slice(first, end - first)))
+        part, cuts = data[offsets[0]:offsets[-1]], offsets - offsets[0]
         # a separator between documents keeps their words apart
         spaced = np.full(len(part) + end - first, 32, np.uint8)
         spaced[np.arange(len(part)) + np.repeat(np.arange(end - first), np.diff(cuts))] = part
