@@ -9,8 +9,8 @@ headings, lists and tables are set off by a blank line; list items carry their m
 count from ``start``) and nested lists are indented, by ``INDENT`` blanks at most; table cells are padded
 to the width of their column (lines beyond ``WIDE`` characters widen no column) and joined by two
 blanks, cells of several lines stay in their column, ``colspan`` and ``rowspan`` leave the covered
-places empty. A table that would be mostly padding is not aligned (see ``grid``), so the text is never
-much longer than the page. Formulas and labels of drawings are text like other.
+places empty. Alignment puts ``GAP`` blanks at most before a text (see ``grid``), so it adds to a page in
+proportion to its texts. Formulas and labels of drawings are text like other.
 
 Not visible, and left out with all they hold: head, script, style, template, noscript, media and
 embedded content, comments, elements with ``hidden`` or ``display:none`` in their style attribute,
@@ -64,7 +64,7 @@ _UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 _VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
 INDENT = 40  # blanks at most before a line
 WIDE = 80  # a longer line of a cell does not widen its column
-PADDING = 8  # characters of an aligned table for each one of its text
+GAP = 2 * (WIDE + 2)  # blanks at most before a text in a table: two of the widest columns
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 
 
@@ -263,8 +263,9 @@ def _whole(value: str | None, default: int, most: int) -> int:
 def grid(rows: list[tuple[int, list[tuple[list[str], int, int]]]]) -> list[str]:
     """Aligned lines of table rows; a row is (row group, cells), a cell (lines, colspan, rowspan), where a
     rowspan of 0 reaches to the end of the row group; none reaches beyond it. Columns are as wide as
-    their longest line of up to ``WIDE`` characters. A table whose alignment would take more than
-    ``PADDING`` characters for each one of its text is not aligned: its cells follow on another."""
+    their longest line of up to ``WIDE`` characters. Before each text stand the blanks that bring it to its
+    column, ``GAP`` at most with those it begins with. This holds for every table, whatever its size, and
+    keeps the text in proportion to the page."""
     left, after = [0] * len(rows), 0
     for i in range(len(rows) - 1, -1, -1):  # rows of the group from here on
         after = after + 1 if i + 1 < len(rows) and rows[i + 1][0] == rows[i][0] else 1
@@ -286,24 +287,25 @@ def grid(rows: list[tuple[int, list[tuple[list[str], int, int]]]]) -> list[str]:
     if all(c == 0 for cells in placed for c in cells):  # one column, as in tables that only frame others
         return [x for cells in placed for x in cells.get(0, ())]
     widths: dict[int, int] = {}
-    content = height = 0
     for cells in placed:
-        height += max((len(lines) for lines in cells.values()), default=0)
         for c, lines in cells.items():
             if any(lines):
-                widths[c] = max(widths.get(c, 0), max(len(x) for x in lines if len(x) <= WIDE) if any(len(x) <= WIDE for x in lines) else 0)
-                content += sum(map(len, lines))
-    used = sorted(widths)
+                widths[c] = max(widths.get(c, 0), max((len(x) for x in lines if len(x) <= WIDE), default=0))
+    starts, at = {}, 0
+    for c in sorted(widths):
+        starts[c] = at
+        at += widths[c] + 2
     out = []
-    if height * (sum(widths.values()) + 2 * len(used)) > PADDING * content + 4096:
-        for cells in placed:
-            held = [cells[c] for c in sorted(cells)]
-            for i in range(max(map(len, held), default=0)):
-                out.append("  ".join(x[i] for x in held if i < len(x) and x[i]))
-        return out
     for cells in placed:
-        for i in range(max((len(lines) for lines in cells.values()), default=0)):
-            out.append("  ".join((cells[c][i] if c in cells and i < len(cells[c]) else "").ljust(widths[c]) for c in used).rstrip(" "))
+        made: list[list[str]] = [[] for _ in range(max(map(len, cells.values()), default=0))]
+        ends = [0] * len(made)  # the place in the table up to which each line is filled
+        for c in sorted(cells):
+            for i, x in enumerate(cells[c]):
+                if x:
+                    blanks = min(starts[c] - ends[i], max(GAP - len(x) + len(x.lstrip(" ")), 2 if made[i] else 0))
+                    made[i] += [" " * blanks, x]
+                    ends[i] = starts[c] + min(len(x), widths[c])
+        out += map("".join, made)
     return out
 
 

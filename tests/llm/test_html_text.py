@@ -112,3 +112,29 @@ def test_hostile_pages_stay_small_and_fast(page):
     assert len(text) <= 12 * len(page) + 5000 and seconds < 5
     double = page * 2
     assert _timed(double)[1] < 4 * seconds + 1
+
+
+@pytest.mark.parametrize("row", ["<tr><td colspan=19>a<td>z", "<tr><td><td>b", "<tr><td>a<td><td>c", "<tr>" + "<td>v" * 20])
+def test_layout_of_rows_does_not_depend_on_their_number(row):
+    head = "<table><tr>" + "".join(f"<th>{'h' * (40 + i)}" for i in range(20))
+    few, many = (html_text.render(html_text.parse(head + row * n + "</table>"))[0].split("\n") for n in (3, 3000))
+    assert len(many) == 3001 and many[:4] == few and set(many[1:]) == {few[1]}
+
+
+def test_large_sparse_tables_stay_aligned():
+    page = "<table><tr><td>" + "k" * 30 + "<td>" + "n" * 60 + "<td>end" + "<tr><td>a<td><td>c" * 3000 + "</table>"
+    lines = html_text.render(html_text.parse(page))[0].split("\n")
+    assert set(lines[1:]) == {"a".ljust(94) + "c"} and lines[0].index("end") == 94
+
+
+def test_blanks_before_a_text_are_bounded():
+    wide = "<tr>" + f"<td>{'y' * 80}" * 30
+    page = "<table>" + wide + "<tr><td>a<td colspan=20>b<td>c</table>"
+    assert html_text.render(html_text.parse(page))[0].split("\n")[1] == "a" + " " * 81 + "b" + " " * html_text.GAP + "c"
+    nested = "<table>" + wide + "<tr><td>a<td><br>b" + "<table>" + wide + "<tr><td><td>c<table><tr><td><td>d<td>e</table></table>"
+    for n in (1, 40):
+        lines = html_text.render(html_text.parse(nested * n + "</table>" * n))[0].split("\n")
+        assert max(len(x) - len(x.lstrip(" ")) for x in lines) <= html_text.GAP
+    deep = ("<table><tr><td>" + "y" * 80 + "<td>b<br>") * 300 + "<pre>" + "p\n" * 300
+    text, seconds = _timed(deep)
+    assert len(text) <= 12 * len(deep) and seconds < 5
