@@ -438,8 +438,8 @@ FROM r GROUP BY 1, 2""")
 def q_bulk_batches(spark, base):
     typed = standins.typed_rows(spark, base)
     docs = cdc.json_documents(typed, extra=[F.col("f_id"), F.expr("mod(f_id, 4)").cast("bigint").alias("partition_key")])
-    # f_id repeats (the key is not enforced): md5 of the document breaks ties, narrow and the same in SQL
-    docs = docs.withColumn("doc_md5", F.md5("document"))
+    # f_id repeats (the key is not enforced): md5 of the document breaks ties; its 16 bytes sort like the hex text in SQL
+    docs = docs.withColumn("doc_md5", F.unhex(F.md5("document")))
     return cdc.plain_decimals(cdc.bulk_batches(docs, "partition_key", ["f_id", "doc_md5"], "document"))
 
 

@@ -88,3 +88,43 @@ def test_equals_window_on_real_table(spark):
     b = ev.withColumn("r2", F.sum("user_id").over(w))
     assert a.join(b.select("event_id", "r2"), "event_id").where("r != r2").count() == 0
     assert a.count() == ev.count()
+
+
+def test_input_is_made_once(spark):
+    """Counting and sampling for the cut points must not run the input again."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for rb in batches:
+            made.add(rb.num_rows)
+            yield rb
+
+    df = spark.range(20_000).mapInArrow(count, "id long").selectExpr("id % 3 as g", "id as o", "id as v")
+    out = running_sum(df, ["g"], ["o"], "v", "s", rows_per_bucket=3_000)
+    assert out.agg(F.sum("v")).first()[0] == sum(range(20_000))
+    assert made.value == 20_000
+
+
+def test_the_first_copy_of_the_rows_goes(spark):
+    import glob
+
+    from quayside.session import checkpoint_dir
+
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(glob.glob(f"{folder}/*ordered-*"))
+    assert bucketed(spark.range(10), ["id"]).count() == 10
+    assert [p.rsplit("/", 1)[1].split("-")[0] for p in set(glob.glob(f"{folder}/*ordered-*")) - before] == ["ordered"]
+
+
+def test_long_whole_decimals_keep_their_order(spark):
+    """Neighbours that share their nearest double, both signs, null, and ties broken by the next column."""
+    big = [s * (10**19 + i) for s in (1, -1) for i in range(40)] + [2**53 + i for i in range(5)] + [0, None, 1, 1]
+    rows = [(None if o is None else Decimal(o), f"t{i:03d}", 1 + i) for i, o in enumerate(big)]
+    random.Random(5).shuffle(rows)
+    df = spark.createDataFrame(rows, "o decimal(20,0), t string, v long")
+    got = {r.t: r.s for r in running_sum(df, [], ["o", "t"], "v", "s", rows_per_bucket=7).collect()}
+    upto, want = 0, {}
+    for o, t, v in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        upto += v
+        want[t] = upto
+    assert got == want
